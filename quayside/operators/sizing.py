@@ -1,0 +1,19 @@
+"""Broadcast only behind a checked size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A lookup side above this many rows is joined by shuffle instead of broadcast.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when the side has at most ``max_rows`` rows.
+
+    The count is one small job on the lookup side only; above the bound the plain
+    DataFrame is returned and Spark (with AQE) picks a shuffle join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
