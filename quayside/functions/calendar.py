@@ -36,9 +36,7 @@ def quarter_label(month: Column | str) -> Column:
 def quarter_first_month(quarter: Column | str) -> Column:
     """'q1'..'q4' -> 1, 4, 7, 10; NULL for anything else."""
     q = _c(quarter)
-    n = F.try_cast(F.regexp_extract(q, r"^q([1-4])$", 1), "int") if hasattr(F, "try_cast") else None
-    if n is None:  # pragma: no cover - older API
-        n = F.expr(f"try_cast(regexp_extract({q}, '^q([1-4])$', 1) as int)")
+    n = F.nullif(F.regexp_extract(q, r"^q([1-4])$", 1), F.lit("")).try_cast("int")
     return n * 3 - 2
 
 

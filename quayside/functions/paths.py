@@ -56,7 +56,7 @@ def default_checkpoint(given: Column | str, root: Column | str, catalog: Column
 
 def int_or_null(text: Column | str) -> Column:
     """'' -> NULL, '12' -> 12, anything else not a number -> NULL."""
-    return F.try_cast(F.nullif(_c(text), F.lit("")), "int")
+    return F.nullif(_c(text), F.lit("")).try_cast("int")
 
 
 def basename(path: Column | str) -> Column:
