@@ -92,9 +92,11 @@ def recent_success(audit: DataFrame, as_of, window: str = "1 DAY",
     )
 
 
-def load_stats(table: DataFrame, ts_col: str = "_load_timestamp") -> DataFrame:
-    """total_rows and latest_load_timestamp (string, NULL when empty) in one aggregate."""
-    return table.agg(
+def load_stats(table: DataFrame, ts_col: str = "_load_timestamp", group_by: list | None = None) -> DataFrame:
+    """total_rows and latest_load_timestamp (string, NULL when empty) in one aggregate,
+    optionally per group (several tables stacked in one frame)."""
+    target = table.groupBy(*group_by) if group_by else table
+    return target.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.date_format(F.max(ts_col), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("latest_load_timestamp"),
     )
