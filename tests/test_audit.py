@@ -1,0 +1,83 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from quayside.operators import audit as A
+from quayside.operators.status import fetch_status, landing_message, landing_outcome
+from quayside.streaming.tables import ensure_table, set_comment, table_comment
+
+
+def test_fetch_status(spark):
+    df = spark.createDataFrame([(200, None), (404, None), (500, None), (None, "ConnectionError: boom")],
+                               "code int, err string")
+    got = [r.s for r in df.select(fetch_status("code", "err").alias("s")).collect()]
+    assert got == ["success", "not_found", "http_error_500", "error: ConnectionError: boom"]
+
+
+def test_landing_outcome(spark):
+    rows = [(False, True, 0, 0, "not_found"), (True, False, 0, 0, "success"), (True, True, 0, 0, "success"),
+            (True, True, 2, 2, "success"), (True, True, 2, 1, "success"), (True, True, 2, 0, "success")]
+    df = spark.createDataFrame(rows, "f boolean, ok boolean, c int, s int, st string")
+    out = df.select(landing_outcome("f", "ok", "c", "s", "st").alias("o"), "c", "s")
+    got = [(r.o, r.m) for r in out.select("o", landing_message("o", "c", "s").alias("m")).collect()]
+    assert got == [("not_found", "not_found"), ("bad_archive", "Archive could not be read"),
+                   ("no_csv_found", "No CSV files found in zip archive"), ("success", None),
+                   ("partial_success", "Only 1/2 files written successfully"),
+                   ("write_failed", "Only 0/2 files written successfully")]
+
+
+def test_audit_append_schema_and_recent_success(spark, tmp):
+    as_of = dt.datetime(2024, 1, 31, 12, 0, 0)
+    rows = [
+        ("r1", as_of - dt.timedelta(hours=24), "u1", "a", "success"),   # exactly 24 h: in
+        ("r2", as_of - dt.timedelta(hours=25), "u2", "b", "success"),   # older: out
+        ("r3", as_of + dt.timedelta(hours=1), "u3", "c", "success"),    # newer: in
+        ("r4", as_of, "u4", "d", "partial_success"),                    # status: out by default
+        ("r5", as_of, "u5", "a", "success"),                            # duplicate path
+    ]
+    df = spark.createDataFrame(rows, "run_id string, run_timestamp timestamp, url string, landing_path string, "
+                                     "download_status string").withColumn("catalog", F.lit("main"))
+    A.append_audit(df, f"{tmp}/audit")
+    audit = A.read_audit(spark, f"{tmp}/audit")
+    assert audit.schema == A.AUDIT_SCHEMA
+    assert audit.first().files_in_zip == []
+    got = [r.landing_path for r in A.recent_success(audit, "2024-01-31 12:00:00").collect()]
+    assert got == ["a", "c"]
+    got = [r.landing_path for r in A.recent_success(audit, "2024-01-31 12:00:00",
+                                                    statuses=("success", "partial_success")).collect()]
+    assert got == ["a", "c", "d"]
+    gaps = A.load_gaps(spark.createDataFrame([("u1",), ("u4",), ("u9",)], ["url"]), audit)
+    assert sorted(r.url for r in gaps.collect()) == ["u4", "u9"]
+
+
+def test_rollup_and_summary(spark):
+    m = spark.createDataFrame([("a", "x.csv", 10, True, True), ("a", "y.txt", 5, False, True),
+                               ("a", "z.csv", 7, True, False)],
+                              "archive string, member string, size_bytes long, is_csv boolean, written boolean")
+    r = A.audit_rollup(m, ["archive"]).first()
+    assert (r.csv_count, r.member_count, r.success_count, r.bytes_written) == (2, 3, 1, 10)
+    assert r.files_in_zip == ["x.csv", "y.txt", "z.csv"]
+    assert [(w.filename, w.size_bytes) for w in r.files_written] == [("x.csv", 10)]
+    res = spark.createDataFrame([("success", 10, 4), ("no_source_data", 0, 0), ("failed", None, None)],
+                                "status string, total_rows long, rows_added long")
+    s = A.load_summary(res, "monthly", "2024-02-01 00:00:00", "main", "raw").first()
+    assert s.processing.asDict() == {"tables_processed": 3, "successful": 2, "failed": 1, "total_rows_loaded": 10}
+    assert s.summary_json.startswith('{"mode":"monthly","timestamp":"2024-02-01T00:00:00"')
+    assert s.rows_added == 4
+
+
+def test_load_stats_empty_and_full(spark):
+    e = spark.createDataFrame([], "_load_timestamp timestamp")
+    r = A.load_stats(e).first()
+    assert (r.total_rows, r.latest_load_timestamp) == (0, None)
+
+
+def test_table_comment_with_apostrophe(spark, tmp):
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    df.write.parquet(f"{tmp}/t")
+    ensure_table(spark, "quayside_test_comment", f"{tmp}/t", df.schema, "it's a \\ test")
+    assert table_comment(spark, "quayside_test_comment") == "it's a \\ test"
+    set_comment(spark, "quayside_test_comment", "O'Brien's")
+    assert table_comment(spark, "quayside_test_comment") == "O'Brien's"
+    assert spark.table("quayside_test_comment").count() == 1
+    spark.sql("DROP TABLE quayside_test_comment")
