@@ -27,20 +27,29 @@ def members_to_land(members: DataFrame, manifest: DataFrame) -> DataFrame:
     return members.join(landed, [members[k].eqNullSafe(landed[k]) for k in KEYS], "left_anti")
 
 
-def land_members(spark: SparkSession, members: DataFrame, root: str, skip_landed: bool = True) -> None:
+def land_members(spark: SparkSession, members: DataFrame, root: str, skip_landed: bool = True,
+                 partitions: list[tuple[str, int | None, int | None]] | None = None) -> None:
     """Write each member's ``text`` (rows with NULL text, i.e. undecodable, are not
     written). What was landed is read back from the manifest afterwards
-    (``landed_keys``), not from this lineage, so content is read once."""
+    (``landed_keys``), not from this lineage, so content is read once.
+
+    ``partitions``: the (dataset, year, month) folders this landing can touch; when
+    given, only those are listed for the already-landed check."""
     todo = members.select(*KEYS, "text").where(F.col("text").isNotNull())
     if skip_landed:
         # The manifest listing is taken here, once; the anti join sees that snapshot.
-        todo = members_to_land(todo, landing_manifest(spark, root))
-    (todo.select("dataset", "year", F.lpad(F.col("month").cast("string"), 2, "0").alias("month"),
-                 "member", F.col("text").alias("value"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dataset", "year", "month", "member").text(root))
-
-
-def landed_keys(spark: SparkSession, root: str) -> DataFrame:
-    """(dataset, year, month, member, landed_bytes) of every member in the tree."""
-    return landing_manifest(spark, root).groupBy(*KEYS).agg(F.sum("length").alias("landed_bytes"))
+        todo = members_to_land(todo, landing_manifest(spark, root, partitions))
+    out = todo.select("dataset", "year", F.lpad(F.col("month").cast("string"), 2, "0").alias("month"),
+                      "member", F.col("text").alias("value"))
+    # New members only: a plain append (job commit makes it all-or-nothing). A forced
+    # re-landing replaces exactly the touched member folders.
+    writer = (out.write.mode("append") if skip_landed
+              else out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic"))
+    writer.partitionBy("dataset", "year", "month", "member").text(root)
+
+
+def landed_keys(spark: SparkSession, root: str,
+                partitions: list[tuple[str, int | None, int | None]] | None = None) -> DataFrame:
+    """(dataset, year, month, member, landed_bytes) of landed members (optionally of
+    the given partition folders only)."""
+    return landing_manifest(spark, root, partitions).groupBy(*KEYS).agg(F.sum("length").alias("landed_bytes"))

@@ -469,15 +469,19 @@ def decode_members_q(spark, sf):
 
 def _land_documents(spark, sf) -> str:
     root = scratch_dir(spark, "landing")
+    archives = _document_archives(spark, sf)
+    chunk = F.regexp_extract("archive", r"-([0-9]+)\.zip$", 1).cast("int")
+    dataset = F.regexp_extract("archive", r"^(.*)-[0-9]+\.zip$", 1)
+    month = F.pmod(chunk, F.lit(12)) + 1
+    # The partition folders come from archive names (a listing, no content read).
+    touched = [(r.dataset, 2024, r.month) for r in scan_archives(spark, archives, with_md5=False)
+               .select(dataset.alias("dataset"), month.alias("month")).distinct().collect()]
     for _ in range(2):  # the second landing finds every member landed and writes nothing
-        m = decode_members(_members(spark, sf, with_content=True).where(is_csv("member")))
-        chunk = F.regexp_extract("archive", r"-([0-9]+)\.zip$", 1).cast("int")
-        members = m.select(
-            F.regexp_extract("archive", r"^(.*)-[0-9]+\.zip$", 1).alias("dataset"),
-            F.lit(2024).alias("year"),
-            (F.pmod(chunk, F.lit(12)) + 1).alias("month"),
-            "member", "text", "size_bytes")
-        land_members(spark, members, root)
+        m = decode_members(archive_members(scan_archives(spark, archives, with_md5=False), with_content=True)
+                           .withColumn("archive", F.regexp_extract("archive_path", r"[^/]*$", 0)).where(is_csv("member")))
+        members = m.select(dataset.alias("dataset"), F.lit(2024).alias("year"), month.alias("month"),
+                           "member", "text", "size_bytes")
+        land_members(spark, members, root, partitions=touched)
     return root
 
 

@@ -26,17 +26,9 @@ from quayside.operators.status import landing_message, landing_outcome
 from quayside.operators.tasks import backfill_periods, expected_files, incremental_periods
 from quayside.sources.archives import archive_members, decode_members, is_csv, scan_archives
 from quayside.sources.catalog import read_catalog
-from quayside.sources.landing import dataset_path
+from quayside.sources.landing import dataset_path, escape_partition_value
 from quayside.streaming.ingest import RESULT_SCHEMA, IngestOptions, ingest_table
 
-# Characters Hive escapes in a partition folder name (as %XX).
-HIVE_ESCAPED = '"#%\'*/:=?\\\x7f{[]^'
-
-
-def escape_partition_value(value: str) -> str:
-    return "".join(f"%{ord(c):02X}" if (c in HIVE_ESCAPED or ord(c) < 0x20) else c for c in value)
-
-
 @dataclass
 class RunLayout:
     """Folders of one deployment (all below a shared file system)."""
@@ -81,16 +73,18 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
     fetched = matched.where(F.col("archive_path").isNotNull())
     keyed = fetched.select("task_id", "archive_path", F.col("landing_path").alias("dataset"), "year", "month")
     archive_paths = fetched.select("archive_path").distinct()
+    # Folders this run can touch: bounded by the task list, not by the tree's history.
+    touched = [(r.dataset, r.year, r.month) for r in keyed.select("dataset", "year", "month").distinct().collect()]
 
     # One pass with content: CSV members only, decoded, landed once per key.
     with_content = archive_members(archive_paths, with_content=True)
     csv = decode_members(with_content.where(F.col("error").isNull() & is_csv("member")))
     to_land = csv.join(keyed, "archive_path").select("dataset", "year", "month", "member", "text", "size_bytes")
-    land_members(spark, to_land, layout.landing)
+    land_members(spark, to_land, layout.landing, partitions=touched)
 
     # Audit pass without content: the member list and what the landing tree holds now.
     listing = archive_members(archive_paths, with_content=False)
-    landed = landed_keys(spark, layout.landing).select(
+    landed = landed_keys(spark, layout.landing, touched).select(
         F.col("dataset").alias("l_dataset"), F.col("year").alias("l_year"), F.col("month").alias("l_month"),
         F.col("member").alias("l_member"), F.lit(True).alias("_landed"))
     per_task = listing.where(F.col("error").isNull()).join(keyed, "archive_path")

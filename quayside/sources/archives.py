@@ -6,8 +6,9 @@ from the ``binaryFile`` source.
 ``archive_members``: one row per member, produced on the executors by
 ``mapInPandas``. A task opens each archive by path (seekable, so only the central
 directory and the wanted members are read), never the whole archive through the
-driver. Member content is optional; with it, output batches are cut by size so a
-task holds a bounded number of bytes at a time.
+driver. Content is read in a second phase: the (archive, member) pairs are
+hash-spread over tasks, so one huge archive is read by many tasks in parallel,
+each fetching only its own members; output batches are cut by size.
 """
 
 from __future__ import annotations
@@ -30,8 +31,13 @@ MEMBER_SCHEMA = StructType([
     StructField("compressed_bytes", LongType()),
     StructField("content", BinaryType()),
     StructField("error", StringType()),
+    StructField("read_chunk", LongType()),
 ])
 
+# Members of one archive are read in chunks of about this many uncompressed bytes
+# (in central-directory order); chunks, not archives, are the unit spread over tasks.
+READ_CHUNK_BYTES = 128 << 20
+
 # Output batches of member content are flushed at this many bytes.
 MEMBER_BATCH_BYTES = 64 << 20
 
@@ -76,7 +82,10 @@ def _members_of(with_content: bool, include_dirs: bool, suffix: str | None):
             for path in pdf["archive_path"]:
                 try:
                     with _open_seekable(path) as raw, zipfile.ZipFile(raw) as zf:
+                        offset = 0
                         for info in zf.infolist():
+                            chunk = offset // READ_CHUNK_BYTES
+                            offset += info.file_size
                             is_dir = info.is_dir()
                             if is_dir and not include_dirs:
                                 continue
@@ -85,13 +94,44 @@ def _members_of(with_content: bool, include_dirs: bool, suffix: str | None):
                             content = zf.read(info.filename) if want else None
                             rows.append((path, info.filename, os.path.basename(info.filename.rstrip("/")) if is_dir
                                          else os.path.basename(info.filename), is_dir, info.file_size,
-                                         info.compress_size, content, None))
+                                         info.compress_size, content, None, chunk))
                             held += len(content) if content else 0
                             if held >= MEMBER_BATCH_BYTES:
                                 yield pd.DataFrame(rows, columns=cols)
                                 rows, held = [], 0
                 except Exception as e:  # unreadable archive: one row with the error
-                    rows.append((path, None, None, None, None, None, None, f"{type(e).__name__}: {e}"))
+                    rows.append((path, None, None, None, None, None, None, f"{type(e).__name__}: {e}", None))
+        if rows:
+            yield pd.DataFrame(rows, columns=cols)
+
+    return run
+
+
+def _read_members():
+    def run(batches):
+        import os
+
+        import pandas as pd
+
+        cols = [f.name for f in MEMBER_SCHEMA.fields]
+        rows, held = [], 0
+        for pdf in batches:
+            for path, group in pdf.groupby("archive_path", sort=False):
+                try:
+                    with _open_seekable(path) as raw, zipfile.ZipFile(raw) as zf:
+                        for name, chunk in zip(group["member"], group["read_chunk"]):
+                            info = zf.getinfo(name)
+                            content = zf.read(info)
+                            rows.append((path, name, os.path.basename(name), False, info.file_size,
+                                         info.compress_size, content, None, int(chunk)))
+                            held += len(content)
+                            if held >= MEMBER_BATCH_BYTES:
+                                yield pd.DataFrame(rows, columns=cols)
+                                rows, held = [], 0
+                except Exception as e:  # archive changed or unreadable since listing
+                    for name, chunk in zip(group["member"], group["read_chunk"]):
+                        rows.append((path, name, os.path.basename(name), False, None, None, None,
+                                     f"{type(e).__name__}: {e}", int(chunk)))
         if rows:
             yield pd.DataFrame(rows, columns=cols)
 
@@ -99,16 +139,28 @@ def _members_of(with_content: bool, include_dirs: bool, suffix: str | None):
 
 
 def archive_members(archives: DataFrame, with_content: bool = False, include_dirs: bool = False,
-                    content_suffix: str | None = ".csv") -> DataFrame:
+                    content_suffix: str | None = ".csv", read_partitions: int | None = None) -> DataFrame:
     """Members of every archive in ``archives`` (column ``archive_path``).
 
     Directories are skipped unless ``include_dirs``. Content is read only when
     ``with_content`` and only for members ending in ``content_suffix`` (any case;
     None for all). An archive that cannot be opened gives one row with ``error``
-    set and NULL member.
+    set and NULL member. ``read_partitions`` (default: twice the default
+    parallelism) is the number of tasks content reads are spread over.
     """
-    return archives.select("archive_path").mapInPandas(
-        _members_of(with_content, include_dirs, content_suffix), MEMBER_SCHEMA)
+    listing = archives.select("archive_path").mapInPandas(_members_of(False, include_dirs, None), MEMBER_SCHEMA)
+    if not with_content:
+        return listing
+    wanted = F.col("error").isNull() & ~F.col("is_dir")
+    if content_suffix is not None:
+        wanted = wanted & F.lower(F.col("member")).endswith(content_suffix.lower())
+    n = read_partitions or 2 * archives.sparkSession.sparkContext.defaultParallelism
+    # Only (path, name, chunk) rows cross the shuffle; the bytes are read where they are
+    # used. A chunk stays in one task, so an archive is opened once per chunk.
+    spread = (listing.where(wanted).select("archive_path", "member", "read_chunk")
+              .repartition(n, "archive_path", "read_chunk"))
+    content = spread.mapInPandas(_read_members(), MEMBER_SCHEMA)
+    return listing.where(~wanted | wanted.isNull()).unionByName(content)
 
 
 def is_csv(member: Column | str = "member") -> Column:

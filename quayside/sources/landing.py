@@ -26,11 +26,39 @@ LANDING_FILE_SCHEMA = StructType([
 MANIFEST_SCHEMA = StructType([f for f in LANDING_FILE_SCHEMA.fields if f.name != "content"])
 
 
-def landing_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """path, modificationTime, length, dataset, year, month, member of every landed file."""
+HIVE_DEFAULT = "__HIVE_DEFAULT_PARTITION__"
+# Characters Hive escapes in a partition folder name (as %XX).
+HIVE_ESCAPED = '"#%\'*/:=?\\\x7f{[]^'
+
+
+def escape_partition_value(value: str) -> str:
+    return "".join(f"%{ord(c):02X}" if (c in HIVE_ESCAPED or ord(c) < 0x20) else c for c in value)
+
+
+def partition_folder(root: str, dataset: str, year: int | None, month: int | None) -> str:
+    y = HIVE_DEFAULT if year is None else str(year)
+    m = HIVE_DEFAULT if month is None else f"{month:02d}"
+    return f"{root.rstrip('/')}/dataset={escape_partition_value(dataset)}/year={y}/month={m}"
+
+
+def landing_manifest(spark: SparkSession, root: str,
+                     partitions: list[tuple[str, int | None, int | None]] | None = None) -> DataFrame:
+    """path, modificationTime, length, dataset, year, month, member of landed files.
+
+    With ``partitions`` only those (dataset, year, month) folders are listed, so a
+    run's check costs what the run touches, not the whole history of the tree.
+    """
+    empty = spark.createDataFrame([], MANIFEST_SCHEMA)
     if not fsutil.has_entries(spark, root):
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
-    df = spark.read.format("binaryFile").schema(LANDING_FILE_SCHEMA).load(root)
+        return empty
+    reader = spark.read.format("binaryFile").schema(LANDING_FILE_SCHEMA)
+    if partitions is None:
+        df = reader.load(root)
+    else:
+        folders = [f for f in {partition_folder(root, d, y, m) for d, y, m in partitions} if fsutil.exists(spark, f)]
+        if not folders:
+            return empty
+        df = reader.option("basePath", root).load(sorted(folders))
     return df.select(*[f.name for f in MANIFEST_SCHEMA.fields])
 
 

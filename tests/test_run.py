@@ -3,7 +3,8 @@ import json
 import os
 import zipfile
 
-from quayside.plans.run import escape_partition_value, run_load
+from quayside.plans.run import run_load
+from quayside.sources.landing import escape_partition_value
 
 
 def zip_bytes(members):
