@@ -141,3 +141,20 @@ def test_new_checkpoint_starts_table_anew(spark, tmp):
     ingest_table(spark, f"{tmp}/land", f"{tmp}/table", f"{tmp}/ckpt2", "t", IngestOptions(as_of=AS_OF)).first()
     assert spark.read.parquet(f"{tmp}/table").count() == 1
     assert F is not None
+
+
+def test_register_loaded_table_keeps_comment_and_widens(spark, tmp):
+    from quayside.streaming.tables import register_loaded_table, table_comment
+
+    put(tmp, "land/year=2024/month=01/a.csv", "k,v\n1,10\n")
+    run(spark, tmp)
+    register_loaded_table(spark, "quayside_test_loaded", f"{tmp}/table", f"{tmp}/ckpt", "Loaded's data")
+    assert spark.table("quayside_test_loaded").count() == 1
+    put(tmp, "land/year=2024/month=02/b.csv", "k,v,w\n2,9999999999,x\n")
+    run(spark, tmp)
+    register_loaded_table(spark, "quayside_test_loaded", f"{tmp}/table", f"{tmp}/ckpt", "ignored")
+    t = spark.table("quayside_test_loaded")
+    assert dict(t.dtypes)["v"] == "bigint" and "w" in t.columns
+    assert sorted(r.v for r in t.collect()) == [10, 9999999999]
+    assert table_comment(spark, "quayside_test_loaded") == "Loaded's data"
+    spark.sql("DROP TABLE quayside_test_loaded")

@@ -66,3 +66,21 @@ def test_whole_run_and_rerun(spark, tmp):
 
 def test_escape_partition_value():
     assert escape_partition_value("a/b c=d") == "a%2Fb c%3Dd"
+
+
+def test_incremental_run_takes_previous_month(spark, tmp):
+    catalog = {"mappings": [
+        {"url_pattern": "https://h/m-{month_name}-{year}.zip", "table_name": "m", "parameters": ["month_name", "year"],
+         "landing_path": "m", "comment": ""},
+        {"url_pattern": "https://h/y-{year}.zip", "table_name": "y", "parameters": ["year"], "landing_path": "y",
+         "comment": ""}]}
+    with open(f"{tmp}/catalog.json", "w") as f:
+        json.dump(catalog, f)
+    os.makedirs(f"{tmp}/arc")
+    with open(f"{tmp}/arc/m-december-2023.zip", "wb") as f:
+        f.write(zip_bytes({"m.csv": "a\n1\n"}))
+    out = run_load(spark, f"{tmp}/catalog.json", f"{tmp}/arc", f"{tmp}/root", mode="incremental",
+                   as_of="2024-01-10 08:00:00")
+    urls = sorted(r.url for r in out["tasks"].collect())
+    assert urls == ["https://h/m-december-2023.zip", "https://h/y-2023.zip"]
+    assert out["results"].first().total_rows == 1
