@@ -26,7 +26,7 @@ import time
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
@@ -38,7 +38,7 @@ from quayside.operators.columns import (
     add_lineage,
     add_path_partitions,
 )
-from quayside.streaming import fsutil, schema_log
+from quayside.streaming import batch_log, fsutil, schema_log
 
 BINARY_FILE_SCHEMA = StructType([
     StructField("path", StringType()),
@@ -126,7 +126,8 @@ def _infer_types(spark: SparkSession, paths: list[str], width: int, opts: Ingest
     return (types + ["string"] * width)[:width]
 
 
-def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opts: IngestOptions):
+def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opts: IngestOptions,
+                        batches_path: str | None = None):
     def process(batch: DataFrame, batch_id: int) -> None:
         files = batch.select("path", "length").where(F.col("length") > 0)
         headers = files.select("path").mapInPandas(_header_reader(opts.encoding), "path string, header string, error string")
@@ -170,8 +171,14 @@ def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opt
             *LINEAGE_COLUMNS, CORRUPT_COLUMN, "_year", "_month",
             F.lit(batch_id).cast("long").alias("_batch_id"),
         )
+        obs = Observation(f"batch_{batch_id}")
+        out = out.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("_load_timestamp").alias("latest"))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_batch_id").parquet(table_path))
+        if batches_path is not None:
+            stats = obs.get
+            batch_log.write_entry(spark, batches_path, batch_id, stats.get("rows", 0), stats.get("latest"),
+                                  sum(len(p) for p, _ in plans))
 
     return process
 
@@ -195,15 +202,6 @@ def read_table(spark: SparkSession, table_path: str, checkpoint_path: str) -> Da
     return spark.read.schema(schema).parquet(table_path)
 
 
-def _stats(spark: SparkSession, table_path: str, checkpoint_path: str):
-    if not fsutil.has_entries(spark, table_path):
-        return 0, None
-    t = spark.read.parquet(table_path)
-    r = t.agg(F.count(F.lit(1)).alias("n"),
-              F.date_format(F.max("_load_timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts")).collect()[0]
-    return int(r.n), r.ts
-
-
 def ingest_table(
     spark: SparkSession,
     source_path: str,
@@ -230,8 +228,10 @@ def ingest_table(
             return result("failed", None, None, None, 0, "checkpoint missing for a table with data")
         fsutil.delete(spark, table_path)
         fsutil.delete(spark, f"{checkpoint_path}/schema")
+        fsutil.delete(spark, f"{checkpoint_path}/batches")
 
-    before, _ = _stats(spark, table_path, checkpoint_path)
+    batches_path = f"{checkpoint_path}/batches"
+    _, _, _, _, last_batch = batch_log.totals(spark, batches_path)
     paths = (
         spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
         .option("recursiveFileLookup", "true")
@@ -240,7 +240,7 @@ def ingest_table(
         .load(source_path)
         .select("path", "length")
     )
-    fn = make_batch_function(spark, table_path, f"{checkpoint_path}/schema", opts)
+    fn = make_batch_function(spark, table_path, f"{checkpoint_path}/schema", opts, batches_path)
     query = (
         paths.writeStream.foreachBatch(fn)
         .option("checkpointLocation", stream_ckpt)
@@ -249,12 +249,11 @@ def ingest_table(
     )
     started = time.time()
     finished = query.awaitTermination(opts.timeout_s)
-    batches = len([p for p in query.recentProgress if p.get("numInputRows", 0) > 0]) if query.recentProgress else 0
     if not finished:
         query.stop()
-        return result("failed", None, None, None, batches, f"timeout after {time.time() - started:.0f} s")
+        return result("failed", None, None, None, None, f"timeout after {time.time() - started:.0f} s")
     err = query.exception()
     if err is not None:
-        return result("failed", None, None, None, batches, str(err)[:2000])
-    total, ts = _stats(spark, table_path, checkpoint_path)
-    return result("success", total, total - before, ts, batches)
+        return result("failed", None, None, None, None, str(err)[:2000])
+    total, ts, added, batches, _ = batch_log.totals(spark, batches_path, last_batch)
+    return result("success", total, added, ts, batches)
