@@ -22,7 +22,7 @@ from quayside.operators import audit as A
 from quayside.operators.land import land_members, landed_keys
 from quayside.operators.lookup import first_by_landing_path
 from quayside.operators.sizing import broadcast_if_small
-from quayside.operators.status import landing_message, landing_outcome
+from quayside.operators.status import fetch_status, landing_message, landing_outcome
 from quayside.operators.tasks import backfill_periods, expected_files, incremental_periods
 from quayside.sources.archives import archive_members, decode_members, is_csv, scan_archives
 from quayside.sources.catalog import read_catalog
@@ -62,8 +62,13 @@ def plan_tasks(spark: SparkSession, catalog: DataFrame, mode: str, start_year: i
 
 
 def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layout: RunLayout,
-                   catalog_name: str, schema_name: str, run_ts: str) -> DataFrame:
-    """Match tasks to archives, land their CSV members, return this run's audit rows."""
+                   catalog_name: str, schema_name: str, run_ts: str, fetch_log: DataFrame | None = None) -> DataFrame:
+    """Match tasks to archives, land their CSV members, return this run's audit rows.
+
+    ``fetch_log`` (url, http_code, error), when given, records how each download
+    went; a task without a log row counts as fetched when its archive is present
+    and as 'not_found' otherwise.
+    """
     run_uuid = uuid.uuid4().hex
     archives = scan_archives(spark, archive_dir, with_md5=True)
     task_id = F.md5(F.concat_ws("|", "url", "landing_path", F.coalesce(F.col("year").cast("string"), F.lit("")),
@@ -99,10 +104,18 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
     bad = listing.where(F.col("error").isNotNull()).select("archive_path", F.lit(False).alias("archive_ok")).distinct()
 
     rows = matched.join(rolled, "task_id", "left").join(bad, "archive_path", "left")
-    fetched_flag = F.col("archive_path").isNotNull()
+    if fetch_log is not None:
+        log = fetch_log.select("url", fetch_status("http_code", "error").alias("_fetch_state")).dropDuplicates(["url"])
+        rows = rows.join(log, "url", "left")
+        state = F.coalesce("_fetch_state", F.when(F.col("archive_path").isNotNull(), F.lit("success"))
+                           .otherwise(F.lit("not_found")))
+    else:
+        state = F.when(F.col("archive_path").isNotNull(), F.lit("success")).otherwise(F.lit("not_found"))
+    state = F.when((state == "success") & F.col("archive_path").isNull(), F.lit("error: archive missing")).otherwise(state)
+    fetched_flag = state == "success"
     csv_count = F.coalesce("csv_count", F.lit(0))
     success = F.coalesce("success_count", F.lit(0))
-    status = landing_outcome(fetched_flag, F.coalesce("archive_ok", F.lit(True)), csv_count, success, F.lit("not_found"))
+    status = landing_outcome(fetched_flag, F.coalesce("archive_ok", F.lit(True)), csv_count, success, state)
     audit_rows = rows.select(
         F.md5(F.concat(F.lit(run_uuid), F.col("url"))).alias("run_id"),
         F.lit(run_ts).cast("timestamp").alias("run_timestamp"),
@@ -140,16 +153,33 @@ def ingest_datasets(spark: SparkSession, datasets: list[tuple[str, str, str]], l
     return spark.createDataFrame([tuple(r) for r in rows], RESULT_SCHEMA)
 
 
+def register_all(spark: SparkSession, results: DataFrame, datasets: list[tuple[str, str, str]], layout: RunLayout,
+                 schema_name: str) -> None:
+    from quayside.streaming.tables import register_loaded_table, sql_string
+
+    loaded = {r.table_name for r in results.where(F.col("status") == "success").select("table_name").collect()}
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema_name}` LOCATION {sql_string(layout.root + '/catalog/' + schema_name)}")
+    for _landing, table_name, comment in datasets:
+        if table_name in loaded:
+            register_loaded_table(spark, f"`{schema_name}`.`{table_name}`", f"{layout.tables}/{table_name}",
+                                  f"{layout.checkpoints}/{table_name}", comment or None)
+
+
 def run_load(spark: SparkSession, catalog_path: str, archive_dir: str, root: str, *, mode: str = "backfill",
              start_year: int | None = None, end_year: int | None = None, as_of=None,
              catalog_name: str = "main", schema_name: str = "raw", statuses: tuple[str, ...] = ("success",),
-             window: str = "1 DAY", options: IngestOptions | None = None, parallel: int = 4) -> dict[str, DataFrame]:
-    """The whole run; returns tasks, audit (this run), selected, results, summary."""
+             window: str = "1 DAY", options: IngestOptions | None = None, parallel: int = 4,
+             fetch_log: DataFrame | None = None, register_tables: bool = False) -> dict[str, DataFrame]:
+    """The whole run; returns tasks, audit (this run), selected, results, summary.
+
+    ``register_tables`` names each loaded table ``schema_name.table_name`` in the
+    session catalog, with the catalog comment (set once, at creation).
+    """
     layout = RunLayout(root.rstrip("/"))
     now = as_of or _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
     catalog = read_catalog(spark, catalog_path)
     tasks = plan_tasks(spark, catalog, mode, start_year, end_year, now)
-    audit_rows = fetch_and_land(spark, tasks, archive_dir, layout, catalog_name, schema_name, str(now))
+    audit_rows = fetch_and_land(spark, tasks, archive_dir, layout, catalog_name, schema_name, str(now), fetch_log)
     selected = A.recent_success(A.read_audit(spark, layout.audit), now, window, statuses)
     firsts = broadcast_if_small(first_by_landing_path(catalog))
     chosen = (selected.join(firsts, "landing_path", "left")
@@ -160,6 +190,8 @@ def run_load(spark: SparkSession, catalog_path: str, archive_dir: str, root: str
     datasets = [(r.landing_path, r.table_name, r.comment) for r in chosen.collect()]
     opts = options or IngestOptions(as_of=as_of)
     results = ingest_datasets(spark, datasets, layout, opts, parallel)
+    if register_tables:
+        register_all(spark, results, datasets, layout, schema_name)
     summary = A.load_summary(results, mode, now, catalog_name, schema_name)
     return {"tasks": tasks, "audit": audit_rows, "selected": chosen, "results": results, "summary": summary}
 

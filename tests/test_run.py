@@ -84,3 +84,25 @@ def test_incremental_run_takes_previous_month(spark, tmp):
     urls = sorted(r.url for r in out["tasks"].collect())
     assert urls == ["https://h/m-december-2023.zip", "https://h/y-2023.zip"]
     assert out["results"].first().total_rows == 1
+
+
+def test_fetch_log_statuses_and_registration(spark, tmp):
+    catalog = {"mappings": [
+        {"url_pattern": "https://h/d-{year}.zip", "table_name": "d", "parameters": ["year"], "landing_path": "d",
+         "comment": "Dataset's comment"}]}
+    with open(f"{tmp}/catalog.json", "w") as f:
+        json.dump(catalog, f)
+    os.makedirs(f"{tmp}/arc")
+    with open(f"{tmp}/arc/d-2022.zip", "wb") as f:
+        f.write(zip_bytes({"d.csv": "a\n1\n2\n"}))
+    log = spark.createDataFrame([("https://h/d-2021.zip", 404, None), ("https://h/d-2020.zip", 503, None),
+                                 ("https://h/d-2023.zip", None, "ReadTimeout: 300 s"),
+                                 ("https://h/d-2022.zip", 200, None)], "url string, http_code int, error string")
+    out = run_load(spark, f"{tmp}/catalog.json", f"{tmp}/arc", f"{tmp}/root", start_year=2020, end_year=2024,
+                   as_of="2025-01-01 00:00:00", fetch_log=log, register_tables=True, schema_name="quayside_test_db")
+    st = {r.year: r.download_status for r in out["audit"].collect()}
+    assert st == {2020: "http_error_503", 2021: "not_found", 2022: "success", 2023: "error: ReadTimeout: 300 s",
+                  2024: "not_found"}
+    assert spark.table("quayside_test_db.d").count() == 2
+    from quayside.streaming.tables import table_comment
+    assert table_comment(spark, "quayside_test_db.d") == "Dataset's comment"
