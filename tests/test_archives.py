@@ -75,3 +75,22 @@ def test_decode_and_land(spark, tmp):
     back = spark.read.option("header", True).csv(f"{land}/dataset=ds").where(F.col("member") == "y/same.csv")
     assert [r.a for r in back.collect()] == ["2"]
     assert json.dumps(sorted(landed)) is not None
+
+
+def test_big_archive_is_read_in_chunks_by_several_tasks(spark, tmp, monkeypatch):
+    import quayside.sources.archives as arch
+
+    os.makedirs(f"{tmp}/big")
+    with zipfile.ZipFile(f"{tmp}/big/hot.zip", "w") as z:
+        for i in range(200):
+            z.writestr(f"part/{i:03d}.csv", "id,v\n" + "".join(f"{i},{j}\n" for j in range(50)))
+    monkeypatch.setattr(arch, "READ_CHUNK_BYTES", 4096)  # ~14 members (of ~300 bytes) per chunk
+    listing = archive_members(scan_archives(spark, f"{tmp}/big", with_md5=False))
+    assert listing.select("read_chunk").distinct().count() >= 10
+    members = archive_members(scan_archives(spark, f"{tmp}/big", with_md5=False), with_content=True,
+                              read_partitions=8)
+    tasks = members.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 1
+    rows = members.select("member", "content").collect()
+    assert len(rows) == 200
+    assert all(r.content.decode().startswith("id,v\n") for r in rows)
