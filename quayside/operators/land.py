@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.sources.landing import landing_manifest
+from quayside.sources.landing import LANDING_FILE_SCHEMA, landing_manifest, partition_folder
+from quayside.streaming import fsutil
 
 KEYS = ["dataset", "year", "month", "member"]
 
@@ -53,3 +54,24 @@ def landed_keys(spark: SparkSession, root: str,
     """(dataset, year, month, member, landed_bytes) of landed members (optionally of
     the given partition folders only)."""
     return landing_manifest(spark, root, partitions).groupBy(*KEYS).agg(F.sum("length").alias("landed_bytes"))
+
+
+def changed_members(spark: SparkSession, members: DataFrame, root: str,
+                    partitions: list[tuple[str, int | None, int | None]]) -> DataFrame:
+    """Members already landed whose new content differs (MD5) from the landed file.
+
+    Landing skips such members (their earlier file was, or will be, loaded once);
+    this reports them. It reads the landed files of the given partition folders.
+    """
+    folders = [f for f in {partition_folder(root, d, y, m) for d, y, m in partitions} if fsutil.exists(spark, f)]
+    if not folders:
+        return spark.createDataFrame([], "dataset string, year int, month int, member string, "
+                                         "landed_md5 string, new_md5 string")
+    landed = (spark.read.format("binaryFile").schema(LANDING_FILE_SCHEMA).option("basePath", root).load(sorted(folders))
+              .select(*KEYS, F.md5("content").alias("landed_md5")))
+    # The landing writer ends each member with one newline.
+    new = members.where(F.col("text").isNotNull()).select(
+        *KEYS, F.md5(F.concat(F.col("text"), F.lit("\n"))).alias("new_md5"))
+    cond = [new[k].eqNullSafe(landed[k]) for k in KEYS]
+    return (new.join(landed, cond, "inner").where(F.col("new_md5") != F.col("landed_md5"))
+            .select(*[new[k] for k in KEYS], "landed_md5", "new_md5"))

@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 
 from quayside.functions.paths import basename
 from quayside.operators import audit as A
-from quayside.operators.land import land_members, landed_keys
+from quayside.operators.land import changed_members, land_members, landed_keys
 from quayside.operators.lookup import first_by_landing_path
 from quayside.operators.sizing import broadcast_if_small
 from quayside.operators.status import fetch_status, landing_message, landing_outcome
 from quayside.operators.tasks import backfill_periods, expected_files, incremental_periods
 from quayside.sources.archives import archive_members, decode_members, is_csv, scan_archives
+from quayside.session import checkpoint_root
 from quayside.sources.catalog import read_catalog
 from quayside.sources.landing import dataset_path, escape_partition_value
 from quayside.streaming.ingest import RESULT_SCHEMA, IngestOptions, ingest_table
@@ -62,12 +63,14 @@ def plan_tasks(spark: SparkSession, catalog: DataFrame, mode: str, start_year: i
 
 
 def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layout: RunLayout,
-                   catalog_name: str, schema_name: str, run_ts: str, fetch_log: DataFrame | None = None) -> DataFrame:
+                   catalog_name: str, schema_name: str, run_ts: str, fetch_log: DataFrame | None = None,
+                   report_changes: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """Match tasks to archives, land their CSV members, return this run's audit rows.
 
     ``fetch_log`` (url, http_code, error), when given, records how each download
     went; a task without a log row counts as fetched when its archive is present
-    and as 'not_found' otherwise.
+    and as 'not_found' otherwise. With ``report_changes`` the members already landed
+    with different content are returned too (this reads their landed files).
     """
     run_uuid = uuid.uuid4().hex
     archives = scan_archives(spark, archive_dir, with_md5=True)
@@ -85,6 +88,12 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
     with_content = archive_members(archive_paths, with_content=True)
     csv = decode_members(with_content.where(F.col("error").isNull() & is_csv("member")))
     to_land = csv.join(keyed, "archive_path").select("dataset", "year", "month", "member", "text", "size_bytes")
+    changed = None
+    if report_changes:
+        # Checked before landing and materialised: after landing the comparison would
+        # see the new files, and recomputing it would list the folders again.
+        checkpoint_root(spark)  # the shared spark.checkpoint.dir (set only where unset)
+        changed = changed_members(spark, to_land, layout.landing, touched).checkpoint(eager=True)
     land_members(spark, to_land, layout.landing, partitions=touched)
 
     # Audit pass without content: the member list and what the landing tree holds now.
@@ -128,7 +137,8 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
         csv_count.alias("csv_count"), success.alias("success_count"),
     )
     A.append_audit(audit_rows, layout.audit)
-    return A.read_audit(spark, layout.audit).where(F.col("run_timestamp") == F.lit(run_ts).cast("timestamp"))
+    mine = A.read_audit(spark, layout.audit).where(F.col("run_timestamp") == F.lit(run_ts).cast("timestamp"))
+    return mine, changed
 
 
 def ingest_datasets(spark: SparkSession, datasets: list[tuple[str, str, str]], layout: RunLayout,
@@ -169,7 +179,8 @@ def run_load(spark: SparkSession, catalog_path: str, archive_dir: str, root: str
              start_year: int | None = None, end_year: int | None = None, as_of=None,
              catalog_name: str = "main", schema_name: str = "raw", statuses: tuple[str, ...] = ("success",),
              window: str = "1 DAY", options: IngestOptions | None = None, parallel: int = 4,
-             fetch_log: DataFrame | None = None, register_tables: bool = False) -> dict[str, DataFrame]:
+             fetch_log: DataFrame | None = None, register_tables: bool = False,
+             report_changes: bool = False) -> dict[str, DataFrame]:
     """The whole run; returns tasks, audit (this run), selected, results, summary.
 
     ``register_tables`` names each loaded table ``schema_name.table_name`` in the
@@ -179,7 +190,8 @@ def run_load(spark: SparkSession, catalog_path: str, archive_dir: str, root: str
     now = as_of or _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
     catalog = read_catalog(spark, catalog_path)
     tasks = plan_tasks(spark, catalog, mode, start_year, end_year, now)
-    audit_rows = fetch_and_land(spark, tasks, archive_dir, layout, catalog_name, schema_name, str(now), fetch_log)
+    audit_rows, changed = fetch_and_land(spark, tasks, archive_dir, layout, catalog_name, schema_name, str(now),
+                                         fetch_log, report_changes)
     selected = A.recent_success(A.read_audit(spark, layout.audit), now, window, statuses)
     firsts = broadcast_if_small(first_by_landing_path(catalog))
     chosen = (selected.join(firsts, "landing_path", "left")
@@ -193,7 +205,10 @@ def run_load(spark: SparkSession, catalog_path: str, archive_dir: str, root: str
     if register_tables:
         register_all(spark, results, datasets, layout, schema_name)
     summary = A.load_summary(results, mode, now, catalog_name, schema_name)
-    return {"tasks": tasks, "audit": audit_rows, "selected": chosen, "results": results, "summary": summary}
+    out = {"tasks": tasks, "audit": audit_rows, "selected": chosen, "results": results, "summary": summary}
+    if changed is not None:
+        out["changed"] = changed
+    return out
 
 
 __all__ = ["RunLayout", "escape_partition_value", "fetch_and_land", "ingest_datasets", "plan_tasks", "run_load",

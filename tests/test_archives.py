@@ -94,3 +94,20 @@ def test_big_archive_is_read_in_chunks_by_several_tasks(spark, tmp, monkeypatch)
     rows = members.select("member", "content").collect()
     assert len(rows) == 200
     assert all(r.content.decode().startswith("id,v\n") for r in rows)
+
+
+def test_changed_member_is_reported_not_relanded(spark, tmp):
+    from quayside.operators.land import changed_members
+
+    def members(text):
+        return spark.createDataFrame([("ds", 2024, 1, "a.csv", text, len(text))],
+                                     "dataset string, year int, month int, member string, text string, size_bytes long")
+
+    land = f"{tmp}/land"
+    part = [("ds", 2024, 1)]
+    land_members(spark, members("a\n1\n"), land, partitions=part)
+    assert changed_members(spark, members("a\n1\n"), land, part).count() == 0
+    ch = changed_members(spark, members("a\n2\n"), land, part).collect()
+    assert [(r.member, r.new_md5 != r.landed_md5) for r in ch] == [("a.csv", True)]
+    land_members(spark, members("a\n2\n"), land, partitions=part)  # skipped: still the first content
+    assert [r.a for r in spark.read.option("header", True).csv(f"{land}/dataset=ds").collect()] == ["1"]

@@ -106,3 +106,22 @@ def test_fetch_log_statuses_and_registration(spark, tmp):
     assert spark.table("quayside_test_db.d").count() == 2
     from quayside.streaming.tables import table_comment
     assert table_comment(spark, "quayside_test_db.d") == "Dataset's comment"
+
+
+def test_run_reports_changed_members(spark, tmp):
+    catalog = {"mappings": [{"url_pattern": "https://h/s.zip", "table_name": "s", "parameters": [],
+                             "landing_path": "s", "comment": ""}]}
+    with open(f"{tmp}/catalog.json", "w") as f:
+        json.dump(catalog, f)
+    os.makedirs(f"{tmp}/arc")
+    with open(f"{tmp}/arc/s.zip", "wb") as f:
+        f.write(zip_bytes({"s.csv": "a\n1\n"}))
+    first = run_load(spark, f"{tmp}/catalog.json", f"{tmp}/arc", f"{tmp}/root", start_year=2024, end_year=2024,
+                     as_of="2024-05-01 00:00:00", report_changes=True)
+    assert first["changed"].count() == 0
+    with open(f"{tmp}/arc/s.zip", "wb") as f:
+        f.write(zip_bytes({"s.csv": "a\n2\n"}))
+    again = run_load(spark, f"{tmp}/catalog.json", f"{tmp}/arc", f"{tmp}/root", start_year=2024, end_year=2024,
+                     as_of="2024-05-01 00:00:01", report_changes=True)
+    assert [r.member for r in again["changed"].collect()] == ["s.csv"]
+    assert again["results"].first().total_rows == 1
