@@ -73,7 +73,8 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
     with different content are returned too (this reads their landed files).
     """
     run_uuid = uuid.uuid4().hex
-    archives = scan_archives(spark, archive_dir, with_md5=True)
+    # Listing only: the MD5 would read every archive's bytes in each job below.
+    archives = scan_archives(spark, archive_dir, with_md5=False)
     task_id = F.md5(F.concat_ws("|", "url", "landing_path", F.coalesce(F.col("year").cast("string"), F.lit("")),
                                 F.coalesce(F.col("month").cast("string"), F.lit(""))))
     t = tasks.withColumn("archive", basename("url")).withColumn("task_id", task_id)

@@ -76,3 +76,34 @@ def test_partition_path_branches(spark):
 def test_int_or_null(spark):
     df = spark.createDataFrame([("",), ("12",), ("x",), (None,)], ["s"])
     assert [r.i for r in df.select(int_or_null("s").alias("i")).collect()] == [None, 12, None, None]
+
+
+def test_snake_case_expression_equals_rule_on_random_text(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    texts: list[str] = []
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.text(min_size=0, max_size=40))
+    def collect(t):
+        texts.append(t)
+
+    collect()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.s for r in df.select("i", snake_case_col("t").alias("s")).collect()}
+    assert all(got[i] == snake_case(t) for i, t in enumerate(texts))
+
+
+def test_unique_names_are_unique_and_nonempty():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.lists(st.text(max_size=12), max_size=15))
+    def check(names):
+        out = unique_snake_names(names, reserved=("_batch_id",))
+        assert len(out) == len(names) and len(set(out)) == len(out)
+        assert all(o and o != "_batch_id" for o in out)
+
+    check()
