@@ -105,7 +105,16 @@ def _parse_header(line: str) -> list[str]:
     return rows[0] if rows else []
 
 
+_GLOB_CHARS = "\\{}[]*?"
+
+
+def literal_paths(paths: list[str]) -> list[str]:
+    """Paths as literal names for the file readers, which would expand glob characters."""
+    return ["".join("\\" + c if c in _GLOB_CHARS else c for c in p) for p in paths]
+
+
 def _read_group(spark: SparkSession, paths: list[str], schema: StructType, opts: IngestOptions) -> DataFrame:
+    paths = literal_paths(paths)
     return (
         spark.read.schema(schema)
         .option("header", True)
@@ -118,6 +127,7 @@ def _read_group(spark: SparkSession, paths: list[str], schema: StructType, opts:
 
 
 def _infer_types(spark: SparkSession, paths: list[str], width: int, opts: IngestOptions) -> list[str]:
+    paths = literal_paths(paths)
     inferred = (
         spark.read.option("header", True).option("inferSchema", True)
         .option("multiLine", opts.multi_line).option("encoding", opts.encoding).csv(paths).schema

@@ -158,3 +158,12 @@ def test_register_loaded_table_keeps_comment_and_widens(spark, tmp):
     assert sorted(r.v for r in t.collect()) == [10, 9999999999]
     assert table_comment(spark, "quayside_test_loaded") == "Loaded's data"
     spark.sql("DROP TABLE quayside_test_loaded")
+
+
+def test_file_names_with_glob_characters(spark, tmp):
+    put(tmp, "land/year=2024/month=01/a[1].csv", "a\n1\n")
+    put(tmp, "land/year=2024/month=01/a1.csv", "a\n2\n")
+    put(tmp, "land/year=2024/month=01/b{x,y}*.csv", "a\n3\n")
+    r = run(spark, tmp)
+    assert (r.status, r.total_rows) == ("success", 3)
+    assert sorted(x.a for x in table(spark, tmp).collect()) == [1, 2, 3]
