@@ -6,8 +6,10 @@ hold files with different headers:
 
 1. the first line of every new file is read on the executors (``mapInPandas``),
    and files are grouped by that header;
-2. per header group the column types are taken from the schema log, inferred for
-   new columns, and widened int -> bigint / int -> double when the data needs it;
+2. per header group the column types are taken from the schema log and inferred for
+   new columns only; a batch whose values do not fit is inferred afterwards and, when
+   an int column widens (int -> bigint / double), rewritten under the wider type, so
+   a batch without type drift reads its files once;
 3. each group is read with its positional schema plus ``_corrupt_record``
    (PERMISSIVE: a value that does not fit becomes NULL and the raw line is kept);
 4. names are normalised, lineage and path columns added, groups unioned by name
@@ -138,35 +140,20 @@ def _infer_types(spark: SparkSession, paths: list[str], width: int, opts: Ingest
 
 def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opts: IngestOptions,
                         batches_path: str | None = None):
-    def process(batch: DataFrame, batch_id: int) -> None:
-        files = batch.select("path", "length").where(F.col("length") > 0)
-        headers = files.select("path").mapInPandas(_header_reader(opts.encoding), "path string, header string, error string")
-        # At most max_files_per_trigger paths: the groups are bounded metadata.
-        groups = (
-            headers.where(F.col("header").isNotNull())
-            .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-            .orderBy("header").collect()
-        )
-        if not groups:
-            return
-        logged = dict(schema_log.latest_columns(spark, log_path, before=batch_id))
-        order = list(logged)
-        plans = []
-        for g in groups:
-            names = unique_snake_names(_parse_header(g.header), reserved=RESERVED)
-            new_or_widenable = [n for n in names if n not in logged or logged[n] == "int"]
-            types = _infer_types(spark, g.paths, len(names), opts) if new_or_widenable else [logged[n] for n in names]
-            for n, t in zip(names, types):
-                t = opts.type_overrides.get(n, t)
-                if n not in logged:
-                    logged[n] = t
-                    order.append(n)
-                else:
-                    logged[n] = schema_log.widen(logged[n], t)
-            plans.append((g.paths, names))
+    widenable = {old for old, _ in schema_log.WIDENINGS}
+
+    def merge_types(logged: dict, order: list, names: list[str], types: list[str]) -> None:
+        for n, t in zip(names, types):
+            if n not in logged:
+                logged[n] = opts.type_overrides.get(n, t)
+                order.append(n)
+            elif n not in opts.type_overrides:
+                logged[n] = schema_log.widen(logged[n], t)
+
+    def write_batch(batch_id: int, plans, logged: dict, order: list) -> dict:
         columns = [(n, logged[n]) for n in order]
+        # The log version comes first: table files never hold a type the log lacks.
         schema_log.write_version(spark, log_path, batch_id, columns)
-
         frames = []
         for paths, names in plans:
             read_schema = StructType(
@@ -182,11 +169,45 @@ def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opt
             F.lit(batch_id).cast("long").alias("_batch_id"),
         )
         obs = Observation(f"batch_{batch_id}")
-        out = out.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("_load_timestamp").alias("latest"))
+        out = out.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("_load_timestamp").alias("latest"),
+                          F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("corrupt"))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_batch_id").parquet(table_path))
+        return obs.get
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        files = batch.select("path", "length").where(F.col("length") > 0)
+        headers = files.select("path").mapInPandas(_header_reader(opts.encoding), "path string, header string, error string")
+        # At most max_files_per_trigger paths: the groups are bounded metadata.
+        groups = (
+            headers.where(F.col("header").isNotNull())
+            .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+            .orderBy("header").collect()
+        )
+        if not groups:
+            return
+        logged = dict(schema_log.latest_columns(spark, log_path, before=batch_id))
+        order = list(logged)
+        plans, unchecked = [], []
+        for g in groups:
+            names = unique_snake_names(_parse_header(g.header), reserved=RESERVED)
+            if any(n not in logged for n in names):
+                # New columns: their types come from inference over the group's files.
+                merge_types(logged, order, names, _infer_types(spark, g.paths, len(names), opts))
+            elif any(logged[n] in widenable and n not in opts.type_overrides for n in names):
+                unchecked.append(len(plans))
+            plans.append((g.paths, names))
+        stats = write_batch(batch_id, plans, logged, order)
+        if stats.get("corrupt") and unchecked:
+            # Values that did not fit: infer the groups not inferred yet; when a column
+            # widens, rewrite this batch (its own partition) under the wider type.
+            before = dict(logged)
+            for i in unchecked:
+                paths, names = plans[i]
+                merge_types(logged, order, names, _infer_types(spark, paths, len(names), opts))
+            if logged != before:
+                stats = write_batch(batch_id, plans, logged, order)
         if batches_path is not None:
-            stats = obs.get
             batch_log.write_entry(spark, batches_path, batch_id, stats.get("rows", 0), stats.get("latest"),
                                   sum(len(p) for p, _ in plans))
 
