@@ -141,6 +141,9 @@ def _infer_types(spark: SparkSession, paths: list[str], width: int, opts: Ingest
 def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opts: IngestOptions,
                         batches_path: str | None = None):
     widenable = {old for old, _ in schema_log.WIDENINGS}
+    # Schema written by the previous batch of this query run; batches run in order,
+    # so it is the log's latest version. A new process reads the log instead.
+    last: dict = {}
 
     def merge_types(logged: dict, order: list, names: list[str], types: list[str]) -> None:
         for n, t in zip(names, types):
@@ -186,7 +189,10 @@ def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opt
         )
         if not groups:
             return
-        logged = dict(schema_log.latest_columns(spark, log_path, before=batch_id))
+        if last.get("batch") is not None and last["batch"] < batch_id:
+            logged = dict(last["columns"])
+        else:
+            logged = dict(schema_log.latest_columns(spark, log_path, before=batch_id))
         order = list(logged)
         plans, unchecked = [], []
         for g in groups:
@@ -210,6 +216,7 @@ def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opt
         if batches_path is not None:
             batch_log.write_entry(spark, batches_path, batch_id, stats.get("rows", 0), stats.get("latest"),
                                   sum(len(p) for p, _ in plans))
+        last.update(batch=batch_id, columns=[(n, logged[n]) for n in order])
 
     return process
 
