@@ -25,6 +25,7 @@ from __future__ import annotations
 import csv
 import io
 import time
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -171,7 +172,8 @@ def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opt
             *LINEAGE_COLUMNS, CORRUPT_COLUMN, "_year", "_month",
             F.lit(batch_id).cast("long").alias("_batch_id"),
         )
-        obs = Observation(f"batch_{batch_id}")
+        # Unique name: streams of several tables may run the same batch id at once.
+        obs = Observation(f"batch_{batch_id}_{uuid.uuid4().hex}")
         out = out.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("_load_timestamp").alias("latest"),
                           F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("corrupt"))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

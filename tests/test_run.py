@@ -125,3 +125,23 @@ def test_run_reports_changed_members(spark, tmp):
                      as_of="2024-05-01 00:00:01", report_changes=True)
     assert [r.member for r in again["changed"].collect()] == ["s.csv"]
     assert again["results"].first().total_rows == 1
+
+
+def test_several_tables_ingested_in_parallel(spark, tmp):
+    names = ["alpha", "beta", "gamma", "delta"]
+    catalog = {"mappings": [{"url_pattern": f"https://h/{n}-{{year}}.zip", "table_name": f"t_{n}",
+                             "parameters": ["year"], "landing_path": n, "comment": n} for n in names]}
+    with open(f"{tmp}/catalog.json", "w") as f:
+        json.dump(catalog, f)
+    os.makedirs(f"{tmp}/arc")
+    for k, n in enumerate(names):
+        rows = "".join(f"{i},{n}\n" for i in range(10 * (k + 1)))
+        with open(f"{tmp}/arc/{n}-2024.zip", "wb") as f:
+            f.write(zip_bytes({f"{n}.csv": "id,name\n" + rows}))
+    out = run_load(spark, f"{tmp}/catalog.json", f"{tmp}/arc", f"{tmp}/root", start_year=2024, end_year=2024,
+                   as_of="2024-07-01 00:00:00", parallel=4)
+    got = {r.table_name: (r.status, r.total_rows) for r in out["results"].collect()}
+    assert got == {f"t_{n}": ("success", 10 * (k + 1)) for k, n in enumerate(names)}
+    for k, n in enumerate(names):
+        t = spark.read.parquet(f"{tmp}/root/tables/t_{n}")
+        assert t.count() == 10 * (k + 1) and {r.name for r in t.select("name").distinct().collect()} == {n}
