@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     IntegerType,
     LongType,
     StringType,
@@ -37,6 +38,21 @@ AUDIT_SCHEMA = StructType([
 ])
 
 
+# One row per archive member of a fetch: the exact, unbounded detail behind the
+# per-archive lists of the audit row.
+AUDIT_MEMBER_SCHEMA = StructType([
+    StructField("run_id", StringType()),
+    StructField("run_timestamp", TimestampType()),
+    StructField("task_id", StringType()),
+    StructField("url", StringType()),
+    StructField("member_path", StringType()),
+    StructField("filename", StringType()),
+    StructField("size_bytes", LongType()),
+    StructField("is_csv", BooleanType()),
+    StructField("written", BooleanType()),
+])
+
+
 def conform_audit(df: DataFrame) -> DataFrame:
     """Select and cast to the audit schema (missing lists become empty)."""
     cols = []
@@ -60,6 +76,14 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(AUDIT_SCHEMA).parquet(path)
 
 
+def append_audit_members(df: DataFrame, path: str) -> None:
+    df.select(*[F.col(f.name).cast(f.dataType) for f in AUDIT_MEMBER_SCHEMA.fields]).write.mode("append").parquet(path)
+
+
+def read_audit_members(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(AUDIT_MEMBER_SCHEMA).parquet(path)
+
+
 def audit_rollup(members: DataFrame, keys: list[str]) -> DataFrame:
     """Per archive: csv_count, member_count, success_count, bytes_written and the
     sorted member and written-file lists.

@@ -51,6 +51,10 @@ class RunLayout:
     def audit(self) -> str:
         return f"{self.root}/audit"
 
+    @property
+    def audit_members(self) -> str:
+        return f"{self.root}/audit_members"
+
 
 def plan_tasks(spark: SparkSession, catalog: DataFrame, mode: str, start_year: int | None = None,
                end_year: int | None = None, as_of=None) -> DataFrame:
@@ -107,10 +111,19 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
         per_task.join(landed, (per_task["member"] == landed["l_member"]) & (per_task["dataset"] == landed["l_dataset"])
                       & per_task["year"].eqNullSafe(landed["l_year"]) & per_task["month"].eqNullSafe(landed["l_month"]),
                       "left")
-        .select("task_id", F.col("basename").alias("member_name"), "size_bytes",
+        .join(t.select("task_id", "url"), "task_id")
+        .select(F.md5(F.concat(F.lit(run_uuid), F.col("url"))).alias("run_id"),
+                F.lit(run_ts).cast("timestamp").alias("run_timestamp"), "task_id", "url",
+                per_task["member"].alias("member_path"), F.col("basename").alias("filename"), "size_bytes",
                 is_csv(per_task["member"]).alias("is_csv"), F.coalesce("_landed", F.lit(False)).alias("written"))
     )
-    rolled = A.audit_rollup(members.withColumnRenamed("member_name", "member"), ["task_id"])
+    # Member detail is written once, row by row; the roll-up reads it back (pruned to
+    # this run), so listing and landed checks are not computed twice.
+    A.append_audit_members(members, layout.audit_members)
+    mine = A.read_audit_members(spark, layout.audit_members).where(
+        F.col("run_timestamp") == F.lit(run_ts).cast("timestamp"))
+    rolled = A.audit_rollup(mine.select("task_id", F.col("filename").alias("member"), "size_bytes", "is_csv",
+                                        "written"), ["task_id"])
     bad = listing.where(F.col("error").isNotNull()).select("archive_path", F.lit(False).alias("archive_ok")).distinct()
 
     rows = matched.join(rolled, "task_id", "left").join(bad, "archive_path", "left")

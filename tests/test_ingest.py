@@ -167,3 +167,14 @@ def test_file_names_with_glob_characters(spark, tmp):
     r = run(spark, tmp)
     assert (r.status, r.total_rows) == ("success", 3)
     assert sorted(x.a for x in table(spark, tmp).collect()) == [1, 2, 3]
+
+
+def test_latin1_files_with_encoding_option(spark, tmp):
+    path = os.path.join(tmp, "land/year=2024/month=01/l.csv")
+    os.makedirs(os.path.dirname(path))
+    with open(path, "wb") as f:
+        f.write("Año,Ciudad\n1,Bogotá\n".encode("latin-1"))
+    r = run(spark, tmp, encoding="ISO-8859-1")
+    assert r.total_rows == 1
+    row = table(spark, tmp).first()
+    assert (row.a_o, row.ciudad) == (1, "Bogotá")

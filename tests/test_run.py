@@ -145,3 +145,22 @@ def test_several_tables_ingested_in_parallel(spark, tmp):
     for k, n in enumerate(names):
         t = spark.read.parquet(f"{tmp}/root/tables/t_{n}")
         assert t.count() == 10 * (k + 1) and {r.name for r in t.select("name").distinct().collect()} == {n}
+
+
+def test_member_audit_rows(spark, tmp):
+    from quayside.operators.audit import read_audit_members
+
+    catalog = {"mappings": [{"url_pattern": "https://h/s.zip", "table_name": "s", "parameters": [],
+                             "landing_path": "s", "comment": ""}]}
+    with open(f"{tmp}/catalog.json", "w") as f:
+        json.dump(catalog, f)
+    os.makedirs(f"{tmp}/arc")
+    with open(f"{tmp}/arc/s.zip", "wb") as f:
+        f.write(zip_bytes({"a/s.csv": "a\n1\n", "b/s.csv": "a\n2\n", "r.txt": "x"}))
+    out = run_load(spark, f"{tmp}/catalog.json", f"{tmp}/arc", f"{tmp}/root", start_year=2024, end_year=2024,
+                   as_of="2024-05-01 00:00:00")
+    m = sorted((r.member_path, r.is_csv, r.written) for r in read_audit_members(spark, f"{tmp}/root/audit_members").collect())
+    assert m == [("a/s.csv", True, True), ("b/s.csv", True, True), ("r.txt", False, False)]
+    a = out["audit"].first()
+    assert (a.download_status, a.csv_count, a.success_count) == ("success", 2, 2)
+    assert out["results"].first().total_rows == 2
