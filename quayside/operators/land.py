@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.operators.sizing import broadcast_if_small
 from quayside.sources.landing import LANDING_FILE_SCHEMA, landing_manifest, partition_folder
 from quayside.streaming import fsutil
 
@@ -23,8 +24,13 @@ KEYS = ["dataset", "year", "month", "member"]
 
 
 def members_to_land(members: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Members (dataset, year, month, member, text) not yet in the manifest."""
-    landed = manifest.select(*KEYS).distinct()
+    """Members (dataset, year, month, member, text) not yet in the manifest.
+
+    The landed keys (a listing of the touched folders) are broadcast when their
+    count is small, so the member content is never shuffled for this check and
+    is written by the tasks that read it; above the bound Spark shuffles both sides.
+    """
+    landed = broadcast_if_small(manifest.select(*KEYS).distinct())
     return members.join(landed, [members[k].eqNullSafe(landed[k]) for k in KEYS], "left_anti")
 
 

@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _LOCAL_FALLBACK: str | None = None
+_SHIPPED: set[str] = set()
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quayside") -> SparkSession:
@@ -25,7 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     cluster over object storage keep Spark's default.
     """
     n = (os.cpu_count() or 8) if str(cores) == "*" else int(cores)
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -40,6 +41,36 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.sources.parallelPartitionDiscovery.threshold", str(max(100_000, n)))
         .getOrCreate()
     )
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quayside`` importable in the Python workers of this application.
+
+    Executor-side code (``mapInPandas``, ``applyInPandas``) refers to functions of the
+    package, so the workers must import it whatever folder the driver was started
+    from. The package is zipped once per application and added with ``addPyFile``
+    (Spark's own way to ship Python code; no shared folder needed). An installed
+    package makes this unnecessary but harmless.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="quayside-pkg-"), "quayside.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, dirs, files in os.walk(pkg):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
 
 
 def checkpoint_root(spark: SparkSession) -> str:

@@ -34,9 +34,12 @@ MEMBER_SCHEMA = StructType([
     StructField("read_chunk", LongType()),
 ])
 
-# Members of one archive are read in chunks of about this many uncompressed bytes
-# (in central-directory order); chunks, not archives, are the unit spread over tasks.
+# Members of one archive are read in chunks (in central-directory order) of about this
+# many uncompressed bytes or this many members, whichever comes first; chunks, not
+# archives, are the unit spread over tasks. Landing costs per file as much as per
+# byte, so many small members are spread by count as a few big ones are by size.
 READ_CHUNK_BYTES = 128 << 20
+READ_CHUNK_MEMBERS = 250
 
 # Output batches of member content are flushed at this many bytes.
 MEMBER_BATCH_BYTES = 64 << 20
@@ -82,11 +85,15 @@ def _members_of(with_content: bool, include_dirs: bool, suffix: str | None):
             for path in pdf["archive_path"]:
                 try:
                     with _open_seekable(path) as raw, zipfile.ZipFile(raw) as zf:
-                        offset = 0
+                        chunk, chunk_bytes, chunk_members = 0, 0, 0
                         for info in zf.infolist():
-                            chunk = offset // READ_CHUNK_BYTES
-                            offset += info.file_size
                             is_dir = info.is_dir()
+                            if chunk_members and (chunk_bytes >= READ_CHUNK_BYTES
+                                                  or chunk_members >= READ_CHUNK_MEMBERS):
+                                chunk, chunk_bytes, chunk_members = chunk + 1, 0, 0
+                            if not is_dir:
+                                chunk_bytes += info.file_size
+                                chunk_members += 1
                             if is_dir and not include_dirs:
                                 continue
                             want = with_content and not is_dir and (

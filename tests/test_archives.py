@@ -111,3 +111,20 @@ def test_changed_member_is_reported_not_relanded(spark, tmp):
     assert [(r.member, r.new_md5 != r.landed_md5) for r in ch] == [("a.csv", True)]
     land_members(spark, members("a\n2\n"), land, partitions=part)  # skipped: still the first content
     assert [r.a for r in spark.read.option("header", True).csv(f"{land}/dataset=ds").collect()] == ["1"]
+
+
+def test_many_small_members_are_chunked_by_count(spark, tmp):
+    from quayside.sources.archives import READ_CHUNK_MEMBERS
+
+    os.makedirs(f"{tmp}/small")
+    n = 3 * READ_CHUNK_MEMBERS + 7
+    with zipfile.ZipFile(f"{tmp}/small/many.zip", "w") as z:
+        z.writestr(zipfile.ZipInfo("dir/"), b"")
+        for i in range(n):
+            z.writestr(f"m/{i:05d}.csv", f"id\n{i}\n")
+    listing = archive_members(scan_archives(spark, f"{tmp}/small", with_md5=False))
+    per_chunk = {r.read_chunk: r.n for r in listing.groupBy("read_chunk").agg(F.count("*").alias("n")).collect()}
+    assert sorted(per_chunk) == [0, 1, 2, 3]
+    assert max(per_chunk.values()) == READ_CHUNK_MEMBERS and sum(per_chunk.values()) == n
+    got = archive_members(scan_archives(spark, f"{tmp}/small", with_md5=False), with_content=True, read_partitions=8)
+    assert got.where(F.col("content").isNotNull()).count() == n
