@@ -80,8 +80,13 @@ def land_csv_by_month(df: DataFrame, date_col: str, headers: dict[str, str], pat
         *[F.col(k).alias(v) for k, v in headers.items()],
         F.year(date_col).alias("year"),
         F.lpad(F.month(date_col).cast("string"), 2, "0").alias("month"),
+        F.xxhash64(*df.columns).alias("_row_hash"),
     )
-    (out.repartition("year", "month").write.mode("append").option("header", True)
+    # Range partitioning by (year, month, row hash): a month is written by as many
+    # tasks as its size needs (a hot month is split by sampled bounds, not sent to
+    # one task), and a task spans few months, so few files. Deterministic on retry.
+    (out.repartitionByRange("year", "month", "_row_hash").drop("_row_hash")
+     .write.mode("append").option("header", True)
      .option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("year", "month").csv(path))
 
 
@@ -218,13 +223,19 @@ def events_as_audit(events: DataFrame) -> DataFrame:
     )
 
 
+# Events per archive: ids are unique, so an archive holds at most this many members
+# whatever the skew of ``user_id`` (a zip's member list is one audit row).
+EVENTS_PER_ARCHIVE = 1000
+
+
 def events_as_members(events: DataFrame) -> DataFrame:
-    """Each event is one member of the archive of its user."""
+    """Each event is one member of an archive of its user: ``u{user}-{event_id block}``."""
     t = F.col("event_type")
     member = F.concat(t, F.lit("_"), F.col("event_id").cast("string"),
                       F.when(t == "view", F.lit(".txt")).otherwise(F.lit(".csv")))
+    block = F.floor(F.col("event_id") / EVENTS_PER_ARCHIVE).cast("string")
     return events.select(
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("archive"),
+        F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("-"), block).alias("archive"),
         member.alias("member"),
         F.floor(F.col("value") * 100).cast("long").alias("size_bytes"),
         F.lower(member).endswith(".csv").alias("is_csv"),

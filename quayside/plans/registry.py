@@ -576,7 +576,7 @@ def audit_append(spark, sf):
 
 @query("audit_rollup", """
 WITH m AS (
-  SELECT 'u' || CAST(user_id AS VARCHAR) AS archive,
+  SELECT 'u' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id // 1000 AS VARCHAR) AS archive,
          event_type || '_' || CAST(event_id AS VARCHAR) || CASE WHEN event_type = 'view' THEN '.txt' ELSE '.csv' END AS member,
          CAST(floor(value * 100) AS BIGINT) AS size_bytes, event_type <> 'view' AS is_csv, event_type <> 'error' AS written
   FROM events)
@@ -674,32 +674,41 @@ def load_gaps_q(spark, sf):
 
 # =========================================================================== tables and readers
 
-@query("table_comment", "SELECT r_regionkey, r_name, 'Region''s reference data' AS table_comment FROM region")
+@query("table_comment", "SELECT c_custkey, c_name, 'Customer''s reference data' AS table_comment FROM customer")
 def table_comment(spark, sf):
     from quayside.streaming.tables import ensure_table, table_comment as read_comment
 
     path = scratch_dir(spark, "table-comment")
-    D.table(spark, sf, "region").write.parquet(path)
-    name = "quayside_region_" + path.rsplit("-", 1)[-1]
-    ensure_table(spark, name, path, D.table(spark, sf, "region").schema, "Region's reference data")
+    customer = D.table(spark, sf, "customer")
+    customer.write.parquet(path)
+    name = "quayside_customer_" + path.rsplit("-", 1)[-1]
+    ensure_table(spark, name, path, customer.schema, "Customer's reference data")
     comment = read_comment(spark, name)
-    return spark.table(name).select("r_regionkey", "r_name", F.lit(comment).alias("table_comment"))
+    return spark.table(name).select("c_custkey", "c_name", F.lit(comment).alias("table_comment"))
 
 
-@query("read_json_array", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+# Rows per JSON-array document: customer keys are unique, so a document is bounded.
+ROWS_PER_JSON_DOCUMENT = 1000
+
+
+@query("read_json_array", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def read_json_array_q(spark, sf):
     path = scratch_dir(spark, "json-array")
-    n = D.table(spark, sf, "nation")
-    # A JSON array is one document; nation has 25 rows by definition of the schema.
-    n.agg(F.to_json(F.collect_list(F.struct(*n.columns))).alias("value")).write.text(path)
+    c = D.table(spark, sf, "customer")
+    # The table as many JSON-array documents (one file each) of at most 1,000 objects.
+    doc = F.floor(F.col("c_custkey") / ROWS_PER_JSON_DOCUMENT).alias("_doc")
+    (c.groupBy(doc).agg(F.to_json(F.collect_list(F.struct(*c.columns))).alias("value"))
+     .write.partitionBy("_doc").text(path))
     j = read_json_array(spark, path)
-    return j.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name",
-                    F.col("n_regionkey").cast("int").alias("n_regionkey"))
+    return j.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name",
+                    F.col("c_nationkey").cast("int").alias("c_nationkey"),
+                    F.col("c_acctbal").cast("double").alias("c_acctbal"), "c_mktsegment")
 
 
 @query("read_csv_strings", """
-SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation""")
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment
+FROM customer""")
 def read_csv_strings_q(spark, sf):
     path = scratch_dir(spark, "csv-strings")
-    D.table(spark, sf, "nation").write.option("header", True).csv(path)
-    return read_csv_strings(spark, path)
+    D.table(spark, sf, "customer").write.option("header", True).csv(path)
+    return read_csv_strings(spark, path).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
