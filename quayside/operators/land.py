@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators.sizing import broadcast_if_small
+from quayside.sources.archives import decode_members, read_members
 from quayside.sources.landing import LANDING_FILE_SCHEMA, landing_manifest, partition_folder
 from quayside.streaming import fsutil
 
@@ -46,15 +47,37 @@ def land_members(spark: SparkSession, members: DataFrame, root: str, skip_landed
     if skip_landed:
         # The manifest listing is taken here, once; the anti join sees that snapshot.
         todo = members_to_land(todo, landing_manifest(spark, root, partitions))
+    _write_members(todo, root, append=skip_landed)
+
+
+def _write_members(todo: DataFrame, root: str, append: bool) -> None:
     out = todo.select("dataset", "year", F.lpad(F.col("month").cast("string"), 2, "0").alias("month"),
                       "member", F.col("text").alias("value"))
     # New members only: a plain append (job commit makes it all-or-nothing). A forced
     # re-landing replaces exactly the touched member folders.
-    writer = (out.write.mode("append") if skip_landed
+    writer = (out.write.mode("append") if append
               else out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic"))
     writer.partitionBy("dataset", "year", "month", "member").text(root)
 
 
+def land_archive_members(spark: SparkSession, listed: DataFrame, root: str,
+                         partitions: list[tuple[str, int | None, int | None]] | None = None,
+                         charset: str = "UTF-8") -> None:
+    """Land members straight from an archive listing.
+
+    ``listed``: (archive_path, member, read_chunk, dataset, year, month), the members
+    to land with their landing keys (from ``archive_members`` without content). The
+    already-landed check runs on this metadata, so only members still to land are
+    read, decoded and written, each by the task that reads it; a re-fetched archive
+    costs a listing, not a read of its bytes. Undecodable members are not written.
+    """
+    keys = listed.select("archive_path", "member", "read_chunk", *KEYS).dropDuplicates(
+        ["archive_path", "member", *KEYS])
+    todo = members_to_land(keys, landing_manifest(spark, root, partitions))
+    content = decode_members(read_members(todo), charset)
+    _write_members(content.where(F.col("text").isNotNull()), root, append=True)
+
+
 def landed_keys(spark: SparkSession, root: str,
                 partitions: list[tuple[str, int | None, int | None]] | None = None) -> DataFrame:
     """(dataset, year, month, member, landed_bytes) of landed members (optionally of

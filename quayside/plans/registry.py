@@ -17,7 +17,7 @@ from quayside.functions.names import snake_case_col
 from quayside.functions.paths import default_checkpoint, expand_template, full_table_name, int_or_null, partition_path
 from quayside.operators import audit as A
 from quayside.operators.columns import snake_columns
-from quayside.operators.land import land_members, landed_keys
+from quayside.operators.land import land_archive_members, landed_keys
 from quayside.operators.lookup import lookup_dataset
 from quayside.operators.tasks import backfill_periods, expected_files, task_counts, task_sample
 from quayside.plans import derive as D
@@ -476,12 +476,13 @@ def _land_documents(spark, sf) -> str:
     # The partition folders come from archive names (a listing, no content read).
     touched = [(r.dataset, 2024, r.month) for r in scan_archives(spark, archives, with_md5=False)
                .select(dataset.alias("dataset"), month.alias("month")).distinct().collect()]
-    for _ in range(2):  # the second landing finds every member landed and writes nothing
-        m = decode_members(archive_members(scan_archives(spark, archives, with_md5=False), with_content=True)
-                           .withColumn("archive", F.regexp_extract("archive_path", r"[^/]*$", 0)).where(is_csv("member")))
-        members = m.select(dataset.alias("dataset"), F.lit(2024).alias("year"), month.alias("month"),
-                           "member", "text", "size_bytes")
-        land_members(spark, members, root, partitions=touched)
+    for _ in range(2):  # the second landing finds every member landed and reads no content
+        listed = (archive_members(scan_archives(spark, archives, with_md5=False))
+                  .withColumn("archive", F.regexp_extract("archive_path", r"[^/]*$", 0))
+                  .where(F.col("error").isNull() & is_csv("member")))
+        land_archive_members(spark, listed.select("archive_path", "member", "read_chunk", dataset.alias("dataset"),
+                                                  F.lit(2024).alias("year"), month.alias("month")),
+                             root, partitions=touched)
     return root
 
 

@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 
 from quayside.functions.paths import basename
 from quayside.operators import audit as A
-from quayside.operators.land import changed_members, land_members, landed_keys
+from quayside.operators.land import changed_members, land_archive_members, landed_keys
 from quayside.operators.lookup import first_by_landing_path
 from quayside.operators.sizing import broadcast_if_small
 from quayside.operators.status import fetch_status, landing_message, landing_outcome
 from quayside.operators.tasks import backfill_periods, expected_files, incremental_periods
-from quayside.sources.archives import archive_members, decode_members, is_csv, scan_archives
+from quayside.sources.archives import archive_members, decode_members, is_csv, read_members, scan_archives
 from quayside.session import checkpoint_root
 from quayside.sources.catalog import read_catalog
 from quayside.sources.landing import dataset_path, escape_partition_value
@@ -89,20 +89,22 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
     # Folders this run can touch: bounded by the task list, not by the tree's history.
     touched = [(r.dataset, r.year, r.month) for r in keyed.select("dataset", "year", "month").distinct().collect()]
 
-    # One pass with content: CSV members only, decoded, landed once per key.
-    with_content = archive_members(archive_paths, with_content=True)
-    csv = decode_members(with_content.where(F.col("error").isNull() & is_csv("member")))
-    to_land = csv.join(keyed, "archive_path").select("dataset", "year", "month", "member", "text", "size_bytes")
+    # CSV members with their landing keys, from the central directories only. The
+    # landed check runs on these rows; only members still to land are read.
+    listing = archive_members(archive_paths, with_content=False)
+    csv_listed = (listing.where(F.col("error").isNull() & is_csv("member"))
+                  .join(keyed, "archive_path").select("archive_path", "member", "read_chunk", "dataset", "year", "month"))
     changed = None
     if report_changes:
         # Checked before landing and materialised: after landing the comparison would
-        # see the new files, and recomputing it would list the folders again.
+        # see the new files, and recomputing it would list the folders again. This
+        # reads the content of every fetched CSV member (opt-in).
         checkpoint_root(spark)  # the shared spark.checkpoint.dir (set only where unset)
-        changed = changed_members(spark, to_land, layout.landing, touched).checkpoint(eager=True)
-    land_members(spark, to_land, layout.landing, partitions=touched)
+        fetched_members = decode_members(read_members(csv_listed))
+        changed = changed_members(spark, fetched_members, layout.landing, touched).checkpoint(eager=True)
+    land_archive_members(spark, csv_listed, layout.landing, partitions=touched)
 
     # Audit pass without content: the member list and what the landing tree holds now.
-    listing = archive_members(archive_paths, with_content=False)
     landed = landed_keys(spark, layout.landing, touched).select(
         F.col("dataset").alias("l_dataset"), F.col("year").alias("l_year"), F.col("month").alias("l_month"),
         F.col("member").alias("l_member"), F.lit(True).alias("_landed"))

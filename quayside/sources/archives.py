@@ -114,37 +114,60 @@ def _members_of(with_content: bool, include_dirs: bool, suffix: str | None):
     return run
 
 
-def _read_members():
+def _read_members(extra: tuple[str, ...] = ()):
+    """Task body: read the listed members of each archive; ``extra`` columns (strings)
+    are carried through unchanged."""
     def run(batches):
         import os
 
         import pandas as pd
 
-        cols = [f.name for f in MEMBER_SCHEMA.fields]
+        cols = [f.name for f in MEMBER_SCHEMA.fields] + list(extra)
         rows, held = [], 0
         for pdf in batches:
             for path, group in pdf.groupby("archive_path", sort=False):
+                carried = list(zip(*[group[c].tolist() for c in extra])) if extra else [()] * len(group)
                 try:
                     with _open_seekable(path) as raw, zipfile.ZipFile(raw) as zf:
-                        for name, chunk in zip(group["member"], group["read_chunk"]):
+                        for name, chunk, keys in zip(group["member"], group["read_chunk"], carried):
                             info = zf.getinfo(name)
                             content = zf.read(info)
                             rows.append((path, name, os.path.basename(name), False, info.file_size,
-                                         info.compress_size, content, None, int(chunk)))
+                                         info.compress_size, content, None, int(chunk), *keys))
                             held += len(content)
                             if held >= MEMBER_BATCH_BYTES:
                                 yield pd.DataFrame(rows, columns=cols)
                                 rows, held = [], 0
                 except Exception as e:  # archive changed or unreadable since listing
-                    for name, chunk in zip(group["member"], group["read_chunk"]):
+                    for name, chunk, keys in zip(group["member"], group["read_chunk"], carried):
                         rows.append((path, name, os.path.basename(name), False, None, None, None,
-                                     f"{type(e).__name__}: {e}", int(chunk)))
+                                     f"{type(e).__name__}: {e}", int(chunk), *keys))
         if rows:
             yield pd.DataFrame(rows, columns=cols)
 
     return run
 
 
+def read_members(listed: DataFrame, read_partitions: int | None = None) -> DataFrame:
+    """Content of listed members: rows with ``archive_path``, ``member``, ``read_chunk``
+    (from ``archive_members``) and any further columns, which are carried through.
+
+    Only these metadata rows cross the shuffle; the bytes are read in the task that
+    uses them. A read chunk stays in one task, so an archive is opened once per chunk,
+    and a huge archive is read by many tasks.
+    """
+    core = ["archive_path", "member", "read_chunk"]
+    extra = [c for c in listed.columns if c not in core and c not in MEMBER_SCHEMA.fieldNames()]
+    types = {c: listed.schema[c].dataType for c in extra}
+    n = read_partitions or 2 * listed.sparkSession.sparkContext.defaultParallelism
+    spread = (listed.select(*core, *[F.col(c).cast("string").alias(c) for c in extra])
+              .repartition(n, "archive_path", "read_chunk"))
+    schema = StructType(MEMBER_SCHEMA.fields + [StructField(c, StringType()) for c in extra])
+    content = spread.mapInPandas(_read_members(tuple(extra)), schema)
+    # Carried columns travel as strings (pandas would turn nullable ints into floats).
+    return content.select(*MEMBER_SCHEMA.fieldNames(), *[F.col(c).cast(types[c]).alias(c) for c in extra])
+
+
 def archive_members(archives: DataFrame, with_content: bool = False, include_dirs: bool = False,
                     content_suffix: str | None = ".csv", read_partitions: int | None = None) -> DataFrame:
     """Members of every archive in ``archives`` (column ``archive_path``).
@@ -161,12 +184,7 @@ def archive_members(archives: DataFrame, with_content: bool = False, include_dir
     wanted = F.col("error").isNull() & ~F.col("is_dir")
     if content_suffix is not None:
         wanted = wanted & F.lower(F.col("member")).endswith(content_suffix.lower())
-    n = read_partitions or 2 * archives.sparkSession.sparkContext.defaultParallelism
-    # Only (path, name, chunk) rows cross the shuffle; the bytes are read where they are
-    # used. A chunk stays in one task, so an archive is opened once per chunk.
-    spread = (listing.where(wanted).select("archive_path", "member", "read_chunk")
-              .repartition(n, "archive_path", "read_chunk"))
-    content = spread.mapInPandas(_read_members(), MEMBER_SCHEMA)
+    content = read_members(listing.where(wanted).select("archive_path", "member", "read_chunk"), read_partitions)
     return listing.where(~wanted | wanted.isNull()).unionByName(content)
 
 

@@ -128,3 +128,31 @@ def test_many_small_members_are_chunked_by_count(spark, tmp):
     assert max(per_chunk.values()) == READ_CHUNK_MEMBERS and sum(per_chunk.values()) == n
     got = archive_members(scan_archives(spark, f"{tmp}/small", with_md5=False), with_content=True, read_partitions=8)
     assert got.where(F.col("content").isNotNull()).count() == n
+
+
+def test_land_from_listing_skips_landed_members_before_reading(spark, tmp):
+    from quayside.operators.land import land_archive_members, landed_keys
+    from quayside.sources.archives import read_members
+
+    os.makedirs(f"{tmp}/z")
+    with zipfile.ZipFile(f"{tmp}/z/a.zip", "w") as z:
+        z.writestr("x/one.csv", "id,v\n1,a\n")
+        z.writestr("y/one.csv", "id,v\n2,b\n")
+        z.writestr("notes.txt", "not landed")
+        z.writestr("bad.csv", b"id\n\xff\xfe\n")
+    listing = archive_members(scan_archives(spark, f"{tmp}/z", with_md5=False)).where(is_csv("member"))
+    listed = listing.select("archive_path", "member", "read_chunk", F.lit("ds").alias("dataset"),
+                            F.lit(2024).alias("year"), F.lit(None).cast("int").alias("month"))
+    # Carried key columns keep their types (a NULL month stays a NULL int).
+    got = read_members(listed).select("member", "dataset", "year", "month").orderBy("member").collect()
+    assert [(r.member, r.dataset, r.year, r.month) for r in got] == [
+        ("bad.csv", "ds", 2024, None), ("x/one.csv", "ds", 2024, None), ("y/one.csv", "ds", 2024, None)]
+    land = f"{tmp}/land"
+    part = [("ds", 2024, None)]
+    land_archive_members(spark, listed.unionByName(listed), land, partitions=part)  # duplicates land once
+    first = {(r.member, r.landed_bytes) for r in landed_keys(spark, land).collect()}
+    assert first == {("x/one.csv", 10), ("y/one.csv", 10)}  # + the writer's newline; bad.csv not written
+    land_archive_members(spark, listed, land, partitions=part)
+    assert landed_keys(spark, land).count() == 2
+    files = [p for p in spark.read.format("binaryFile").load(land).select("path").collect()]
+    assert len(files) == 2
