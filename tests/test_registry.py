@@ -54,3 +54,25 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def test_hot_month_is_landed_by_several_tasks(spark, tmp):
+    """A month holding most rows is split over tasks by range bounds, not sent to one."""
+    from pyspark.sql import functions as F
+
+    from quayside.plans.derive import land_csv_by_month
+
+    df = spark.range(0, 20_000).select(
+        F.col("id").alias("k"),
+        F.when(F.col("id") < 18_000, F.lit("2024-03-15")).otherwise(F.lit("2024-04-02")).cast("timestamp").alias("d"))
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keep the range partitions visible
+    try:
+        land_csv_by_month(df, "d", {"k": "K"}, f"{tmp}/land")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+    hot = spark.read.option("header", True).csv(f"{tmp}/land/year=2024/month=03")
+    files = hot.select(F.input_file_name().alias("f")).distinct().count()
+    assert files >= 4
+    assert hot.count() == 18_000
+    assert spark.read.option("header", True).csv(f"{tmp}/land").count() == 20_000
