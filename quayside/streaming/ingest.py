@@ -154,10 +154,13 @@ def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opt
             elif n not in opts.type_overrides:
                 logged[n] = schema_log.widen(logged[n], t)
 
-    def write_batch(batch_id: int, plans, logged: dict, order: list) -> dict:
+    def write_batch(batch_id: int, plans, logged: dict, order: list, base: list) -> dict:
         columns = [(n, logged[n]) for n in order]
-        # The log version comes first: table files never hold a type the log lacks.
-        schema_log.write_version(spark, log_path, batch_id, columns)
+        # The log version comes first: table files never hold a type the log lacks. A
+        # batch that changes nothing writes no version (readers take the latest one
+        # older than their batch, which is then the same schema).
+        if columns != base:
+            schema_log.write_version(spark, log_path, batch_id, columns)
         frames = []
         for paths, names in plans:
             read_schema = StructType(
@@ -183,12 +186,12 @@ def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opt
     def process(batch: DataFrame, batch_id: int) -> None:
         files = batch.select("path", "length").where(F.col("length") > 0)
         headers = files.select("path").mapInPandas(_header_reader(opts.encoding), "path string, header string, error string")
-        # At most max_files_per_trigger paths: the groups are bounded metadata.
-        groups = (
-            headers.where(F.col("header").isNotNull())
-            .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-            .orderBy("header").collect()
-        )
+        # At most max_files_per_trigger (path, header) rows: bounded metadata, grouped
+        # on the driver without a shuffle.
+        by_header: dict[str, list[str]] = {}
+        for r in headers.where(F.col("header").isNotNull()).select("path", "header").collect():
+            by_header.setdefault(r.header, []).append(r.path)
+        groups = [(h, sorted(ps)) for h, ps in sorted(by_header.items())]
         if not groups:
             return
         if last.get("batch") is not None and last["batch"] < batch_id:
@@ -196,16 +199,17 @@ def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opt
         else:
             logged = dict(schema_log.latest_columns(spark, log_path, before=batch_id))
         order = list(logged)
+        base = [(n, logged[n]) for n in order]
         plans, unchecked = [], []
-        for g in groups:
-            names = unique_snake_names(_parse_header(g.header), reserved=RESERVED)
+        for header, paths in groups:
+            names = unique_snake_names(_parse_header(header), reserved=RESERVED)
             if any(n not in logged for n in names):
                 # New columns: their types come from inference over the group's files.
-                merge_types(logged, order, names, _infer_types(spark, g.paths, len(names), opts))
+                merge_types(logged, order, names, _infer_types(spark, paths, len(names), opts))
             elif any(logged[n] in widenable and n not in opts.type_overrides for n in names):
                 unchecked.append(len(plans))
-            plans.append((g.paths, names))
-        stats = write_batch(batch_id, plans, logged, order)
+            plans.append((paths, names))
+        stats = write_batch(batch_id, plans, logged, order, base)
         if stats.get("corrupt") and unchecked:
             # Values that did not fit: infer the groups not inferred yet; when a column
             # widens, rewrite this batch (its own partition) under the wider type.
@@ -214,7 +218,7 @@ def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opt
                 paths, names = plans[i]
                 merge_types(logged, order, names, _infer_types(spark, paths, len(names), opts))
             if logged != before:
-                stats = write_batch(batch_id, plans, logged, order)
+                stats = write_batch(batch_id, plans, logged, order, base)
         if batches_path is not None:
             batch_log.write_entry(spark, batches_path, batch_id, stats.get("rows", 0), stats.get("latest"),
                                   sum(len(p) for p, _ in plans))

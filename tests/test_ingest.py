@@ -178,3 +178,23 @@ def test_latin1_files_with_encoding_option(spark, tmp):
     assert r.total_rows == 1
     row = table(spark, tmp).first()
     assert (row.a_o, row.ciudad) == (1, "Bogotá")
+
+
+def test_schema_log_versions_only_for_changing_batches(spark, tmp):
+    put(tmp, "land/year=2024/month=01/a.csv", "Id,N\n1,1\n")
+    put(tmp, "land/year=2024/month=02/b.csv", "Id,N\n2,2\n")
+    put(tmp, "land/year=2024/month=03/c.csv", "Id,N\n3,3\n")
+    r = run(spark, tmp, max_files_per_trigger=1)
+    assert (r.status, r.batches, r.total_rows) == ("success", 3, 3)
+    log = schema_log.read_log(spark, f"{tmp}/ckpt/schema")
+    assert sorted({x.version for x in log.select("version").collect()}) == [0]
+    put(tmp, "land/year=2024/month=04/d.csv", "Id,N,Extra\n4,4,x\n")
+    put(tmp, "land/year=2024/month=05/e.csv", "Id,N\n5,5000000000\n")  # int -> bigint
+    r = run(spark, tmp, max_files_per_trigger=1)
+    assert (r.status, r.batches, r.total_rows) == ("success", 2, 5)
+    log = schema_log.read_log(spark, f"{tmp}/ckpt/schema")  # a new listing
+    assert sorted({x.version for x in log.select("version").collect()}) == [0, 3, 4]
+    assert schema_log.latest_columns(spark, f"{tmp}/ckpt/schema") == [("id", "int"), ("n", "bigint"), ("extra", "string")]
+    assert schema_log.latest_columns(spark, f"{tmp}/ckpt/schema", before=3) == [("id", "int"), ("n", "int")]
+    rows = {(x.id, x.n, x.extra) for x in table(spark, tmp).collect()}
+    assert rows == {(1, 1, None), (2, 2, None), (3, 3, None), (4, 4, "x"), (5, 5000000000, None)}
