@@ -71,11 +71,22 @@ def land_archive_members(spark: SparkSession, listed: DataFrame, root: str,
     read, decoded and written, each by the task that reads it; a re-fetched archive
     costs a listing, not a read of its bytes. Undecodable members are not written.
     """
+    _write_members(archive_landing_plan(spark, listed, root, partitions, charset), root, append=True)
+
+
+def archive_landing_plan(spark: SparkSession, listed: DataFrame, root: str,
+                         partitions: list[tuple[str, int | None, int | None]] | None = None,
+                         charset: str = "UTF-8") -> DataFrame:
+    """The rows ``land_archive_members`` writes: members not landed yet, read and decoded.
+
+    Every exchange in this plan carries metadata; the content is produced above the
+    last one, so it is written by the task that read it.
+    """
     keys = listed.select("archive_path", "member", "read_chunk", *KEYS).dropDuplicates(
         ["archive_path", "member", *KEYS])
     todo = members_to_land(keys, landing_manifest(spark, root, partitions))
     content = decode_members(read_members(todo), charset)
-    _write_members(content.where(F.col("text").isNotNull()), root, append=True)
+    return content.where(F.col("text").isNotNull())
 
 
 def landed_keys(spark: SparkSession, root: str,

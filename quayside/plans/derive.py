@@ -117,6 +117,9 @@ def build_document_archives(documents: DataFrame, out_dir: str) -> DataFrame:
     Members are ``{lang}/{doc_id}.csv`` holding the document text (``.txt`` for
     German), plus an empty ``meta/`` folder entry. Returns (archive, members).
     """
+    from quayside.session import ship_package
+
+    ship_package(documents.sparkSession)
     base = out_dir.rstrip("/")
     src = documents.select(document_archive_name().alias("archive"), document_member_name().alias("member"), "text")
 

@@ -156,6 +156,9 @@ def read_members(listed: DataFrame, read_partitions: int | None = None) -> DataF
     uses them. A read chunk stays in one task, so an archive is opened once per chunk,
     and a huge archive is read by many tasks.
     """
+    from quayside.session import ship_package
+
+    ship_package(listed.sparkSession)
     core = ["archive_path", "member", "read_chunk"]
     extra = [c for c in listed.columns if c not in core and c not in MEMBER_SCHEMA.fieldNames()]
     types = {c: listed.schema[c].dataType for c in extra}
@@ -178,6 +181,9 @@ def archive_members(archives: DataFrame, with_content: bool = False, include_dir
     set and NULL member. ``read_partitions`` (default: twice the default
     parallelism) is the number of tasks content reads are spread over.
     """
+    from quayside.session import ship_package
+
+    ship_package(archives.sparkSession)
     listing = archives.select("archive_path").mapInPandas(_members_of(False, include_dirs, None), MEMBER_SCHEMA)
     if not with_content:
         return listing

@@ -257,6 +257,9 @@ def ingest_table(
     """Load every file under ``source_path`` not loaded before; returns one result row
     (status, table_name, total_rows, rows_added, latest_load_timestamp,
     checkpoint_path, batches, message)."""
+    from quayside.session import ship_package
+
+    ship_package(spark)  # the batch function runs package code in Python tasks
     opts = options or IngestOptions()
     name = table_name or table_path.rstrip("/").rsplit("/", 1)[-1]
 

@@ -156,3 +156,24 @@ def test_land_from_listing_skips_landed_members_before_reading(spark, tmp):
     assert landed_keys(spark, land).count() == 2
     files = [p for p in spark.read.format("binaryFile").load(land).select("path").collect()]
     assert len(files) == 2
+
+
+def test_archive_landing_shuffles_no_content(spark, tmp):
+    """Exchanges carry listing rows only: none sits above the task that reads content."""
+    from quayside.operators.land import archive_landing_plan
+
+    os.makedirs(f"{tmp}/z")
+    with zipfile.ZipFile(f"{tmp}/z/a.zip", "w") as z:
+        for i in range(20):
+            z.writestr(f"m/{i}.csv", f"id\n{i}\n")
+    listed = archive_members(scan_archives(spark, f"{tmp}/z", with_md5=False)).select(
+        "archive_path", "member", "read_chunk", F.lit("ds").alias("dataset"), F.lit(2024).alias("year"),
+        F.lit(1).alias("month"))
+    plan = archive_landing_plan(spark, listed, f"{tmp}/land", [("ds", 2024, 1)])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    lines = text.splitlines()
+    first_reader = next(i for i, ln in enumerate(lines) if "MapInPandas" in ln)
+    assert "content" in lines[first_reader]  # the top-most Python node is the content reader
+    assert all("Exchange" not in ln for ln in lines[:first_reader])
+    assert "BroadcastHashJoin" in text and "LeftAnti" in text
+    assert plan.count() == 20
