@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.calendar import month_name, quarter_label
+from quayside.functions.names import snake_case_col
 from quayside.operators.status import fetch_status, landing_message, landing_outcome
 from quayside.sources.catalog import write_catalog
 
@@ -20,11 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- catalog
 
-def nation_catalog_rows(nation: DataFrame) -> DataFrame:
-    """One template per nation; the region decides its parameters:
-    0 none, 1 year, 2 year+quarter, 3 month_name+year, 4 an unknown parameter."""
-    rk = F.col("n_regionkey")
-    slug = F.lower(F.col("n_name"))
+# Templates per catalog document: supplier keys are unique, so a document is bounded.
+TEMPLATES_PER_DOCUMENT = 100
+
+
+def supplier_catalog_rows(supplier: DataFrame) -> DataFrame:
+    """One template per supplier; ``s_suppkey % 5`` decides its parameters:
+    0 none, 1 year, 2 year+quarter, 3 month_name+year, 4 an unknown parameter.
+    Documents hold at most 100 templates (``doc``, zero-padded so file order is key
+    order); the landing path is ``region_{s_nationkey % 5}``, shared by many templates."""
+    rk = F.pmod(F.col("s_suppkey"), F.lit(5))
+    slug = snake_case_col("s_name")
     suffix = (F.when(rk == 0, F.lit("/latest.zip"))
               .when(rk == 1, F.lit("/{year}.zip"))
               .when(rk == 2, F.lit("/{year}-{quarter}.zip"))
@@ -35,19 +42,20 @@ def nation_catalog_rows(nation: DataFrame) -> DataFrame:
               .when(rk == 2, F.array(F.lit("year"), F.lit("quarter")))
               .when(rk == 3, F.array(F.lit("month_name"), F.lit("year")))
               .otherwise(F.array(F.lit("month_name"), F.lit("year"), F.lit("region"))))
-    return nation.select(
-        "n_nationkey", "n_regionkey",
+    doc = F.lpad(F.floor(F.col("s_suppkey") / TEMPLATES_PER_DOCUMENT).cast("string"), 8, "0")
+    return supplier.select(
+        "s_suppkey", doc.alias("doc"),
         F.concat(F.lit("https://files.example/"), slug, suffix).alias("url_pattern"),
         slug.alias("table_name"),
         params.alias("parameters"),
-        F.concat(F.lit("region_"), rk.cast("string")).alias("landing_path"),
-        F.concat(F.col("n_name"), F.lit("'s files")).alias("comment"),
+        F.concat(F.lit("region_"), F.pmod(F.col("s_nationkey"), F.lit(5)).cast("string")).alias("landing_path"),
+        F.concat(F.col("s_name"), F.lit("'s files")).alias("comment"),
     )
 
 
-def write_nation_catalog(nation: DataFrame, path: str) -> None:
-    """One catalog document per region, entries in nation-key order."""
-    write_catalog(nation_catalog_rows(nation), path, group_col="n_regionkey", order_col="n_nationkey")
+def write_supplier_catalog(supplier: DataFrame, path: str) -> None:
+    """Catalog documents of at most 100 templates each, entries in supplier-key order."""
+    write_catalog(supplier_catalog_rows(supplier), path, group_col="doc", order_col="s_suppkey")
 
 
 # --------------------------------------------------------------------------- CSV landings

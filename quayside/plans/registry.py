@@ -152,41 +152,45 @@ def snake_columns_q(spark, sf):
 
 # =========================================================================== catalog and tasks
 
-NATION_CATALOG_SQL = """
+SUPPLIER_SLUG_SQL = "trim(lower(regexp_replace(s_name, '[^a-zA-Z0-9]+', '_', 'g')), '_')"
+
+CATALOG_SQL = f"""
+sup AS (SELECT s_suppkey, s_name, s_nationkey, CAST(s_suppkey % 5 AS INTEGER) AS ptype,
+               {SUPPLIER_SLUG_SQL} AS slug FROM supplier),
 cat AS (
-  SELECT n_nationkey, n_regionkey,
-         CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS INTEGER) AS position,
-         'https://files.example/' || lower(n_name) ||
-           CASE n_regionkey WHEN 0 THEN '/latest.zip' WHEN 1 THEN '/{year}.zip' WHEN 2 THEN '/{year}-{quarter}.zip'
-                            WHEN 3 THEN '/{month_name}-{year}.zip' ELSE '/{region}/{month_name}-{year}.zip' END AS url_pattern,
-         lower(n_name) AS table_name,
-         CASE n_regionkey WHEN 0 THEN '' WHEN 1 THEN 'year' WHEN 2 THEN 'year,quarter'
-                          WHEN 3 THEN 'month_name,year' ELSE 'month_name,year,region' END AS parameter_list,
-         'region_' || CAST(n_regionkey AS VARCHAR) AS landing_path,
-         n_name || '''s files' AS comment
-  FROM nation)"""
-
-
-def _nation_catalog(spark, sf) -> DataFrame:
+  SELECT s_suppkey, ptype,
+         CAST(row_number() OVER (PARTITION BY s_suppkey // 100 ORDER BY s_suppkey) - 1 AS INTEGER) AS position,
+         'https://files.example/' || slug ||
+           CASE ptype WHEN 0 THEN '/latest.zip' WHEN 1 THEN '/{{year}}.zip' WHEN 2 THEN '/{{year}}-{{quarter}}.zip'
+                      WHEN 3 THEN '/{{month_name}}-{{year}}.zip' ELSE '/{{region}}/{{month_name}}-{{year}}.zip' END AS url_pattern,
+         slug AS table_name,
+         CASE ptype WHEN 0 THEN '' WHEN 1 THEN 'year' WHEN 2 THEN 'year,quarter'
+                    WHEN 3 THEN 'month_name,year' ELSE 'month_name,year,region' END AS parameter_list,
+         'region_' || CAST(s_nationkey % 5 AS VARCHAR) AS landing_path,
+         s_name || '''s files' AS comment
+  FROM sup)"""
+
+
+def _supplier_catalog(spark, sf) -> DataFrame:
     path = scratch_dir(spark, "catalog")
-    D.write_nation_catalog(D.table(spark, sf, "nation"), path)
+    D.write_supplier_catalog(D.table(spark, sf, "supplier"), path)
     return read_catalog(spark, path)
 
 
 @query("catalog_load", f"""
-WITH {NATION_CATALOG_SQL}
+WITH {CATALOG_SQL}
 SELECT position, url_pattern, table_name, parameter_list, landing_path, comment FROM cat
 """)
 def catalog_load(spark, sf):
-    c = _nation_catalog(spark, sf)
+    c = _supplier_catalog(spark, sf)
     return c.select("position", "url_pattern", "table_name",
                     F.array_join("parameters", ",").alias("parameter_list"), "landing_path", "comment")
 
 
 @query("catalog_lookup", f"""
-WITH {NATION_CATALOG_SQL},
+WITH {CATALOG_SQL},
 first AS (SELECT landing_path, table_name, comment FROM (
-            SELECT *, row_number() OVER (PARTITION BY landing_path ORDER BY n_nationkey) AS rn FROM cat) WHERE rn = 1),
+            SELECT *, row_number() OVER (PARTITION BY landing_path ORDER BY s_suppkey) AS rn FROM cat) WHERE rn = 1),
 keys AS (SELECT 'customer' AS kind, c_custkey AS id, 'region_' || CAST(c_nationkey % 7 AS VARCHAR) AS landing_path FROM customer
          UNION ALL
          SELECT 'supplier' AS kind, s_suppkey AS id, 'region_' || CAST(s_nationkey % 7 AS VARCHAR) AS landing_path FROM supplier)
@@ -194,7 +198,7 @@ SELECT k.kind, k.id, k.landing_path, coalesce(f.table_name, k.landing_path) AS t
 FROM keys k LEFT JOIN first f ON k.landing_path = f.landing_path
 """)
 def catalog_lookup(spark, sf):
-    c = _nation_catalog(spark, sf)
+    c = _supplier_catalog(spark, sf)
     cust = D.table(spark, sf, "customer").select(
         F.lit("customer").alias("kind"), F.col("c_custkey").alias("id"),
         F.concat(F.lit("region_"), F.pmod("c_nationkey", F.lit(7)).cast("string")).alias("landing_path"))
@@ -212,31 +216,31 @@ def _order_years(spark, sf) -> tuple[int, int]:
 
 def _tasks(spark, sf) -> DataFrame:
     s, e = _order_years(spark, sf)
-    return expected_files(_nation_catalog(spark, sf), backfill_periods(s, e))
+    return expected_files(_supplier_catalog(spark, sf), backfill_periods(s, e))
 
 
 TASKS_SQL = f"""
-WITH {NATION_CATALOG_SQL},
+WITH {CATALOG_SQL},
 yrs AS (SELECT min(year(o_orderdate)) AS s, max(year(o_orderdate)) AS e FROM orders),
 months AS (SELECT unnest(generate_series(make_date(s, 1, 1), make_date(e, 12, 1), INTERVAL 1 MONTH)) AS p FROM yrs),
 tasks AS (
   SELECT position, table_name, landing_path, url_pattern AS url,
          CAST(NULL AS INTEGER) AS year, CAST(NULL AS INTEGER) AS month, CAST(NULL AS VARCHAR) AS quarter
-  FROM cat WHERE n_regionkey = 0
+  FROM cat WHERE ptype = 0
   UNION ALL
   SELECT DISTINCT position, table_name, landing_path, replace(url_pattern, '{{year}}', CAST(year(p) AS VARCHAR)),
          CAST(year(p) AS INTEGER), CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR)
-  FROM cat, months WHERE n_regionkey = 1
+  FROM cat, months WHERE ptype = 1
   UNION ALL
   SELECT DISTINCT position, table_name, landing_path,
          replace(replace(url_pattern, '{{year}}', CAST(year(p) AS VARCHAR)), '{{quarter}}', 'q' || CAST(quarter(p) AS VARCHAR)),
          CAST(year(p) AS INTEGER), CAST(quarter(p) * 3 - 2 AS INTEGER), 'q' || CAST(quarter(p) AS VARCHAR)
-  FROM cat, months WHERE n_regionkey = 2
+  FROM cat, months WHERE ptype = 2
   UNION ALL
   SELECT position, table_name, landing_path,
          replace(replace(url_pattern, '{{year}}', CAST(year(p) AS VARCHAR)), '{{month_name}}', lower(monthname(p))),
          CAST(year(p) AS INTEGER), CAST(month(p) AS INTEGER), 'q' || CAST(quarter(p) AS VARCHAR)
-  FROM cat, months WHERE n_regionkey = 3)"""
+  FROM cat, months WHERE ptype = 3)"""
 
 
 @query("expected_files", TASKS_SQL + "\nSELECT position, table_name, landing_path, url, year, month, quarter FROM tasks")
