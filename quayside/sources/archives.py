@@ -41,8 +41,10 @@ MEMBER_SCHEMA = StructType([
 READ_CHUNK_BYTES = 128 << 20
 READ_CHUNK_MEMBERS = 250
 
-# Output batches of member content are flushed at this many bytes.
+# Output batches are flushed at this many bytes of member content or this many rows,
+# so a listing of an archive with millions of members streams out in pieces too.
 MEMBER_BATCH_BYTES = 64 << 20
+MEMBER_BATCH_ROWS = 10_000
 
 
 def scan_archives(spark: SparkSession, path: str, glob: str = "*.zip", with_md5: bool = True) -> DataFrame:
@@ -103,7 +105,7 @@ def _members_of(with_content: bool, include_dirs: bool, suffix: str | None):
                                          else os.path.basename(info.filename), is_dir, info.file_size,
                                          info.compress_size, content, None, chunk))
                             held += len(content) if content else 0
-                            if held >= MEMBER_BATCH_BYTES:
+                            if held >= MEMBER_BATCH_BYTES or len(rows) >= MEMBER_BATCH_ROWS:
                                 yield pd.DataFrame(rows, columns=cols)
                                 rows, held = [], 0
                 except Exception as e:  # unreadable archive: one row with the error
@@ -135,7 +137,7 @@ def _read_members(extra: tuple[str, ...] = ()):
                             rows.append((path, name, os.path.basename(name), False, info.file_size,
                                          info.compress_size, content, None, int(chunk), *keys))
                             held += len(content)
-                            if held >= MEMBER_BATCH_BYTES:
+                            if held >= MEMBER_BATCH_BYTES or len(rows) >= MEMBER_BATCH_ROWS:
                                 yield pd.DataFrame(rows, columns=cols)
                                 rows, held = [], 0
                 except Exception as e:  # archive changed or unreadable since listing

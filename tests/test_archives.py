@@ -177,3 +177,17 @@ def test_archive_landing_shuffles_no_content(spark, tmp):
     assert all("Exchange" not in ln for ln in lines[:first_reader])
     assert "BroadcastHashJoin" in text and "LeftAnti" in text
     assert plan.count() == 20
+
+
+def test_listing_streams_out_in_row_batches(spark, tmp, monkeypatch):
+    import quayside.sources.archives as arch
+
+    monkeypatch.setattr(arch, "MEMBER_BATCH_ROWS", 7)
+    os.makedirs(f"{tmp}/z")
+    with zipfile.ZipFile(f"{tmp}/z/a.zip", "w") as z:
+        for i in range(50):
+            z.writestr(f"m/{i}.csv", f"id\n{i}\n")
+    listing = archive_members(scan_archives(spark, f"{tmp}/z", with_md5=False))
+    assert sorted(r.member for r in listing.collect()) == sorted(f"m/{i}.csv" for i in range(50))
+    got = archive_members(scan_archives(spark, f"{tmp}/z", with_md5=False), with_content=True, read_partitions=2)
+    assert got.where(F.col("content").isNotNull()).count() == 50
