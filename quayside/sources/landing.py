@@ -7,7 +7,6 @@ come back unescaped and typed (the default partition reads as NULL).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 from quayside.streaming import fsutil
