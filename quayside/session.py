@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
 
 _LOCAL_FALLBACK: str | None = None
 _SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quayside") -> SparkSession:
@@ -60,17 +62,20 @@ def ship_package(spark: SparkSession) -> None:
         return
     import zipfile
 
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    out = os.path.join(tempfile.mkdtemp(prefix="quayside-pkg-"), "quayside.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for folder, dirs, files in os.walk(pkg):
-            dirs[:] = [d for d in dirs if d != "__pycache__"]
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(folder, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(out)
-    _SHIPPED.add(app)
+    with _SHIP_LOCK:  # queries may start from several driver threads
+        if app in _SHIPPED:
+            return
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        out = os.path.join(tempfile.mkdtemp(prefix="quayside-pkg-"), "quayside.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, dirs, files in os.walk(pkg):
+                dirs[:] = [d for d in dirs if d != "__pycache__"]
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(folder, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+        sc.addPyFile(out)
+        _SHIPPED.add(app)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
