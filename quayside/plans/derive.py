@@ -88,12 +88,12 @@ def land_csv_by_month(df: DataFrame, date_col: str, headers: dict[str, str], pat
         *[F.col(k).alias(v) for k, v in headers.items()],
         F.year(date_col).alias("year"),
         F.lpad(F.month(date_col).cast("string"), 2, "0").alias("month"),
-        F.xxhash64(*df.columns).alias("_row_hash"),
     )
-    # Range partitioning by (year, month, row hash): a month is written by as many
-    # tasks as its size needs (a hot month is split by sampled bounds, not sent to
-    # one task), and a task spans few months, so few files. Deterministic on retry.
-    (out.repartitionByRange("year", "month", "_row_hash").drop("_row_hash")
+    # Rebalance by (year, month): hash-partitioned so a task holds few months (few
+    # files), while AQE coalesces small partitions and splits a hot month by size
+    # over several tasks. No sampling pass over the input (a range repartition would
+    # scan it once more).
+    (out.hint("rebalance", "year", "month")
      .write.mode("append").option("header", True)
      .option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("year", "month").csv(path))
 

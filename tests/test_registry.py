@@ -62,17 +62,18 @@ def test_hot_month_is_landed_by_several_tasks(spark, tmp):
 
     from quayside.plans.derive import land_csv_by_month
 
-    df = spark.range(0, 20_000).select(
+    df = spark.range(0, 200_000).select(
         F.col("id").alias("k"),
-        F.when(F.col("id") < 18_000, F.lit("2024-03-15")).otherwise(F.lit("2024-04-02")).cast("timestamp").alias("d"))
-    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keep the range partitions visible
+        F.when(F.col("id") < 180_000, F.lit("2024-03-15")).otherwise(F.lit("2024-04-02")).cast("timestamp").alias("d"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "64k")  # a small target size stands for a month far above it
     try:
         land_csv_by_month(df, "d", {"k": "K"}, f"{tmp}/land")
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+        spark.conf.set(key, prev)
     hot = spark.read.option("header", True).csv(f"{tmp}/land/year=2024/month=03")
     files = hot.select(F.input_file_name().alias("f")).distinct().count()
     assert files >= 4
-    assert hot.count() == 18_000
-    assert spark.read.option("header", True).csv(f"{tmp}/land").count() == 20_000
+    assert hot.count() == 180_000
+    assert spark.read.option("header", True).csv(f"{tmp}/land").count() == 200_000
