@@ -165,8 +165,11 @@ def read_members(listed: DataFrame, read_partitions: int | None = None) -> DataF
     extra = [c for c in listed.columns if c not in core and c not in MEMBER_SCHEMA.fieldNames()]
     types = {c: listed.schema[c].dataType for c in extra}
     n = read_partitions or 2 * listed.sparkSession.sparkContext.defaultParallelism
+    # Range partitioning on (archive, chunk) gives every task about the same number of
+    # members (landing costs per file); its sampling pass reads listing rows only. A
+    # chunk is one key, so it stays in one task.
     spread = (listed.select(*core, *[F.col(c).cast("string").alias(c) for c in extra])
-              .repartition(n, "archive_path", "read_chunk"))
+              .repartitionByRange(n, "archive_path", "read_chunk"))
     schema = StructType(MEMBER_SCHEMA.fields + [StructField(c, StringType()) for c in extra])
     content = spread.mapInPandas(_read_members(tuple(extra)), schema)
     # Carried columns travel as strings (pandas would turn nullable ints into floats).
