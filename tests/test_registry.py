@@ -77,3 +77,24 @@ def test_hot_month_is_landed_by_several_tasks(spark, tmp):
     assert files >= 4
     assert hot.count() == 180_000
     assert spark.read.option("header", True).csv(f"{tmp}/land").count() == 200_000
+
+
+def test_queries_run_from_another_folder(tmp):
+    """Executor-side package code is importable whatever folder the driver starts in."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import importlib.util
+spec = importlib.util.spec_from_file_location("__spark_entry__", {os.path.join(repo, "__spark_entry__.py")!r})
+E = importlib.util.module_from_spec(spec); spec.loader.exec_module(E)
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print("members", E.queries()["archive_members"](spark, {SF_SMALL!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp, env=env, capture_output=True, text=True,
+                         timeout=600)
+    assert "members 200" in out.stdout, out.stderr[-3000:]
