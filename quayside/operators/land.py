@@ -23,6 +23,14 @@ from quayside.streaming import fsutil
 
 KEYS = ["dataset", "year", "month", "member"]
 
+# Members above this many bytes are streamed by a task from the archive into their
+# landing file, decompressed and checked in pieces, never held whole as one row (a
+# member above 2 GB could not be a row at all).
+STREAM_MEMBER_BYTES = 256 << 20
+STREAM_PIECE_BYTES = 8 << 20
+# Fixed file name of a streamed member: a retried attempt replaces it.
+STREAMED_FILE = "part-00000-streamed.txt"
+
 
 def members_to_land(members: DataFrame, manifest: DataFrame) -> DataFrame:
     """Members (dataset, year, month, member, text) not yet in the manifest.
@@ -71,9 +79,80 @@ def land_archive_members(spark: SparkSession, listed: DataFrame, root: str,
     read, decoded and written, each by the task that reads it; a re-fetched archive
     costs a listing, not a read of its bytes. Undecodable members are not written.
     """
+    big = F.col("size_bytes") > F.lit(STREAM_MEMBER_BYTES)
+    if "size_bytes" in listed.columns:
+        _stream_members(spark, listed.where(big), root, partitions, charset)
+        listed = listed.where(~big | F.col("size_bytes").isNull())
     _write_members(archive_landing_plan(spark, listed, root, partitions, charset), root, append=True)
 
 
+def _stream_task(root: str, charset: str):
+    def run(batches):
+        import codecs
+        import zipfile
+
+        import pandas as pd
+
+        from quayside.sources.archives import _open_seekable
+        from quayside.sources.landing import escape_partition_value, partition_folder
+        from quayside.streaming.fsutil import write_file
+
+        utf8 = charset.upper().replace("-", "") == "UTF8"
+        cols = ["dataset", "year", "month", "member", "landed_bytes", "error"]
+        for pdf in batches:
+            out = []
+            for path, group in pdf.groupby("archive_path", sort=False):
+                rows = list(zip(group["dataset"], group["year"], group["month"], group["member"]))
+                try:
+                    with _open_seekable(path) as raw, zipfile.ZipFile(raw) as zf:
+                        for dataset, year, month, member in rows:
+                            y = None if year is None else int(year)
+                            mo = None if month is None else int(month)
+                            target = (f"{partition_folder(root, dataset, y, mo)}/member="
+                                      f"{escape_partition_value(member)}/{STREAMED_FILE}")
+                            decoder = codecs.getincrementaldecoder(charset)()
+
+                            def pieces(name=member, dec=decoder):
+                                with zf.open(name) as src:
+                                    while piece := src.read(STREAM_PIECE_BYTES):
+                                        text = dec.decode(piece)  # raises on bytes invalid in charset
+                                        yield piece if utf8 else text.encode("utf-8")
+                                    tail = dec.decode(b"", final=True)
+                                    if tail and not utf8:
+                                        yield tail.encode("utf-8")
+                                yield b"\n"  # as the text writer ends each member
+
+                            try:
+                                out.append((dataset, year, month, member, write_file(target, pieces()), None))
+                            except UnicodeDecodeError as e:  # not landed, like an undecodable row
+                                out.append((dataset, year, month, member, None, f"{type(e).__name__}: {e}"))
+                except Exception as e:  # archive unreadable since listing
+                    out.extend((d, y, m, mem, None, f"{type(e).__name__}: {e}") for d, y, m, mem in rows)
+            yield pd.DataFrame(out, columns=cols)
+
+    return run
+
+
+def _stream_members(spark: SparkSession, listed: DataFrame, root: str,
+                    partitions: list[tuple[str, int | None, int | None]] | None, charset: str) -> None:
+    """Land big members by streaming them, each task a share of them (not yet landed only)."""
+    from quayside.session import ship_package
+
+    if listed.isEmpty():  # one listing pass; the usual case with no member above the bound
+        return
+    ship_package(spark)
+    keys = listed.select("archive_path", *KEYS).dropDuplicates(["archive_path", *KEYS])
+    todo = members_to_land(keys, landing_manifest(spark, root, partitions))
+    n = 2 * spark.sparkContext.defaultParallelism
+    spread = (todo.select("archive_path", "dataset", F.col("year").cast("string").alias("year"),
+                          F.col("month").cast("string").alias("month"), "member")
+              .repartitionByRange(n, "archive_path", "member"))
+    done = spread.mapInPandas(_stream_task(root, charset),
+                              "dataset string, year string, month string, member string, "
+                              "landed_bytes long, error string")
+    done.write.format("noop").mode("overwrite").save()
+
+
 def archive_landing_plan(spark: SparkSession, listed: DataFrame, root: str,
                          partitions: list[tuple[str, int | None, int | None]] | None = None,
                          charset: str = "UTF-8") -> DataFrame:

@@ -484,7 +484,8 @@ def _land_documents(spark, sf) -> str:
         listed = (archive_members(scan_archives(spark, archives, with_md5=False))
                   .withColumn("archive", F.regexp_extract("archive_path", r"[^/]*$", 0))
                   .where(F.col("error").isNull() & is_csv("member")))
-        land_archive_members(spark, listed.select("archive_path", "member", "read_chunk", dataset.alias("dataset"),
+        land_archive_members(spark, listed.select("archive_path", "member", "read_chunk", "size_bytes",
+                                                  dataset.alias("dataset"),
                                                   F.lit(2024).alias("year"), month.alias("month")),
                              root, partitions=touched)
     return root

@@ -93,7 +93,8 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
     # landed check runs on these rows; only members still to land are read.
     listing = archive_members(archive_paths, with_content=False)
     csv_listed = (listing.where(F.col("error").isNull() & is_csv("member"))
-                  .join(keyed, "archive_path").select("archive_path", "member", "read_chunk", "dataset", "year", "month"))
+                  .join(keyed, "archive_path").select("archive_path", "member", "read_chunk", "size_bytes",
+                                                         "dataset", "year", "month"))
     changed = None
     if report_changes:
         # Checked before landing and materialised: after landing the comparison would

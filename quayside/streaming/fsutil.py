@@ -69,3 +69,41 @@ def open_input(path: str):
     fs, _ = pafs.FileSystem.from_uri(f"{_ARROW_SCHEME.get(scheme, scheme)}://{authority}/")
     target = f"{authority}{rest}" if scheme in ("s3a", "s3n", "s3", "gs", "gcs") else rest
     return fs.open_input_stream(target)
+
+
+def write_file(path: str, pieces) -> int:
+    """Write an iterable of byte pieces as one whole file from a task; returns its size.
+
+    The bytes go to a hidden staging name beside the target (ignored by Spark's file
+    listings) and are moved onto the target name at the end, replacing an earlier
+    attempt's file; a failure removes the staging file. So a retried or speculative
+    attempt never leaves a partial or second file under the target name.
+    """
+    import uuid
+
+    import pyarrow.fs as pafs
+
+    m = _URI.match(path)
+    if m is None or m.group(1).lower() == "file":
+        fs, target = pafs.LocalFileSystem(), (path if m is None else m.group(3))
+    else:
+        scheme, authority, rest = m.group(1).lower(), (m.group(2) or "")[2:], m.group(3)
+        fs, _ = pafs.FileSystem.from_uri(f"{_ARROW_SCHEME.get(scheme, scheme)}://{authority}/")
+        target = f"{authority}{rest}" if scheme in ("s3a", "s3n", "s3", "gs", "gcs") else rest
+    parent, name = target.rsplit("/", 1)
+    fs.create_dir(parent, recursive=True)
+    staging = f"{parent}/.{name}.{uuid.uuid4().hex}.tmp"
+    size = 0
+    try:
+        with fs.open_output_stream(staging) as f:
+            for piece in pieces:
+                f.write(piece)
+                size += len(piece)
+    except BaseException:
+        try:
+            fs.delete_file(staging)
+        except Exception:
+            pass
+        raise
+    fs.move(staging, target)
+    return size

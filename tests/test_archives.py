@@ -191,3 +191,28 @@ def test_listing_streams_out_in_row_batches(spark, tmp, monkeypatch):
     assert sorted(r.member for r in listing.collect()) == sorted(f"m/{i}.csv" for i in range(50))
     got = archive_members(scan_archives(spark, f"{tmp}/z", with_md5=False), with_content=True, read_partitions=2)
     assert got.where(F.col("content").isNotNull()).count() == 50
+
+
+def test_big_members_are_streamed_to_their_landing_file(spark, tmp, monkeypatch):
+    import quayside.operators.land as L
+
+    monkeypatch.setattr(L, "STREAM_MEMBER_BYTES", 1000)
+    monkeypatch.setattr(L, "STREAM_PIECE_BYTES", 64)  # many pieces; a multi-byte letter crosses a piece edge
+    big = "id,name\n" + "".join(f"{i},Zoë {i}\n" for i in range(300))
+    os.makedirs(f"{tmp}/z")
+    with zipfile.ZipFile(f"{tmp}/z/a.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("big/x.csv", big)
+        z.writestr("big/bad.csv", big.encode() + b"\xff\xfe\n" + big.encode())
+        z.writestr("small.csv", "id,name\n1,a\n")
+    listing = archive_members(scan_archives(spark, f"{tmp}/z", with_md5=False)).where(is_csv("member"))
+    listed = listing.select("archive_path", "member", "read_chunk", "size_bytes", F.lit("ds").alias("dataset"),
+                            F.lit(2024).alias("year"), F.lit(3).alias("month"))
+    land = f"{tmp}/land"
+    for _ in range(2):  # the second landing finds both members landed
+        L.land_archive_members(spark, listed, land, partitions=[("ds", 2024, 3)])
+    got = {(r.member, r.landed_bytes) for r in landed_keys(spark, land).collect()}
+    assert got == {("big/x.csv", len(big.encode()) + 1), ("small.csv", 13)}
+    streamed = spark.read.format("binaryFile").load(f"{land}/dataset=ds/year=2024/month=03/member=big%2Fx.csv")
+    assert [r.content for r in streamed.select("content").collect()] == [big.encode() + b"\n"]
+    rows = spark.read.option("header", True).csv(f"{land}/dataset=ds/year=2024/month=03/member=big%2Fx.csv")
+    assert rows.count() == 300 and rows.where(F.col("name") == "Zoë 7").count() == 1
