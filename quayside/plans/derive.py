@@ -152,31 +152,10 @@ def build_document_archives(documents: DataFrame, out_dir: str) -> DataFrame:
 
 
 def _write_bytes(path: str, data: bytes) -> None:
-    """Write a whole file from a task; a retried or speculative attempt writes the same
-    bytes under the same name. On file systems with rename (local, HDFS) the bytes go to
-    a unique temporary name first and are renamed, so two attempts never interleave; on
-    object stores a single PUT is already all-or-nothing."""
-    import uuid
-
-    import pyarrow.fs as pafs
-
-    from quayside.streaming import fsutil
-
-    m = fsutil._URI.match(path)
-    if m is None or m.group(1).lower() == "file":
-        local = path if m is None else m.group(3)
-        fs, target, renames = pafs.LocalFileSystem(), local, True
-        fs.create_dir(local.rsplit("/", 1)[0], recursive=True)
-    else:
-        scheme, authority, rest = m.group(1).lower(), (m.group(2) or "")[2:], m.group(3)
-        fs, _ = pafs.FileSystem.from_uri(f"{fsutil._ARROW_SCHEME.get(scheme, scheme)}://{authority}/")
-        target = f"{authority}{rest}" if scheme in ("s3a", "s3n", "s3", "gs", "gcs") else rest
-        renames = scheme == "hdfs"
-    staging = f"{target.rsplit('/', 1)[0]}/.{target.rsplit('/', 1)[-1]}.{uuid.uuid4().hex}.tmp" if renames else target
-    with fs.open_output_stream(staging) as f:
-        f.write(data)
-    if renames:
-        fs.move(staging, target)
+    """Write a whole file from a task (staging name, then moved: retries never interleave)."""
+    from quayside.streaming.fsutil import write_file
+
+    write_file(path, [data])
 
 
 # --------------------------------------------------------------------------- events as fetches
