@@ -9,6 +9,12 @@ commit makes a partial write invisible.
 A member already landed for its (dataset, year, month, member) is skipped (anti
 join against the manifest), so a re-fetched archive never doubles its rows in
 the stream, which tracks files by name.
+
+``land_archive_members`` starts from an archive listing: the check runs on member
+metadata, and only members still to land are read. Members up to
+``STREAM_MEMBER_BYTES`` are decoded rows written by Spark's text writer in the task
+that read them; larger ones are streamed by a task from the archive into their
+landing file, so no member is ever held whole.
 """
 
 from __future__ import annotations
@@ -33,7 +39,7 @@ STREAMED_FILE = "part-00000-streamed.txt"
 
 
 def members_to_land(members: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Members (dataset, year, month, member, text) not yet in the manifest.
+    """Rows of ``members`` (with the four key columns) whose key is not in the manifest.
 
     The landed keys (a listing of the touched folders) are broadcast when their
     count is small, so the member content is never shuffled for this check and
