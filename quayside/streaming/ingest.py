@@ -61,7 +61,9 @@ RESULT_SCHEMA = StructType([
     StructField("message", StringType()),
 ])
 
-# Bytes read from the start of a file to find its header line.
+# The header line is looked for in pieces of this many bytes from the start of a
+# file, up to the probe limit (object stores then serve small ranged reads).
+HEADER_PIECE_BYTES = 64 << 10
 HEADER_PROBE_BYTES = 1 << 20
 
 
@@ -89,8 +91,13 @@ def _header_reader(encoding: str):
             out = []
             for p in pdf["path"]:
                 try:
+                    head = b""
                     with fsutil.open_input(p) as f:
-                        head = f.read(HEADER_PROBE_BYTES)
+                        while b"\n" not in head and len(head) < HEADER_PROBE_BYTES:
+                            piece = f.read(HEADER_PIECE_BYTES)
+                            if not piece:
+                                break
+                            head += piece
                     text = head.decode(encoding, errors="replace")
                     if text.startswith("﻿"):
                         text = text[1:]

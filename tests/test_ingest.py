@@ -198,3 +198,14 @@ def test_schema_log_versions_only_for_changing_batches(spark, tmp):
     assert schema_log.latest_columns(spark, f"{tmp}/ckpt/schema", before=3) == [("id", "int"), ("n", "int")]
     rows = {(x.id, x.n, x.extra) for x in table(spark, tmp).collect()}
     assert rows == {(1, 1, None), (2, 2, None), (3, 3, None), (4, 4, "x"), (5, 5000000000, None)}
+
+
+def test_header_found_across_read_pieces(spark, tmp, monkeypatch):
+    import quayside.streaming.ingest as ingest
+
+    monkeypatch.setattr(ingest, "HEADER_PIECE_BYTES", 3)  # the header line spans many pieces
+    put(tmp, "land/year=2024/month=01/a.csv", "Contract ID,Año,N\nH1,x,1\nH2,y,2\n")
+    r = run(spark, tmp)
+    assert (r.status, r.total_rows) == ("success", 2)
+    rows = sorted((x.contract_id, x.a_o, x.n) for x in table(spark, tmp).collect())
+    assert rows == [("H1", "x", 1), ("H2", "y", 2)]
