@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.paths import basename
 from quayside.operators import audit as A
-from quayside.operators.land import changed_members, land_archive_members, landed_keys
+from quayside.operators.land import KEYS as LAND_KEYS, changed_members, land_archive_members, landed_keys
 from quayside.operators.lookup import first_by_landing_path
 from quayside.operators.sizing import broadcast_if_small
 from quayside.operators.status import fetch_status, landing_message, landing_outcome
@@ -98,10 +98,14 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
     changed = None
     if report_changes:
         # Checked before landing and materialised: after landing the comparison would
-        # see the new files, and recomputing it would list the folders again. This
-        # reads the content of every fetched CSV member (opt-in).
+        # see the new files, and recomputing it would list the folders again. Only
+        # members landed before are read here (a semi join on metadata); landing then
+        # reads the others, so each fetched member's content is read once (opt-in).
         checkpoint_root(spark)  # the shared spark.checkpoint.dir (set only where unset)
-        fetched_members = decode_members(read_members(csv_listed))
+        before = broadcast_if_small(landed_keys(spark, layout.landing, touched).select(*LAND_KEYS))
+        landed_before = csv_listed.join(
+            before, [csv_listed[k].eqNullSafe(before[k]) for k in LAND_KEYS], "left_semi")
+        fetched_members = decode_members(read_members(landed_before))
         changed = changed_members(spark, fetched_members, layout.landing, touched).checkpoint(eager=True)
     land_archive_members(spark, csv_listed, layout.landing, partitions=touched)
 
