@@ -85,6 +85,7 @@ def land_archive_members(spark: SparkSession, listed: DataFrame, root: str,
     read, decoded and written, each by the task that reads it; a re-fetched archive
     costs a listing, not a read of its bytes. Undecodable members are not written.
     """
+    listed = one_per_key(listed)
     big = F.col("size_bytes") > F.lit(STREAM_MEMBER_BYTES)
     if "size_bytes" in listed.columns:
         _stream_members(spark, listed.where(big), root, partitions, charset)
@@ -159,6 +160,15 @@ def _stream_members(spark: SparkSession, listed: DataFrame, root: str,
     done.write.format("noop").mode("overwrite").save()
 
 
+def one_per_key(listed: DataFrame) -> DataFrame:
+    """One listing row per landing key: when archives of a run hold the same member for
+    the same dataset and period, the archive with the greatest path wins (one file per
+    member folder, whatever the order the archives were fetched in)."""
+    rest = [c for c in listed.columns if c not in KEYS]
+    pick = F.max_by(F.struct(*rest), F.col("archive_path"))
+    return listed.groupBy(*KEYS).agg(pick.alias("_pick")).select(*KEYS, *[F.col(f"_pick.{c}").alias(c) for c in rest])
+
+
 def archive_landing_plan(spark: SparkSession, listed: DataFrame, root: str,
                          partitions: list[tuple[str, int | None, int | None]] | None = None,
                          charset: str = "UTF-8") -> DataFrame:

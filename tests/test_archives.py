@@ -216,3 +216,18 @@ def test_big_members_are_streamed_to_their_landing_file(spark, tmp, monkeypatch)
     assert [r.content for r in streamed.select("content").collect()] == [big.encode() + b"\n"]
     rows = spark.read.option("header", True).csv(f"{land}/dataset=ds/year=2024/month=03/member=big%2Fx.csv")
     assert rows.count() == 300 and rows.where(F.col("name") == "Zoë 7").count() == 1
+
+
+def test_same_member_from_two_archives_lands_once(spark, tmp):
+    from quayside.operators.land import land_archive_members
+
+    os.makedirs(f"{tmp}/z")
+    for name, body in [("a.zip", "id\n1\n"), ("b.zip", "id\n22\n")]:
+        with zipfile.ZipFile(f"{tmp}/z/{name}", "w") as z:
+            z.writestr("x.csv", body)
+    listed = archive_members(scan_archives(spark, f"{tmp}/z", with_md5=False)).select(
+        "archive_path", "member", "read_chunk", "size_bytes", F.lit("ds").alias("dataset"),
+        F.lit(None).cast("int").alias("year"), F.lit(None).cast("int").alias("month"))
+    land_archive_members(spark, listed, f"{tmp}/land", partitions=[("ds", None, None)])
+    files = spark.read.format("binaryFile").load(f"{tmp}/land").select("content").collect()
+    assert [r.content for r in files] == [b"id\n22\n\n"]  # b.zip: the greater path
