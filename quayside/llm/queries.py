@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import fingerprints, langid, mixing, packing, toxicity
+from quayside.llm import fingerprints, langid, minhash, mixing, packing, toxicity
 from quayside.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
     "op3_language": op3_language,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_packing": op5_packing,
     "op7_mix_sources": op7_mix_sources,
 }
