@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quayside.llm import fingerprints, langid, minhash, mixing, packing, toxicity
+from quayside.llm import fingerprints, knn, langid, minhash, mixing, packing, toxicity
 from quayside.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,10 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
@@ -43,8 +48,10 @@ QUERIES: dict[str, Query] = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_packing": op5_packing,
     "op7_mix_sources": op7_mix_sources,
+    "op9_top_k": op9_top_k,
 }
 
 ORACLE: dict[str, str] = {
     "op5_packing": packing.SQL,
+    "op9_top_k": knn.SQL,
 }
