@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import fingerprints, knn, langid, minhash, mixing, packing, toxicity
+from quayside.llm import fingerprints, html_text, knn, langid, minhash, mixing, packing, pii, toxicity
 from quayside.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -41,14 +45,20 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
     "op3_language": op3_language,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_packing": op5_packing,
+    "op6_personal_data": op6_personal_data,
     "op7_mix_sources": op7_mix_sources,
     "op9_top_k": op9_top_k,
+    "op10_main_text": op10_main_text,
 }
 
 ORACLE: dict[str, str] = {
