@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import fingerprints, html_text, knn, langid, minhash, mixing, packing, pii, toxicity
+from quayside.llm import fingerprints, html_text, knn, langid, lm, minhash, mixing, packing, pii, toxicity
 from quayside.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,10 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op5_packing": op5_packing,
     "op6_personal_data": op6_personal_data,
     "op7_mix_sources": op7_mix_sources,
+    "op8_language_model": op8_language_model,
     "op9_top_k": op9_top_k,
     "op10_main_text": op10_main_text,
 }
