@@ -120,6 +120,20 @@ class CodeModel:
         return p / p.sum(1, keepdims=True)
 
 
+    def label(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(language, score, ambiguous) of every text."""
+        text = pc.fill_null(text.cast(pa.string()), "")
+        some = np.asarray(pc.match_substring_regex(text, r"\p{L}"), bool) & bool(self.langs)
+        lang = np.full(len(text), UNDETERMINED, object)
+        score, unclear = np.zeros(len(text)), ~some
+        if some.any():
+            p = self.decode(_margins(text.filter(pa.array(some)), self.weights))
+            top = np.sort(p, 1)
+            lang[some], score[some] = np.array(self.langs, object)[p.argmax(1)], top[:, -1]
+            unclear[some] = (top[:, -1] - top[:, -2] < LEAD) if p.shape[1] > 1 else False
+        return lang, score, unclear
+
+
 def fit(docs: DataFrame, train: Column, sample_per_lang: int = SAMPLE_PER_LANG) -> CodeModel:
     """Learn from ``text`` and ``lang`` of the rows for which ``train`` holds."""
     rows = docs.filter(train & F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -153,25 +167,29 @@ def fit(docs: DataFrame, train: Column, sample_per_lang: int = SAMPLE_PER_LANG)
     return CodeModel(langs, code, weights, scale, trust / trust.sum(1, keepdims=True))
 
 
-def predict(docs: DataFrame, model: CodeModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns with ``lang_pred, score, ambiguous`` for every row."""
-    schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
-    text_at = len(keep)
+def predict(docs: DataFrame, model: CodeModel) -> DataFrame:
+    """``doc_id, lang_pred, score, ambiguous`` for every row."""
+    schema = docs.select("doc_id").schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = pc.fill_null(b.column(text_at).cast(pa.string()), "")
-            some = np.asarray(pc.match_substring_regex(text, r"\p{L}")) & bool(model.langs)
-            lang = np.full(len(text), UNDETERMINED, object)
-            score, unclear = np.zeros(len(text)), ~some
-            if some.any():
-                p = model.decode(_margins(text.filter(pa.array(some)), model.weights))
-                top = np.sort(p, 1)
-                lang[some], score[some] = np.array(model.langs, object)[p.argmax(1)], top[:, -1]
-                unclear[some] = (top[:, -1] - top[:, -2] < LEAD) if p.shape[1] > 1 else False
-            yield pa.record_batch([*b.columns[:text_at], pa.array(lang, pa.string()), pa.array(score), pa.array(unclear)], schema.names)
-
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")).mapInArrow(run, schema)
+            lang, score, unclear = model.label(b.column(1))
+            yield pa.record_batch([b.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(unclear)], schema.names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def kept(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in a known language, ``lang`` being the predicted one; ``und`` rows go.
+    An ambiguous prediction stays: it names a language, only less surely."""
+    model = fit(docs, ~held_out(F.col("doc_id")))
+
+    @F.pandas_udf("string")
+    def language(text: pd.Series) -> pd.Series:
+        return pd.Series(model.label(pa.array(text, pa.string(), from_pandas=True))[0])
+
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), language("text").alias("p")).filter(F.col("p") != UNDETERMINED)
+    return rows.select(*[F.col("p" if c == "lang" else f"d.`{c}`").alias(c) for c in docs.columns])
 
 
 def held_out(doc_id: Column) -> Column:

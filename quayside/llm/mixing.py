@@ -172,8 +172,8 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     every one is taken as often as the first."""
     plan = plan_mix(docs, **options).filter("taken > 0")
     plan = plan.groupBy("doc_id", "source").agg(F.max_by("shards", "copies").alias("_shards"))
-    d, m = docs.alias("d"), plan.alias("m")
-    rows = d.join(m, F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.col("d.source").eqNullSafe(F.col("m.source")))
-    rows = rows.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.posexplode("_shards").alias("_copy", "_shard"))
-    slot = F.xxhash64("doc_id", "_copy", "_shard")
-    return rows.repartition("_shard", F.pmod(slot, F.lit(16))).sortWithinPartitions("_shard", slot).select(*[F.col(f"`{c}`") for c in docs.columns])
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
+    rows = d.join(plan, F.col("d.doc_id").eqNullSafe(F.col("doc_id")) & F.col("d.source").eqNullSafe(F.col("source")))
+    rows = rows.select("d", F.posexplode("_shards").alias("_copy", "_shard"))
+    slot = F.xxhash64("d.doc_id", "_copy", "_shard")
+    return rows.repartition("_shard", F.pmod(slot, F.lit(16))).sortWithinPartitions("_shard", slot).select(*[F.col(f"d.`{c}`").alias(c) for c in docs.columns])

@@ -201,15 +201,16 @@ def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data masked in ``text`` and ``n_chars`` (where present) counted anew.
     A row without spans stays as it is."""
     found = personal_data(docs).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.concat_ws(",", F.nullif("base", F.lit("")), F.nullif("extra", F.lit(""))).alias("_spans")).filter("_spans <> ''").dropDuplicates(["_id", "_key"])
-    keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left").drop("_id", "_key", "_text_key")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text_key"))
+    rows = keyed.join(found, F.col("d.doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
 
     @F.pandas_udf("string")
     def masked_text(text, spans):
         return text.combine(spans, lambda t, s: mask(t, s) if s else t)
 
-    new = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(masked_text("text", F.coalesce("_spans", F.lit(""))))
-    rows = rows.withColumn("text", new)
+    clean = F.col("_spans").isNull()
+    rows = rows.select("d", "_spans", F.when(clean, F.col("d.text")).otherwise(masked_text("d.text", F.coalesce("_spans", F.lit("")))).alias("_new"))
+    changed = {"text": F.col("_new")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+        changed["n_chars"] = F.when(clean, F.col("d.n_chars")).otherwise(F.length("_new")).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[changed.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns])
