@@ -11,11 +11,11 @@
    are filled, so a long document costs little more than one draw per shingle.
 3. ``BANDS`` bands of ``ROWS`` registers are hashed to buckets. Two documents of similarity 0.8 share
    a bucket with probability 1 - 3e-6.
-4. Inside a bucket every document is checked against a leader: the multiset overlap of
-   the shingles themselves, at least ``THRESHOLD``. Links join classes; buckets that still hold
-   several classes get other leaders for ``LEADER_ROUNDS`` rounds, each linear in the rows. What is mixed
-   even then is compared pair by pair, in blocks, by signature, and verified. So no link is lost
-   to a bucket's size, and no bucket is expanded into its pairs while leaders suffice.
+4. Inside a bucket every document is checked against a leader, the member that shares most buckets
+   with others: the multiset overlap of the shingles themselves, at least ``THRESHOLD``. Links
+   join classes. In a bucket that still holds several classes, the members outside its largest class are
+   compared with all others, in blocks inside tasks: by signature first, then by overlap. So no
+   link is lost to a bucket's size, and no bucket is expanded into rows for its pairs.
 
 Result: one row per row of the input with its class, the least id in it. A null text, or one
 without words, is alone. A row with a null id has the class of its copies with ids, else null.
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
@@ -39,11 +39,10 @@ THRESHOLD = 0.8
 ROWS = 4
 BANDS = 24
 REGISTERS = ROWS * BANDS
-LEADER_ROUNDS = 2
-#: Pairs whose signatures agree in a smaller share of registers are not verified one by one:
+#: Pairs whose signatures agree in a smaller share of registers are not verified in blocks:
 #: 4.9 standard deviations below 0.8.
 LEAST_ESTIMATE = 0.6
-BLOCK = 256
+BLOCK = 1_024
 MEMBERS_PER_TASK = 2_000
 FILTER_BITS = 24
 _U = np.uint64
@@ -129,8 +128,9 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, k1, k2, bands, sig`` of every row; no words: keys, bands and signature null."""
-    schema = docs.select("doc_id").schema.add("k1", "long").add("k2", "long").add("bands", ArrayType(LongType())).add("sig", "binary")
+    """``doc_id, text_key, k1, k2, bands, sig`` of every row; no words: keys, bands and signature
+    null."""
+    schema = docs.select("doc_id").schema.add("text_key", "long").add("k1", "long").add("k2", "long").add("bands", ArrayType(LongType())).add("sig", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -144,11 +144,15 @@ def signatures(docs: DataFrame) -> DataFrame:
                 none = pa.array(~some)
                 full = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.ravel()), mask=none)
                 yield pa.record_batch([
-                    b.column(0).slice(i, j - i), pa.array(k1.view(np.int64), mask=~some), pa.array(k2.view(np.int64), mask=~some),
+                    b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(k1.view(np.int64), mask=~some), pa.array(k2.view(np.int64), mask=~some),
                     full, pa.array([x.tobytes() if s else None for x, s in zip(sig, some, strict=True)], pa.binary()),
                 ], schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text", text_key()).mapInArrow(run, schema)
+
+
+def text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
 
 
 def _slot(doc_id, bits: int = FILTER_BITS):
@@ -218,46 +222,82 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return sent.mapInArrow(run, pairs.select("a", "b").schema)
 
 
-def _close_pairs(rows: DataFrame) -> DataFrame:
-    """(bucket, doc_id, root, sig) of mixed buckets → (a, b) of different roots whose
-    signatures agree in ``LEAST_ESTIMATE`` or more, compared block against block."""
+def overlaps(bag: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Multiset Jaccard similarity of one bag with each of the others."""
+    size = np.array([len(x) for x in others])
+    flat = np.concatenate(others)
+    hit = bag[np.minimum(np.searchsorted(bag, flat), len(bag) - 1)] == flat
+    same = row_sums(hit.astype(np.int64), size)
+    return same / (size + len(bag) - same)
+
+
+def links_between(group: list[tuple], n_roots: dict) -> list[tuple]:
+    """Members (probe?, doc_id, root, signature, bag) of a block of a bucket → links between
+    different roots, enough to join all that are linked: a probe is compared with every member
+    whose root is not yet joined with its own."""
+    def find(r):
+        while n_roots.setdefault(r, r) != r:
+            r = n_roots[r]
+        return r
+
+    data = [g for g in group if not g[0]]
+    if not data:
+        return []
+    sig = np.stack([np.frombuffer(g[3], np.uint32) for g in data])
+    bags = [np.frombuffer(g[4], np.uint32) for g in data]
+    out = []
+    for _, doc, root, s, bag in (g for g in group if g[0]):
+        near = np.flatnonzero((sig == np.frombuffer(s, np.uint32)).mean(1) >= LEAST_ESTIMATE)
+        near = [k for k in near if find(data[k][2]) != find(root)]
+        if near:
+            for k, j in zip(near, overlaps(np.frombuffer(bag, np.uint32), [bags[k] for k in near]), strict=True):
+                if j >= THRESHOLD and find(data[k][2]) != find(root):
+                    n_roots[find(data[k][2])] = find(root)
+                    out.append((doc, data[k][1]))
+    return out
+
+
+def links_in_buckets(docs: DataFrame, rows: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(bucket, doc_id, root) of buckets with several roots → (a, b) links between them.
+
+    Members of the bucket's commonest root need no comparison with each other. All members are dealt
+    once over blocks of about ``BLOCK``; those of the other roots also go to every block as
+    probes. So a bucket of n members with r others costs n + r * n / BLOCK rows."""
     spark = rows.sparkSession
-    sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
-    placed = rows.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("n")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
-    tasks = placed.select("*", other.alias("o")).select("bucket", F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"), "doc_id", "root", "sig")
+    per_root = rows.groupBy("bucket", "root").count()
+    main = per_root.groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.ceil(F.sum("count") / BLOCK).cast("int").alias("n"))
+    whole = sigs.join(shingle_sets(docs, rows.select("doc_id").distinct()), "doc_id").dropDuplicates(["doc_id"])
+    placed = rows.join(main, "bucket").join(whole, "doc_id")
+    own = F.struct(F.pmod(F.xxhash64("doc_id"), F.col("n")).cast("int").alias("block"), F.lit(False).alias("probe"))
+    every = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda b: F.struct(b.alias("block"), F.lit(True).alias("probe")))
+    tasks = placed.withColumn("t", F.explode(F.when(F.col("root") == F.col("main"), F.array(own)).otherwise(F.concat(F.array(own), every))))
+    tasks = tasks.select("bucket", "t.block", "t.probe", "doc_id", "root", "sig", "bag")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = tasks.repartition(parts, "bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "doc_id")
-
-    def pairs(group: list[tuple]) -> list[tuple]:
-        ids, roots = [g[3] for g in group], np.array([g[4] for g in group])
-        sig = np.stack([np.frombuffer(g[5], np.uint32) for g in group])
-        out = []
-        for i in range(len(ids) - 1):
-            near = (sig[i + 1 :] == sig[i]).mean(1) >= LEAST_ESTIMATE
-            out += [(ids[i], ids[i + 1 + k]) for k in np.flatnonzero(near & (roots[i + 1 :] != roots[i]))]
-        return out
+    tasks = tasks.repartition(parts, "bucket", "block").sortWithinPartitions("bucket", "block")
+    schema = StructType().add("a", rows.schema["doc_id"].dataType).add("b", rows.schema["doc_id"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind, group = None, []
+        kind, key, group, joined = pa.int64(), None, [], {}
+
+        def done() -> pa.RecordBatch:
+            got = links_between(group, joined)
+            return pa.record_batch([pa.array([p[k] for p in got], kind) for k in (0, 1)], ["a", "b"])
+
         for batch in batches:
             kind = batch.schema.field(3).type
             for r in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if group and group[-1][:3] != r[:3]:
-                    got = pairs(group)
-                    yield pa.record_batch([pa.array([p[k] for p in got], kind) for k in (0, 1)], ["a", "b"])
-                    group = []
-                group.append(r)
-        if group:
-            got = pairs(group)
-            yield pa.record_batch([pa.array([p[k] for p in got], kind) for k in (0, 1)], ["a", "b"])
+                if key != r[:2]:
+                    yield done()
+                    key, group = r[:2], []
+                group.append(r[2:])
+        yield done()
 
-    id_type = rows.schema["doc_id"].dataType
-    return tasks.mapInArrow(run, StructType().add("a", id_type).add("b", id_type)).distinct()
+    return tasks.mapInArrow(run, schema).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, class_id`` for every row of ``docs``."""
+    """``doc_id, text_key, class_id`` for every row of ``docs``; ``text_key`` tells apart the
+    texts of rows with an equal id."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     signed = written(spark, signatures(docs), "bag-signatures")
@@ -265,30 +305,38 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     heads = written(spark, keyed.groupBy("k1", "k2").agg(F.min("doc_id").alias("head")), "bag-heads")
     reps = signed.join(heads.filter("head IS NOT NULL").select(F.col("head").alias("doc_id")), "doc_id", "left_semi")
     banded = reps.select("doc_id", F.explode("bands").alias("bucket"))
-    buckets = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc_id").alias("lead")).filter("n > 1")
+    buckets = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     shared = written(spark, banded.join(buckets, "bucket"), "bag-buckets")
 
-    pairs = shared.filter("doc_id <> lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
+    degree = shared.groupBy("doc_id").agg(F.sum("n").alias("degree"))
+    leads = shared.join(degree, "doc_id").groupBy("bucket").agg(F.max_by("doc_id", F.struct("degree", -F.col("doc_id"))).alias("lead"))
+    pairs = shared.join(leads, "bucket").filter("doc_id <> lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = written(spark, verified(docs, written(spark, pairs, "bag-pairs")), "bag-links")
     roots = components(links)
-    for turn in range(1, LEADER_ROUNDS + 2):
-        # buckets of three or more that still hold several classes, one of each set of members
-        known = shared.filter("n > 2").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-        known = written(spark, known.select("bucket", "doc_id", "root"), "bag-known")
-        chosen = F.min_by(F.struct("doc_id", "root"), F.xxhash64("doc_id", F.lit(turn)))
-        mixed = known.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("set"), chosen.alias("lead")).filter("r0 <> r1")
-        mixed = mixed.groupBy("set", "n").agg(F.min("bucket").alias("bucket"), F.min("lead").alias("lead"))
-        rows = written(spark, known.join(mixed.select("bucket", "lead"), "bucket"), "bag-mixed")
-        if not rows.limit(1).count():
-            break
-        if turn <= LEADER_ROUNDS:
-            more = rows.filter("root <> lead.root").select(F.col("lead.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
-        else:
-            more = _close_pairs(rows.join(signed.select("doc_id", "sig"), "doc_id").dropDuplicates(["bucket", "doc_id"]).select("bucket", "doc_id", "root", "sig"))
-        more = verified(docs, written(spark, more, "bag-pairs"))
+
+    # buckets of three or more that still hold several classes, one of each set of members
+    known = shared.filter("n > 2").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("root", "doc_id").alias("root"))
+    known = written(spark, known, "bag-known")
+    mixed = known.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("set")).filter("r0 <> r1")
+    mixed = mixed.groupBy("set", "n").agg(F.min("bucket").alias("bucket"))
+    rows = written(spark, known.join(mixed.select("bucket"), "bucket"), "bag-mixed")
+    if rows.limit(1).count():
+        more = links_in_buckets(docs, rows, signed.select("doc_id", "sig"))
         links = written(spark, links.union(more), "bag-links")
         roots = components(links)
 
-    own = signed.select("doc_id", "k1", "k2").join(heads, ["k1", "k2"], "left")
+    own = signed.select("doc_id", "text_key", "k1", "k2").join(heads, ["k1", "k2"], "left")
     out = own.join(roots.withColumnRenamed("node", "head"), "head", "left")
-    return out.select("doc_id", F.coalesce("root", "head", "doc_id").alias("class_id"))
+    return out.select("doc_id", "text_key", F.coalesce("root", "head", "doc_id").alias("class_id"))
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one document of every class: its least id. Of rows without an
+    id, which have no class unless they copy one with an id, every different text stays."""
+    rows = near_duplicates(docs)
+    alone = F.when(F.col("class_id").isNull(), F.col("text_key"))
+    best = rows.groupBy("class_id", alone.alias("_alone")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key"))
+    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), text_key().alias("_text_key"))
+    kept = kept.join(best, F.col("d.doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_semi")
+    kept = kept.select("d", F.col("d.doc_id").alias("_id"), "_text_key").dropDuplicates(["_id", "_text_key"])
+    return kept.select(*[F.col(f"d.`{c}`").alias(c) for c in docs.columns])
