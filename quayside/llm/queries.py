@@ -26,7 +26,7 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
