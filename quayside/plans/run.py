@@ -175,7 +175,7 @@ def ingest_datasets(spark: SparkSession, datasets: list[tuple[str, str, str]], l
                 f"{layout.tables}/{table_name}", f"{layout.checkpoints}/{table_name}", table_name, options,
             ).collect()[0]
         except Exception as e:  # one table's failure does not stop the others
-            return (("failed", table_name, None, None, None, f"{layout.checkpoints}/{table_name}", 0, str(e)[:2000]))
+            return ("failed", table_name, None, None, None, f"{layout.checkpoints}/{table_name}", 0, str(e), None, None)
 
     if not datasets:
         return spark.createDataFrame([], RESULT_SCHEMA)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
@@ -20,13 +20,16 @@ BATCH_LOG_SCHEMA = StructType([
     StructField("rows", LongType()),
     StructField("latest_load_timestamp", TimestampType()),
     StructField("files", LongType()),
+    StructField("corrupt_rows", LongType()),
+    StructField("empty_files", LongType()),
     StructField("batch_id", LongType()),
 ])
 
 
 def write_entry(spark: SparkSession, log_path: str, batch_id: int, rows: int, latest: _dt.datetime | None,
-                files: int) -> None:
-    (spark.createDataFrame([(int(rows), latest, int(files), int(batch_id))], BATCH_LOG_SCHEMA).coalesce(1)
+                files: int, corrupt_rows: int = 0, empty_files: int = 0) -> None:
+    row = (int(rows), latest, int(files), int(corrupt_rows), int(empty_files), int(batch_id))
+    (spark.createDataFrame([row], BATCH_LOG_SCHEMA).coalesce(1)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(log_path))
 
 
@@ -36,16 +39,17 @@ def read_log(spark: SparkSession, log_path: str) -> DataFrame:
     return spark.read.schema(BATCH_LOG_SCHEMA).parquet(log_path)
 
 
-def totals(spark: SparkSession, log_path: str, after_batch: int | None = None):
-    """(total rows, latest load time as string, rows after ``after_batch``, batches after it,
-    max batch id)."""
+def totals(spark: SparkSession, log_path: str, after_batch: int | None = None) -> Row:
+    """Row (total, latest, added, corrupt, empty, batches, max_batch): all rows and their latest
+    load time as a string; rows, corrupt rows, files without a record and batches after
+    ``after_batch``."""
     log = read_log(spark, log_path)
     later = F.col("batch_id") > F.lit(-1 if after_batch is None else after_batch)
-    r = log.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("total"),
+    since = lambda c: F.coalesce(F.sum(F.when(later, F.col(c))), F.lit(0)).cast("long")
+    return log.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("total"),
         F.date_format(F.max("latest_load_timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("latest"),
-        F.coalesce(F.sum(F.when(later, F.col("rows"))), F.lit(0)).alias("added"),
+        since("rows").alias("added"), since("corrupt_rows").alias("corrupt"), since("empty_files").alias("empty"),
         F.count_if(later).alias("batches"),
         F.max("batch_id").alias("max_batch"),
     ).first()
-    return int(r.total), r.latest, int(r.added), int(r.batches), r.max_batch

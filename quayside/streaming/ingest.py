@@ -4,12 +4,16 @@ The stream carries file *paths* only (``binaryFile`` with ``content`` pruned); e
 micro-batch is loaded by ``foreachBatch`` with the batch reader, which lets a batch
 hold files with different headers:
 
-1. the first line of every new file is read on the executors (``mapInPandas``),
-   and files are grouped by that header;
+1. the first record of every new file is read by Spark's own CSV reader (blank lines
+   skipped, any line ends, quoted newlines with ``multi_line``, no length limit), and
+   files are grouped by that header; a file that cannot be read fails the batch, which
+   is then not committed and tried again by the next run; a file without a record is
+   counted and loads no row;
 2. per header group the column types are taken from the schema log and inferred for
-   new columns only; a batch whose values do not fit is inferred afterwards and, when
-   an int column widens (int -> bigint / double), rewritten under the wider type, so
-   a batch without type drift reads its files once;
+   new columns, and for date columns, which would cut off times without a trace; a
+   batch whose values do not fit is inferred afterwards and, when a column widens
+   (int -> bigint -> double, date -> timestamp), rewritten under the wider type, so a
+   batch without dates or type drift reads its files once;
 3. each group is read with its positional schema plus ``_corrupt_record``
    (PERMISSIVE: a value that does not fit becomes NULL and the raw line is kept);
 4. names are normalised, lineage and path columns added, groups unioned by name
@@ -17,18 +21,19 @@ hold files with different headers:
    batch replaces its own output, so rows are loaded exactly once.
 
 The table is a Parquet folder; read it with ``read_table`` (logged schema, so old
-files without a newer column read as NULL).
+files without a newer column read as NULL, and batches written before a widening are
+read under the type they have and cast).
 """
 
 from __future__ import annotations
 
-import csv
-import io
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
@@ -59,60 +64,31 @@ RESULT_SCHEMA = StructType([
     StructField("checkpoint_path", StringType()),
     StructField("batches", IntegerType()),
     StructField("message", StringType()),
+    # Of the rows added: those with a value that did not fit its column (the value is NULL,
+    # the raw line kept). Of the files: those without any record.
+    StructField("corrupt_rows", LongType()),
+    StructField("empty_files", LongType()),
 ])
 
-# The header line is looked for in pieces of this many bytes from the start of a
-# file, up to the probe limit (object stores then serve small ranged reads).
-HEADER_PIECE_BYTES = 64 << 10
-HEADER_PROBE_BYTES = 1 << 20
+# Headers read at the same time, each by two small jobs on the first block of a file.
+HEADER_THREADS = 8
 
 
 @dataclass
 class IngestOptions:
     max_files_per_trigger: int = 100
     # Files older than this (against the newest seen) are skipped by the file source;
-    # the default of 7 days would drop late backfill files silently.
-    max_file_age: str = "3650d"
+    # a thousand years: copied or epoch-dated files are never dropped silently.
+    max_file_age: str = "365000d"
     multi_line: bool = False
     encoding: str = "UTF-8"
     as_of: object = None
     type_overrides: dict[str, str] = field(default_factory=dict)
-    timeout_s: float = 1800.0
+    # Seconds after which a load is stopped between batches (None: no limit).
+    timeout_s: float | None = None
     # When the checkpoint is new but the table has data, batch ids would restart at
-    # 0 and overwrite old batches: start the table anew instead ("truncate"), or stop.
-    on_new_checkpoint: str = "truncate"
-
-
-def _header_reader(encoding: str):
-    def read_headers(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            out = []
-            for p in pdf["path"]:
-                try:
-                    head = b""
-                    with fsutil.open_input(p) as f:
-                        while b"\n" not in head and len(head) < HEADER_PROBE_BYTES:
-                            piece = f.read(HEADER_PIECE_BYTES)
-                            if not piece:
-                                break
-                            head += piece
-                    text = head.decode(encoding, errors="replace")
-                    if text.startswith("﻿"):
-                        text = text[1:]
-                    line = text.split("\n", 1)[0].rstrip("\r")
-                    out.append((p, line, None))
-                except Exception as e:  # unreadable file: reported, not loaded
-                    out.append((p, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=["path", "header", "error"])
-
-    return read_headers
-
-
-def _parse_header(line: str) -> list[str]:
-    rows = list(csv.reader(io.StringIO(line)))
-    return rows[0] if rows else []
+    # 0 and overwrite old batches: stop, or start the table anew ("truncate").
+    on_new_checkpoint: str = "stop"
 
 
 _GLOB_CHARS = "\\{}[]*?"
@@ -123,6 +99,19 @@ def literal_paths(paths: list[str]) -> list[str]:
     return ["".join("\\" + c if c in _GLOB_CHARS else c for c in p) for p in paths]
 
 
+def read_headers(spark: SparkSession, paths: list[str], opts: IngestOptions) -> dict[str, tuple[str, ...]]:
+    """Path → cells of the file's first record, by Spark's CSV reader; () for a file without
+    one. A file that cannot be read raises."""
+    def first(path: str) -> tuple[str, ...]:
+        df = (spark.read.option("header", False).option("multiLine", opts.multi_line)
+              .option("encoding", opts.encoding).csv(literal_paths([path])))
+        row = df.first() if df.columns else None
+        return () if row is None else tuple(c or "" for c in row)
+
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        return dict(zip(paths, pool.map(first, paths)))
+
+
 def _read_group(spark: SparkSession, paths: list[str], schema: StructType, opts: IngestOptions) -> DataFrame:
     paths = literal_paths(paths)
     return (
@@ -149,6 +138,8 @@ def _infer_types(spark: SparkSession, paths: list[str], width: int, opts: Ingest
 def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opts: IngestOptions,
                         batches_path: str | None = None):
     widenable = {old for old, _ in schema_log.WIDENINGS}
+    # Types whose reader drops part of a wider value without marking the row.
+    truncating = {"date"}
     # Schema written by the previous batch of this query run; batches run in order,
     # so it is the log's latest version. A new process reads the log instead.
     last: dict = {}
@@ -191,15 +182,17 @@ def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opt
         return obs.get
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        files = batch.select("path", "length").where(F.col("length") > 0)
-        headers = files.select("path").mapInPandas(_header_reader(opts.encoding), "path string, header string, error string")
-        # At most max_files_per_trigger (path, header) rows: bounded metadata, grouped
-        # on the driver without a shuffle.
-        by_header: dict[str, list[str]] = {}
-        for r in headers.where(F.col("header").isNotNull()).select("path", "header").collect():
-            by_header.setdefault(r.header, []).append(r.path)
+        # At most max_files_per_trigger paths: bounded metadata, grouped on the driver.
+        found = read_headers(spark, [r.path for r in batch.select("path").collect()], opts)
+        by_header: dict[tuple[str, ...], list[str]] = {}
+        for path, header in found.items():
+            if header:
+                by_header.setdefault(header, []).append(path)
+        empty = sum(not h for h in found.values())
         groups = [(h, sorted(ps)) for h, ps in sorted(by_header.items())]
         if not groups:
+            if empty and batches_path is not None:
+                batch_log.write_entry(spark, batches_path, batch_id, 0, None, empty, 0, empty)
             return
         if last.get("batch") is not None and last["batch"] < batch_id:
             logged = dict(last["columns"])
@@ -209,8 +202,8 @@ def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opt
         base = [(n, logged[n]) for n in order]
         plans, unchecked = [], []
         for header, paths in groups:
-            names = unique_snake_names(_parse_header(header), reserved=RESERVED)
-            if any(n not in logged for n in names):
+            names = unique_snake_names(list(header), reserved=RESERVED)
+            if any(n not in logged or (logged[n] in truncating and n not in opts.type_overrides) for n in names):
                 # New columns: their types come from inference over the group's files.
                 merge_types(logged, order, names, _infer_types(spark, paths, len(names), opts))
             elif any(logged[n] in widenable and n not in opts.type_overrides for n in names):
@@ -228,7 +221,7 @@ def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opt
                 stats = write_batch(batch_id, plans, logged, order, base)
         if batches_path is not None:
             batch_log.write_entry(spark, batches_path, batch_id, stats.get("rows", 0), stats.get("latest"),
-                                  sum(len(p) for p, _ in plans))
+                                  len(found), stats.get("corrupt", 0), empty)
         last.update(batch=batch_id, columns=[(n, logged[n]) for n in order])
 
     return process
@@ -245,12 +238,32 @@ def table_schema(columns: list[tuple[str, str]]) -> StructType:
 
 
 def read_table(spark: SparkSession, table_path: str, checkpoint_path: str) -> DataFrame:
-    """The table under its latest logged schema (columns added later read as NULL)."""
-    columns = schema_log.latest_columns(spark, f"{checkpoint_path}/schema")
+    """The table under its latest logged schema (columns added later read as NULL).
+
+    Batches of an earlier version whose types Parquet readers cannot widen are read under
+    that version's types and cast; without such a change it is one plain scan."""
+    versions = schema_log.versions(spark, f"{checkpoint_path}/schema")
+    columns = versions[-1][1] if versions else []
     schema = table_schema(columns)
     if not fsutil.has_entries(spark, table_path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(table_path)
+    latest = dict(columns)
+    spans: list[tuple[int, list[tuple[str, str]]]] = []  # first batch, columns to read with
+    for first, cols in versions:
+        # types that differ from the latest ones and stay as they are in the files
+        kept = [(n, t if (t, latest[n]) in schema_log.CAST_ON_READ else latest[n]) for n, t in cols]
+        kept += [(n, t) for n, t in columns if n not in dict(cols)]
+        if not spans or dict(spans[-1][1]) != dict(kept):
+            spans.append((first, kept))
+    parts = []
+    for k, (first, cols) in enumerate(spans):
+        df = spark.read.schema(table_schema(cols)).parquet(table_path)
+        if k:
+            df = df.where(F.col("_batch_id") >= first)
+        if k + 1 < len(spans):
+            df = df.where(F.col("_batch_id") < spans[k + 1][0])
+        parts.append(df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]))
+    return reduce(DataFrame.unionAll, parts) if len(parts) > 1 else spark.read.schema(schema).parquet(table_path)
 
 
 def ingest_table(
@@ -262,16 +275,18 @@ def ingest_table(
     options: IngestOptions | None = None,
 ) -> DataFrame:
     """Load every file under ``source_path`` not loaded before; returns one result row
-    (status, table_name, total_rows, rows_added, latest_load_timestamp,
-    checkpoint_path, batches, message)."""
+    (status, table_name, total_rows, rows_added, latest_load_timestamp, checkpoint_path,
+    batches, message, corrupt_rows, empty_files). A failed or stopped load returns the row too,
+    status ``failed``, with what its committed batches hold."""
     from quayside.session import ship_package
 
     ship_package(spark)  # the batch function runs package code in Python tasks
     opts = options or IngestOptions()
     name = table_name or table_path.rstrip("/").rsplit("/", 1)[-1]
 
-    def result(status, total, added, ts, batches, msg=None):
-        return spark.createDataFrame([(status, name, total, added, ts, checkpoint_path, batches, msg)], RESULT_SCHEMA)
+    def result(status, total, added, ts, batches, msg=None, corrupt=0, empty=0):
+        return spark.createDataFrame([(status, name, total, added, ts, checkpoint_path, batches, msg, corrupt, empty)],
+                                     RESULT_SCHEMA)
 
     if not fsutil.has_entries(spark, source_path):
         return result("no_source_data", 0, 0, None, 0, f"Source path {source_path} does not exist or is empty")
@@ -279,13 +294,13 @@ def ingest_table(
     stream_ckpt = f"{checkpoint_path}/stream"
     if not fsutil.exists(spark, f"{stream_ckpt}/offsets") and fsutil.has_entries(spark, table_path):
         if opts.on_new_checkpoint != "truncate":
-            return result("failed", None, None, None, 0, "checkpoint missing for a table with data")
+            return result("failed", None, None, None, 0, "checkpoint missing for a table with data", None, None)
         fsutil.delete(spark, table_path)
         fsutil.delete(spark, f"{checkpoint_path}/schema")
         fsutil.delete(spark, f"{checkpoint_path}/batches")
 
     batches_path = f"{checkpoint_path}/batches"
-    _, _, _, _, last_batch = batch_log.totals(spark, batches_path)
+    last_batch = batch_log.totals(spark, batches_path).max_batch
     paths = (
         spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
         .option("recursiveFileLookup", "true")
@@ -301,13 +316,14 @@ def ingest_table(
         .trigger(availableNow=True)
         .start()
     )
-    started = time.time()
-    finished = query.awaitTermination(opts.timeout_s)
-    if not finished:
-        query.stop()
-        return result("failed", None, None, None, None, f"timeout after {time.time() - started:.0f} s")
-    err = query.exception()
-    if err is not None:
-        return result("failed", None, None, None, None, str(err)[:2000])
-    total, ts, added, batches, _ = batch_log.totals(spark, batches_path, last_batch)
-    return result("success", total, added, ts, batches)
+    started, message = time.time(), None
+    try:
+        if opts.timeout_s is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(opts.timeout_s):
+            query.stop()
+            message = f"timeout after {time.time() - started:.0f} s"
+    except StreamingQueryException as err:  # the batch is not committed; the next run tries it again
+        message = str(err)
+    t = batch_log.totals(spark, batches_path, last_batch)
+    return result("failed" if message else "success", t.total, t.added, t.latest, t.batches, message, t.corrupt, t.empty)

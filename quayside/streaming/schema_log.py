@@ -19,9 +19,11 @@ LOG_SCHEMA = StructType([
     StructField("version", LongType()),
 ])
 
-# Type changes a column may take between batches: old Parquet files stay readable
-# under the wider type. Any other change keeps the logged type.
-WIDENINGS = {("int", "bigint"): "bigint", ("int", "double"): "double"}
+# Type changes a column may take between batches. Any other change keeps the logged type.
+WIDENINGS = {("int", "bigint"): "bigint", ("int", "double"): "double", ("bigint", "double"): "double",
+             ("date", "timestamp"): "timestamp"}
+# Of these, the ones a Parquet scan cannot read from old files: read as written, then cast.
+CAST_ON_READ = {("bigint", "double"), ("date", "timestamp")}
 
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
@@ -41,6 +43,15 @@ def latest_columns(spark: SparkSession, log_path: str, before: int | None = None
     return [(r.column_name, r.data_type) for r in rows]
 
 
+def versions(spark: SparkSession, log_path: str) -> list[tuple[int, list[tuple[str, str]]]]:
+    """(first batch, columns) of every version, oldest first. One row per column and version
+    that changed the schema: bounded by the table's schema history."""
+    out: dict[int, list[tuple[str, str]]] = {}
+    for r in read_log(spark, log_path).orderBy("version", "position").collect():
+        out.setdefault(r.version, []).append((r.column_name, r.data_type))
+    return sorted(out.items())
+
+
 def write_version(spark: SparkSession, log_path: str, version: int, columns: list[tuple[str, str]]) -> None:
     rows = [(i, n, t, version) for i, (n, t) in enumerate(columns)]
     (spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("overwrite")

@@ -42,10 +42,17 @@ def register_loaded_table(spark: SparkSession, name: str, table_path: str, check
 
     A parquet catalog table cannot change a column's type in place, so after a
     widening the entry is dropped (external: data stays) and created again with
-    the comment it had.
+    the comment it had. A table with batches that must be cast on reading cannot be a
+    plain Parquet entry: this raises, and ``read_table`` reads it.
     """
+    from quayside.streaming import schema_log
     from quayside.streaming.ingest import read_table
 
+    versions = schema_log.versions(spark, f"{checkpoint_path}/schema")
+    latest = dict(versions[-1][1]) if versions else {}
+    changed = sorted({n for _, cols in versions for n, t in cols if (t, latest.get(n)) in schema_log.CAST_ON_READ})
+    if changed:
+        raise ValueError(f"{name}: columns {changed} changed type between batches; read the table with read_table")
     schema = read_table(spark, table_path, checkpoint_path).schema
     kept = table_comment(spark, name) if spark.catalog.tableExists(name) else None
     spark.sql(f"DROP TABLE IF EXISTS {name}")

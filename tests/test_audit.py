@@ -87,7 +87,7 @@ def test_json_rows_round_trip(spark):
     from quayside.functions.records import from_json_rows, to_json_rows
     from quayside.streaming.ingest import RESULT_SCHEMA
 
-    res = spark.createDataFrame([("success", "t", 3, 3, "2024-01-01 00:00:00.000000", "/ck", 1, None)], RESULT_SCHEMA)
+    res = spark.createDataFrame([("success", "t", 3, 3, "2024-01-01 00:00:00.000000", "/ck", 1, None, 0, 0)], RESULT_SCHEMA)
     js = to_json_rows(res)
     assert js.first().json.startswith('{"status":"success","table_name":"t","total_rows":3')
     assert from_json_rows(js, RESULT_SCHEMA).collect() == res.collect()

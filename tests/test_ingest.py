@@ -1,10 +1,10 @@
 import os
 import time
 
-from pyspark.sql import functions as F
+import pytest
 
 from quayside.streaming import schema_log
-from quayside.streaming.ingest import IngestOptions, ingest_table, make_batch_function, read_table
+from quayside.streaming.ingest import IngestOptions, ingest_table, make_batch_function, read_headers, read_table
 
 AS_OF = "2024-06-01 00:00:00"
 
@@ -79,7 +79,8 @@ def test_corrupt_rows_are_kept(spark, tmp):
     put(tmp, "land/year=2024/month=01/a.csv", "id,qty\n1,5\n2,7\n")
     run(spark, tmp)
     put(tmp, "land/year=2024/month=02/b.csv", "id,qty\n3,lots\n4\n5,9\n")
-    run(spark, tmp)
+    r = run(spark, tmp)
+    assert (r.rows_added, r.corrupt_rows, r.empty_files) == (3, 2, 0)
     rows = {x.id: (x.qty, x._corrupt_record) for x in table(spark, tmp).collect()}
     assert rows[1] == (5, None) and rows[5] == (9, None)
     assert rows[3] == (None, "3,lots")
@@ -94,9 +95,12 @@ def test_type_drift_widens_int(spark, tmp):
     assert dict(schema_log.latest_columns(spark, f"{tmp}/ckpt/schema"))["v"] == "bigint"
     put(tmp, "land/year=2024/month=03/c.csv", "k,v\n3,2.5\n4,text\n")
     run(spark, tmp)
-    assert dict(schema_log.latest_columns(spark, f"{tmp}/ckpt/schema"))["v"] == "bigint"
+    assert dict(schema_log.latest_columns(spark, f"{tmp}/ckpt/schema"))["v"] == "bigint"  # text among them
+    put(tmp, "land/year=2024/month=04/d.csv", "k,v\n5,2.5\n")
+    assert run(spark, tmp).corrupt_rows == 0
+    assert dict(schema_log.latest_columns(spark, f"{tmp}/ckpt/schema"))["v"] == "double"
     rows = {x.k: (x.v, x._corrupt_record is not None) for x in table(spark, tmp).collect()}
-    assert rows == {1: (10, False), 2: (9999999999, False), 3: (None, True), 4: (None, True)}
+    assert rows == {1: (10.0, False), 2: (9999999999.0, False), 3: (None, True), 4: (None, True), 5: (2.5, False)}
 
 
 def test_type_override_keeps_leading_zeros(spark, tmp):
@@ -138,9 +142,11 @@ def test_late_file_with_old_mtime_is_read(spark, tmp):
 def test_new_checkpoint_starts_table_anew(spark, tmp):
     put(tmp, "land/year=2024/month=01/a.csv", "a\n1\n")
     run(spark, tmp)
-    ingest_table(spark, f"{tmp}/land", f"{tmp}/table", f"{tmp}/ckpt2", "t", IngestOptions(as_of=AS_OF)).first()
-    assert spark.read.parquet(f"{tmp}/table").count() == 1
-    assert F is not None
+    again = (spark, f"{tmp}/land", f"{tmp}/table", f"{tmp}/ckpt2", "t")
+    r = ingest_table(*again, IngestOptions(as_of=AS_OF)).first()  # nothing is deleted by default
+    assert r.status == "failed" and table(spark, tmp).count() == 1
+    r = ingest_table(*again, IngestOptions(as_of=AS_OF, on_new_checkpoint="truncate")).first()
+    assert r.status == "success" and spark.read.parquet(f"{tmp}/table").count() == 1
 
 
 def test_register_loaded_table_keeps_comment_and_widens(spark, tmp):
@@ -200,12 +206,61 @@ def test_schema_log_versions_only_for_changing_batches(spark, tmp):
     assert rows == {(1, 1, None), (2, 2, None), (3, 3, None), (4, 4, "x"), (5, 5000000000, None)}
 
 
-def test_header_found_across_read_pieces(spark, tmp, monkeypatch):
-    import quayside.streaming.ingest as ingest
+def test_dates_keep_their_times(spark, tmp):
+    put(tmp, "land/year=2024/month=01/a.csv", "k,at\n1,2024-01-01\n")
+    run(spark, tmp)
+    assert dict(schema_log.latest_columns(spark, f"{tmp}/ckpt/schema"))["at"] == "date"
+    put(tmp, "land/year=2024/month=02/b.csv", "k,at\n2,2024-01-02 10:00:00\n")
+    run(spark, tmp)
+    assert {x.k: str(x.at) for x in table(spark, tmp).collect()} == {1: "2024-01-01 00:00:00", 2: "2024-01-02 10:00:00"}
+
+
+def test_long_header_blank_first_line_and_line_ends(spark, tmp):
+    wide = ",".join(f"{'long_' * 60}{k}" for k in range(5_000))  # above 1 MB
+    assert len(wide) > 1 << 20
+    put(tmp, "land/year=2024/month=01/blank.csv", "\n\nA,B\n1,2\n")
+    put(tmp, "land/year=2024/month=01/cr.csv", "A,B\r3,4\r")
+    put(tmp, "land/year=2024/month=01/crlf.csv", "\r\nA,B\r\n5,6\r\n")
+    r = run(spark, tmp)
+    assert (r.status, r.total_rows) == ("success", 3)
+    assert sorted((x.a, x.b) for x in table(spark, tmp).collect()) == [(1, 2), (3, 4), (5, 6)]
+    path = put(tmp, "wide/w.csv", wide + "\n")
+    names = read_headers(spark, [path], IngestOptions())[path]
+    assert len(names) == 5_000 and names[-1].endswith("_4999")
+
+
+def test_quoted_newline_in_header(spark, tmp):
+    put(tmp, "land/year=2024/month=01/a.csv", '"a\nb",c\n1,2\n')
+    assert run(spark, tmp, multi_line=True).total_rows == 1
+    assert (table(spark, tmp).first().a_b, table(spark, tmp).first().c) == (1, 2)
 
-    monkeypatch.setattr(ingest, "HEADER_PIECE_BYTES", 3)  # the header line spans many pieces
-    put(tmp, "land/year=2024/month=01/a.csv", "Contract ID,Año,N\nH1,x,1\nH2,y,2\n")
+
+def test_empty_files_are_counted_and_do_not_block(spark, tmp):
+    put(tmp, "land/year=2024/month=01/a.csv", "\n")
+    put(tmp, "land/year=2024/month=01/b.csv", "\r\n\n")
+    put(tmp, "land/year=2024/month=01/c.csv", "")  # of no bytes: the file source does not list it
+    r = run(spark, tmp)
+    assert (r.status, r.total_rows, r.empty_files) == ("success", 0, 2)
+    put(tmp, "land/year=2024/month=02/c.csv", "a\n1\n")
     r = run(spark, tmp)
-    assert (r.status, r.total_rows) == ("success", 2)
-    rows = sorted((x.contract_id, x.a_o, x.n) for x in table(spark, tmp).collect())
-    assert rows == [("H1", "x", 1), ("H2", "y", 2)]
+    assert (r.status, r.total_rows, r.empty_files) == ("success", 1, 0)
+
+
+def test_unreadable_file_fails_the_batch_and_is_tried_again(spark, tmp):
+    put(tmp, "land/year=2024/month=01/a.csv", "a\n1\n")
+    fn = make_batch_function(spark, f"{tmp}/table", f"{tmp}/ckpt/schema", IngestOptions(as_of=AS_OF))
+    paths = [(f"file:{tmp}/land/year=2024/month=01/{n}", 4) for n in ("a.csv", "gone.csv")]
+    with pytest.raises(Exception, match="gone.csv"):
+        fn(spark.createDataFrame(paths, "path string, length long"), 0)
+    assert not os.path.exists(f"{tmp}/table")
+    bad = put(tmp, "land/year=2024/month=02/z.csv", "a\n2\n")
+    r = run(spark, tmp, encoding="no-such-charset")
+    assert r.status == "failed" and r.message and r.total_rows == 0
+    assert (run(spark, tmp).status, run(spark, tmp).total_rows, os.path.exists(bad)) == ("success", 2, True)
+
+
+def test_file_from_1980_is_read(spark, tmp):
+    put(tmp, "land/year=2024/month=01/a.csv", "a\n1\n")
+    run(spark, tmp)
+    put(tmp, "land/year=1980/month=01/old.csv", "a\n2\n", mtime=315_600_000)
+    assert run(spark, tmp).total_rows == 2
