@@ -33,13 +33,6 @@ def quarter_label(month: Column | str) -> Column:
     return F.when(m.between(1, 12), F.concat(F.lit("q"), F.ceil(m / 3).cast("int").cast("string")))
 
 
-def quarter_first_month(quarter: Column | str) -> Column:
-    """'q1'..'q4' -> 1, 4, 7, 10; NULL for anything else."""
-    q = _c(quarter)
-    n = F.nullif(F.regexp_extract(q, r"^q([1-4])$", 1), F.lit("")).try_cast("int")
-    return n * 3 - 2
-
-
 def period_columns(period_start: Column | str) -> list[Column]:
     """year, month, month_name, quarter of a first-of-month date."""
     d = _c(period_start)

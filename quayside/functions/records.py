@@ -1,7 +1,7 @@
 """Rows as JSON and back (task lists, ingest results, run summaries).
 
 One JSON document per row (JSON Lines), so a task list of any length stays
-distributed; ``json_array`` is only for small, bounded frames such as a summary.
+distributed.
 """
 
 from __future__ import annotations

@@ -1,210 +1,191 @@
 """Land CSV members into the partitioned landing tree.
 
-One text file per member under ``dataset=/year=/month=/member=`` (the whole
-member path is the partition value, so members with equal base names in
-different folders never collide). Written by the executors with dynamic
-partition overwrite: only the touched member folders are replaced, and the job
-commit makes a partial write invisible.
-
-A member already landed for its (dataset, year, month, member) is skipped (anti
-join against the manifest), so a re-fetched archive never doubles its rows in
-the stream, which tracks files by name.
-
-``land_archive_members`` starts from an archive listing: the check runs on member
-metadata, and only members still to land are read. Members up to
-``STREAM_MEMBER_BYTES`` are decoded rows written by Spark's text writer in the task
-that read them; larger ones are streamed by a task from the archive into their
-landing file, so no member is ever held whole.
+One file per member (``sources/landing.py``). Every member is landed in the same way: a task
+streams it in pieces, checked against the charset and re-encoded as UTF-8, into a hidden
+staging file that is moved onto the member's fixed name at the end. So no member is ever held
+whole, and a retried attempt replaces its own file. A member that is not valid in its charset,
+or whose archive is damaged, is not landed and is a row with ``error`` in the report; any other
+failure (storage, network) raises, and Spark tries the task again.
+
+The landing key is (dataset, year, month, archive, member): equal member names of two archives
+are two files. A member already landed for its key is skipped (anti join against the manifest),
+so a re-fetched archive never doubles its rows in the stream, which tracks files by name.
 """
 
 from __future__ import annotations
 
+import zipfile
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.sizing import broadcast_if_small
-from quayside.sources.archives import decode_members, read_members
-from quayside.sources.landing import LANDING_FILE_SCHEMA, landing_manifest, partition_folder
-from quayside.streaming import fsutil
+from quayside.session import scratch_dir, ship_package
+from quayside.sources.archives import NO_ARCHIVE, READ_CHUNK_BYTES, READ_CHUNK_MEMBERS
+from quayside.sources.landing import KEYS, landed_files, landing_manifest
 
-KEYS = ["dataset", "year", "month", "member"]
+PIECE_BYTES = 8 << 20
+REPORT = "dataset string, year int, month int, archive string, member string, landed_bytes long, error string"
+_AS_TEXT = "dataset string, year string, month string, archive string, member string, landed_bytes long, error string"
 
-# Members above this many bytes are streamed by a task from the archive into their
-# landing file, decompressed and checked in pieces, never held whole as one row (a
-# member above 2 GB could not be a row at all).
-STREAM_MEMBER_BYTES = 256 << 20
-STREAM_PIECE_BYTES = 8 << 20
-# Fixed file name of a streamed member: a retried attempt replaces it.
-STREAMED_FILE = "part-00000-streamed.txt"
+Partitions = list[tuple[str | None, int | None, int | None]] | None
 
 
-def members_to_land(members: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Rows of ``members`` (with the four key columns) whose key is not in the manifest.
+def _keyed(df: DataFrame, default_archive) -> DataFrame:
+    """``df`` with all key columns; an empty dataset or archive is the default partition, NULL."""
+    if "archive" not in df.columns:
+        df = df.withColumn("archive", default_archive)
+    return df.withColumns({"dataset": F.nullif("dataset", F.lit("")), "archive": F.nullif("archive", F.lit(""))})
 
-    The landed keys (a listing of the touched folders) are broadcast when their
-    count is small, so the member content is never shuffled for this check and
-    is written by the tasks that read it; above the bound Spark shuffles both sides.
-    """
-    landed = broadcast_if_small(manifest.select(*KEYS).distinct())
+
+def members_to_land(members: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Rows of ``members`` (with the key columns) whose key is not in the manifest. Both sides
+    are metadata; Spark picks the join by their sizes."""
+    landed = manifest.select(*KEYS).distinct()
     return members.join(landed, [members[k].eqNullSafe(landed[k]) for k in KEYS], "left_anti")
 
 
-def land_members(spark: SparkSession, members: DataFrame, root: str, skip_landed: bool = True,
-                 partitions: list[tuple[str, int | None, int | None]] | None = None) -> None:
-    """Write each member's ``text`` (rows with NULL text, i.e. undecodable, are not
-    written). What was landed is read back from the manifest afterwards
-    (``landed_keys``), not from this lineage, so content is read once.
-
-    ``partitions``: the (dataset, year, month) folders this landing can touch; when
-    given, only those are listed for the already-landed check."""
-    todo = members.select(*KEYS, "text").where(F.col("text").isNotNull())
-    if skip_landed:
-        # The manifest listing is taken here, once; the anti join sees that snapshot.
-        todo = members_to_land(todo, landing_manifest(spark, root, partitions))
-    _write_members(todo, root, append=skip_landed)
+def _text_keys(df: DataFrame, *more: str) -> DataFrame:
+    """Keys as strings (pandas would turn nullable ints into floats)."""
+    return df.select(*more, *[F.col(k).cast("string").alias(k) for k in KEYS])
 
 
-def _write_members(todo: DataFrame, root: str, append: bool) -> None:
-    out = todo.select("dataset", "year", F.lpad(F.col("month").cast("string"), 2, "0").alias("month"),
-                      "member", F.col("text").alias("value"))
-    # New members only: a plain append (job commit makes it all-or-nothing). A forced
-    # re-landing replaces exactly the touched member folders.
-    writer = (out.write.mode("append") if append
-              else out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic"))
-    writer.partitionBy("dataset", "year", "month", "member").text(root)
+def _pieces(read, charset: str):
+    """The bytes of ``read`` as UTF-8, ended by one newline; raises on bytes invalid in ``charset``."""
+    import codecs
 
+    utf8 = charset.upper().replace("-", "") == "UTF8"
+    decoder = codecs.getincrementaldecoder(charset)()
+    while piece := read(PIECE_BYTES):
+        text = decoder.decode(piece)
+        yield piece if utf8 else text.encode("utf-8")
+    tail = decoder.decode(b"", final=True)
+    if tail and not utf8:
+        yield tail.encode("utf-8")
+    yield b"\n"
 
-def land_archive_members(spark: SparkSession, listed: DataFrame, root: str,
-                         partitions: list[tuple[str, int | None, int | None]] | None = None,
-                         charset: str = "UTF-8") -> None:
-    """Land members straight from an archive listing.
 
-    ``listed``: (archive_path, member, read_chunk, dataset, year, month), the members
-    to land with their landing keys (from ``archive_members`` without content). The
-    already-landed check runs on this metadata, so only members still to land are
-    read, decoded and written, each by the task that reads it; a re-fetched archive
-    costs a listing, not a read of its bytes. Undecodable members are not written.
-    """
-    listed = one_per_key(listed)
-    big = F.col("size_bytes") > F.lit(STREAM_MEMBER_BYTES)
-    if "size_bytes" in listed.columns:
-        _stream_members(spark, listed.where(big), root, partitions, charset)
-        listed = listed.where(~big | F.col("size_bytes").isNull())
-    _write_members(archive_landing_plan(spark, listed, root, partitions, charset), root, append=True)
+def _target(root: str, keys: tuple) -> str:
+    from quayside.sources.landing import member_path
 
+    dataset, year, month, archive, member = keys
+    return member_path(root, dataset, year and int(year), month and int(month), archive, member)
 
-def _stream_task(root: str, charset: str):
-    def run(batches):
-        import codecs
-        import zipfile
 
+def _archive_task(root: str, charset: str):
+    def run(batches):
         import pandas as pd
 
         from quayside.sources.archives import _open_seekable
-        from quayside.sources.landing import escape_partition_value, partition_folder
         from quayside.streaming.fsutil import write_file
 
-        utf8 = charset.upper().replace("-", "") == "UTF8"
-        cols = ["dataset", "year", "month", "member", "landed_bytes", "error"]
         for pdf in batches:
+            pdf = pdf.astype(object).where(pdf.notna(), None)
             out = []
             for path, group in pdf.groupby("archive_path", sort=False):
-                rows = list(zip(group["dataset"], group["year"], group["month"], group["member"]))
+                rows, begin = list(zip(*[group[k] for k in KEYS])), len(out)
                 try:
                     with _open_seekable(path) as raw, zipfile.ZipFile(raw) as zf:
-                        for dataset, year, month, member in rows:
-                            y = None if year is None else int(year)
-                            mo = None if month is None else int(month)
-                            target = (f"{partition_folder(root, dataset, y, mo)}/member="
-                                      f"{escape_partition_value(member)}/{STREAMED_FILE}")
-                            decoder = codecs.getincrementaldecoder(charset)()
-
-                            def pieces(name=member, dec=decoder):
-                                with zf.open(name) as src:
-                                    while piece := src.read(STREAM_PIECE_BYTES):
-                                        text = dec.decode(piece)  # raises on bytes invalid in charset
-                                        yield piece if utf8 else text.encode("utf-8")
-                                    tail = dec.decode(b"", final=True)
-                                    if tail and not utf8:
-                                        yield tail.encode("utf-8")
-                                yield b"\n"  # as the text writer ends each member
-
+                        for keys in rows:
                             try:
-                                out.append((dataset, year, month, member, write_file(target, pieces()), None))
-                            except UnicodeDecodeError as e:  # not landed, like an undecodable row
-                                out.append((dataset, year, month, member, None, f"{type(e).__name__}: {e}"))
-                except Exception as e:  # archive unreadable since listing
-                    out.extend((d, y, m, mem, None, f"{type(e).__name__}: {e}") for d, y, m, mem in rows)
-            yield pd.DataFrame(out, columns=cols)
+                                with zf.open(keys[-1]) as src:
+                                    out.append((*keys, write_file(_target(root, keys), _pieces(src.read, charset)), None))
+                            except (UnicodeDecodeError, zipfile.BadZipFile, zlib.error, KeyError, EOFError) as e:
+                                out.append((*keys, None, f"{type(e).__name__}: {e}"))
+                except NO_ARCHIVE as e:  # replaced since it was listed
+                    out.extend((*keys, None, f"{type(e).__name__}: {e}") for keys in rows[len(out) - begin:])
+            yield pd.DataFrame(out, columns=[*KEYS, "landed_bytes", "error"])
 
     return run
 
 
-def _stream_members(spark: SparkSession, listed: DataFrame, root: str,
-                    partitions: list[tuple[str, int | None, int | None]] | None, charset: str) -> None:
-    """Land big members by streaming them, each task a share of them (not yet landed only)."""
-    from quayside.session import ship_package
+def _text_task(root: str):
+    def run(batches):
+        import io
+
+        import pandas as pd
+
+        from quayside.streaming.fsutil import write_file
+
+        for pdf in batches:
+            pdf = pdf.astype(object).where(pdf.notna(), None)
+            out = [(*keys, write_file(_target(root, keys), _pieces(io.BytesIO(text.encode()).read, "utf-8")), None)
+                   for text, *keys in pdf[["text", *KEYS]].itertuples(index=False)]
+            yield pd.DataFrame(out, columns=[*KEYS, "landed_bytes", "error"])
+
+    return run
 
-    if listed.isEmpty():  # one listing pass; the usual case with no member above the bound
-        return
-    ship_package(spark)
-    keys = listed.select("archive_path", *KEYS).dropDuplicates(["archive_path", *KEYS])
-    todo = members_to_land(keys, landing_manifest(spark, root, partitions))
-    n = 2 * spark.sparkContext.defaultParallelism
-    spread = (todo.select("archive_path", "dataset", F.col("year").cast("string").alias("year"),
-                          F.col("month").cast("string").alias("month"), "member")
-              .repartitionByRange(n, "archive_path", "member"))
-    done = spread.mapInPandas(_stream_task(root, charset),
-                              "dataset string, year string, month string, member string, "
-                              "landed_bytes long, error string")
-    done.write.format("noop").mode("overwrite").save()
+
+def _report(spark: SparkSession, landed: DataFrame) -> DataFrame:
+    """Run the landing once: its report, written and read again."""
+    path = scratch_dir(spark, "landing-report")
+    landed.select(*[F.col(k).cast("int" if k in ("year", "month") else "string").alias(k) for k in KEYS],
+                  "landed_bytes", "error").write.parquet(path)
+    return spark.read.schema(REPORT).parquet(path)
 
 
 def one_per_key(listed: DataFrame) -> DataFrame:
-    """One listing row per landing key: when archives of a run hold the same member for
-    the same dataset and period, the archive with the greatest path wins (one file per
-    member folder, whatever the order the archives were fetched in)."""
+    """One listing row per landing key: of archives that share a key, the greatest path."""
     rest = [c for c in listed.columns if c not in KEYS]
     pick = F.max_by(F.struct(*rest), F.col("archive_path"))
     return listed.groupBy(*KEYS).agg(pick.alias("_pick")).select(*KEYS, *[F.col(f"_pick.{c}").alias(c) for c in rest])
 
 
-def archive_landing_plan(spark: SparkSession, listed: DataFrame, root: str,
-                         partitions: list[tuple[str, int | None, int | None]] | None = None,
+def landing_tasks(spark: SparkSession, todo: DataFrame, root: str, charset: str = "UTF-8") -> DataFrame:
+    """The landing of ``todo`` (archive_path, size_bytes and keys), spread over tasks of about
+    ``READ_CHUNK_BYTES`` or ``READ_CHUNK_MEMBERS``. Only these rows cross an exchange."""
+    ship_package(spark)
+    size = todo.agg(F.count("*").alias("n"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes")).first()
+    tasks = max(1, -(-size.n // READ_CHUNK_MEMBERS), -(-size.bytes // READ_CHUNK_BYTES))
+    spread = _text_keys(todo, "archive_path").repartitionByRange(max(tasks, min(size.n, spark.sparkContext.defaultParallelism), 1), "archive_path", "member")
+    return spread.mapInPandas(_archive_task(root, charset), _AS_TEXT)
+
+
+def land_archive_members(spark: SparkSession, listed: DataFrame, root: str, partitions: Partitions = None,
                          charset: str = "UTF-8") -> DataFrame:
-    """The rows ``land_archive_members`` writes: members not landed yet, read and decoded.
+    """Land members straight from an archive listing; returns the report (keys, landed_bytes,
+    error) of the members not landed before.
 
-    Every exchange in this plan carries metadata; the content is produced above the
-    last one, so it is written by the task that read it.
+    ``listed``: (archive_path, member, dataset, year, month), and size_bytes and archive (the
+    archive's key; its base name by default) if known. The already-landed check runs on this
+    metadata, so a re-fetched archive costs a listing, not a read of its bytes.
     """
-    keys = listed.select("archive_path", "member", "read_chunk", *KEYS).dropDuplicates(
-        ["archive_path", "member", *KEYS])
-    todo = members_to_land(keys, landing_manifest(spark, root, partitions))
-    content = decode_members(read_members(todo), charset)
-    return content.where(F.col("text").isNotNull())
+    listed = _keyed(listed, F.regexp_extract("archive_path", r"[^/]*$", 0))
+    if "size_bytes" not in listed.columns:
+        listed = listed.withColumn("size_bytes", F.lit(None).cast("long"))
+    todo = members_to_land(one_per_key(listed.select("archive_path", "size_bytes", *KEYS)),
+                           landing_manifest(spark, root, partitions))
+    path = scratch_dir(spark, "landing-todo")
+    todo.write.parquet(path)
+    return _report(spark, landing_tasks(spark, spark.read.schema(todo.schema).parquet(path), root, charset))
+
+
+def land_members(spark: SparkSession, members: DataFrame, root: str, skip_landed: bool = True,
+                 partitions: Partitions = None) -> DataFrame:
+    """Land decoded rows (keys without ``archive`` or with it, and ``text``); rows with NULL text,
+    i.e. undecodable, are not landed. Returns the report."""
+    ship_package(spark)
+    todo = _keyed(members, F.lit(None).cast("string")).where(F.col("text").isNotNull()).select(*KEYS, "text")
+    if skip_landed:
+        todo = members_to_land(todo, landing_manifest(spark, root, partitions))
+    return _report(spark, _text_keys(todo, "text").mapInPandas(_text_task(root), _AS_TEXT))
 
 
-def landed_keys(spark: SparkSession, root: str,
-                partitions: list[tuple[str, int | None, int | None]] | None = None) -> DataFrame:
-    """(dataset, year, month, member, landed_bytes) of landed members (optionally of
+def landed_keys(spark: SparkSession, root: str, partitions: Partitions = None) -> DataFrame:
+    """(dataset, year, month, archive, member, landed_bytes) of landed members (optionally of
     the given partition folders only)."""
-    return landing_manifest(spark, root, partitions).groupBy(*KEYS).agg(F.sum("length").alias("landed_bytes"))
+    return landing_manifest(spark, root, partitions).select(*KEYS, F.col("length").alias("landed_bytes"))
 
 
-def changed_members(spark: SparkSession, members: DataFrame, root: str,
-                    partitions: list[tuple[str, int | None, int | None]]) -> DataFrame:
-    """Members already landed whose new content differs (MD5) from the landed file.
+def changed_members(spark: SparkSession, members: DataFrame, root: str, partitions: Partitions) -> DataFrame:
+    """Members already landed whose new ``text`` differs (MD5) from the landed file.
 
     Landing skips such members (their earlier file was, or will be, loaded once);
     this reports them. It reads the landed files of the given partition folders.
     """
-    folders = [f for f in {partition_folder(root, d, y, m) for d, y, m in partitions} if fsutil.exists(spark, f)]
-    if not folders:
-        return spark.createDataFrame([], "dataset string, year int, month int, member string, "
-                                         "landed_md5 string, new_md5 string")
-    landed = (spark.read.format("binaryFile").schema(LANDING_FILE_SCHEMA).option("basePath", root).load(sorted(folders))
-              .select(*KEYS, F.md5("content").alias("landed_md5")))
-    # The landing writer ends each member with one newline.
+    landed = landed_files(spark, root, partitions).select(*KEYS, F.md5("content").alias("landed_md5"))
+    members = _keyed(members, F.lit(None).cast("string"))
+    # Landing ends each member with one newline.
     new = members.where(F.col("text").isNotNull()).select(
         *KEYS, F.md5(F.concat(F.col("text"), F.lit("\n"))).alias("new_md5"))
     cond = [new[k].eqNullSafe(landed[k]) for k in KEYS]

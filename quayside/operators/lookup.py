@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.operators.sizing import broadcast_if_small
-
 
 def first_by_landing_path(catalog: DataFrame) -> DataFrame:
     order = F.struct("catalog_file", "position")
@@ -22,7 +20,7 @@ def first_by_landing_path(catalog: DataFrame) -> DataFrame:
 
 def lookup_dataset(df: DataFrame, catalog: DataFrame, key: str = "landing_path") -> DataFrame:
     """Adds ``table_name`` and ``comment`` to ``df`` by its ``key`` column."""
-    first = broadcast_if_small(first_by_landing_path(catalog).withColumnRenamed("landing_path", "_lk"))
+    first = first_by_landing_path(catalog).withColumnRenamed("landing_path", "_lk")
     joined = df.join(first, df[key] == first["_lk"], "left")
     return joined.select(
         *[df[c] for c in df.columns],

@@ -112,24 +112,3 @@ def task_sample(tasks: DataFrame, n: int = 3, prefix: int = 80) -> DataFrame:
         .limit(n)
         .select("position", "table_name", F.substring("url", 1, prefix).alias("url_prefix"), "year", "month")
     )
-
-
-def task_landing_paths(tasks: DataFrame, root: str) -> DataFrame:
-    """Adds ``target_path`` = root/landing_path[/year=Y[/month=MM]]."""
-    base = F.concat(F.lit(root.rstrip("/") + "/"), F.col("landing_path"))
-    return tasks.withColumn("target_path", partition_path(base, "year", "month"))
-
-
-__all__ = [
-    "KNOWN_PARAMETERS",
-    "backfill_periods",
-    "expected_files",
-    "incremental_periods",
-    "month_name",
-    "quarter_label",
-    "qualifies",
-    "skipped_templates",
-    "task_counts",
-    "task_landing_paths",
-    "task_sample",
-]

@@ -242,7 +242,71 @@ def events_as_members(events: DataFrame) -> DataFrame:
     )
 
 
-__all__ = [
-    "month_name",
-    "quarter_label",
-]
+# --------------------------------------------------------------------------- unfriendly CSV files
+
+# Rows per file of the messy landing.
+MESSY_ROWS = 1_000
+
+
+def land_messy_orders(orders: DataFrame, path: str) -> None:
+    """Orders as CSV files of four kinds, by key: plain, after blank lines, with CR line ends,
+    and with a newline inside a quoted header; and one file of blank lines. A file holds the rows
+    of one kind and block of 1,000 keys, built as one text value."""
+    kind, block = F.pmod("o_orderkey", F.lit(4)), F.floor(F.col("o_orderkey") / MESSY_ROWS)
+    cells = [F.col(c).cast("string") for c in ORDERS_HEADERS if c != "o_orderdate"]
+    cells.insert(4, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS"))
+    header = ",".join(ORDERS_HEADERS.values())
+    quoted = ",".join(f'"{h.replace(" ", chr(10))}"' for h in ORDERS_HEADERS.values())
+    lead = F.when(kind == 1, F.lit("\n\n" + header)).when(kind == 3, F.lit(quoted)).otherwise(F.lit(header))
+    line = orders.select(kind.alias("kind"), block.alias("block"), lead.alias("lead"), F.concat_ws(",", *cells).alias("line"))
+    text = line.groupBy("kind", "block", "lead").agg(F.array_join(F.sort_array(F.collect_list("line")), "\n").alias("rows"))
+    text = text.select("kind", "block", F.concat("lead", F.lit("\n"), "rows").alias("value"))
+    # A CR file: its header holds no newline, so all newlines are line ends.
+    text = text.withColumn("value", F.when(F.col("kind") == 2, F.replace("value", F.lit("\n"), F.lit("\r"))).otherwise(F.col("value")))
+    blank = orders.sparkSession.createDataFrame([(4, 0, "\n\n")], "kind int, block long, value string")
+    text.unionByName(blank).write.partitionBy("kind", "block").text(path)
+
+
+# --------------------------------------------------------------------------- a whole run from orders
+
+
+def order_catalog(orders: DataFrame) -> DataFrame:
+    """One monthly template per order priority; priorities share two landing paths."""
+    k = F.substring("o_orderpriority", 1, 1)
+    dataset = F.concat(F.lit("orders_"), F.pmod(F.col("priority").cast("int"), F.lit(2)).cast("string"))
+    return orders.select(k.alias("priority")).distinct().select(
+        F.lit("all").alias("doc"), "priority",
+        F.concat(F.lit("https://files.example/p"), F.col("priority"), F.lit("/orders-{month_name}-{year}.zip")).alias("url_pattern"),
+        dataset.alias("table_name"), F.array(F.lit("month_name"), F.lit("year")).alias("parameters"), dataset.alias("landing_path"),
+        F.lit("Orders' files").alias("comment"),
+    )
+
+
+def build_order_archives(orders: DataFrame, out_dir: str) -> DataFrame:
+    """A zip archive per priority and month, ``p{k}/orders-{month_name}-{year}.zip``: base names
+    repeat over the priorities and every archive's only CSV member is ``data.csv``."""
+    from quayside.session import ship_package
+
+    ship_package(orders.sparkSession)
+    base = out_dir.rstrip("/")
+    name = F.concat(F.lit("p"), F.substring("o_orderpriority", 1, 1), F.lit("/orders-"), month_name(F.month("o_orderdate")),
+                    F.lit("-"), F.year("o_orderdate").cast("string"), F.lit(".zip"))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.col("o_totalprice").cast("string"))
+
+    def build(pdf):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        from quayside.plans.derive import _write_bytes
+
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr("readme.txt", "monthly orders")
+            zf.writestr("data.csv", "O OrderKey,O-CustKey,O TotalPrice ($)\n" + "\n".join(sorted(pdf["line"])) + "\n")
+        archive = pdf["archive"].iloc[0]
+        _write_bytes(f"{base}/{archive}", buf.getvalue())
+        return pd.DataFrame({"archive": [archive], "rows": [len(pdf)]})
+
+    return orders.select(name.alias("archive"), line.alias("line")).groupBy("archive").applyInPandas(build, "archive string, rows long")

@@ -8,6 +8,7 @@ Computed columns carry the same alias on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +22,10 @@ from quayside.operators.land import land_archive_members, landed_keys
 from quayside.operators.lookup import lookup_dataset
 from quayside.operators.tasks import backfill_periods, expected_files, task_counts, task_sample
 from quayside.plans import derive as D
+from quayside.plans.run import run_load
 from quayside.session import scratch_dir
 from quayside.sources.archives import archive_members, decode_members, is_csv, scan_archives
-from quayside.sources.catalog import read_catalog, read_csv_strings, read_json_array
+from quayside.sources.catalog import read_catalog, read_csv_strings, read_json_array, write_catalog
 from quayside.sources.landing import landing_manifest
 from quayside.streaming import schema_log
 from quayside.streaming.ingest import IngestOptions, ingest_table, read_table
@@ -314,10 +316,72 @@ def ingest_incremental(spark, sf):
     return t.select(*_orders_cols(t), F.col("_batch_id").alias("load_run"))
 
 
-@query("ingest_batched", ORDERS_OUT_SQL)
+@query("ingest_batched", ORDERS_OUT_SQL.replace(" FROM", ", true AS full_batches, true AS bounded_batches FROM"))
 def ingest_batched(spark, sf):
+    """Rows as in ``ingest_csv``, and whether the load took as few micro-batches of at most 10
+    files as its files need, and none held more."""
     t, _, results = _ingest_orders(spark, sf, max_files=10)
-    return t.select(*_orders_cols(t))
+    per_batch = t.groupBy("_batch_id").agg(F.countDistinct("_source_file").alias("n"))
+    load = per_batch.agg(F.sum("n").alias("files"), F.max("n").alias("most")).select(
+        (F.ceil(F.col("files") / 10) == results[-1].batches).alias("full_batches"), (F.col("most") <= 10).alias("bounded_batches"))
+    return t.select(*_orders_cols(t)).crossJoin(load)  # one row
+
+
+@query("ingest_messy", ORDERS_OUT_SQL.replace(" FROM", ", CAST(0 AS BIGINT) AS corrupt_rows, CAST(1 AS BIGINT) AS empty_files FROM"))
+def ingest_messy(spark, sf):
+    """Blank first lines, CR line ends, newlines in quoted headers and a file without a record."""
+    root = scratch_dir(spark, "ingest-messy")
+    land, tbl, ck = f"{root}/landing/orders", f"{root}/tables/orders", f"{root}/checkpoints/orders"
+    D.land_messy_orders(D.table(spark, sf, "orders"), land)
+    r = ingest_table(spark, land, tbl, ck, "orders", IngestOptions(as_of=AS_OF, multi_line=True)).collect()[0]
+    if r.status != "success":
+        raise RuntimeError(f"ingest failed: {r.message}")
+    t = read_table(spark, tbl, ck)
+    return t.select(*_orders_cols(t), F.lit(r.corrupt_rows).alias("corrupt_rows"), F.lit(r.empty_files).alias("empty_files"))
+
+
+def _run_orders(spark, sf, runs: int):
+    root = scratch_dir(spark, "run-orders")
+    orders = D.table(spark, sf, "orders")
+    write_catalog(D.order_catalog(orders), f"{root}/catalog", group_col="doc", order_col="priority")
+    D.build_order_archives(orders, f"{root}/archives").write.format("noop").mode("overwrite").save()
+    years = orders.agg(F.min(F.year("o_orderdate")).alias("a"), F.max(F.year("o_orderdate")).alias("b")).first()
+    for _ in range(runs):  # the same time each: only the run id tells the runs apart
+        out = run_load(spark, f"{root}/catalog", f"{root}/archives", f"{root}/load", start_year=years.a, end_year=years.b, as_of=AS_OF)
+    return root, out
+
+
+@query("run_load", """
+SELECT 'orders_' || CAST(CAST(substr(o_orderpriority, 1, 1) AS INTEGER) % 2 AS VARCHAR) AS table_name, o_orderkey, o_custkey,
+       o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS _year, CAST(month(o_orderdate) AS INTEGER) AS _month FROM orders""")
+def run_load_q(spark, sf):
+    """All rows of the tables that a whole run loads."""
+    root, out = _run_orders(spark, sf, 1)
+    names = [r.table_name for r in out["results"].orderBy("table_name").collect()]
+    tables = [read_table(spark, f"{root}/load/tables/{n}", f"{root}/load/checkpoints/{n}") for n in names]
+    rows = [t.select(F.lit(n).alias("table_name"), F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint").alias("o_custkey"),
+                     F.col("o_totalprice").cast("double").alias("o_totalprice"), "_year", "_month") for n, t in zip(names, tables, strict=True)]
+    return reduce(DataFrame.unionAll, rows)
+
+
+@query("run_load_rerun", """
+WITH m AS (
+  SELECT substr(o_orderpriority, 1, 1) AS k, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders GROUP BY ALL),
+y AS (SELECT range AS year FROM range((SELECT min(year) FROM m), (SELECT max(year) + 1 FROM m))),
+p AS (SELECT DISTINCT k FROM m)
+SELECT 'https://files.example/p' || p.k || '/orders-' || lower(monthname(make_date(y.year, n.range, 1))) || '-' || CAST(y.year AS VARCHAR) || '.zip' AS url,
+       CASE WHEN m.k IS NULL THEN 'not_found' ELSE 'success' END AS download_status,
+       CASE WHEN m.k IS NULL THEN '' ELSE 'data.csv|readme.txt' END AS files_in_zip,
+       CAST(CASE WHEN m.k IS NULL THEN 0 ELSE 1 END AS INTEGER) AS csv_count,
+       CAST(CASE WHEN m.k IS NULL THEN 0 ELSE 1 END AS INTEGER) AS success_count,
+       (SELECT count(*) FROM orders) AS total_rows, CAST(0 AS BIGINT) AS rows_added
+FROM p CROSS JOIN y CROSS JOIN range(1, 13) n LEFT JOIN m ON m.k = p.k AND m.year = y.year AND m.month = n.range""")
+def run_load_rerun(spark, sf):
+    """The audit of a second run at the same time, and what its loads added."""
+    _, out = _run_orders(spark, sf, 2)
+    total = out["results"].agg(F.sum("total_rows").alias("total_rows"), F.sum("rows_added").alias("rows_added"))
+    return out["audit"].select("url", "download_status", F.array_join("files_in_zip", "|").alias("files_in_zip"),
+                               F.col("csv_count").cast("int").alias("csv_count"), F.col("success_count").cast("int").alias("success_count")).crossJoin(total)
 
 
 @query("lineage_columns", """
@@ -484,15 +548,15 @@ def _land_documents(spark, sf) -> str:
         listed = (archive_members(scan_archives(spark, archives, with_md5=False))
                   .withColumn("archive", F.regexp_extract("archive_path", r"[^/]*$", 0))
                   .where(F.col("error").isNull() & is_csv("member")))
-        land_archive_members(spark, listed.select("archive_path", "member", "read_chunk", "size_bytes",
+        land_archive_members(spark, listed.select("archive_path", "archive", "member", "size_bytes",
                                                   dataset.alias("dataset"),
                                                   F.lit(2024).alias("year"), month.alias("month")),
                              root, partitions=touched)
     return root
 
 
-@query("land_members", """
-SELECT source AS dataset, 2024 AS year, CAST((doc_id // 1000) % 12 + 1 AS INTEGER) AS month,
+@query("land_members", f"""
+SELECT source AS dataset, 2024 AS year, CAST((doc_id // 1000) % 12 + 1 AS INTEGER) AS month, {ARCHIVE_SQL} AS archive,
        lang || '/' || CAST(doc_id AS VARCHAR) || '.csv' AS member,
        CAST(octet_length(encode(text)) + 1 AS BIGINT) AS landed_bytes
 FROM documents WHERE lang <> 'de'""")

@@ -1,8 +1,8 @@
 """A whole load run: catalog -> expected files -> archives -> landing -> audit ->
 recent successes -> per-table ingest -> summary.
 
-Archives are taken from a folder (no network client): a task's archive is the
-file whose name is the last path component of the task's URL. Every step is a
+Archives are taken from a folder (no network client): a task's archive is the file whose
+path below the folder is the longest that ends the task's URL (host and path). Every step is a
 Spark plan; the driver only loops over the datasets to ingest (bounded by the
 catalog) and runs independent tables concurrently.
 """
@@ -17,17 +17,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.paths import basename
 from quayside.operators import audit as A
-from quayside.operators.land import KEYS as LAND_KEYS, changed_members, land_archive_members, landed_keys
+from quayside.operators.land import changed_members, land_archive_members, landed_keys
 from quayside.operators.lookup import first_by_landing_path
-from quayside.operators.sizing import broadcast_if_small
 from quayside.operators.status import fetch_status, landing_message, landing_outcome
 from quayside.operators.tasks import backfill_periods, expected_files, incremental_periods
 from quayside.sources.archives import archive_members, decode_members, is_csv, read_members, scan_archives
-from quayside.session import checkpoint_root
+from quayside.session import checkpoint_root, scratch_dir
 from quayside.sources.catalog import read_catalog
-from quayside.sources.landing import dataset_path, escape_partition_value
+from quayside.sources.landing import KEYS as LAND_KEYS, dataset_path, escape_partition_value
+from quayside.streaming import fsutil
 from quayside.streaming.ingest import RESULT_SCHEMA, IngestOptions, ingest_table
 
 @dataclass
@@ -66,9 +65,30 @@ def plan_tasks(spark: SparkSession, catalog: DataFrame, mode: str, start_year: i
     return expected_files(catalog, periods)
 
 
+def archives_below(spark: SparkSession, archive_dir: str) -> DataFrame:
+    """archive_path and ``archive``, its path below the folder, of every archive."""
+    fs, p = fsutil._hadoop_path(spark, archive_dir)
+    base = fs.makeQualified(p).toString().rstrip("/") + "/"
+    # Listing only: the MD5 would read every archive's bytes.
+    found = scan_archives(spark, archive_dir, with_md5=False)
+    at = F.locate(base, F.col("archive_path"))
+    return found.select("archive_path", F.when(at > 0, F.substr("archive_path", at + F.lit(len(base)))).otherwise(F.col("archive")).alias("archive"))
+
+
+def match_archives(tasks: DataFrame, archives: DataFrame) -> DataFrame:
+    """``tasks`` with the archive whose path below the folder is the longest that ends the
+    task's URL. Each task looks up the endings of its own URL: an equality join, no comparison
+    of all tasks with all archives."""
+    parts = F.split(F.regexp_replace("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://", ""), "/")
+    ends = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.struct(k.alias("n"), F.array_join(F.slice(parts, -k, k), "/").alias("archive")))
+    looked = tasks.select("task_id", F.explode(ends).alias("e")).select("task_id", "e.n", "e.archive").join(archives, "archive")
+    best = looked.groupBy("task_id").agg(F.max_by(F.struct("archive_path", "archive"), "n").alias("b"))
+    return tasks.join(best.select("task_id", "b.archive_path", "b.archive"), "task_id", "left")
+
+
 def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layout: RunLayout,
                    catalog_name: str, schema_name: str, run_ts: str, fetch_log: DataFrame | None = None,
-                   report_changes: bool = False) -> tuple[DataFrame, DataFrame | None]:
+                   report_changes: bool = False, charset: str = "UTF-8") -> tuple[DataFrame, DataFrame | None]:
     """Match tasks to archives, land their CSV members, return this run's audit rows.
 
     ``fetch_log`` (url, http_code, error), when given, records how each download
@@ -77,24 +97,28 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
     with different content are returned too (this reads their landed files).
     """
     run_uuid = uuid.uuid4().hex
-    # Listing only: the MD5 would read every archive's bytes in each job below.
-    archives = scan_archives(spark, archive_dir, with_md5=False)
+    # A row's run id is made of its run and url, so equal times never mix two runs.
+    run_id = F.md5(F.concat(F.lit(run_uuid), F.col("url")))
+    this_run = (F.col("run_timestamp") == F.lit(run_ts).cast("timestamp")) & (F.col("run_id") == run_id)
     task_id = F.md5(F.concat_ws("|", "url", "landing_path", F.coalesce(F.col("year").cast("string"), F.lit("")),
                                 F.coalesce(F.col("month").cast("string"), F.lit(""))))
-    t = tasks.withColumn("archive", basename("url")).withColumn("task_id", task_id)
-    matched = t.join(archives, "archive", "left")
+    t = tasks.withColumn("task_id", task_id)
+    matched = match_archives(t, archives_below(spark, archive_dir))
     fetched = matched.where(F.col("archive_path").isNotNull())
-    keyed = fetched.select("task_id", "archive_path", F.col("landing_path").alias("dataset"), "year", "month")
+    keyed = fetched.select("task_id", "archive_path", "archive", F.col("landing_path").alias("dataset"), "year", "month")
     archive_paths = fetched.select("archive_path").distinct()
     # Folders this run can touch: bounded by the task list, not by the tree's history.
     touched = [(r.dataset, r.year, r.month) for r in keyed.select("dataset", "year", "month").distinct().collect()]
 
     # CSV members with their landing keys, from the central directories only. The
     # landed check runs on these rows; only members still to land are read.
-    listing = archive_members(archive_paths, with_content=False)
+    # Written once: landing, audit and the list of bad archives read it from there.
+    listed_at = scratch_dir(spark, "listing")
+    archive_members(archive_paths, with_content=False).drop("content").write.parquet(listed_at)
+    listing = spark.read.parquet(listed_at)
     csv_listed = (listing.where(F.col("error").isNull() & is_csv("member"))
                   .join(keyed, "archive_path").select("archive_path", "member", "read_chunk", "size_bytes",
-                                                         "dataset", "year", "month"))
+                                                         "archive", "dataset", "year", "month"))
     changed = None
     if report_changes:
         # Checked before landing and materialised: after landing the comparison would
@@ -102,24 +126,25 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
         # members landed before are read here (a semi join on metadata); landing then
         # reads the others, so each fetched member's content is read once (opt-in).
         checkpoint_root(spark)  # the shared spark.checkpoint.dir (set only where unset)
-        before = broadcast_if_small(landed_keys(spark, layout.landing, touched).select(*LAND_KEYS))
+        before = landed_keys(spark, layout.landing, touched).select(*LAND_KEYS)
         landed_before = csv_listed.join(
             before, [csv_listed[k].eqNullSafe(before[k]) for k in LAND_KEYS], "left_semi")
-        fetched_members = decode_members(read_members(landed_before))
+        fetched_members = decode_members(read_members(landed_before), charset)
         changed = changed_members(spark, fetched_members, layout.landing, touched).checkpoint(eager=True)
-    land_archive_members(spark, csv_listed, layout.landing, partitions=touched)
+    land_archive_members(spark, csv_listed, layout.landing, partitions=touched, charset=charset)
 
     # Audit pass without content: the member list and what the landing tree holds now.
     landed = landed_keys(spark, layout.landing, touched).select(
         F.col("dataset").alias("l_dataset"), F.col("year").alias("l_year"), F.col("month").alias("l_month"),
-        F.col("member").alias("l_member"), F.lit(True).alias("_landed"))
+        F.col("archive").alias("l_archive"), F.col("member").alias("l_member"), F.lit(True).alias("_landed"))
     per_task = listing.where(F.col("error").isNull()).join(keyed, "archive_path")
     members = (
-        per_task.join(landed, (per_task["member"] == landed["l_member"]) & (per_task["dataset"] == landed["l_dataset"])
+        per_task.join(landed, (per_task["member"] == landed["l_member"]) & (per_task["archive"] == landed["l_archive"])
+                      & F.nullif(per_task["dataset"], F.lit("")).eqNullSafe(landed["l_dataset"])
                       & per_task["year"].eqNullSafe(landed["l_year"]) & per_task["month"].eqNullSafe(landed["l_month"]),
                       "left")
         .join(t.select("task_id", "url"), "task_id")
-        .select(F.md5(F.concat(F.lit(run_uuid), F.col("url"))).alias("run_id"),
+        .select(run_id.alias("run_id"),
                 F.lit(run_ts).cast("timestamp").alias("run_timestamp"), "task_id", "url",
                 per_task["member"].alias("member_path"), F.col("basename").alias("filename"), "size_bytes",
                 is_csv(per_task["member"]).alias("is_csv"), F.coalesce("_landed", F.lit(False)).alias("written"))
@@ -127,8 +152,7 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
     # Member detail is written once, row by row; the roll-up reads it back (pruned to
     # this run), so listing and landed checks are not computed twice.
     A.append_audit_members(members, layout.audit_members)
-    mine = A.read_audit_members(spark, layout.audit_members).where(
-        F.col("run_timestamp") == F.lit(run_ts).cast("timestamp"))
+    mine = A.read_audit_members(spark, layout.audit_members).where(this_run)
     rolled = A.audit_rollup(mine.select("task_id", F.col("filename").alias("member"), "size_bytes", "is_csv",
                                         "written"), ["task_id"])
     bad = listing.where(F.col("error").isNotNull()).select("archive_path", F.lit(False).alias("archive_ok")).distinct()
@@ -147,7 +171,7 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
     success = F.coalesce("success_count", F.lit(0))
     status = landing_outcome(fetched_flag, F.coalesce("archive_ok", F.lit(True)), csv_count, success, state)
     audit_rows = rows.select(
-        F.md5(F.concat(F.lit(run_uuid), F.col("url"))).alias("run_id"),
+        run_id.alias("run_id"),
         F.lit(run_ts).cast("timestamp").alias("run_timestamp"),
         "url", "landing_path",
         F.lit(catalog_name).alias("catalog"), F.lit(schema_name).alias("schema"),
@@ -158,7 +182,7 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
         csv_count.alias("csv_count"), success.alias("success_count"),
     )
     A.append_audit(audit_rows, layout.audit)
-    mine = A.read_audit(spark, layout.audit).where(F.col("run_timestamp") == F.lit(run_ts).cast("timestamp"))
+    mine = A.read_audit(spark, layout.audit).where(this_run)
     return mine, changed
 
 
@@ -201,10 +225,10 @@ def run_load(spark: SparkSession, catalog_path: str, archive_dir: str, root: str
              catalog_name: str = "main", schema_name: str = "raw", statuses: tuple[str, ...] = ("success",),
              window: str = "1 DAY", options: IngestOptions | None = None, parallel: int = 4,
              fetch_log: DataFrame | None = None, register_tables: bool = False,
-             report_changes: bool = False) -> dict[str, DataFrame]:
+             report_changes: bool = False, charset: str = "UTF-8") -> dict[str, DataFrame]:
     """The whole run; returns tasks, audit (this run), selected, results, summary.
 
-    ``register_tables`` names each loaded table ``schema_name.table_name`` in the
+    ``charset`` is that of the CSV members (landed as UTF-8). ``register_tables`` names each loaded table ``schema_name.table_name`` in the
     session catalog, with the catalog comment (set once, at creation).
     """
     layout = RunLayout(root.rstrip("/"))
@@ -212,9 +236,9 @@ def run_load(spark: SparkSession, catalog_path: str, archive_dir: str, root: str
     catalog = read_catalog(spark, catalog_path)
     tasks = plan_tasks(spark, catalog, mode, start_year, end_year, now)
     audit_rows, changed = fetch_and_land(spark, tasks, archive_dir, layout, catalog_name, schema_name, str(now),
-                                         fetch_log, report_changes)
+                                         fetch_log, report_changes, charset)
     selected = A.recent_success(A.read_audit(spark, layout.audit), now, window, statuses)
-    firsts = broadcast_if_small(first_by_landing_path(catalog))
+    firsts = first_by_landing_path(catalog)
     chosen = (selected.join(firsts, "landing_path", "left")
               .select("landing_path", F.coalesce("_table_name", "landing_path").alias("table_name"),
                       F.coalesce("_comment", F.lit("")).alias("comment"))

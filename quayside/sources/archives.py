@@ -7,7 +7,7 @@ from the ``binaryFile`` source.
 ``mapInPandas``. A task opens each archive by path (seekable, so only the central
 directory and the wanted members are read), never the whole archive through the
 driver. Content is read in a second phase: the (archive, member) pairs are
-hash-spread over tasks, so one huge archive is read by many tasks in parallel,
+range-partitioned over tasks, so one huge archive is read by many tasks in parallel,
 each fetching only its own members; output batches are cut by size.
 """
 
@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import zipfile
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, LongType, StringType, StructField, StructType
@@ -34,6 +36,9 @@ MEMBER_SCHEMA = StructType([
     StructField("read_chunk", LongType()),
 ])
 
+# What a file that is no (whole) zip archive raises: too short a file fails in a seek.
+NO_ARCHIVE = (zipfile.BadZipFile, pa.ArrowInvalid)
+
 # Members of one archive are read in chunks (in central-directory order) of about this
 # many uncompressed bytes or this many members, whichever comes first; chunks, not
 # archives, are the unit spread over tasks. Landing costs per file as much as per
@@ -108,7 +113,7 @@ def _members_of(with_content: bool, include_dirs: bool, suffix: str | None):
                             if held >= MEMBER_BATCH_BYTES or len(rows) >= MEMBER_BATCH_ROWS:
                                 yield pd.DataFrame(rows, columns=cols)
                                 rows, held = [], 0
-                except Exception as e:  # unreadable archive: one row with the error
+                except NO_ARCHIVE as e:  # no archive: one row with the error; storage errors raise
                     rows.append((path, None, None, None, None, None, None, f"{type(e).__name__}: {e}", None))
         if rows:
             yield pd.DataFrame(rows, columns=cols)
@@ -129,6 +134,7 @@ def _read_members(extra: tuple[str, ...] = ()):
         for pdf in batches:
             for path, group in pdf.groupby("archive_path", sort=False):
                 carried = list(zip(*[group[c].tolist() for c in extra])) if extra else [()] * len(group)
+                sent: set[str] = set()
                 try:
                     with _open_seekable(path) as raw, zipfile.ZipFile(raw) as zf:
                         for name, chunk, keys in zip(group["member"], group["read_chunk"], carried):
@@ -136,12 +142,15 @@ def _read_members(extra: tuple[str, ...] = ()):
                             content = zf.read(info)
                             rows.append((path, name, os.path.basename(name), False, info.file_size,
                                          info.compress_size, content, None, int(chunk), *keys))
+                            sent.add(name)
                             held += len(content)
                             if held >= MEMBER_BATCH_BYTES or len(rows) >= MEMBER_BATCH_ROWS:
                                 yield pd.DataFrame(rows, columns=cols)
                                 rows, held = [], 0
-                except Exception as e:  # archive changed or unreadable since listing
+                except NO_ARCHIVE as e:  # damaged or replaced since listing
                     for name, chunk, keys in zip(group["member"], group["read_chunk"], carried):
+                        if name in sent:
+                            continue
                         rows.append((path, name, os.path.basename(name), False, None, None, None,
                                      f"{type(e).__name__}: {e}", int(chunk), *keys))
         if rows:
@@ -205,15 +214,28 @@ def is_csv(member: Column | str = "member") -> Column:
     return F.lower(m).endswith(".csv")
 
 
+def _strict_decoder(charset: str):
+    @F.pandas_udf("string")
+    def decode(content: pd.Series) -> pd.Series:
+        def one(b):
+            try:
+                return None if b is None else bytes(b).decode(charset)
+            except UnicodeDecodeError:
+                return None
+
+        return content.map(one)
+
+    return decode
+
+
 def decode_members(members: DataFrame, charset: str = "UTF-8") -> DataFrame:
     """Adds ``is_valid`` and ``text``: the content decoded, NULL when it is not valid
-    in ``charset`` (UTF-8 is checked byte-exactly; other charsets Spark accepts are
-    decoded as they are)."""
+    in ``charset`` (UTF-8 is checked by Spark, other charsets by Python's strict decoder)."""
     raw = F.col("content").cast("string")
     if charset.upper().replace("-", "") == "UTF8":
         valid = F.is_valid_utf8(raw)
         text = F.when(valid, raw)
     else:
-        valid = F.col("content").isNotNull()
-        text = F.decode("content", charset)
+        text = _strict_decoder(charset)("content")
+        valid = F.when(F.col("content").isNotNull(), text.isNotNull())
     return members.withColumns({"is_valid": valid, "text": text})

@@ -40,27 +40,13 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def catalog_from_rows(df: DataFrame, order_cols: list[str]) -> DataFrame:
-    """Shape any DataFrame with the five mapping columns like ``read_catalog`` output,
-    ordering by ``order_cols`` (used when the catalog is a table instead of a file)."""
-    from pyspark.sql import Window
-
-    w = Window.orderBy(*order_cols)
-    return df.select(
-        F.lit("").alias("catalog_file"),
-        (F.row_number().over(w) - 1).alias("position"),
-        "url_pattern", "table_name", "parameters", "landing_path", "comment",
-    )
-
-
-def write_catalog(df: DataFrame, path: str, group_col: str | None = None, order_col: str | None = None) -> None:
+def write_catalog(df: DataFrame, path: str, group_col: str, order_col: str) -> None:
     """Write mapping rows as catalog documents, one document per ``group_col`` value.
 
     Each document is built by one aggregate row; ``order_col`` fixes entry order.
     """
-    key = F.col(group_col) if group_col else F.lit(0)
-    order = F.col(order_col) if order_col else F.monotonically_increasing_id()
-    entry = F.struct(order.alias("_o"), F.struct(*[F.col(f.name) for f in MAPPING_SCHEMA.fields]).alias("m"))
+    key = F.col(group_col)
+    entry = F.struct(F.col(order_col).alias("_o"), F.struct(*[F.col(f.name) for f in MAPPING_SCHEMA.fields]).alias("m"))
     docs = (
         df.groupBy(key.alias("_doc"))
         .agg(F.sort_array(F.collect_list(entry)).alias("_entries"))

@@ -1,64 +1,100 @@
-"""The landing tree: ``dataset=D/year=Y/month=MM/member=M/part-*``.
+"""The landing tree: ``dataset=D/year=Y/month=MM/archive=A/<member>``, one file per member.
 
-Listed with the ``binaryFile`` source with ``content`` pruned; partition values
-come back unescaped and typed (the default partition reads as NULL).
+Folder values are escaped as Hive does, NULL and '' being the default partition; the file
+name is the whole member path, percent-encoded. Listed with the ``binaryFile`` source with
+``content`` pruned; the keys are parsed from the path.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import quote
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 from quayside.streaming import fsutil
 
-LANDING_FILE_SCHEMA = StructType([
+KEYS = ["dataset", "year", "month", "archive", "member"]
+
+FILE_SCHEMA = StructType([
     StructField("path", StringType()),
     StructField("modificationTime", TimestampType()),
     StructField("length", LongType()),
     StructField("content", BinaryType()),
+])
+
+MANIFEST_SCHEMA = StructType([f for f in FILE_SCHEMA.fields if f.name != "content"] + [
     StructField("dataset", StringType()),
     StructField("year", IntegerType()),
     StructField("month", IntegerType()),
+    StructField("archive", StringType()),
     StructField("member", StringType()),
 ])
 
-MANIFEST_SCHEMA = StructType([f for f in LANDING_FILE_SCHEMA.fields if f.name != "content"])
-
-
 HIVE_DEFAULT = "__HIVE_DEFAULT_PARTITION__"
 # Characters Hive escapes in a partition folder name (as %XX).
 HIVE_ESCAPED = '"#%\'*/:=?\\\x7f{[]^'
+# Folders looked up at the same time.
+LOOKUPS = 16
 
 
-def escape_partition_value(value: str) -> str:
+def escape_partition_value(value: str | None) -> str:
+    if not value:
+        return HIVE_DEFAULT
     return "".join(f"%{ord(c):02X}" if (c in HIVE_ESCAPED or ord(c) < 0x20) else c for c in value)
 
 
-def partition_folder(root: str, dataset: str, year: int | None, month: int | None) -> str:
+def member_file(member: str) -> str:
+    """The member path as one visible file name (names with a leading '.' or '_' are hidden)."""
+    name = quote(member, safe="")
+    return f"%{ord(name[0]):02X}{name[1:]}" if name[:1] in (".", "_") else name
+
+
+def partition_folder(root: str, dataset: str | None, year: int | None, month: int | None) -> str:
     y = HIVE_DEFAULT if year is None else str(year)
     m = HIVE_DEFAULT if month is None else f"{month:02d}"
     return f"{root.rstrip('/')}/dataset={escape_partition_value(dataset)}/year={y}/month={m}"
 
 
-def landing_manifest(spark: SparkSession, root: str,
-                     partitions: list[tuple[str, int | None, int | None]] | None = None) -> DataFrame:
-    """path, modificationTime, length, dataset, year, month, member of landed files.
+def member_path(root: str, dataset: str | None, year: int | None, month: int | None, archive: str | None,
+                member: str) -> str:
+    return f"{partition_folder(root, dataset, year, month)}/archive={escape_partition_value(archive)}/{member_file(member)}"
+
+
+def _keys_of_path() -> list[Column]:
+    pattern = r"/dataset=([^/]*)/year=([^/]*)/month=([^/]*)/archive=([^/]*)/([^/]*)$"
+
+    def value(k: int) -> Column:
+        raw = F.regexp_extract("path", pattern, k)
+        return F.when(raw != HIVE_DEFAULT, F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))))
+
+    return [value(k + 1).cast(MANIFEST_SCHEMA[n].dataType).alias(n) for k, n in enumerate(KEYS)]
+
+
+def landed_files(spark: SparkSession, root: str,
+                 partitions: list[tuple[str | None, int | None, int | None]] | None = None) -> DataFrame:
+    """The manifest columns and ``content`` of landed files; unread columns are pruned.
 
     With ``partitions`` only those (dataset, year, month) folders are listed, so a
     run's check costs what the run touches, not the whole history of the tree.
     """
-    empty = spark.createDataFrame([], MANIFEST_SCHEMA)
-    if not fsutil.has_entries(spark, root):
-        return empty
-    reader = spark.read.format("binaryFile").schema(LANDING_FILE_SCHEMA)
-    if partitions is None:
-        df = reader.load(root)
-    else:
-        folders = [f for f in {partition_folder(root, d, y, m) for d, y, m in partitions} if fsutil.exists(spark, f)]
-        if not folders:
-            return empty
-        df = reader.option("basePath", root).load(sorted(folders))
-    return df.select(*[f.name for f in MANIFEST_SCHEMA.fields])
+    folders = [root]
+    if partitions is not None:
+        wanted = sorted({partition_folder(root, d, y, m) for d, y, m in partitions})
+        with ThreadPoolExecutor(LOOKUPS) as pool:
+            folders = [f for f, there in zip(wanted, pool.map(lambda f: fsutil.exists(spark, f), wanted)) if there]
+    if not folders or not fsutil.has_entries(spark, root):
+        return spark.createDataFrame([], StructType(MANIFEST_SCHEMA.fields + [FILE_SCHEMA["content"]]))
+    files = spark.read.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", "true").load(folders)
+    return files.select("path", "modificationTime", "length", *_keys_of_path(), "content")
+
+
+def landing_manifest(spark: SparkSession, root: str,
+                     partitions: list[tuple[str | None, int | None, int | None]] | None = None) -> DataFrame:
+    """path, modificationTime, length, dataset, year, month, archive, member of landed files."""
+    return landed_files(spark, root, partitions).drop("content")
 
 
 def dataset_path(root: str, dataset: str) -> str:

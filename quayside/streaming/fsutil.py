@@ -2,7 +2,7 @@
 
 Driver side: existence checks and deletes through the Hadoop FileSystem of the
 session (works for any scheme the cluster is configured for). Executor side:
-``open_input`` for reading the first bytes of a file from a task.
+``write_file`` for writing a file from a task.
 """
 
 from __future__ import annotations
@@ -56,21 +56,6 @@ _URI = re.compile(r"^([a-zA-Z][a-zA-Z0-9+.-]*):(//[^/]*)?(/.*)$")
 _ARROW_SCHEME = {"s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gs", "hdfs": "hdfs", "abfs": "abfs", "abfss": "abfs"}
 
 
-def open_input(path: str):
-    """Open a Spark file path (raw, not URI-encoded) for reading inside a task."""
-    import pyarrow.fs as pafs
-
-    m = _URI.match(path)
-    if m is None:
-        return pafs.LocalFileSystem().open_input_stream(path)
-    scheme, authority, rest = m.group(1).lower(), (m.group(2) or "")[2:], m.group(3)
-    if scheme == "file":
-        return pafs.LocalFileSystem().open_input_stream(rest)
-    fs, _ = pafs.FileSystem.from_uri(f"{_ARROW_SCHEME.get(scheme, scheme)}://{authority}/")
-    target = f"{authority}{rest}" if scheme in ("s3a", "s3n", "s3", "gs", "gcs") else rest
-    return fs.open_input_stream(target)
-
-
 def write_file(path: str, pieces) -> int:
     """Write an iterable of byte pieces as one whole file from a task; returns its size.
 
@@ -105,5 +90,7 @@ def write_file(path: str, pieces) -> int:
         except Exception:
             pass
         raise
+    if fs.get_file_info(target).type != pafs.FileType.NotFound:  # a rename does not replace everywhere
+        fs.delete_file(target)
     fs.move(staging, target)
     return size

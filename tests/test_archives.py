@@ -72,7 +72,7 @@ def test_decode_and_land(spark, tmp):
     first_files = sorted(r.path for r in landing_manifest(spark, land).collect())
     land_members(spark, keyed, land)  # landed members are skipped: the stream would see new file names
     assert sorted(r.path for r in landing_manifest(spark, land).collect()) == first_files
-    back = spark.read.option("header", True).csv(f"{land}/dataset=ds").where(F.col("member") == "y/same.csv")
+    back = spark.read.option("header", True).option("recursiveFileLookup", True).csv(f"{land}/dataset=ds").where(F.input_file_name().endswith("y%252Fsame.csv"))
     assert [r.a for r in back.collect()] == ["2"]
     assert json.dumps(sorted(landed)) is not None
 
@@ -110,7 +110,7 @@ def test_changed_member_is_reported_not_relanded(spark, tmp):
     ch = changed_members(spark, members("a\n2\n"), land, part).collect()
     assert [(r.member, r.new_md5 != r.landed_md5) for r in ch] == [("a.csv", True)]
     land_members(spark, members("a\n2\n"), land, partitions=part)  # skipped: still the first content
-    assert [r.a for r in spark.read.option("header", True).csv(f"{land}/dataset=ds").collect()] == ["1"]
+    assert [r.a for r in spark.read.option("header", True).option("recursiveFileLookup", True).csv(f"{land}/dataset=ds").collect()] == ["1"]
 
 
 def test_many_small_members_are_chunked_by_count(spark, tmp):
@@ -154,28 +154,27 @@ def test_land_from_listing_skips_landed_members_before_reading(spark, tmp):
     assert first == {("x/one.csv", 10), ("y/one.csv", 10)}  # + the writer's newline; bad.csv not written
     land_archive_members(spark, listed, land, partitions=part)
     assert landed_keys(spark, land).count() == 2
-    files = [p for p in spark.read.format("binaryFile").load(land).select("path").collect()]
-    assert len(files) == 2
+    report = land_archive_members(spark, listed, land, partitions=part).collect()
+    assert [(r.member, r.landed_bytes, r.error.split(":")[0]) for r in report] == [("bad.csv", None, "UnicodeDecodeError")]
 
 
 def test_archive_landing_shuffles_no_content(spark, tmp):
     """Exchanges carry listing rows only: none sits above the task that reads content."""
-    from quayside.operators.land import archive_landing_plan
+    from quayside.operators.land import landing_tasks
 
     os.makedirs(f"{tmp}/z")
     with zipfile.ZipFile(f"{tmp}/z/a.zip", "w") as z:
         for i in range(20):
             z.writestr(f"m/{i}.csv", f"id\n{i}\n")
     listed = archive_members(scan_archives(spark, f"{tmp}/z", with_md5=False)).select(
-        "archive_path", "member", "read_chunk", F.lit("ds").alias("dataset"), F.lit(2024).alias("year"),
-        F.lit(1).alias("month"))
-    plan = archive_landing_plan(spark, listed, f"{tmp}/land", [("ds", 2024, 1)])
+        "archive_path", "member", "size_bytes", F.lit("ds").alias("dataset"), F.lit(2024).alias("year"),
+        F.lit(1).alias("month"), F.lit("a.zip").alias("archive"))
+    plan = landing_tasks(spark, listed.select("archive_path", "size_bytes", "dataset", "year", "month", "archive", "member"), f"{tmp}/land")
     text = plan._jdf.queryExecution().executedPlan().toString()
     lines = text.splitlines()
     first_reader = next(i for i, ln in enumerate(lines) if "MapInPandas" in ln)
-    assert "content" in lines[first_reader]  # the top-most Python node is the content reader
+    assert "landed_bytes" in lines[first_reader]  # the top-most Python node lands the content
     assert all("Exchange" not in ln for ln in lines[:first_reader])
-    assert "BroadcastHashJoin" in text and "LeftAnti" in text
     assert plan.count() == 20
 
 
@@ -196,8 +195,7 @@ def test_listing_streams_out_in_row_batches(spark, tmp, monkeypatch):
 def test_big_members_are_streamed_to_their_landing_file(spark, tmp, monkeypatch):
     import quayside.operators.land as L
 
-    monkeypatch.setattr(L, "STREAM_MEMBER_BYTES", 1000)
-    monkeypatch.setattr(L, "STREAM_PIECE_BYTES", 64)  # many pieces; a multi-byte letter crosses a piece edge
+    monkeypatch.setattr(L, "PIECE_BYTES", 64)  # many pieces; a multi-byte letter crosses a piece edge
     big = "id,name\n" + "".join(f"{i},Zoë {i}\n" for i in range(300))
     os.makedirs(f"{tmp}/z")
     with zipfile.ZipFile(f"{tmp}/z/a.zip", "w", zipfile.ZIP_DEFLATED) as z:
@@ -212,13 +210,14 @@ def test_big_members_are_streamed_to_their_landing_file(spark, tmp, monkeypatch)
         L.land_archive_members(spark, listed, land, partitions=[("ds", 2024, 3)])
     got = {(r.member, r.landed_bytes) for r in landed_keys(spark, land).collect()}
     assert got == {("big/x.csv", len(big.encode()) + 1), ("small.csv", 13)}
-    streamed = spark.read.format("binaryFile").load(f"{land}/dataset=ds/year=2024/month=03/member=big%2Fx.csv")
+    file = f"{land}/dataset=ds/year=2024/month=03/archive=a.zip/big%2Fx.csv"
+    streamed = spark.read.format("binaryFile").load(file)
     assert [r.content for r in streamed.select("content").collect()] == [big.encode() + b"\n"]
-    rows = spark.read.option("header", True).csv(f"{land}/dataset=ds/year=2024/month=03/member=big%2Fx.csv")
+    rows = spark.read.option("header", True).csv(file)
     assert rows.count() == 300 and rows.where(F.col("name") == "Zoë 7").count() == 1
 
 
-def test_same_member_from_two_archives_lands_once(spark, tmp):
+def test_same_member_from_two_archives_lands_twice(spark, tmp):
     from quayside.operators.land import land_archive_members
 
     os.makedirs(f"{tmp}/z")
@@ -229,5 +228,26 @@ def test_same_member_from_two_archives_lands_once(spark, tmp):
         "archive_path", "member", "read_chunk", "size_bytes", F.lit("ds").alias("dataset"),
         F.lit(None).cast("int").alias("year"), F.lit(None).cast("int").alias("month"))
     land_archive_members(spark, listed, f"{tmp}/land", partitions=[("ds", None, None)])
-    files = spark.read.format("binaryFile").load(f"{tmp}/land").select("content").collect()
-    assert [r.content for r in files] == [b"id\n22\n\n"]  # b.zip: the greater path
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{tmp}/land").select("content").collect()
+    assert sorted(r.content for r in files) == [b"id\n1\n\n", b"id\n22\n\n"]
+
+
+def test_null_and_empty_datasets_land_alike(spark, tmp):
+    from quayside.operators.land import land_archive_members
+
+    os.makedirs(f"{tmp}/z")
+    with zipfile.ZipFile(f"{tmp}/z/a.zip", "w") as z:
+        z.writestr("_hidden/.x y+z.csv", "id\n1\n")
+    for dataset in (None, ""):
+        listed = archive_members(scan_archives(spark, f"{tmp}/z", with_md5=False)).select(
+            "archive_path", "member", F.lit(dataset).cast("string").alias("dataset"), F.lit(2024).alias("year"), F.lit(1).alias("month"))
+        land = f"{tmp}/land{dataset is None}"
+        for _ in range(2):
+            land_archive_members(spark, listed, land, partitions=[(dataset, 2024, 1)])
+        assert [(r.dataset, r.archive, r.member, r.landed_bytes) for r in landed_keys(spark, land).collect()] == [(None, "a.zip", "_hidden/.x y+z.csv", 6)]
+
+
+def test_bad_bytes_in_another_charset_are_null(spark):
+    df = spark.createDataFrame([(b"caf\xe9",), (b"\x81",), (None,)], "content binary")
+    got = decode_members(df, "cp1252").collect()
+    assert [(r.is_valid, r.text) for r in got] == [(True, "caf\u00e9"), (False, None), (None, None)]

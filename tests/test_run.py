@@ -164,3 +164,34 @@ def test_member_audit_rows(spark, tmp):
     a = out["audit"].first()
     assert (a.download_status, a.csv_count, a.success_count) == ("success", 2, 2)
     assert out["results"].first().total_rows == 2
+
+
+def test_runs_of_one_time_and_equal_names_stay_apart(spark, tmp):
+    """Two URLs with equal base names, a shared landing path, equal member names, and a second run with
+    the same ``as_of``."""
+    catalog = {"mappings": [{"url_pattern": f"https://h/{n}/{{year}}.zip", "table_name": "t", "parameters": ["year"],
+                             "landing_path": "shared", "comment": ""} for n in "ab"]}
+    with open(f"{tmp}/catalog.json", "w") as f:
+        json.dump(catalog, f)
+    for k, n in enumerate("ab"):
+        os.makedirs(f"{tmp}/arc/{n}")
+        with open(f"{tmp}/arc/{n}/2024.zip", "wb") as f:
+            f.write(zip_bytes({"data.csv": f"id,src\n{k},{n}\n"}))
+    for added in (2, 0):
+        out = run_load(spark, f"{tmp}/catalog.json", f"{tmp}/arc", f"{tmp}/root", start_year=2024, end_year=2024,
+                       as_of="2024-05-01 00:00:00")
+        audit = sorted((r.url, r.download_status, r.csv_count, r.success_count, r.files_in_zip) for r in out["audit"].collect())
+        assert audit == [(f"https://h/{n}/2024.zip", "success", 1, 1, ["data.csv"]) for n in "ab"]
+        r = out["results"].first()
+        assert (r.status, r.total_rows, r.rows_added) == ("success", 2, added)
+    assert sorted(r.src for r in spark.read.parquet(f"{tmp}/root/tables/t").collect()) == ["a", "b"]
+
+
+def test_latin1_members(spark, tmp):
+    with open(f"{tmp}/catalog.json", "w") as f:
+        json.dump({"mappings": [{"url_pattern": "https://h/s.zip", "table_name": "s", "parameters": [], "landing_path": "s", "comment": ""}]}, f)
+    os.makedirs(f"{tmp}/arc")
+    with open(f"{tmp}/arc/s.zip", "wb") as f:
+        f.write(zip_bytes({"s.csv": "a\nBogot\u00e1\n".encode("latin-1")}))
+    run_load(spark, f"{tmp}/catalog.json", f"{tmp}/arc", f"{tmp}/root", start_year=2024, end_year=2024, as_of="2024-05-01 00:00:00", charset="latin-1")
+    assert spark.read.parquet(f"{tmp}/root/tables/s").first().a == "Bogot\u00e1"
