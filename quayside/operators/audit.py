@@ -1,6 +1,7 @@
 """Audit table: one row per archive fetch, and the queries over it.
 
-The table is a Parquet folder with a fixed schema; appends never infer types.
+The table is a Parquet folder with a fixed schema, partitioned by run date; appends never infer
+types.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
+    DateType,
     IntegerType,
     LongType,
     StringType,
@@ -18,8 +20,14 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from quayside.streaming import fsutil
+
+# Partition column of both audit tables, beside the fixed columns.
+RUN_DATE = "run_date"
+
 WRITTEN_FILE = StructType([StructField("filename", StringType()), StructField("size_bytes", LongType())])
 
+# The audit table's columns.
 AUDIT_SCHEMA = StructType([
     StructField("run_id", StringType()),
     StructField("run_timestamp", TimestampType()),
@@ -67,21 +75,35 @@ def conform_audit(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def _append_by_date(df: DataFrame, path: str) -> None:
+    """Few files a date; a date with most rows is split over tasks by size."""
+    dated = df.withColumn(RUN_DATE, F.to_date("run_timestamp")).hint("rebalance", RUN_DATE)
+    dated.write.mode("append").partitionBy(RUN_DATE).parquet(path)
+
+
+def _read_by_date(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table with its partition column; empty and typed before the first append."""
+    whole = StructType([*schema.fields, StructField(RUN_DATE, DateType())])
+    if not fsutil.has_entries(spark, path):
+        return spark.createDataFrame([], whole)
+    return spark.read.schema(whole).parquet(path)
+
+
 def append_audit(df: DataFrame, path: str) -> None:
-    """Append audit rows (conformed to the schema) to the audit folder."""
-    conform_audit(df).write.mode("append").parquet(path)
+    """Append audit rows (conformed to the schema) to the audit folder, partitioned by run date."""
+    _append_by_date(conform_audit(df), path)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(AUDIT_SCHEMA).parquet(path)
+    return _read_by_date(spark, path, AUDIT_SCHEMA)
 
 
 def append_audit_members(df: DataFrame, path: str) -> None:
-    df.select(*[F.col(f.name).cast(f.dataType) for f in AUDIT_MEMBER_SCHEMA.fields]).write.mode("append").parquet(path)
+    _append_by_date(df.select(*[F.col(f.name).cast(f.dataType) for f in AUDIT_MEMBER_SCHEMA.fields]), path)
 
 
 def read_audit_members(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(AUDIT_MEMBER_SCHEMA).parquet(path)
+    return _read_by_date(spark, path, AUDIT_MEMBER_SCHEMA)
 
 
 def audit_rollup(members: DataFrame, keys: list[str]) -> DataFrame:
@@ -108,6 +130,8 @@ def recent_success(audit: DataFrame, as_of, window: str = "1 DAY",
     """Distinct (landing_path, catalog, schema) with a status in ``statuses`` at or after
     ``as_of - window``, ordered by landing_path."""
     since = F.lit(str(as_of)).cast("timestamp") - F.expr(f"INTERVAL {window}")
+    if RUN_DATE in audit.columns:  # reads the partitions of the window only
+        audit = audit.where(F.col(RUN_DATE) >= since.cast("date"))
     return (
         audit.where(F.col("download_status").isin(*statuses) & (F.col("run_timestamp") >= since))
         .select("landing_path", "catalog", "schema")

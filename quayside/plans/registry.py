@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from quayside.functions.calendar import month_name, period_columns, periods_between, previous_period, quarter_label
 from quayside.functions.names import snake_case_col
 from quayside.functions.paths import default_checkpoint, expand_template, full_table_name, int_or_null, partition_path
+from quayside.functions.records import from_json_rows, to_json_rows
 from quayside.operators import audit as A
 from quayside.operators.columns import snake_columns
 from quayside.operators.land import land_archive_members, landed_keys
@@ -250,6 +251,13 @@ def expected_files_q(spark, sf):
     return _tasks(spark, sf)
 
 
+@query("tasks_json", TASKS_SQL + "\nSELECT position, table_name, landing_path, url, year, month, quarter FROM tasks")
+def tasks_json(spark, sf):
+    """The task list as JSON rows and back."""
+    tasks = _tasks(spark, sf)
+    return from_json_rows(to_json_rows(tasks), tasks.schema)
+
+
 @query("task_counts", TASKS_SQL + "\nSELECT count(*) AS tasks, count(DISTINCT table_name) AS tables FROM tasks")
 def task_counts_q(spark, sf):
     return task_counts(_tasks(spark, sf))

@@ -99,7 +99,7 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
     run_uuid = uuid.uuid4().hex
     # A row's run id is made of its run and url, so equal times never mix two runs.
     run_id = F.md5(F.concat(F.lit(run_uuid), F.col("url")))
-    this_run = (F.col("run_timestamp") == F.lit(run_ts).cast("timestamp")) & (F.col("run_id") == run_id)
+    this_run = (F.col(A.RUN_DATE) == F.lit(run_ts).cast("timestamp").cast("date")) & (F.col("run_timestamp") == F.lit(run_ts).cast("timestamp")) & (F.col("run_id") == run_id)
     task_id = F.md5(F.concat_ws("|", "url", "landing_path", F.coalesce(F.col("year").cast("string"), F.lit("")),
                                 F.coalesce(F.col("month").cast("string"), F.lit(""))))
     t = tasks.withColumn("task_id", task_id)

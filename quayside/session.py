@@ -85,12 +85,18 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temp folder only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir`` or ``setCheckpointDir``. Where neither is
+    set, a local session gets a temp folder; on a cluster this raises."""
     global _LOCAL_FALLBACK
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        root = spark.sparkContext.getCheckpointDir()
+    if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if _LOCAL_FALLBACK is None:
             _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="quayside-ckpt-")
             spark.sparkContext.setCheckpointDir(_LOCAL_FALLBACK)

@@ -39,7 +39,11 @@ def test_audit_append_schema_and_recent_success(spark, tmp):
                                      "download_status string").withColumn("catalog", F.lit("main"))
     A.append_audit(df, f"{tmp}/audit")
     audit = A.read_audit(spark, f"{tmp}/audit")
-    assert audit.schema == A.AUDIT_SCHEMA
+    plan = A.recent_success(audit, "2024-01-02 00:00:00")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_date" in plan
+    empty = A.read_audit(spark, f"{tmp}/none")  # typed and empty before the first append
+    assert empty.count() == 0 and set(A.AUDIT_SCHEMA.fieldNames()) <= set(empty.columns)
+    assert audit.drop(A.RUN_DATE).schema == A.AUDIT_SCHEMA
     assert audit.first().files_in_zip == []
     got = [r.landing_path for r in A.recent_success(audit, "2024-01-31 12:00:00").collect()]
     assert got == ["a", "c"]
