@@ -16,7 +16,7 @@ from quayside.functions import (
 
 
 def test_snake_case_rule():
-    assert snake_case("Contract ID") == "contract_id"
+    assert snake_case("Parcel ID") == "parcel_id"
     assert snake_case("Cost ($)") == "cost"
     assert snake_case("OrganizationName") == "organizationname"
     assert snake_case("Some__Column") == "some_column"
@@ -33,7 +33,7 @@ def test_unique_names_fix_collisions_and_empty():
 
 
 def test_snake_case_expression_matches_python(spark):
-    vals = ["Contract ID", "Cost ($)", "__a-B c__", "Año", "###", "x1_y2"]
+    vals = ["Parcel ID", "Cost ($)", "__a-B c__", "Año", "###", "x1_y2"]
     df = spark.createDataFrame([(v,) for v in vals], ["v"])
     got = [r.s for r in df.select(snake_case_col("v").alias("s")).collect()]
     assert got == [snake_case(v) for v in vals]

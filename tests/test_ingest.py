@@ -34,15 +34,15 @@ def test_no_source_data(spark, tmp):
 
 
 def test_two_headers_bind_by_name_and_evolve(spark, tmp):
-    put(tmp, "land/year=2024/month=01/a.csv", "Contract ID,N\nH1,1\nH2,2\n")
-    put(tmp, "land/year=2024/month=02/b c.csv", "Contract ID,M,N\nH3,x,3\n")
+    put(tmp, "land/year=2024/month=01/a.csv", "Parcel ID,N\nH1,1\nH2,2\n")
+    put(tmp, "land/year=2024/month=02/b c.csv", "Parcel ID,M,N\nH3,x,3\n")
     r = run(spark, tmp)
     assert (r.status, r.total_rows, r.rows_added) == ("success", 3, 3)
-    rows = {x.contract_id: (x.n, x.m, x._year, x._month) for x in table(spark, tmp).collect()}
+    rows = {x.parcel_id: (x.n, x.m, x._year, x._month) for x in table(spark, tmp).collect()}
     assert rows == {"H1": (1, None, 2024, 1), "H2": (2, None, 2024, 1), "H3": (3, "x", 2024, 2)}
-    assert schema_log.latest_columns(spark, f"{tmp}/ckpt/schema") == [("contract_id", "string"), ("n", "int"),
+    assert schema_log.latest_columns(spark, f"{tmp}/ckpt/schema") == [("parcel_id", "string"), ("n", "int"),
                                                                       ("m", "string")] or \
-        schema_log.latest_columns(spark, f"{tmp}/ckpt/schema") == [("contract_id", "string"), ("m", "string"),
+        schema_log.latest_columns(spark, f"{tmp}/ckpt/schema") == [("parcel_id", "string"), ("m", "string"),
                                                                    ("n", "int")]
 
 

@@ -17,10 +17,10 @@ def zip_bytes(members):
 
 def test_whole_run_and_rerun(spark, tmp):
     catalog = {"mappings": [
-        {"url_pattern": "https://h/files/enroll-{month_name}-{year}.zip", "table_name": "enrollment",
-         "parameters": ["month_name", "year"], "landing_path": "enrollment", "comment": "Monthly enrollment"},
-        {"url_pattern": "https://h/files/crosswalk-{year}.zip", "table_name": "crosswalk",
-         "parameters": ["year"], "landing_path": "crosswalk", "comment": "Yearly crosswalk"},
+        {"url_pattern": "https://h/files/harvest-{month_name}-{year}.zip", "table_name": "harvest",
+         "parameters": ["month_name", "year"], "landing_path": "harvest", "comment": "Monthly harvest"},
+        {"url_pattern": "https://h/files/ledger-{year}.zip", "table_name": "ledger",
+         "parameters": ["year"], "landing_path": "ledger", "comment": "Yearly ledger"},
         {"url_pattern": "https://h/files/directory.zip", "table_name": "directory",
          "parameters": [], "landing_path": "directory", "comment": "Static directory"},
     ]}
@@ -29,10 +29,10 @@ def test_whole_run_and_rerun(spark, tmp):
     arc = f"{tmp}/archives"
     os.makedirs(arc)
     files = {
-        "enroll-january-2024.zip": {"data/Enrollment Jan.csv": "Contract ID,Enrolled\nH1,10\nH2,20\n",
+        "harvest-january-2024.zip": {"data/Harvest Jan.csv": "Parcel ID,Crates\nH1,10\nH2,20\n",
                                     "readme.txt": "x"},
-        "enroll-february-2024.zip": {"Enrollment Feb.csv": "Contract ID,Enrolled,Plan Type\nH1,11,MA\n"},
-        "crosswalk-2024.zip": {"notes.txt": "no csv"},
+        "harvest-february-2024.zip": {"Harvest Feb.csv": "Parcel ID,Crates,Crop Kind\nH1,11,MA\n"},
+        "ledger-2024.zip": {"notes.txt": "no csv"},
         "directory.zip": b"not a zip",
     }
     for name, members in files.items():
@@ -43,19 +43,19 @@ def test_whole_run_and_rerun(spark, tmp):
                    end_year=2024, as_of="2024-03-05 00:00:00")
     audit = {(r.url.rsplit("/", 1)[-1]): r for r in out["audit"].collect()}
     assert len(audit) == 12 + 1 + 1
-    assert audit["enroll-january-2024.zip"].download_status == "success"
-    assert audit["enroll-january-2024.zip"].files_in_zip == ["Enrollment Jan.csv", "readme.txt"]
-    assert audit["enroll-january-2024.zip"].csv_count == 1
-    assert audit["enroll-march-2024.zip"].download_status == "not_found"
-    assert audit["crosswalk-2024.zip"].download_status == "no_csv_found"
+    assert audit["harvest-january-2024.zip"].download_status == "success"
+    assert audit["harvest-january-2024.zip"].files_in_zip == ["Harvest Jan.csv", "readme.txt"]
+    assert audit["harvest-january-2024.zip"].csv_count == 1
+    assert audit["harvest-march-2024.zip"].download_status == "not_found"
+    assert audit["ledger-2024.zip"].download_status == "no_csv_found"
     assert audit["directory.zip"].download_status == "bad_archive"
-    assert [r.table_name for r in out["selected"].collect()] == ["enrollment"]
+    assert [r.table_name for r in out["selected"].collect()] == ["harvest"]
     res = out["results"].first()
-    assert (res.status, res.table_name, res.total_rows) == ("success", "enrollment", 3)
+    assert (res.status, res.table_name, res.total_rows) == ("success", "harvest", 3)
     s = out["summary"].first()
     assert (s.processing.tables_processed, s.processing.successful, s.processing.total_rows_loaded) == (1, 1, 3)
-    t = spark.read.parquet(f"{tmp}/root/tables/enrollment")
-    assert sorted((r.contract_id, r.enrolled, r.plan_type) for r in t.collect()) == [
+    t = spark.read.parquet(f"{tmp}/root/tables/harvest")
+    assert sorted((r.parcel_id, r.crates, r.crop_kind) for r in t.collect()) == [
         ("H1", 10, None), ("H1", 11, "MA"), ("H2", 20, None)]
 
     again = run_load(spark, f"{tmp}/catalog.json", arc, f"{tmp}/root", mode="backfill", start_year=2024,
