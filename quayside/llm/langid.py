@@ -151,7 +151,9 @@ def fit(docs: DataFrame, train: Column, sample_per_lang: int = SAMPLE_PER_LANG)
 
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample_per_lang / n))])
-    sample = rows.filter(unit_hash(F.col("doc_id"), F.lit(3)) < F.element_at(share, F.col("lang"))).select("lang", "text")
+    sample = rows.filter(F.col("doc_id").isNotNull() & (unit_hash(F.col("doc_id"), F.lit(3)) < F.element_at(share, F.col("lang"))))
+    # a row per id: an id of many rows counts once
+    sample = sample.groupBy("doc_id").agg(F.max(F.struct("lang", "text")).alias("x")).select("x.lang", "x.text")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -184,12 +186,15 @@ def kept(docs: DataFrame) -> DataFrame:
     An ambiguous prediction stays: it names a language, only less surely."""
     model = fit(docs, ~held_out(F.col("doc_id")))
 
-    @F.pandas_udf("string")
-    def language(text: pd.Series) -> pd.Series:
-        return pd.Series(model.label(pa.array(text, pa.string(), from_pandas=True))[0])
+    at, names = docs.columns.index("lang"), docs.columns
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), language("text").alias("p")).filter(F.col("p") != UNDETERMINED)
-    return rows.select(*[F.col("p" if c == "lang" else f"d.`{c}`").alias(c) for c in docs.columns])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lang = pa.array(model.label(b.column(names.index("text")))[0], pa.string())
+            whole = pa.RecordBatch.from_arrays([lang if k == at else c for k, c in enumerate(b.columns)], names)
+            yield whole.filter(pc.not_equal(lang, UNDETERMINED))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -43,6 +43,8 @@ REGISTERS = ROWS * BANDS
 #: 4.9 standard deviations below 0.8.
 LEAST_ESTIMATE = 0.6
 BLOCK = 1_024
+#: Bytes of text worked on at once; a task holds some 60 times as much.
+SLICE = 1 << 19
 MEMBERS_PER_TASK = 2_000
 FILTER_BITS = 24
 _U = np.uint64
@@ -135,7 +137,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = byte_rows(b.column(1), lower=True)
-            for i, j, d, o in slices(data, off, 2 << 20):
+            for i, j, d, o in slices(data, off, SLICE):
                 row, h, weight, k1, k2 = shingles(d, o)
                 some = np.zeros(j - i, bool)
                 some[row] = True
@@ -177,7 +179,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             ask = ((table[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1).astype(bool)
             b = b.filter(pa.array(ask))
             data, off = byte_rows(b.column(1), lower=True)
-            for i, j, d, o in slices(data, off):
+            for i, j, d, o in slices(data, off, SLICE):
                 row, h, weight, _, _ = shingles(d, o)
                 nth = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
                 row = np.repeat(row, weight)

@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -205,11 +206,13 @@ def masked(docs: DataFrame) -> DataFrame:
     rows = keyed.join(found, F.col("d.doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
 
     @F.pandas_udf("string")
-    def masked_text(text, spans):
-        return text.combine(spans, lambda t, s: mask(t, s) if s else t)
+    def masked_text(text: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([mask(t, s) if isinstance(s, str) else None for t, s in zip(text, spans, strict=True)], dtype=object)
 
     clean = F.col("_spans").isNull()
-    rows = rows.select("d", "_spans", F.when(clean, F.col("d.text")).otherwise(masked_text("d.text", F.coalesce("_spans", F.lit("")))).alias("_new"))
+    # only texts with spans go to Python
+    new = masked_text(F.when(~clean, F.col("d.text")), "_spans")
+    rows = rows.select("d", "_spans", F.when(clean, F.col("d.text")).otherwise(new).alias("_new"))
     changed = {"text": F.col("_new")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(clean, F.col("d.n_chars")).otherwise(F.length("_new")).cast(docs.schema["n_chars"].dataType)
