@@ -47,6 +47,14 @@ def unit_hash(*cols: Column) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
+def sampled(rows: DataFrame, key: str, value: str, n: float, salt: int) -> DataFrame:
+    """(key, value) of about ``n`` keys, or of all if fewer, chosen by a hash of the key: one row per key, so
+    that a key of many rows counts once. Null keys are not chosen."""
+    total = rows.count()
+    picked = rows.filter(F.col(key).isNotNull() & (unit_hash(F.col(key), F.lit(salt)) < min(1.0, n / max(total, 1))))
+    return picked.groupBy(key).agg(F.max(value).alias(value))
+
+
 # ---------------------------------------------------------------- texts as byte arrays
 
 

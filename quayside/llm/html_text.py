@@ -26,9 +26,8 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from quayside.llm.common import IS_MARK, byte_rows, span_hashes, unit_hash, word_spans
+from quayside.llm.common import IS_MARK, byte_rows, sampled, span_hashes, word_spans
 
 SAMPLE = 300
 VARIANTS = 3
@@ -329,8 +328,8 @@ def variant(blocks: list[Block], others: list[str], rng: np.random.Generator) ->
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
-    """Learn from the ``sample`` pages with the least hash of their id."""
-    got = pages.filter("html IS NOT NULL").orderBy(unit_hash(F.col("page_id"), F.lit(21)), "page_id").limit(sample).select("html").collect()
+    """Learn from about ``sample`` pages, chosen by a hash of their id."""
+    got = sorted(sampled(pages.filter("html IS NOT NULL"), "page_id", "html", sample, 21).collect())
     plain = [b for b in (read_blocks(r["html"]) for r in got) if any(rule(x.path) for x in b)]
     if not plain:
         return Labeller(None)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import mix64, unit_hash, written
+from quayside.llm.common import mix64, sampled, written
 
 K = 5
 SCALE = 256
@@ -69,8 +69,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, n_pivots: int = PIVO
     spark = vectors.sparkSession
     rows = written(spark, quantised(vectors).withColumn("is_query", F.coalesce(is_query, F.lit(False))), "knn-vectors")
     schema = "query_id long, rank int, vec_id long, score long"
-    pivots = np.array([r["v"] for r in rows.orderBy(unit_hash(F.col(_ID), F.lit(9)), _ID).limit(n_pivots).collect()])
-    if not len(pivots):
+    few = sorted(sampled(rows, _ID, "v", 4 * n_pivots, 9).collect(), key=lambda r: mix64(np.array([r[_ID]]).astype(np.uint64))[0])
+    pivots = np.array([r["v"] for r in few[:n_pivots] or rows.limit(1).collect()])
+    if not len(pivots):  # no usable vector
         return spark.createDataFrame([], schema)
     pivots = pivots[np.sort(np.unique(pivots, axis=0, return_index=True)[1])]
     n_queries = rows.filter("is_query").count()

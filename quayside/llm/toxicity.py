@@ -103,7 +103,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> OrdinalMode
                 rows += [np.sort(x).tobytes() for x in np.split(h, np.cumsum(n)[:-1])]
             yield pa.record_batch([b.column(0), pa.array(rows, pa.binary())], ["toxic", "words"])
 
-    got = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text").mapInArrow(hashed, "toxic boolean, words binary").collect()
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))
+    got = texts.select("toxic", "text").mapInArrow(hashed, "toxic boolean, words binary").collect()
     if len({r["toxic"] for r in got}) < 2:
         return nothing
     toxic = np.array([r["toxic"] for r in got])
