@@ -5,14 +5,14 @@ inner products, so bounds come from the Cauchy-Schwarz inequality: for a query q
 and any vector x, q.x lies within r|x| of p.x.
 
 1. Queries are grouped by the nearest of the first pivots, data by the nearest of all.
-   Summaries: every data cell reports its radius and its ``k + 1`` members nearest to the
-   pivot; every query group its radius. All are bounded by the number of pivots.
+   Summaries: every data cell reports its radius and, of ``k + 1`` different ids, the members nearest
+   to the pivot; every query group its radius. All are bounded by the number of pivots.
 2. For a query group, the summaries' members give a floor under its k-th best score: the
-   (k + 1)-th greatest of p.x - r|x| (one more, as a query may meet itself).
+   (k + 1)-th greatest of p.x - r|x| over different ids (one more, as a query may meet its own id).
 3. A vector x is replicated to a query group only if p.x + r|x| reaches the group's floor; the
    same bound over a whole cell, p.pj + |p| rj + r(|pj| + rj), first rules out whole cells.
-4. Locally, a block of queries meets the vectors sent to its group in blocks, keeping the k best of each
-   query; partial results of a group's salts are merged by rank.
+4. Locally, a block of queries meets the vectors sent to its group in blocks, keeping the k best ids of
+   each query, an id by its best row; partial results of a group's salts are merged by rank.
 
 Result: for each query its ``k`` highest integer scores over ``floor(256 * x)`` vectors, the query's own row
 left out, ties to the smaller id. Vectors that are null, or hold a null or non-finite component, or
@@ -64,6 +64,21 @@ def _nearest(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return cell, np.sqrt(np.maximum(((x - pivots[cell]) ** 2).sum(1), 0))
 
 
+def _nearest_ids(dist: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
+    """The places of the ``n`` ids of least distance, an id by its nearest row."""
+    order = np.argsort(dist, kind="stable")
+    return order[np.sort(np.unique(ids[order], return_index=True)[1])[:n]]
+
+
+def _best_per_id(score: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, ids) with one column per id, its greatest score."""
+    order = np.argsort(ids, kind="stable")
+    begin = np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))
+    if len(begin) == len(ids):
+        return score, ids
+    return np.maximum.reduceat(score[:, order], begin, axis=1), ids[order][begin]
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = K, n_pivots: int = PIVOTS) -> DataFrame:
     """``query_id, rank, vec_id, score`` for the rows where ``is_query`` holds, against all rows."""
     spark = vectors.sparkSession
@@ -77,11 +92,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, n_pivots: int = PIVO
     n_queries = rows.filter("is_query").count()
     centres = pivots[: max(4, n_queries // QUERIES_PER_GROUP)]
 
+    member = pa.list_(pa.struct([("id", pa.int64()), ("v", pa.list_(pa.float64()))]))
+
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per cell: the radius of its queries and of its data and the members nearest to the pivot."""
         rq, rd, near = np.full(len(pivots), -1.0), np.full(len(pivots), -1.0), [[] for _ in pivots]
         for b in batches:
-            x, q = _matrix(b.column(1), b.num_rows), np.asarray(b.column(2))
+            x, q, ids = _matrix(b.column(1), b.num_rows), np.asarray(b.column(2)), np.asarray(b.column(0))
             if not len(x):
                 continue
             cell, dist = _nearest(x, pivots)
@@ -90,25 +107,28 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, n_pivots: int = PIVO
                 np.maximum.at(rq, *_nearest(x[q], centres))
             for c in np.unique(cell):
                 own = np.flatnonzero(cell == c)
-                own = own[np.argsort(dist[own], kind="stable")[: k + 1]]
-                near[c] = sorted([*near[c], *((dist[i], x[i].tolist()) for i in own)])[: k + 1]
+                own = own[_nearest_ids(dist[own], ids[own], k + 1)]
+                both = [*near[c], *((dist[i], int(ids[i]), x[i].tolist()) for i in own)]
+                near[c] = [both[i] for i in _nearest_ids(np.array([m[0] for m in both]), np.array([m[1] for m in both]), k + 1)]
         at = [c for c in range(len(pivots)) if max(rd[c], rq[c]) >= 0]
-        yield pa.record_batch([pa.array(at, pa.int32()), pa.array(rq[at]), pa.array(rd[at]), pa.array([[v for _, v in near[c]] for c in at], pa.list_(pa.list_(pa.float64())))], ["cell", "rq", "rd", "near"])
+        yield pa.record_batch([pa.array(at, pa.int32()), pa.array(rq[at]), pa.array(rd[at]), pa.array([[{"id": i, "v": v} for _, i, v in near[c]] for c in at], member)], ["cell", "rq", "rd", "near"])
 
-    parts = rows.mapInArrow(summarise, "cell int, rq double, rd double, near array<array<double>>")
-    # merged a cell at a time: the radii are maxima, of the members the nearest k + 1 remain
+    parts = rows.mapInArrow(summarise, "cell int, rq double, rd double, near array<struct<id: long, v: array<double>>>")
+    # merged a cell at a time: the radii are maxima, of the members the nearest of k + 1 ids remain
     dist = lambda v, p: F.aggregate(F.zip_with(v, p, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, t: s + t)
     places = spark.createDataFrame([(c, p.tolist()) for c, p in enumerate(pivots)], "cell int, p array<double>")
     radii = {r["cell"]: r for r in parts.groupBy("cell").agg(F.max("rq").alias("rq"), F.max("rd").alias("rd")).collect()}
-    members = parts.select("cell", F.explode("near").alias("v")).join(F.broadcast(places), "cell")
-    members = members.withColumn("place", F.row_number().over(Window.partitionBy("cell").orderBy(dist("v", "p"), "v"))).filter(F.col("place") <= k + 1)
-    sample = np.array([r["v"] for r in members.select("v").collect()])
+    members = parts.select("cell", F.explode("near").alias("m")).join(F.broadcast(places), "cell")
+    members = members.groupBy("cell", F.col("m.id").alias("id")).agg(F.min(F.struct(dist(F.col("m.v"), F.col("p")).alias("far"), F.col("m.v").alias("v"))).alias("m"))
+    members = members.withColumn("place", F.row_number().over(Window.partitionBy("cell").orderBy("m.far", "id"))).filter(F.col("place") <= k + 1)
+    members = members.select("id", "m.v").collect()
+    sample, sample_ids = np.array([r["v"] for r in members]), np.array([r["id"] for r in members])
 
     groups = np.array(sorted(c for c, r in radii.items() if r["rq"] >= 0))
     if not len(groups):
         return spark.createDataFrame([], schema)
     rq = np.array([radii[c]["rq"] for c in groups])
-    lows = np.sort(centres[groups] @ sample.T - rq[:, None] * np.linalg.norm(sample, axis=1)[None], axis=1)
+    lows = np.sort(_best_per_id(centres[groups] @ sample.T - rq[:, None] * np.linalg.norm(sample, axis=1)[None], sample_ids)[0], axis=1)
     floor = lows[:, -(k + 1)] if lows.shape[1] > k else np.full(len(groups), -np.inf)
     floor = floor - 1e-6 * (1 + np.abs(floor))  # rounding never rules a vector out
     norm = np.linalg.norm(pivots, axis=1)
@@ -177,16 +197,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, n_pivots: int = PIVO
                     best = np.full((len(qs), k), -np.inf), np.full((len(qs), k), np.iinfo(np.int64).max)
                 for a in range(i, j, DATA_BLOCK):
                     c = slice(a, min(a + DATA_BLOCK, j))
-                    score = queries @ x[c].T
-                    score[own[:, None] == ids[c][None]] = -np.inf
-                    # whoever reaches the k-th best of this block or before, ties included
+                    score, block = _best_per_id(queries @ x[c].T, ids[c])
+                    score[own[:, None] == block[None]] = -np.inf
+                    # whoever reaches the k-th best id of this block or before, ties included
                     kth = np.partition(score, -min(k, score.shape[1]), axis=1)[:, -min(k, score.shape[1])]
                     for r in np.flatnonzero(score.max(1) >= best[0][:, -1]):
-                        few = np.flatnonzero(score[r] >= max(kth[r], best[0][r, -1]))
-                        s, v = np.concatenate([best[0][r], score[r][few]]), np.concatenate([best[1][r], ids[c][few]])
+                        few = np.flatnonzero((score[r] >= max(kth[r], best[0][r, -1])) & np.isfinite(score[r]))
+                        s, v = np.concatenate([best[0][r], score[r][few]]), np.concatenate([best[1][r], block[few]])
                         order = np.lexsort((v, -s))
                         s, v = s[order], v[order]
-                        once = np.append(True, (v[1:] != v[:-1]) | (s[1:] != s[:-1])) | ~np.isfinite(s)
+                        once = ~np.isfinite(s)  # places not taken yet
+                        once[np.unique(v, return_index=True)[1]] = True
                         best[0][r], best[1][r] = s[once][:k], v[once][:k]
         yield from done()
 

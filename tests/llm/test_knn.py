@@ -53,3 +53,19 @@ def test_blocks_of_queries_and_clusters(spark, monkeypatch):
     rows = [(i, (centre[i % 6] + rng.normal(0, 0.05, 8)).tolist()) for i in range(900)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
     assert set(got(df, n_pivots=8)) == brute(rows)
+
+
+def test_repeated_ids(spark, monkeypatch):
+    """Ids of ten rows each, of equal and of different vectors, around a query of 100 rows."""
+    monkeypatch.setattr(knn, "QUERIES_PER_GROUP", 2)
+    rng = np.random.default_rng(3)
+    rows = [(0, [1.0] * 8)] * 100 + [(1, rng.normal(0, 0.1, 8).tolist())]
+    for i in range(4, 160, 4):
+        v = 1.2 - i / 200 + rng.normal(0, 0.02, 8)
+        rows += [(i, (v + (k / 100 if i % 8 else 0)).round(3).tolist()) for k in range(10)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    want = set(con.execute(knn.SQL).fetchall())
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    assert len(want) == 10 and set(got(df, n_pivots=4)) == want and set(got(df, n_pivots=64)) == want
