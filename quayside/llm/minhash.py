@@ -2,7 +2,7 @@
 
 1. Every text becomes the multiset of its five-word shingles (lower case; words are runs of
    letters, digits and non-ASCII characters; a shorter text is one shingle). Texts with
-   equal word sequences are one class at once, by a 128-bit key, and go on as their least id.
+   equal word sequences are one class at once, by a 128-bit key, and go on as one text under it.
 2. BagMinHash: a shingle of weight w owns one Poisson process over time and weight [0, w) and
    ``REGISTERS`` registers. The weight axis is cut into dyadic intervals, each with a process of its
    own, seeded by shingle and interval; of the highest interval only points below w count. A
@@ -11,14 +11,15 @@
    are filled, so a long document costs little more than one draw per shingle.
 3. ``BANDS`` bands of ``ROWS`` registers are hashed to buckets. Two documents of similarity 0.8 share
    a bucket with probability 1 - 3e-6.
-4. Inside a bucket every document is checked against a leader, the member that shares most buckets
+4. Inside a bucket every text is checked against a leader, the member that shares most buckets
    with others: the multiset overlap of the shingles themselves, at least ``THRESHOLD``. Links
    join classes. In a bucket that still holds several classes, the members outside its largest class are
    compared with all others, in blocks inside tasks: by signature first, then by overlap. So no
    link is lost to a bucket's size, and no bucket is expanded into rows for its pairs.
 
 Result: one row per row of the input with its class, the least id in it. A null text, or one
-without words, is alone. A row with a null id has the class of its copies with ids, else null.
+without words, is alone. A row with a null id has the class of its near copies with ids, else null.
+Texts are told apart by their key, not their id: different texts of one id are in classes of their own.
 """
 
 from __future__ import annotations
@@ -27,9 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructType
+from pyspark.sql.types import ArrayType, LongType
 
 from quayside.llm.common import IS_MARK, byte_rows, mix64, row_sums, slices, span_hashes, word_spans, written
 from quayside.llm.components import components
@@ -130,11 +132,12 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, k1, k2, bands, sig`` of every row; no words: keys, bands and signature
-    null."""
-    schema = docs.select("doc_id").schema.add("text_key", "long").add("k1", "long").add("k2", "long").add("bands", ArrayType(LongType())).add("sig", "binary")
+    """``doc_id, text_key, slot, row, key, bands, sig`` of every row, ``row`` being a number of its own; no
+    words: key, bands and signature null."""
+    schema = docs.select("doc_id").schema.add("text_key", "long").add("slot", "long").add("row", "long").add("key", "binary").add("bands", ArrayType(LongType())).add("sig", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
         for b in batches:
             data, off = byte_rows(b.column(1), lower=True)
             for i, j, d, o in slices(data, off, SLICE):
@@ -146,60 +149,68 @@ def signatures(docs: DataFrame) -> DataFrame:
                 none = pa.array(~some)
                 full = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.ravel()), mask=none)
                 yield pa.record_batch([
-                    b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(k1.view(np.int64), mask=~some), pa.array(k2.view(np.int64), mask=~some),
+                    b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), b.column(3).slice(i, j - i), pa.array(np.arange(number, number + j - i)), _keys(k1, k2, some),
                     full, pa.array([x.tobytes() if s else None for x, s in zip(sig, some, strict=True)], pa.binary()),
                 ], schema.names)
+                number += j - i
 
-    return docs.select("doc_id", "text", text_key()).mapInArrow(run, schema)
+    return docs.select("doc_id", "text", text_key(), _slot().alias("slot")).mapInArrow(run, schema)
+
+
+def _keys(k1: np.ndarray, k2: np.ndarray, some: np.ndarray) -> pa.Array:
+    """The 128-bit keys as 16 bytes, null where not ``some``."""
+    return pa.array([x.tobytes() if s else None for x, s in zip(np.stack([k1, k2], 1), some, strict=True)], pa.binary())
 
 
 def text_key() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
 
 
-def _slot(doc_id, bits: int = FILTER_BITS):
-    return F.pmod(F.xxhash64(doc_id), F.lit(1 << bits))
+def _slot(bits: int = FILTER_BITS) -> Column:
+    """The bit of a row, by its id and text."""
+    return F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(1 << bits))
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``doc_id, bag`` of the ids in ``wanted`` and perhaps some others: the multiset of shingles
-    as sorted 32-bit numbers, one per shingle and occurrence.
+    """``key, bag`` of the texts whose ``slot`` is in ``wanted`` and perhaps some others: the multiset of
+    shingles as sorted 32-bit numbers, one per shingle and occurrence.
 
     A bit table of ``2 ** FILTER_BITS`` bits (2 MB, whatever the corpus) lets the tasks pass by
-    texts that nobody asks for; ids that fall on a set bit by chance only cost their work."""
-    hits = wanted.select(_slot(F.col("doc_id")).alias("s")).groupBy(F.expr("s div 32").alias("w")).agg(F.expr("bit_or(shiftleft(1L, CAST(s % 32 AS INT)))").alias("bits")).collect()
+    texts that nobody asks for; rows that fall on a set bit by chance only cost their work."""
+    hits = wanted.select(F.col("slot").alias("s")).groupBy(F.expr("s div 32").alias("w")).agg(F.expr("bit_or(shiftleft(1L, CAST(s % 32 AS INT)))").alias("bits")).collect()
     table = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
     for r in hits:
         table[r["w"]] = r["bits"]
-    schema = docs.select("doc_id").schema.add("bag", "binary")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            slot = np.asarray(b.column(2))
+            slot = np.asarray(b.column(1))
             ask = ((table[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1).astype(bool)
             b = b.filter(pa.array(ask))
-            data, off = byte_rows(b.column(1), lower=True)
+            data, off = byte_rows(b.column(0), lower=True)
             for i, j, d, o in slices(data, off, SLICE):
-                row, h, weight, _, _ = shingles(d, o)
+                row, h, weight, k1, k2 = shingles(d, o)
+                some = np.zeros(j - i, bool)
+                some[row] = True
                 nth = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
                 row = np.repeat(row, weight)
                 v = (mix64(np.repeat(h, weight) + nth.astype(np.uint64) * _C1) >> _U(32)).astype(np.uint32)
                 cut = np.searchsorted(row, np.arange(j - i + 1))
-                yield pa.record_batch([b.column(0).slice(i, j - i), pa.array([np.unique(v[x:y]).tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], schema.names)
+                bags = pa.array([np.unique(v[x:y]).tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
+                yield pa.record_batch([_keys(k1, k2, some), bags], ["key", "bag"])
 
-    return docs.select("doc_id", "text", _slot(F.col("doc_id")).alias("_slot")).mapInArrow(run, schema)
+    return docs.select("text", _slot().alias("slot")).mapInArrow(run, "key binary, bag binary").filter("key IS NOT NULL")
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` whose multisets overlap by ``THRESHOLD`` or more. ``a`` is a leader:
+def verified(docs: DataFrame, slots: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs``, keys of texts with their ``slots``, whose multisets overlap by ``THRESHOLD`` or more. ``a`` is a leader:
     its bag is sent once to every ``MEMBERS_PER_TASK`` members or so, theirs stream past it."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    bags = shingle_sets(docs, ids).dropDuplicates(["doc_id"])
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    bags = shingle_sets(docs, slots.join(keys, "key")).dropDuplicates(["key"])
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_TASK).cast("int").alias("n"))
-    members = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("n")).cast("int").alias("salt"), F.col("b").alias("doc_id"))
-    leads = salts.select("a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"), F.col("a").alias("doc_id"))
+    members = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("n")).cast("int").alias("salt"), F.col("b").alias("key"))
+    leads = salts.select("a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"), F.col("a").alias("key"))
     roles = leads.withColumn("lead", F.lit(True)).union(members.withColumn("lead", F.lit(False)))
-    sent = roles.join(bags, "doc_id").select("a", "salt", "lead", "doc_id", "bag")
+    sent = roles.join(bags, "key").select("a", "salt", "lead", "key", "bag")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sent = sent.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", F.col("lead").desc())
 
@@ -218,10 +229,9 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                     same = int((both[1:] == both[:-1]).sum())
                     if same >= THRESHOLD * (len(own) + len(bag) - same):
                         out.append((a, doc))
-            kind = batch.schema.field(0).type
-            yield pa.record_batch([pa.array([x for x, _ in out], kind), pa.array([y for _, y in out], kind)], ["a", "b"])
+            yield pa.record_batch([pa.array([p[k] for p in out], pa.binary()) for k in (0, 1)], ["a", "b"])
 
-    return sent.mapInArrow(run, pairs.select("a", "b").schema)
+    return sent.mapInArrow(run, "a binary, b binary")
 
 
 def overlaps(bag: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -234,7 +244,7 @@ def overlaps(bag: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
 
 
 def links_between(group: list[tuple], n_roots: dict) -> list[tuple]:
-    """Members (probe?, doc_id, root, signature, bag) of a block of a bucket → links between
+    """Members (probe?, key, root, signature, bag) of a block of a bucket → links between
     different roots, enough to join all that are linked: a probe is compared with every member
     whose root is not yet joined with its own."""
     def find(r):
@@ -259,8 +269,8 @@ def links_between(group: list[tuple], n_roots: dict) -> list[tuple]:
     return out
 
 
-def links_in_buckets(docs: DataFrame, rows: DataFrame, sigs: DataFrame) -> DataFrame:
-    """(bucket, doc_id, root) of buckets with several roots → (a, b) links between them.
+def links_in_buckets(docs: DataFrame, slots: DataFrame, rows: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(bucket, key, root) of buckets with several roots → (a, b) links between them.
 
     Members of the bucket's commonest root need no comparison with each other. All members are dealt
     once over blocks of about ``BLOCK``; those of the other roots also go to every block as
@@ -268,25 +278,23 @@ def links_in_buckets(docs: DataFrame, rows: DataFrame, sigs: DataFrame) -> DataF
     spark = rows.sparkSession
     per_root = rows.groupBy("bucket", "root").count()
     main = per_root.groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.ceil(F.sum("count") / BLOCK).cast("int").alias("n"))
-    whole = sigs.join(shingle_sets(docs, rows.select("doc_id").distinct()), "doc_id").dropDuplicates(["doc_id"])
-    placed = rows.join(main, "bucket").join(whole, "doc_id")
-    own = F.struct(F.pmod(F.xxhash64("doc_id"), F.col("n")).cast("int").alias("block"), F.lit(False).alias("probe"))
+    bags = shingle_sets(docs, slots.join(rows.select("key").distinct(), "key")).dropDuplicates(["key"])
+    placed = rows.join(main, "bucket").join(sigs.join(bags, "key"), "key")
+    own = F.struct(F.pmod(F.xxhash64("key"), F.col("n")).cast("int").alias("block"), F.lit(False).alias("probe"))
     every = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda b: F.struct(b.alias("block"), F.lit(True).alias("probe")))
     tasks = placed.withColumn("t", F.explode(F.when(F.col("root") == F.col("main"), F.array(own)).otherwise(F.concat(F.array(own), every))))
-    tasks = tasks.select("bucket", "t.block", "t.probe", "doc_id", "root", "sig", "bag")
+    tasks = tasks.select("bucket", "t.block", "t.probe", "key", "root", "sig", "bag")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tasks = tasks.repartition(parts, "bucket", "block").sortWithinPartitions("bucket", "block")
-    schema = StructType().add("a", rows.schema["doc_id"].dataType).add("b", rows.schema["doc_id"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind, key, group, joined = pa.int64(), None, [], {}
+        key, group, joined = None, [], {}
 
         def done() -> pa.RecordBatch:
             got = links_between(group, joined)
-            return pa.record_batch([pa.array([p[k] for p in got], kind) for k in (0, 1)], ["a", "b"])
+            return pa.record_batch([pa.array([p[k] for p in got], pa.binary()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
-            kind = batch.schema.field(3).type
             for r in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if key != r[:2]:
                     yield done()
@@ -294,50 +302,59 @@ def links_in_buckets(docs: DataFrame, rows: DataFrame, sigs: DataFrame) -> DataF
                 group.append(r[2:])
         yield done()
 
-    return tasks.mapInArrow(run, schema).distinct()
+    return tasks.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, class_id`` for every row of ``docs``; ``text_key`` tells apart the
-    texts of rows with an equal id."""
+def classes(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, class_id, class_key`` for every row of ``docs``: the class' least id, if any
+    row of it has one, and the key of one of its texts, null for a text without words."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     signed = written(spark, signatures(docs), "bag-signatures")
-    keyed = signed.filter("k1 IS NOT NULL")
-    heads = written(spark, keyed.groupBy("k1", "k2").agg(F.min("doc_id").alias("head")), "bag-heads")
-    reps = signed.join(heads.filter("head IS NOT NULL").select(F.col("head").alias("doc_id")), "doc_id", "left_semi")
-    banded = reps.select("doc_id", F.explode("bands").alias("bucket"))
+    heads = signed.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("head"), F.min(F.struct("row", "slot")).alias("x"))
+    heads = written(spark, heads.select("key", "head", "x.row", "x.slot"), "bag-heads")
+    slots = heads.select("key", "slot")
+    reps = signed.select("row", "key", "bands", "sig").join(heads.select("row"), "row", "left_semi")
+    banded = reps.select("key", F.explode("bands").alias("bucket"))
     buckets = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     shared = written(spark, banded.join(buckets, "bucket"), "bag-buckets")
 
-    degree = shared.groupBy("doc_id").agg(F.sum("n").alias("degree"))
-    leads = shared.join(degree, "doc_id").groupBy("bucket").agg(F.max_by("doc_id", F.struct("degree", -F.col("doc_id"))).alias("lead"))
-    pairs = shared.join(leads, "bucket").filter("doc_id <> lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = written(spark, verified(docs, written(spark, pairs, "bag-pairs")), "bag-links")
+    degree = shared.groupBy("key").agg(F.sum("n").alias("degree"))
+    leads = shared.join(degree, "key").groupBy("bucket").agg(F.max_by("key", F.struct("degree", "key")).alias("lead"))
+    pairs = shared.join(leads, "bucket").filter("key <> lead").select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct()
+    links = written(spark, verified(docs, slots, written(spark, pairs, "bag-pairs")), "bag-links")
     roots = components(links)
 
     # buckets of three or more that still hold several classes, one of each set of members
-    known = shared.filter("n > 2").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("root", "doc_id").alias("root"))
+    known = shared.filter("n > 2").join(roots.withColumnRenamed("node", "key"), "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
     known = written(spark, known, "bag-known")
-    mixed = known.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("set")).filter("r0 <> r1")
+    mixed = known.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("set")).filter("r0 <> r1")
     mixed = mixed.groupBy("set", "n").agg(F.min("bucket").alias("bucket"))
     rows = written(spark, known.join(mixed.select("bucket"), "bucket"), "bag-mixed")
     if rows.limit(1).count():
-        more = links_in_buckets(docs, rows, signed.select("doc_id", "sig"))
+        more = links_in_buckets(docs, slots, rows, reps.select("key", "sig"))
         links = written(spark, links.union(more), "bag-links")
         roots = components(links)
 
-    own = signed.select("doc_id", "text_key", "k1", "k2").join(heads, ["k1", "k2"], "left")
-    out = own.join(roots.withColumnRenamed("node", "head"), "head", "left")
-    return out.select("doc_id", "text_key", F.coalesce("root", "head", "doc_id").alias("class_id"))
+    placed = heads.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "head", F.coalesce("root", "key").alias("class_key"))
+    least = placed.groupBy("class_key").agg(F.min("head").alias("class_id"))
+    placed = placed.select("key", "class_key").join(least, "class_key")
+    out = signed.select("doc_id", "text_key", "key").join(placed, "key", "left")
+    return out.select("doc_id", "text_key", F.coalesce("class_id", "doc_id").alias("class_id"), "class_key")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, class_id`` for every row of ``docs``; ``text_key`` tells apart the
+    texts of rows with an equal id."""
+    return classes(docs).drop("class_key")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with one document of every class: its least id. Of rows without an
-    id, which have no class unless they copy one with an id, every different text stays."""
-    rows = near_duplicates(docs)
-    alone = F.when(F.col("class_id").isNull(), F.col("text_key"))
-    best = rows.groupBy("class_id", alone.alias("_alone")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key"))
+    """The rows of ``docs`` with one document of every class: its least id, or one without an id
+    if none has one. Of texts without words every different id and text stays."""
+    rows = classes(docs)
+    alone = [F.when(F.col("class_key").isNull(), F.col(c)).alias(f"_{c}") for c in ("doc_id", "text_key")]
+    best = rows.groupBy("class_key", *alone).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key"))
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), text_key().alias("_text_key"))
     kept = kept.join(best, F.col("d.doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_semi")
     kept = kept.select("d", F.col("d.doc_id").alias("_id"), "_text_key").dropDuplicates(["_id", "_text_key"])

@@ -66,6 +66,19 @@ def test_odd_rows(messy, no_docs):
     assert minhash.near_duplicates(no_docs).count() == 0 and minhash.deduplicated(no_docs).count() == 0
 
 
+def test_texts_of_one_id_and_rows_without_id(spark):
+    def text(name, change=0):
+        return " ".join(f"{name}{k if k >= change else -k - 1}" for k in range(100))
+
+    docs = [(1, text("a")), (1, text("b")), (2, text("b", 2)), (3, text("c")), (3, text("d")), (3, ""), (4, text("d", 3)), (4, text("e"))]
+    docs += [(None, text("c", 2)), (None, text("f")), (None, text("f", 2)), (None, text("f")), (None, text("g"))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    kept = sorted((r["doc_id"] or 0, r["text"][:1]) for r in minhash.deduplicated(df).collect())
+    assert kept == [(0, "f"), (0, "g"), (1, "a"), (1, "b"), (3, ""), (3, "c"), (3, "d"), (4, "e")]
+    got = sorted((r["doc_id"] or 0, r["class_id"] or 0) for r in minhash.near_duplicates(df).collect())
+    assert got == sorted([(1, 1), (1, 1), (2, 1), (3, 3), (3, 3), (3, 3), (4, 3), (4, 4), (0, 3), (0, 0), (0, 0), (0, 0), (0, 0)])
+
+
 def test_signatures_are_unbiased_for_weights():
     rng = np.random.default_rng(0)
     diff = []
