@@ -103,6 +103,10 @@ def _margins(text: pa.Array, weights: np.ndarray) -> np.ndarray:
     return out
 
 
+def has_letter(text: pa.Array) -> np.ndarray:
+    return np.asarray(pc.match_substring_regex(pc.fill_null(text.cast(pa.string()), ""), r"\p{L}"), bool)
+
+
 @dataclass
 class CodeModel:
     langs: list[str]
@@ -123,7 +127,7 @@ class CodeModel:
     def label(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(language, score, ambiguous) of every text."""
         text = pc.fill_null(text.cast(pa.string()), "")
-        some = np.asarray(pc.match_substring_regex(text, r"\p{L}"), bool) & bool(self.langs)
+        some = has_letter(text) & bool(self.langs)
         lang = np.full(len(text), UNDETERMINED, object)
         score, unclear = np.zeros(len(text)), ~some
         if some.any():
@@ -182,17 +186,18 @@ def predict(docs: DataFrame, model: CodeModel) -> DataFrame:
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in a known language, ``lang`` being the predicted one; ``und`` rows go.
-    An ambiguous prediction stays: it names a language, only less surely."""
+    """The rows of ``docs`` with a letter, ``lang`` being the predicted language, or as it was where none
+    could be learned. An ambiguous prediction stays: it names a language, only less surely."""
     model = fit(docs, ~held_out(F.col("doc_id")))
 
     at, names = docs.columns.index("lang"), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lang = pa.array(model.label(b.column(names.index("text")))[0], pa.string())
+            text = b.column(names.index("text"))
+            lang = pa.array(model.label(text)[0], pa.string()) if model.langs else b.column(at)
             whole = pa.RecordBatch.from_arrays([lang if k == at else c for k, c in enumerate(b.columns)], names)
-            yield whole.filter(pc.not_equal(lang, UNDETERMINED))
+            yield whole.filter(pa.array(has_letter(text)))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from quayside.llm import langid
 from quayside.llm.common import table
@@ -32,3 +33,13 @@ def test_undetermined_and_odd_rows(messy, no_docs):
     assert kept.columns == messy.columns and kept.count() == len(got) - 4
     assert langid.identify(no_docs).count() == 0
     assert {r["lang_pred"] for r in langid.identify(messy.withColumn("lang", messy["lang"].substr(1, 0)).na.replace("", None, "lang")).collect()} == {"und"}
+
+
+def test_kept_without_labels(spark, messy):
+    """Without a label outside the held-out fold nothing is learned: rows with a letter stay as they are."""
+    docs = messy.withColumn("lang", F.lit(None).cast("string"))
+    some = docs.withColumn("lang", F.when(langid.held_out(F.col("doc_id")), "en"))
+    for df in (docs, some):
+        want = [(r["doc_id"], r["text"], r["lang"]) for r in df.collect() if any(c.isalpha() for c in r["text"] or "")]
+        got = [(r["doc_id"], r["text"], r["lang"]) for r in langid.kept(df).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == messy.count() - 4
