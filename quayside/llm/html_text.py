@@ -6,8 +6,8 @@ link share, place. A bidirectional LSTM (numpy) reads the whole sequence, so eac
 labelled main or not in the context of the document.
 
 There are no labels, so the labeller learns from ``SAMPLE`` pages (bounded, repeatable) whose
-blocks a rule labels: inside an article or main element and inside no element whose tag, class
-or id names a menu, header, footer, sidebar, notice, advert, form or comment. Every page also
+blocks a rule labels: inside an article or main element (on a page with neither, one whose class or id
+names content) and inside no element whose tag, class or id names a menu, header, footer, sidebar, notice, advert, form or comment. Every page also
 comes in ``VARIANTS`` with other containers and inserted boilerplate around or inside the
 article, filled with text of other pages, so that the words of a block do not give it away.
 
@@ -41,6 +41,9 @@ _WIDTH = PATH_SLOTS + WORD_SLOTS + 5
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = ("script", "style", "template", "noscript", "textarea", "iframe", "svg", "select")
+#: Of these, a missing end tag makes the rest of the page no text; of the others it hides nothing.
+_RAW_TO_END = ("script", "style", "textarea", "iframe")
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)", re.I | re.A) for t in _RAW}
 _ENDS_SAME = {"li": ("li",), "p": ("p",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",)}
 _TAG = re.compile(r"<(?:!--(?:.*?)(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>)", re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -113,7 +116,7 @@ class _Reader:
 def read_blocks(page: str) -> list[Block]:
     """The leaf blocks of a page, in page order."""
     r, at, n = _Reader(), 0, len(page)
-    low = None
+    unclosed: set[str] = set()
     while at < n:
         m = _TAG.search(page, at)
         r.text(page[at : m.start()] if m else page[at:])
@@ -128,11 +131,16 @@ def read_blocks(page: str) -> list[Block]:
             continue
         attrs = m[3] if m[2] else m[6]
         if tag in _RAW:
-            low = low if low is not None else page.lower()
             r.cut() if tag not in ("script", "style") else None
-            end = low.find(f"</{tag}", at)
-            stop = low.find(">", end) if end >= 0 else -1
-            at = n if stop < 0 else stop + 1
+            if tag == "svg" and attrs and attrs.endswith("/"):
+                continue
+            end = _RAW_END[tag].search(page, at) if tag not in unclosed else None
+            if end:
+                at = end.end()
+            elif tag in _RAW_TO_END:
+                at = n
+            else:
+                unclosed.add(tag)
             continue
         r.open(tag, attrs or "")
         if attrs and attrs.endswith("/") and tag not in _VOID and tag not in _INLINE:
@@ -141,12 +149,29 @@ def read_blocks(page: str) -> list[Block]:
     return r.blocks
 
 
-def rule(path: tuple[str, ...]) -> bool:
-    """Whether the path says main text."""
-    inside = any(t in MAIN_TAGS for t in path)
+def _named(path: tuple[str, ...]) -> bool:
+    """Whether a class or id below the body names main text."""
+    tag = ""
+    for t in path:
+        if t[0] != ".":
+            tag = t
+        elif tag not in ("html", "body") and t[1:] in MAIN_NAMES:
+            return True
+    return False
+
+
+def rule(path: tuple[str, ...], named: bool = False) -> bool:
+    """Whether the path says main text; ``named``: by content names too."""
+    inside = any(t in MAIN_TAGS for t in path) or named and _named(path)
     return inside and not any(t in REST_TAGS or t[0] == "." and t[1:] in REST_NAMES for t in path)
 
 
+def rule_labels(blocks: list[Block]) -> np.ndarray:
+    """The rule's label of every block; on a page without article or main, content names count."""
+    named = not any(t in MAIN_TAGS for b in blocks for t in b.path)
+    return np.array([rule(b.path, named) for b in blocks], bool)
+
+
 # ---------------------------------------------------------------- block vectors
 
 
@@ -248,7 +273,7 @@ class Labeller:
         """Of every page, which blocks are main text."""
         out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
         if self.params is None:
-            return [np.array([rule(b.path) for b in p], bool) for p in pages]
+            return [rule_labels(p) for p in pages]
         order = sorted((k for k, p in enumerate(pages) if p), key=lambda k: len(pages[k]))
         at = 0
         while at < len(order):  # as many pages at once as keep blocks times longest bounded
@@ -306,13 +331,13 @@ def variant(blocks: list[Block], others: list[str], rng: np.random.Generator) ->
     root = pick(roots) + odd()
     kinds = [("p",)] * 5 + [("h2",), ("h3",), ("ul", "li"), ("ol", "li"), ("blockquote", "p"), ("pre",), ("table", "tr", "td"), ("figure", "figcaption"), ("div",), ("section", "p"), ("dl", "dd"), ("div", "p")]
     leads, out, good = ("html", "body"), [], []
-    for b in blocks:
-        if rule(b.path):
+    for b, main in zip(blocks, rule_labels(blocks), strict=True):
+        if main:
             own = b.path[-1] if rng.random() < 0.5 else None
             out.append(Block(leads + root + ((own,) if own and own not in MAIN_TAGS else pick(kinds)), b.text if rng.random() < 0.7 else pick(others), 0))
         else:
             out.append(b)
-        good.append(rule(b.path))
+        good.append(bool(main))
     for _ in range(rng.integers(2, 8)):
         names = (pick(("div", "section", "ul", "p")), "." + pick(REST_NAMES)) if rng.random() < 0.6 else (pick(REST_TAGS),)
         inner = pick([("p",), ("ul", "li"), ("div",), (), ("h3",), ("div", "p")])
@@ -330,12 +355,12 @@ def variant(blocks: list[Block], others: list[str], rng: np.random.Generator) ->
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
     """Learn from about ``sample`` pages, chosen by a hash of their id."""
     got = sorted(sampled(pages.filter("html IS NOT NULL"), "page_id", "html", sample, 21).collect())
-    plain = [b for b in (read_blocks(r["html"]) for r in got) if any(rule(x.path) for x in b)]
+    plain = [b for b in (read_blocks(r["html"]) for r in got) if rule_labels(b).any()]
     if not plain:
         return Labeller(None)
     rng = np.random.default_rng(29)
     texts = [b.text for p in plain for b in p]
-    every = [(p, np.array([rule(b.path) for b in p])) for p in plain] + [variant(p, texts, rng) for p in plain for _ in range(VARIANTS)]
+    every = [(p, rule_labels(p)) for p in plain] + [variant(p, texts, rng) for p in plain for _ in range(VARIANTS)]
     return train([p for p, _ in every], [y for _, y in every])
 
 

@@ -24,6 +24,25 @@ def test_blocks_of_a_page():
     assert [b.text for b in h.read_blocks("<p>a < b <c d='>e</p>f")] != []
 
 
+def test_raw_elements_hide_no_article():
+    read = lambda page: [b.text for b in h.read_blocks(page)]
+    assert read("<p>a</p><svg viewBox='0 0 1 1'/><p>b</p><svg><text>x</text></svg><p>c") == ["a", "b", "c"]
+    for tag in ("svg", "template", "select", "noscript"):
+        assert read(f"<p>a</p><{tag} id=x><p>b</p><p>c</p>") == ["a", "b", "c"]
+    turkish = "<p>" + "\u0130" * 40 + "</p>"
+    assert read(turkish + "<SCRIPT>x</p></Script><p>b</p><style>y</style\n><p>c</p>") == ["\u0130" * 40, "b", "c"]
+    h.read_blocks("<svg>" * 50_000 + "<p>a")
+
+
+def test_content_names_count_without_article():
+    page = "<body class=post><nav class=content><p>menu</p></nav><div class='entry'><p>one</p><p class=share>s</p></div><p>rest</p></body>"
+    blocks = h.read_blocks(page)
+    assert [b.text for b, m in zip(blocks, h.rule_labels(blocks), strict=True) if m] == ["one"]
+    assert [m.tolist() for m in h.Labeller(None).main([blocks])] == [h.rule_labels(blocks).tolist()]
+    both = h.read_blocks("<article><p>a</p></article><div class=content><p>b</p></div>")
+    assert h.rule_labels(both).tolist() == [True, False]
+
+
 def test_odd_markup_takes_linear_time():
     for page in ("<" * 100_000, "<a " * 50_000, "<div>" * 3_000 + "x", "<p class='" * 20_000, "<!--" * 50_000, "</div>" * 50_000, "<script>" * 20_000):
         h.read_blocks(page)
