@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import fingerprints, html_text, knn, langid, lines, lm, minhash, mixing, packing, pii, toxicity
+from quayside.llm import fingerprints, html_text, knn, langid, lines, lm, minhash, mixing, packing, pii, repair, toxicity
 from quayside.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.drop_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -69,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_model": op8_language_model,
     "op9_top_k": op9_top_k,
     "op10_main_text": op10_main_text,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_line_dedup": op12_line_dedup,
 }
 
