@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import fingerprints, html_text, knn, langid, lines, lm, minhash, mixing, packing, pii, repair, toxicity
+from quayside.llm import fingerprints, html_text, knn, langid, lines, lm, minhash, mixing, negatives, packing, pii, repair, toxicity
 from quayside.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,12 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", noisy), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
@@ -75,10 +81,12 @@ QUERIES: dict[str, Query] = {
     "op10_main_text": op10_main_text,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_line_dedup": op12_line_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
     "op5_packing": packing.SQL,
     "op9_top_k": knn.SQL,
     "op12_line_dedup": lines.SQL,
+    "op13_hard_negatives": negatives.SQL,
 }
