@@ -28,6 +28,7 @@ from quayside.session import scratch_dir
 from quayside.sources.archives import archive_members, decode_members, is_csv, scan_archives
 from quayside.sources.catalog import read_catalog, read_csv_strings, read_json_array, write_catalog
 from quayside.sources.landing import landing_manifest
+from quayside.sources.zip_source import zip_members
 from quayside.streaming import schema_log
 from quayside.streaming.ingest import IngestOptions, ingest_table, read_table
 
@@ -510,10 +511,34 @@ def _members(spark, sf, with_content=False):
     return archive_members(scan, with_content=with_content).withColumn("archive", F.regexp_extract("archive_path", r"[^/]*$", 0))
 
 
-@query("archive_scan", f"SELECT DISTINCT {ARCHIVE_SQL} AS archive, 32 AS md5_chars, true AS has_bytes FROM documents")
+@query("archive_scan", f"""
+SELECT {ARCHIVE_SQL} AS archive, true AS md5_equal, true AS size_equal, {MEMBER_SQL} AS member,
+       CAST(octet_length(encode(text)) AS BIGINT) AS member_bytes, md5(text) AS member_md5
+FROM documents""")
 def archive_scan(spark, sf):
-    s = scan_archives(spark, _document_archives(spark, sf))
-    return s.select("archive", F.length("md5").alias("md5_chars"), (F.col("size_bytes") > 0).alias("has_bytes"))
+    """Size and MD5 of every archive, hashed in pieces, against those of its bytes read whole, and
+    size and MD5 of the content of its members."""
+    path = _document_archives(spark, sf)
+    whole = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select(
+        F.col("path").alias("archive_path"), F.md5("content").alias("whole_md5"), F.octet_length("content").alias("whole_bytes"))
+    archives = scan_archives(spark, path).join(whole, "archive_path").select(
+        "archive", (F.col("md5") == F.col("whole_md5")).alias("md5_equal"), (F.col("size_bytes") == F.col("whole_bytes")).alias("size_equal"))
+    members = zip_members(spark, path, digest=True).select(
+        F.regexp_extract("archive_path", r"[^/]*$", 0).alias("archive"), "member", F.col("size_bytes").alias("member_bytes"), F.col("md5").alias("member_md5"))
+    return archives.join(members, "archive")
+
+
+@query("zip_source", f"""
+SELECT {ARCHIVE_SQL} AS archive, {MEMBER_SQL} AS member, 'csv' AS extension, CAST(octet_length(encode(text)) AS BIGINT) AS size_bytes,
+       md5(text) AS text_md5, CAST(length(text) AS INTEGER) AS n_chars
+FROM documents WHERE lang <> 'de' AND octet_length(encode(text)) >= 100""")
+def zip_source(spark, sf):
+    """CSV members of at least 100 bytes by the ``zip_members`` format; both filters are pushed down."""
+    wanted = (F.col("extension") == "csv") & (F.col("size_bytes") >= 100)
+    m = zip_members(spark, _document_archives(spark, sf), wanted, content=True)
+    text = F.col("content").cast("string")
+    return m.select(F.regexp_extract("archive_path", r"[^/]*$", 0).alias("archive"), "member", "extension", "size_bytes",
+                    F.md5(text).alias("text_md5"), F.char_length(text).alias("n_chars"))
 
 
 @query("archive_members", f"""

@@ -1,7 +1,7 @@
 """Zip archives as a Spark source.
 
-``scan_archives``: one row per archive file (path, size, modification time, MD5),
-from the ``binaryFile`` source.
+``scan_archives``: one row per archive file (path, size, modification time, MD5), listed by
+the ``binaryFile`` source and hashed in pieces.
 
 ``archive_members``: one row per member, produced on the executors by
 ``mapInPandas``. A task opens each archive by path (seekable, so only the central
@@ -52,19 +52,49 @@ MEMBER_BATCH_BYTES = 64 << 20
 MEMBER_BATCH_ROWS = 10_000
 
 
+# Files and members are hashed in pieces of this many bytes.
+HASH_PIECE_BYTES = 8 << 20
+
+
+def hash_pieces(read, digest, keep=None) -> str:
+    """Hex digest of all that ``read(n)`` returns, a piece at a time; ``keep`` gets every piece."""
+    while piece := read(HASH_PIECE_BYTES):
+        digest.update(piece)
+        if keep is not None:
+            keep(piece)
+    return digest.hexdigest()
+
+
+def _digest_files(batches):
+    import hashlib
+
+    for b in batches:
+        md5 = []
+        for path in b.column("path").to_pylist():
+            with _open_seekable(path) as raw:
+                md5.append(hash_pieces(raw.read, hashlib.md5()))
+        yield pa.record_batch([*b.columns, pa.array(md5, pa.string())], [*b.schema.names, "md5"])
+
+
 def scan_archives(spark: SparkSession, path: str, glob: str = "*.zip", with_md5: bool = True) -> DataFrame:
-    """archive_path, archive (base name), size_bytes, modified, md5 (hex of the bytes)."""
-    df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-          .option("recursiveFileLookup", "true").load(path))
-    cols = [
+    """archive_path, archive (base name), size_bytes, modified, md5 (hex of the bytes).
+
+    The scan lists files and deals them over tasks by their size, without their content; a task
+    hashes its files in pieces, so an archive of any size."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", "true").load(path).select("path", "length", "modificationTime"))
+    if with_md5:
+        from quayside.session import ship_package
+
+        ship_package(spark)
+        files = files.mapInArrow(_digest_files, "path string, length long, modificationTime timestamp, md5 string")
+    return files.select(
         F.col("path").alias("archive_path"),
         basename("path").alias("archive"),
         F.col("length").alias("size_bytes"),
         F.col("modificationTime").alias("modified"),
-    ]
-    if with_md5:
-        cols.append(F.md5("content").alias("md5"))
-    return df.select(*cols)
+        *(["md5"] if with_md5 else []),
+    )
 
 
 def _open_seekable(path: str):
