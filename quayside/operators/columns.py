@@ -12,8 +12,9 @@ from quayside.functions.names import unique_snake_names
 # Lineage columns added to every loaded row.
 LINEAGE_COLUMNS = ["_load_timestamp", "_source_file", "_processing_date"]
 CORRUPT_COLUMN = "_corrupt_record"
+RESCUED_COLUMN = "_rescued"
 PATH_COLUMNS = ["_year", "_month"]
-RESERVED = tuple(LINEAGE_COLUMNS + [CORRUPT_COLUMN] + PATH_COLUMNS + ["_batch_id"])
+RESERVED = tuple(LINEAGE_COLUMNS + [CORRUPT_COLUMN, RESCUED_COLUMN] + PATH_COLUMNS + ["_batch_id"])
 
 
 def snake_columns(df: DataFrame) -> DataFrame:

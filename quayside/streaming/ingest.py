@@ -4,18 +4,19 @@ The stream carries file *paths* only (``binaryFile`` with ``content`` pruned); e
 micro-batch is loaded by ``foreachBatch`` with the batch reader, which lets a batch
 hold files with different headers:
 
-1. the first record of every new file is read by Spark's own CSV reader (blank lines
-   skipped, any line ends, quoted newlines with ``multi_line``, no length limit), and
-   files are grouped by that header; a file that cannot be read fails the batch, which
-   is then not committed and tried again by the next run; a file without a record is
-   counted and loads no row;
+1. the first records of all new files are read by one job of Spark's own CSV reader
+   (blank lines skipped, any line ends, quoted newlines with ``multi_line``, no length
+   limit), and files are grouped by that header; a file that cannot be read fails the
+   batch, which is then not committed and tried again by the next run; a file without a
+   record is counted and loads no row;
 2. per header group the column types are taken from the schema log and inferred for
    new columns, and for date columns, which would cut off times without a trace; a
    batch whose values do not fit is inferred afterwards and, when a column widens
    (int -> bigint -> double, date -> timestamp), rewritten under the wider type, so a
    batch without dates or type drift reads its files once;
 3. each group is read with its positional schema plus ``_corrupt_record``
-   (PERMISSIVE: a value that does not fit becomes NULL and the raw line is kept);
+   (PERMISSIVE: a value that does not fit becomes NULL and the raw line is kept), and the
+   cells that did not fit are kept by column name in ``_rescued`` (VARIANT);
 4. names are normalised, lineage and path columns added, groups unioned by name
    and written to ``_batch_id=N`` with dynamic partition overwrite: a replayed
    batch replaces its own output, so rows are loaded exactly once.
@@ -27,21 +28,23 @@ read under the type they have and cast).
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType, TimestampType, VariantType
 
 from quayside.functions.names import unique_snake_names
 from quayside.operators.columns import (
     CORRUPT_COLUMN,
     LINEAGE_COLUMNS,
+    RESCUED_COLUMN,
     RESERVED,
     add_lineage,
     add_path_partitions,
@@ -70,13 +73,21 @@ RESULT_SCHEMA = StructType([
     StructField("empty_files", LongType()),
 ])
 
-# Headers read at the same time, each by two small jobs on the first block of a file.
-HEADER_THREADS = 8
+# No file is cut and none shares a task while headers are read: settings of that reading.
+WHOLE_FILES = {
+    "spark.sql.files.maxPartitionBytes": str(1 << 45),
+    "spark.sql.files.openCostInBytes": str(1 << 45),
+    "spark.sql.files.maxPartitionNum": str((1 << 31) - 1),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+}
 
 
 @dataclass
 class IngestOptions:
     max_files_per_trigger: int = 100
+    # A micro-batch of about so many bytes instead (at least one file): Spark's file source bounds
+    # a batch by files or by bytes, not by both.
+    max_bytes_per_trigger: int | None = None
     # Files older than this (against the newest seen) are skipped by the file source;
     # a thousand years: copied or epoch-dated files are never dropped silently.
     max_file_age: str = "365000d"
@@ -84,6 +95,8 @@ class IngestOptions:
     encoding: str = "UTF-8"
     as_of: object = None
     type_overrides: dict[str, str] = field(default_factory=dict)
+    # Columns, beside ``_source_file``, whose distinct values each batch sketches into the batch log.
+    sketch_columns: tuple[str, ...] = ()
     # Seconds after which a load is stopped between batches (None: no limit).
     timeout_s: float | None = None
     # When the checkpoint is new but the table has data, batch ids would restart at
@@ -99,17 +112,84 @@ def literal_paths(paths: list[str]) -> list[str]:
     return ["".join("\\" + c if c in _GLOB_CHARS else c for c in p) for p in paths]
 
 
+def _first_records(stop: bool):
+    """Task body: the first record of every file; with ``stop`` a task ends after its first row."""
+    def run(batches):
+        file = None
+        for b in batches:
+            files = b.column("file").to_pylist()
+            at = [i for i, f in enumerate(files) if f != (files[i - 1] if i else file)]
+            if at:
+                yield b.take(at)
+            if files and stop:
+                return
+            file = files[-1] if files else file
+
+    return run
+
+
+def _same_file(uri: str) -> str:
+    """One spelling of a path: ``_metadata.file_path`` is percent-encoded, a listing's path is not."""
+    return re.sub("^file:/+", "file:/", uri if uri.startswith("file:") or "://" in uri else f"file:{uri}")
+
+
+def _cells(spark: SparkSession, records: list[str]) -> list[tuple[str, ...]]:
+    """The cells of raw CSV records, by Spark's parser. Constants only, so no job runs."""
+    if not records:
+        return []
+    one = spark.sql("SELECT * FROM VALUES (1) AS one(n)")  # a local relation
+    kinds = one.select(*[F.schema_of_csv(F.lit(r)).alias(f"r{i}") for i, r in enumerate(records)]).first()
+    names = [", ".join(f"c{k} string" for k in range(len(schema_log.to_type(t).fields))) for t in kinds]
+    cells = one.select(*[F.from_csv(F.lit(r), n).alias(f"r{i}") for i, (r, n) in enumerate(zip(records, names))]).first()
+    return [tuple(c or "" for c in row) for row in cells]
+
+
 def read_headers(spark: SparkSession, paths: list[str], opts: IngestOptions) -> dict[str, tuple[str, ...]]:
     """Path → cells of the file's first record, by Spark's CSV reader; () for a file without
-    one. A file that cannot be read raises."""
-    def first(path: str) -> tuple[str, ...]:
-        df = (spark.read.option("header", False).option("multiLine", opts.multi_line)
-              .option("encoding", opts.encoding).csv(literal_paths([path])))
-        row = df.first() if df.columns else None
-        return () if row is None else tuple(c or "" for c in row)
-
-    with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        return dict(zip(paths, pool.map(first, paths)))
+    one. A file that cannot be read raises.
+
+    One job reads the first record of every file, a file a task, which ends there. Read under a
+    schema of one column, a record of more cells is kept raw; the few different raw records are
+    then split into cells on the driver. Files without a result are read once more, to their
+    end, so that none counts as empty because of settings this session does not control."""
+    session = spark.newSession()
+    for k, v in WHOLE_FILES.items():
+        session.conf.set(k, v)
+
+    def first(files: list[str], stop: bool) -> list:
+        lines = (session.read.schema("cell string, record string").option("header", False)
+                 .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "record")
+                 .option("multiLine", opts.multi_line).option("encoding", opts.encoding).csv(literal_paths(files)))
+        start = F.col("_metadata.file_block_start") == 0
+        lines = lines.where(start).select(F.col("_metadata.file_path").alias("file"), "cell", "record")
+        return lines.mapInArrow(_first_records(stop), "file string, cell string, record string").collect()
+
+    found: dict[str, tuple[str | None, str | None]] = {}
+    for stop in (True, False):
+        missing = [p for p in paths if _same_file(p) not in found]
+        if missing:
+            found |= {_same_file(unquote(r.file)): (r.cell, r.record) for r in first(missing, stop)}
+    records = sorted({r for _, r in found.values() if r is not None})
+    cells = dict(zip(records, _cells(spark, records)))
+
+    def header(path: str) -> tuple[str, ...]:
+        if _same_file(path) not in found:
+            return ()
+        cell, record = found[_same_file(path)]
+        return (cell or "",) if record is None else cells[record]
+
+    return {p: header(p) for p in paths}
+
+
+def rescue(df: DataFrame, names: list[str]) -> DataFrame:
+    """Adds ``_rescued``: of a row with a raw line, the cells that did not fit their column, by column
+    name, as a VARIANT object; NULL where every cell fits. The line is split again, as strings, for
+    such rows only."""
+    raw = F.col(CORRUPT_COLUMN)
+    cells = F.when(raw.isNotNull(), F.from_csv(raw, ", ".join(f"`{n}` string" for n in names)))
+    misfits = F.to_json(F.struct(*[F.when(F.col(n).isNull(), F.col("_cells")[n]).alias(n) for n in names]))
+    kept = F.when(raw.isNotNull(), F.parse_json(F.nullif(misfits, F.lit("{}"))))
+    return df.withColumn("_cells", cells).withColumn(RESCUED_COLUMN, kept).drop("_cells")
 
 
 def _read_group(spark: SparkSession, paths: list[str], schema: StructType, opts: IngestOptions) -> DataFrame:
@@ -166,20 +246,23 @@ def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opt
                 + [StructField(CORRUPT_COLUMN, StringType())]
             )
             df = add_lineage(_read_group(spark, paths, read_schema, opts), opts.as_of)
-            frames.append(add_path_partitions(df))
+            frames.append(rescue(add_path_partitions(df), names))
         out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
         out = out.select(
             *[(F.col(n) if n in out.columns else F.lit(None)).cast(t).alias(n) for n, t in columns],
-            *LINEAGE_COLUMNS, CORRUPT_COLUMN, "_year", "_month",
+            *LINEAGE_COLUMNS, CORRUPT_COLUMN, RESCUED_COLUMN, "_year", "_month",
             F.lit(batch_id).cast("long").alias("_batch_id"),
         )
         # Unique name: streams of several tables may run the same batch id at once.
         obs = Observation(f"batch_{batch_id}_{uuid.uuid4().hex}")
+        sketched = ["_source_file", *(c for c in opts.sketch_columns if c in logged)]
         out = out.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("_load_timestamp").alias("latest"),
-                          F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("corrupt"))
+                          F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("corrupt"),
+                          *[batch_log.sketch(c).alias(f"distinct {c}") for c in sketched])
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_batch_id").parquet(table_path))
-        return obs.get
+        stats = obs.get
+        return stats | {"sketches": {c: bytes(stats[f"distinct {c}"]) for c in sketched}}
 
     def process(batch: DataFrame, batch_id: int) -> None:
         # At most max_files_per_trigger paths: bounded metadata, grouped on the driver.
@@ -221,7 +304,7 @@ def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opt
                 stats = write_batch(batch_id, plans, logged, order, base)
         if batches_path is not None:
             batch_log.write_entry(spark, batches_path, batch_id, stats.get("rows", 0), stats.get("latest"),
-                                  len(found), stats.get("corrupt", 0), empty)
+                                  len(found), stats.get("corrupt", 0), empty, stats["sketches"])
         last.update(batch=batch_id, columns=[(n, logged[n]) for n in order])
 
     return process
@@ -232,6 +315,7 @@ def table_schema(columns: list[tuple[str, str]]) -> StructType:
         [StructField(n, schema_log.to_type(t)) for n, t in columns]
         + [StructField("_load_timestamp", TimestampType()), StructField("_source_file", StringType()),
            StructField("_processing_date", StringType()), StructField(CORRUPT_COLUMN, StringType()),
+           StructField(RESCUED_COLUMN, VariantType()),
            StructField("_year", IntegerType()), StructField("_month", IntegerType()),
            StructField("_batch_id", LongType())]
     )
@@ -301,10 +385,13 @@ def ingest_table(
 
     batches_path = f"{checkpoint_path}/batches"
     last_batch = batch_log.totals(spark, batches_path).max_batch
+    admission = ("maxFilesPerTrigger", int(opts.max_files_per_trigger))
+    if opts.max_bytes_per_trigger is not None:
+        admission = ("maxBytesPerTrigger", int(opts.max_bytes_per_trigger))
     paths = (
         spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
         .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", int(opts.max_files_per_trigger))
+        .option(*admission)
         .option("maxFileAge", opts.max_file_age)
         .load(source_path)
         .select("path", "length")

@@ -264,3 +264,91 @@ def test_file_from_1980_is_read(spark, tmp):
     run(spark, tmp)
     put(tmp, "land/year=1980/month=01/old.csv", "a\n2\n", mtime=315_600_000)
     assert run(spark, tmp).total_rows == 2
+
+
+def jobs_of(spark, fn):
+    """Jobs that Spark starts while ``fn`` runs."""
+    count = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs
+    before = count()
+    fn()
+    return count() - before
+
+
+def test_headers_of_many_files_in_one_job(spark, tmp):
+    texts = ["a,b\n1,2\n", "\n\n  x y,z\r\n1,2\r\n", 'c,"d, e",,\r1,2,3,4\r', '"a\\"b",c\n1,2\n', "only\n1\n", '"a""b",c\n', "\n\n", " a, \"b\" ,\n1,2,3\n"]
+    want = [("a", "b"), ("  x y", "z"), ("c", "d, e", "", ""), ('a"b', "c"), ("only",), ('"a""b"', "c"), (), (" a", ' "b" ', "")]
+    paths = [put(tmp, f"h/f {i}%25[{k}].csv", t) for k in range(5) for i, t in enumerate(texts)]
+    got = read_headers(spark, paths, IngestOptions())
+    assert [got[p] for p in paths] == want * 5
+    full = [p for p, w in zip(paths, want * 5) if w]
+    few, many = (jobs_of(spark, lambda n=n: read_headers(spark, full[:n], IngestOptions())) for n in (3, 30))
+    assert few == many == 1
+
+
+def test_header_of_a_long_file_does_not_read_it(spark, tmp):
+    path = put(tmp, "h/long.csv", "a,b\n" + "1,2\n" * 2_000_000)
+    started = time.time()
+    assert read_headers(spark, [path], IngestOptions(multi_line=True))[path] == ("a", "b")
+    assert time.time() - started < 20
+    quoted = put(tmp, "h/q.csv", '"a\nb",c\n1,2\n')
+    assert read_headers(spark, [quoted], IngestOptions(multi_line=True))[quoted] == ("a\nb", "c")
+    assert read_headers(spark, [quoted], IngestOptions())[quoted] == ("a",)
+
+
+def test_files_that_share_a_task_keep_their_headers(spark, tmp, monkeypatch):
+    """Settings that put several files into a task cost a second reading, not a header."""
+    from quayside.streaming import ingest
+
+    monkeypatch.setattr(ingest, "WHOLE_FILES", {})
+    paths = [put(tmp, f"h/{i}.csv", f"a{i},b\n1,2\n") for i in range(40)]
+    assert read_headers(spark, paths, IngestOptions()) == {p: (f"a{i}", "b") for i, p in enumerate(paths)}
+
+
+def test_jobs_of_a_load_do_not_grow_with_its_files(spark, tmp):
+    counts = []
+    for n in (4, 24):
+        for i in range(n):
+            put(f"{tmp}/{n}", f"land/year=2024/month=01/f{i}.csv", f"A,B\n{i},2\n")
+        counts.append(jobs_of(spark, lambda n=n: run(spark, f"{tmp}/{n}")))
+    assert counts[0] == counts[1]
+
+
+def test_batches_bounded_by_bytes(spark, tmp):
+    for i in range(6):
+        put(tmp, f"land/year=2024/month=01/s{i}.csv", "A\n" + "1\n" * 10)  # 22 bytes
+    for i in range(2):
+        put(tmp, f"land/year=2024/month=02/b{i}.csv", "A\n" + "1\n" * 100)  # 202 bytes
+    r = run(spark, tmp, max_bytes_per_trigger=100)
+    assert (r.status, r.total_rows) == ("success", 260)
+    per_batch = table(spark, tmp).groupBy("_batch_id").agg({"_source_file": "collect_set"}).collect()
+    sizes = [sum(22 if "/s" in f.rsplit("month=", 1)[1] else 202 for f in b[1]) for b in per_batch]
+    assert all(s <= 100 or len(b[1]) == 1 for s, b in zip(sizes, per_batch)) and len({len(b[1]) for b in per_batch}) > 1
+
+
+def test_misfits_are_rescued_by_column(spark, tmp):
+    put(tmp, "land/year=2024/month=01/a.csv", "id,qty,at,note\n1,5,2024-01-01,x\n")
+    run(spark, tmp)
+    put(tmp, "land/year=2024/month=02/b.csv", 'id,qty,at,note\n2,"lots, and ""more",2024-01-02,y\n3,7,never,\n4,8\n5,,2024-01-05,z\n')
+    r = run(spark, tmp)
+    assert (r.status, r.rows_added) == ("success", 4)
+    t = table(spark, tmp)
+    rows = {x.id: (x.qty, x.r) for x in t.selectExpr("id", "qty", "to_json(_rescued) r").collect()}
+    assert rows[1] == (5, None) and rows[3] == (7, '{"at":"never"}') and rows[4] == (8, None) and rows[5] == (None, None)
+    assert rows[2][0] is None and rows[2][1].startswith('{"qty":')
+    assert [x[0] for x in t.selectExpr("variant_get(_rescued, '$.at', 'string')").where("id = 3").collect()] == ["never"]
+
+
+def test_statistics_from_the_batch_log(spark, tmp):
+    from quayside.streaming.batch_log import SKETCH_ERROR, load_statistics
+
+    for i in range(300):
+        put(tmp, f"land/year=2024/month=01/f{i}.csv", "K,V\n" + "".join(f"{i * 7 + k},{k}\n" for k in range(14)))
+    r = run(spark, tmp, max_files_per_trigger=60, sketch_columns=("k", "v", "absent"))
+    assert (r.status, r.batches) == ("success", 5)
+    stats = load_statistics(spark, f"{tmp}/ckpt/batches")
+    rows = {x.column_name: x for x in stats.collect()}
+    for column, exact in (("_source_file", 300), ("k", 7 * 301), ("v", 14)):
+        assert abs(rows[column].distinct_estimate - exact) <= SKETCH_ERROR * exact
+    assert set(rows) == {"_source_file", "k", "v"} and (rows["k"].rows, rows["k"].files, rows["k"].batches) == (4200, 300, 5)
+    plan = stats._jdf.queryExecution().optimizedPlan().toString()
+    assert "/table" not in plan and f"{tmp}/table" not in stats._jdf.queryExecution().executedPlan().toString()
