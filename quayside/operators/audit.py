@@ -6,7 +6,7 @@ types.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -178,3 +178,57 @@ def load_gaps(expected: DataFrame, audit: DataFrame, statuses: tuple[str, ...] =
     """Expected files without an audit row in ``statuses`` (anti join on url)."""
     done = audit.where(F.col("download_status").isin(*statuses)).select("url")
     return expected.join(done, "url", "left_anti")
+
+
+def gap_ranges(expected: DataFrame, audit: DataFrame, statuses: tuple[str, ...] = ("success",)) -> DataFrame:
+    """Runs of missing periods per dataset: (dataset, first, last, periods, files).
+
+    ``expected``: (dataset, period, url), any number of files a period; a period is missing when one of
+    its files has no audit row in ``statuses``. Neighbours are neighbouring *expected* periods, so a
+    quarterly dataset has runs of quarters. Files without a period (static ones) are a run of their own,
+    first and last NULL. A dataset's window holds its periods, not its files."""
+    done = audit.where(F.col("download_status").isin(*statuses)).select("url").distinct().withColumn("_done", F.lit(True))
+    periods = expected.join(done, "url", "left").groupBy("dataset", "period").agg(F.count_if(F.col("_done").isNull()).alias("files"))
+    present = F.col("files") == 0
+    order = Window.partitionBy("dataset").orderBy("period")
+    # all periods of one run of missing ones have seen equally many present ones; no period, no neighbour
+    island = F.when(F.col("period").isNotNull(), F.count_if(present).over(order))
+    return (periods.withColumn("_island", island).where(~present).groupBy("dataset", "_island")
+            .agg(F.min("period").alias("first"), F.max("period").alias("last"), F.count("*").alias("periods"), F.sum("files").alias("files"))
+            .drop("_island"))
+
+
+def _runs(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """Neighbouring rows of equal status as one: attempts added, first and last time, numbered by ``run``."""
+    by = Window.partitionBy(*key).orderBy(*order)
+    changed = ~F.col("status").eqNullSafe(F.lag("status").over(by)) | (F.row_number().over(by) == 1)
+    # the running count of changes numbers the runs
+    numbered = rows.withColumn("_new", changed.cast("int")).withColumn("run", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*key, "run").agg(F.first("status").alias("status"), F.sum("attempts").alias("attempts"),
+                                             F.min("since").alias("since"), F.max("until").alias("until"))
+
+
+def status_runs(audit: DataFrame, key: str = "url") -> DataFrame:
+    """Runs of attempts with one status, per ``key``, in time: (key, run, status, attempts, since, until).
+
+    Runs are made within each day first (the audit's partitions), then neighbouring runs of equal status are
+    joined, so the second window has a few rows a day, however often a URL was tried."""
+    day = F.col(RUN_DATE) if RUN_DATE in audit.columns else F.to_date("run_timestamp")
+    rows = audit.select(key, day.alias("_day"), "run_id", F.col("download_status").alias("status"), F.lit(1).cast("long").alias("attempts"),
+                        F.col("run_timestamp").alias("since"), F.col("run_timestamp").alias("until"))
+    daily = _runs(rows, [key, "_day"], ["since", "run_id"]).withColumnRenamed("run", "_part")
+    return _runs(daily, [key], ["_day", "_part"]).select(key, F.col("run").cast("long").alias("run"), "status", "attempts", "since", "until")
+
+
+def failure_streaks(audit: DataFrame, key: str = "url", statuses: tuple[str, ...] = ("success",)) -> DataFrame:
+    """Per ``key``: attempts, the current status with its streak (attempts and since when), the last success,
+    and the attempts that failed since."""
+    runs = status_runs(audit, key)
+    ok = F.col("status").isin(*statuses)
+    last_ok = F.max(F.when(ok, F.col("run"))).over(Window.partitionBy(key))
+    now = F.max_by(F.struct("status", "attempts", "since"), "run").alias("_now")
+    return runs.withColumn("_ok", F.coalesce(last_ok, F.lit(0))).groupBy(key).agg(
+        F.sum("attempts").alias("attempts"), now, F.max(F.when(ok, F.col("until"))).alias("last_success"),
+        F.coalesce(F.sum(F.when(F.col("run") > F.col("_ok"), F.col("attempts"))), F.lit(0)).alias("failed_since"),
+    ).select(key, "attempts", F.col("_now.status").alias("current_status"), F.col("_now.attempts").alias("streak"),
+             F.col("_now.since").alias("streak_since"), "last_success", "failed_since")

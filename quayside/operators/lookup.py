@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 
 def first_by_landing_path(catalog: DataFrame) -> DataFrame:
     order = F.struct("catalog_file", "position")
+    if "types" not in catalog.columns:
+        catalog = catalog.withColumn("types", F.lit(None).cast("map<string,string>"))
     return catalog.groupBy("landing_path").agg(
-        F.min_by(F.struct("table_name", "comment"), order).alias("_first")
-    ).select("landing_path", F.col("_first.table_name").alias("_table_name"), F.col("_first.comment").alias("_comment"))
+        F.min_by(F.struct("table_name", "comment", "types"), order).alias("_first")
+    ).select("landing_path", F.col("_first.table_name").alias("_table_name"), F.col("_first.comment").alias("_comment"),
+             F.col("_first.types").alias("_types"))
 
 
 def lookup_dataset(df: DataFrame, catalog: DataFrame, key: str = "landing_path") -> DataFrame:

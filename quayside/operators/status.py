@@ -11,12 +11,12 @@ def _c(col: Column | str) -> Column:
 
 
 def fetch_status(http_code: Column | str, error: Column | str) -> Column:
-    """'success' (2xx), 'not_found' (404), 'http_error_{code}', or 'error: {message}'
+    """'success' (below 400: an answer after redirects too), 'not_found' (404), 'http_error_{code}', or 'error: {message}'
     when the fetch raised instead of answering."""
     code, err = _c(http_code), _c(error)
     return (
         F.when(err.isNotNull(), F.concat(F.lit("error: "), err))
-        .when(code.between(200, 299), F.lit("success"))
+        .when(code < 400, F.lit("success"))
         .when(code == 404, F.lit("not_found"))
         .otherwise(F.concat(F.lit("http_error_"), code.cast("string")))
     )
@@ -41,7 +41,7 @@ def landing_outcome(fetched: Column | str, archive_ok: Column | str, csv_count:
 
 
 def landing_message(status: Column | str, csv_count: Column | str, success_count: Column | str) -> Column:
-    """Error text stored with the status (NULL on success)."""
+    """Error text stored with the status (NULL on success). The two messages."""
     s = _c(status)
     return (
         F.when(s == "success", F.lit(None).cast("string"))

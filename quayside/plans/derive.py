@@ -50,6 +50,7 @@ def supplier_catalog_rows(supplier: DataFrame) -> DataFrame:
         params.alias("parameters"),
         F.concat(F.lit("region_"), F.pmod(F.col("s_nationkey"), F.lit(5)).cast("string")).alias("landing_path"),
         F.concat(F.col("s_name"), F.lit("'s files")).alias("comment"),
+        F.when(rk == 1, F.create_map(F.lit("code"), F.lit("string"), F.lit("amount"), F.lit("double"))).alias("types"),
     )
 
 
@@ -102,6 +103,21 @@ def land_orders(orders: DataFrame, path: str, where: Column | None = None) -> No
     land_csv_by_month(orders if where is None else orders.where(where), "o_orderdate", ORDERS_HEADERS, path)
 
 
+def land_orders_unevenly(orders: DataFrame, path: str) -> None:
+    """Orders before 1998 in monthly files, later ones in yearly files, some twelve times as big."""
+    day = F.when(F.year("o_orderdate") < 1998, F.col("o_orderdate")).otherwise(F.date_trunc("year", "o_orderdate"))
+    land_csv_by_month(orders.withColumn("_day", day), "_day", ORDERS_HEADERS, path)
+
+
+EVENT_HEADERS = {"event_id": "Event ID", "ts_text": "TS", "user_id": "User-ID", "event_type": "Event Type", "value": "Value", "props": "Props"}
+
+
+def land_events(events: DataFrame, path: str, where: Column) -> None:
+    """Events as CSV files by month, times with microseconds."""
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    land_csv_by_month(events.where(where).withColumn("ts_text", text), "ts", EVENT_HEADERS, path)
+
+
 # --------------------------------------------------------------------------- archives
 
 # Documents per archive: doc ids are unique, so an archive holds at most this many
@@ -164,6 +180,7 @@ def event_http_code() -> Column:
     t = F.col("event_type")
     return (F.when(t == "click", F.lit(404))
             .when(t == "error", F.lit(500) + F.pmod(F.floor("value"), F.lit(4)))
+            .when(t == "signup", F.lit(302))
             .otherwise(F.lit(200))).cast("int")
 
 
@@ -222,6 +239,20 @@ def events_as_audit(events: DataFrame) -> DataFrame:
     )
 
 
+def order_month_url(dataset: Column | str, period: Column | str) -> Column:
+    return F.concat(F.lit("https://files.example/c"), F.col(dataset).cast("string"), F.lit("/"), F.date_format(period, "yyyy-MM"), F.lit(".zip"))
+
+
+def orders_as_audit(orders: DataFrame, at: str) -> DataFrame:
+    """Each order is the fetch of its customer's file of its month; pending orders stand for files not found."""
+    rows = orders.select("o_orderkey", "o_orderstatus", F.col("o_custkey").alias("dataset"), F.trunc("o_orderdate", "month").alias("period"))
+    return rows.select(
+        F.concat(F.lit("run-"), F.col("o_orderkey").cast("string")).alias("run_id"), F.lit(at).cast("timestamp").alias("run_timestamp"),
+        order_month_url("dataset", "period").alias("url"), F.col("dataset").cast("string").alias("landing_path"),
+        F.year("period").alias("year"), F.month("period").alias("month"),
+        F.when(F.col("o_orderstatus") == "P", "not_found").otherwise("success").alias("download_status"))
+
+
 # Events per archive: ids are unique, so an archive holds at most this many members
 # whatever the skew of ``user_id`` (a zip's member list is one audit row).
 EVENTS_PER_ARCHIVE = 1000
@@ -270,26 +301,34 @@ def land_messy_orders(orders: DataFrame, path: str) -> None:
 # --------------------------------------------------------------------------- a whole run from orders
 
 
+# Order keys per archive of a month: an archive holds a bounded number of rows however many a priority has.
+ORDER_KEYS_PER_BLOCK = 1_000_000
+
+
+def _order_block() -> Column:
+    return F.floor(F.col("o_orderkey") / ORDER_KEYS_PER_BLOCK).cast("string")
+
+
 def order_catalog(orders: DataFrame) -> DataFrame:
-    """One monthly template per order priority; priorities share two landing paths."""
-    k = F.substring("o_orderpriority", 1, 1)
+    """One monthly template per order priority and block of order keys; priorities share two landing
+    paths. Keys of customers are text, whatever they look like."""
     dataset = F.concat(F.lit("orders_"), F.pmod(F.col("priority").cast("int"), F.lit(2)).cast("string"))
-    return orders.select(k.alias("priority")).distinct().select(
-        F.lit("all").alias("doc"), "priority",
-        F.concat(F.lit("https://files.example/p"), F.col("priority"), F.lit("/orders-{month_name}-{year}.zip")).alias("url_pattern"),
+    return orders.select(F.substring("o_orderpriority", 1, 1).alias("priority"), _order_block().alias("block")).distinct().select(
+        F.concat(F.lit("block"), F.col("block")).alias("doc"), "priority",
+        F.concat(F.lit("https://files.example/p"), F.col("priority"), F.lit("/b"), F.col("block"), F.lit("/orders-{month_name}-{year}.zip")).alias("url_pattern"),
         dataset.alias("table_name"), F.array(F.lit("month_name"), F.lit("year")).alias("parameters"), dataset.alias("landing_path"),
-        F.lit("Orders' files").alias("comment"),
+        F.lit("Orders' files").alias("comment"), F.create_map(F.lit("o_custkey"), F.lit("string")).alias("types"),
     )
 
 
 def build_order_archives(orders: DataFrame, out_dir: str) -> DataFrame:
-    """A zip archive per priority and month, ``p{k}/orders-{month_name}-{year}.zip``: base names
-    repeat over the priorities and every archive's only CSV member is ``data.csv``."""
+    """A zip archive per priority, block of order keys and month, ``p{k}/b{block}/orders-{month_name}-{year}.zip``:
+    base names repeat over the priorities and every archive's only CSV member is ``data.csv``."""
     from quayside.session import ship_package
 
     ship_package(orders.sparkSession)
     base = out_dir.rstrip("/")
-    name = F.concat(F.lit("p"), F.substring("o_orderpriority", 1, 1), F.lit("/orders-"), month_name(F.month("o_orderdate")),
+    name = F.concat(F.lit("p"), F.substring("o_orderpriority", 1, 1), F.lit("/b"), _order_block(), F.lit("/orders-"), month_name(F.month("o_orderdate")),
                     F.lit("-"), F.year("o_orderdate").cast("string"), F.lit(".zip"))
     line = F.concat_ws(",", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.col("o_totalprice").cast("string"))
 

@@ -29,8 +29,9 @@ from quayside.sources.archives import archive_members, decode_members, is_csv, s
 from quayside.sources.catalog import read_catalog, read_csv_strings, read_json_array, write_catalog
 from quayside.sources.landing import landing_manifest
 from quayside.sources.zip_source import zip_members
-from quayside.streaming import schema_log
-from quayside.streaming.ingest import IngestOptions, ingest_table, read_table
+from quayside.streaming import batch_log, schema_log
+from quayside.streaming.ingest import RESULT_SCHEMA, IngestOptions, ingest_table, read_table
+from quayside.streaming.tables import register_loaded_table
 
 AS_OF = "2024-06-01 00:00:00"
 AUDIT_AS_OF = "2024-01-30 23:59:59"
@@ -171,7 +172,8 @@ cat AS (
          CASE ptype WHEN 0 THEN '' WHEN 1 THEN 'year' WHEN 2 THEN 'year,quarter'
                     WHEN 3 THEN 'month_name,year' ELSE 'month_name,year,region' END AS parameter_list,
          'region_' || CAST(s_nationkey % 5 AS VARCHAR) AS landing_path,
-         s_name || '''s files' AS comment
+         s_name || '''s files' AS comment,
+         CASE ptype WHEN 1 THEN 'amount:double,code:string' ELSE '' END AS types
   FROM sup)"""
 
 
@@ -183,12 +185,13 @@ def _supplier_catalog(spark, sf) -> DataFrame:
 
 @query("catalog_load", f"""
 WITH {CATALOG_SQL}
-SELECT position, url_pattern, table_name, parameter_list, landing_path, comment FROM cat
+SELECT position, url_pattern, table_name, parameter_list, landing_path, comment, types FROM cat
 """)
 def catalog_load(spark, sf):
     c = _supplier_catalog(spark, sf)
     return c.select("position", "url_pattern", "table_name",
-                    F.array_join("parameters", ",").alias("parameter_list"), "landing_path", "comment")
+                    F.array_join("parameters", ",").alias("parameter_list"), "landing_path", "comment",
+                    F.array_join(F.sort_array(F.transform(F.map_entries("types"), lambda e: F.concat_ws(":", e["key"], e["value"]))), ",").alias("types"))
 
 
 @query("catalog_lookup", f"""
@@ -336,6 +339,56 @@ def ingest_batched(spark, sf):
     return t.select(*_orders_cols(t)).crossJoin(load)  # one row
 
 
+@query("ingest_by_bytes", ORDERS_OUT_SQL.replace(" FROM", ", true AS bounded_batches, true AS differ_in_files FROM"))
+def ingest_by_bytes(spark, sf):
+    """Rows as in ``ingest_csv``, and whether every micro-batch stays below the byte bound (twice the largest
+    file) and the number of files of a batch differs."""
+    root = scratch_dir(spark, "ingest-bytes")
+    land, tbl, ck = f"{root}/landing/orders", f"{root}/tables/orders", f"{root}/checkpoints/orders"
+    D.land_orders_unevenly(D.table(spark, sf, "orders"), land)
+    name = lambda c: F.regexp_extract(c, "year=[^/]+/month=[^/]+/[^/]+$", 0).alias("file")
+    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(land).select(name("path"), "length")
+    bound = 2 * sizes.agg(F.max("length")).first()[0]
+    r = ingest_table(spark, land, tbl, ck, "orders", IngestOptions(as_of=AS_OF, max_bytes_per_trigger=bound)).collect()[0]
+    if r.status != "success":
+        raise RuntimeError(f"ingest failed: {r.message}")
+    t = read_table(spark, tbl, ck)
+    batches = t.select("_batch_id", name("_source_file")).distinct().join(sizes, "file").groupBy("_batch_id").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    load = batches.agg((F.max("bytes") <= bound).alias("bounded_batches"), (F.countDistinct("files") > 1).alias("differ_in_files"))
+    return t.select(*_orders_cols(t)).crossJoin(load)  # one row
+
+
+@query("ingest_result_json", """
+SELECT 'success' AS status, 'orders' AS table_name, count(*) AS total_rows, count(*) AS rows_added, '2024-06-01 00:00:00.000000' AS latest_load_timestamp,
+       CAST(0 AS BIGINT) AS corrupt_rows, CAST(0 AS BIGINT) AS empty_files, true AS has_checkpoint FROM orders""")
+def ingest_result_json(spark, sf):
+    """The result row of a load as JSON text and back."""
+    _, ck, results = _ingest_orders(spark, sf)
+    row = spark.createDataFrame(results[-1:], RESULT_SCHEMA)
+    back = from_json_rows(to_json_rows(row), RESULT_SCHEMA)
+    return back.select("status", "table_name", "total_rows", "rows_added", "latest_load_timestamp", "corrupt_rows", "empty_files",
+                       (F.col("checkpoint_path") == ck).alias("has_checkpoint"))
+
+
+@query("load_statistics", """
+SELECT 'o_custkey' AS column_name, count(*) AS rows, true AS files_match, true AS within_error FROM orders
+UNION ALL SELECT '_source_file' AS column_name, count(*) AS rows, true AS files_match, true AS within_error FROM orders""")
+def load_statistics_q(spark, sf):
+    """Rows, files and distinct values of a loaded table from the sketches of its batch log, against exact counts
+    of the input table and of the landing tree."""
+    root = scratch_dir(spark, "ingest-sketches")
+    land, tbl, ck = f"{root}/landing/orders", f"{root}/tables/orders", f"{root}/checkpoints/orders"
+    orders = D.table(spark, sf, "orders")
+    D.land_orders(orders, land)
+    ingest_table(spark, land, tbl, ck, "orders", IngestOptions(as_of=AS_OF, max_files_per_trigger=20, sketch_columns=("o_custkey",))).collect()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(land).select("path").count()
+    exact = orders.select(F.lit("o_custkey").alias("column_name"), F.col("o_custkey").alias("v")).groupBy("column_name").agg(F.countDistinct("v").alias("exact"))
+    exact = exact.unionAll(spark.createDataFrame([("_source_file", files)], exact.schema))
+    near = F.abs(F.col("distinct_estimate") - F.col("exact")) <= batch_log.SKETCH_ERROR * F.col("exact")
+    return batch_log.load_statistics(spark, f"{ck}/batches").join(exact, "column_name").select(
+        "column_name", "rows", (F.col("files") == files).alias("files_match"), near.alias("within_error"))
+
+
 @query("ingest_messy", ORDERS_OUT_SQL.replace(" FROM", ", CAST(0 AS BIGINT) AS corrupt_rows, CAST(1 AS BIGINT) AS empty_files FROM"))
 def ingest_messy(spark, sf):
     """Blank first lines, CR line ends, newlines in quoted headers and a file without a record."""
@@ -361,21 +414,21 @@ def _run_orders(spark, sf, runs: int):
 
 
 @query("run_load", """
-SELECT 'orders_' || CAST(CAST(substr(o_orderpriority, 1, 1) AS INTEGER) % 2 AS VARCHAR) AS table_name, o_orderkey, o_custkey,
+SELECT 'orders_' || CAST(CAST(substr(o_orderpriority, 1, 1) AS INTEGER) % 2 AS VARCHAR) AS table_name, o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
        o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS _year, CAST(month(o_orderdate) AS INTEGER) AS _month FROM orders""")
 def run_load_q(spark, sf):
     """All rows of the tables that a whole run loads."""
     root, out = _run_orders(spark, sf, 1)
     names = [r.table_name for r in out["results"].orderBy("table_name").collect()]
     tables = [read_table(spark, f"{root}/load/tables/{n}", f"{root}/load/checkpoints/{n}") for n in names]
-    rows = [t.select(F.lit(n).alias("table_name"), F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint").alias("o_custkey"),
+    rows = [t.select(F.lit(n).alias("table_name"), F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_custkey",  # text by the catalog's types
                      F.col("o_totalprice").cast("double").alias("o_totalprice"), "_year", "_month") for n, t in zip(names, tables, strict=True)]
     return reduce(DataFrame.unionAll, rows)
 
 
 @query("run_load_rerun", """
 WITH m AS (
-  SELECT substr(o_orderpriority, 1, 1) AS k, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders GROUP BY ALL),
+  SELECT substr(o_orderpriority, 1, 1) || '/b' || CAST(o_orderkey // 1000000 AS VARCHAR) AS k, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders GROUP BY ALL),
 y AS (SELECT range AS year FROM range((SELECT min(year) FROM m), (SELECT max(year) + 1 FROM m))),
 p AS (SELECT DISTINCT k FROM m)
 SELECT 'https://files.example/p' || p.k || '/orders-' || lower(monthname(make_date(y.year, n.range, 1))) || '-' || CAST(y.year AS VARCHAR) || '.zip' AS url,
@@ -472,7 +525,8 @@ def schema_evolve(spark, sf):
 
 @query("corrupt_rows", """
 SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 3 THEN NULL ELSE l_quantity END AS l_quantity,
-       l_linenumber = 3 AS is_corrupt
+       l_linenumber = 3 AS is_corrupt, CASE WHEN l_linenumber = 3 THEN 'n/a ' || CAST(l_orderkey AS VARCHAR) END AS rescued_quantity,
+       CASE WHEN l_linenumber = 3 THEN '{"l_quantity":"n/a ' || CAST(l_orderkey AS VARCHAR) || '"}' END AS rescued
 FROM lineitem""")
 def corrupt_rows(spark, sf):
     root = scratch_dir(spark, "corrupt-lineitem")
@@ -480,7 +534,7 @@ def corrupt_rows(spark, sf):
     li = D.table(spark, sf, "lineitem")
     damaged = li.select(
         "l_orderkey", "l_linenumber",
-        F.when(F.col("l_linenumber") == 3, F.lit("n/a")).otherwise(F.col("l_quantity").cast("string")).alias("l_quantity"),
+        F.when(F.col("l_linenumber") == 3, F.concat(F.lit("n/a "), F.col("l_orderkey").cast("string"))).otherwise(F.col("l_quantity").cast("string")).alias("l_quantity"),
         "l_shipdate")
     D.land_csv_by_month(damaged, "l_shipdate", {"l_orderkey": "L OrderKey", "l_linenumber": "L LineNumber",
                                                 "l_quantity": "L Quantity"}, land)
@@ -491,7 +545,8 @@ def corrupt_rows(spark, sf):
     t = read_table(spark, tbl, ck)
     return t.select(F.col("l_orderkey").cast("bigint").alias("l_orderkey"),
                     F.col("l_linenumber").cast("int").alias("l_linenumber"),
-                    "l_quantity", F.col("_corrupt_record").isNotNull().alias("is_corrupt"))
+                    "l_quantity", F.col("_corrupt_record").isNotNull().alias("is_corrupt"),
+                    F.variant_get("_rescued", "$.l_quantity", "string").alias("rescued_quantity"), F.to_json("_rescued").alias("rescued"))
 
 
 # =========================================================================== archives
@@ -607,14 +662,14 @@ def landing_manifest_q(spark, sf):
 
 # =========================================================================== audit
 
-EVENT_CODE_SQL = "CAST(CASE event_type WHEN 'click' THEN 404 WHEN 'error' THEN 500 + CAST(floor(value) AS BIGINT) % 4 ELSE 200 END AS INTEGER)"
+EVENT_CODE_SQL = "CAST(CASE event_type WHEN 'click' THEN 404 WHEN 'error' THEN 500 + CAST(floor(value) AS BIGINT) % 4 WHEN 'signup' THEN 302 ELSE 200 END AS INTEGER)"
 EVENT_ERROR_SQL = "CASE WHEN event_type = 'signup' AND value < 5 THEN 'timeout ' || props END"
 
 
 @query("fetch_status", f"""
 SELECT event_id, {EVENT_CODE_SQL} AS http_code, {EVENT_ERROR_SQL} AS fetch_error,
        CASE WHEN {EVENT_ERROR_SQL} IS NOT NULL THEN 'error: ' || {EVENT_ERROR_SQL}
-            WHEN {EVENT_CODE_SQL} BETWEEN 200 AND 299 THEN 'success'
+            WHEN {EVENT_CODE_SQL} < 400 THEN 'success'
             WHEN {EVENT_CODE_SQL} = 404 THEN 'not_found'
             ELSE 'http_error_' || CAST({EVENT_CODE_SQL} AS VARCHAR) END AS status
 FROM events""")
@@ -716,9 +771,20 @@ SELECT event_type AS table_name, count(*) AS total_rows,
        strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS latest_load_timestamp
 FROM events GROUP BY event_type""")
 def load_stats_q(spark, sf):
-    e = D.table(spark, sf, "events").withColumn("_load_timestamp", F.col("ts"))
+    """A table loaded in two runs, registered after each and read by its full name."""
+    root = scratch_dir(spark, "load-events")
+    land, tbl, ck = f"{root}/landing/events", f"{root}/tables/events", f"{root}/checkpoints/events"
+    events = D.table(spark, sf, "events")
+    name = "default.quayside_events_" + root.rsplit("-", 1)[-1]
+    half = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in (half, ~half):
+        D.land_events(events, land, part)
+        r = ingest_table(spark, land, tbl, ck, "events", IngestOptions(as_of=AS_OF)).collect()[0]
+        if r.status != "success":
+            raise RuntimeError(f"ingest failed: {r.message}")
+        register_loaded_table(spark, name, tbl, ck, "Events")
     # Each event type plays one loaded table: per-table stats in one grouped aggregate.
-    return A.load_stats(e, group_by=[F.col("event_type").alias("table_name")])
+    return A.load_stats(spark.table(name), "ts", [F.col("event_type").alias("table_name")])
 
 
 LOAD_RESULTS_SQL = """
@@ -775,6 +841,87 @@ def load_gaps_q(spark, sf):
     return A.load_gaps(expected, A.read_audit(spark, path))
 
 
+def _order_months(orders: DataFrame) -> DataFrame:
+    """Every customer's months from the first to the last year of its orders, one expected file each."""
+    years = orders.groupBy("o_custkey").agg(F.min(F.year("o_orderdate")).alias("s"), F.max(F.year("o_orderdate")).alias("e"))
+    months = years.select(F.col("o_custkey").alias("dataset"), F.explode(periods_between("s", "e")).alias("period"))
+    return months.withColumn("url", D.order_month_url("dataset", "period"))
+
+
+@query("gap_ranges", """
+WITH r AS (SELECT o_custkey, min(year(o_orderdate)) AS s, max(year(o_orderdate)) AS e FROM orders GROUP BY o_custkey),
+g AS (SELECT o_custkey AS dataset, CAST(unnest(generate_series(make_date(s, 1, 1), make_date(e, 12, 1), INTERVAL 1 MONTH)) AS DATE) AS period FROM r),
+m AS (
+  SELECT g.dataset, g.period, row_number() OVER (PARTITION BY g.dataset ORDER BY g.period) AS n
+  FROM g LEFT JOIN (SELECT DISTINCT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS period FROM orders WHERE o_orderstatus <> 'P') o
+    ON o.o_custkey = g.dataset AND o.period = g.period
+  WHERE o.period IS NULL),
+i AS (SELECT dataset, period, CAST(date_diff('month', DATE '1970-01-01', period) AS BIGINT) - n AS island FROM m)
+SELECT dataset, min(period) AS first, max(period) AS last, count(*) AS periods, count(*) AS files FROM i GROUP BY dataset, island""")
+def gap_ranges_q(spark, sf):
+    """Months without a successful file, as ranges per customer."""
+    orders = D.table(spark, sf, "orders")
+    path = scratch_dir(spark, "audit")
+    A.append_audit(D.orders_as_audit(orders, AS_OF), path)
+    return A.gap_ranges(_order_months(orders), A.read_audit(spark, path))
+
+
+STREAK_SQL = "WITH " + AUDIT_SQL.strip() + """,
+a AS (SELECT regexp_extract(url, '^.*/u[0-9]+') || '.zip' AS url, run_timestamp, run_id, download_status AS status FROM audit),
+c AS (
+  SELECT *, CASE WHEN row_number() OVER w = 1 OR lag(status) OVER w IS DISTINCT FROM status THEN 1 ELSE 0 END AS new
+  FROM a WINDOW w AS (PARTITION BY url ORDER BY run_timestamp, run_id)),
+n AS (SELECT *, sum(new) OVER (PARTITION BY url ORDER BY run_timestamp, run_id ROWS UNBOUNDED PRECEDING) AS run FROM c),
+runs AS (
+  SELECT url, CAST(run AS BIGINT) AS run, any_value(status) AS status, count(*) AS attempts, min(run_timestamp) AS since, max(run_timestamp) AS until
+  FROM n GROUP BY url, run)"""
+
+
+def _event_audit_by_user(spark, sf) -> DataFrame:
+    path = scratch_dir(spark, "audit")
+    rows = D.events_as_audit(D.table(spark, sf, "events"))
+    A.append_audit(rows.withColumn("url", F.concat(F.regexp_extract("url", "^.*/u[0-9]+", 0), F.lit(".zip"))), path)
+    return A.read_audit(spark, path)
+
+
+def _stamp(c: str):
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
+
+
+@query("status_runs", STREAK_SQL + """
+SELECT url, run, status, attempts, strftime(since, '%Y-%m-%d %H:%M:%S.%f') AS since, strftime(until, '%Y-%m-%d %H:%M:%S.%f') AS until FROM runs""")
+def status_runs_q(spark, sf):
+    return A.status_runs(_event_audit_by_user(spark, sf)).select("url", "run", "status", "attempts", _stamp("since"), _stamp("until"))
+
+
+@query("failure_streaks", STREAK_SQL + """,
+k AS (SELECT url, max(run) AS last_run, max(CASE WHEN status = 'success' THEN run END) AS ok_run FROM runs GROUP BY url)
+SELECT url, sum(r.attempts)::BIGINT AS attempts, max(CASE WHEN run = last_run THEN status END) AS current_status,
+       max(CASE WHEN run = last_run THEN r.attempts END) AS streak,
+       strftime(max(CASE WHEN run = last_run THEN since END), '%Y-%m-%d %H:%M:%S.%f') AS streak_since,
+       strftime(max(CASE WHEN status = 'success' THEN until END), '%Y-%m-%d %H:%M:%S.%f') AS last_success,
+       coalesce(sum(CASE WHEN run > coalesce(ok_run, 0) THEN r.attempts END), 0)::BIGINT AS failed_since
+FROM runs r JOIN k USING (url) GROUP BY url""")
+def failure_streaks_q(spark, sf):
+    s = A.failure_streaks(_event_audit_by_user(spark, sf))
+    return s.select("url", "attempts", "current_status", "streak", _stamp("streak_since"), _stamp("last_success"), "failed_since")
+
+
+@query("audit_members", """
+SELECT 'run' AS run_id, 'https://files.example/u' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id // 1000 AS VARCHAR) || '.zip' AS url,
+       event_type || '_' || CAST(event_id AS VARCHAR) || CASE WHEN event_type = 'view' THEN '.txt' ELSE '.csv' END AS member_path,
+       CAST(floor(value * 100) AS BIGINT) AS size_bytes, event_type <> 'view' AS is_csv, event_type <> 'error' AS written
+FROM events""")
+def audit_members_q(spark, sf):
+    """The members behind the lists of the audit, a row each."""
+    m = D.events_as_members(D.table(spark, sf, "events"))
+    path = scratch_dir(spark, "audit-members")
+    url = F.concat(F.lit("https://files.example/"), F.col("archive"), F.lit(".zip"))
+    A.append_audit_members(m.select(F.lit("run").alias("run_id"), F.lit(AS_OF).cast("timestamp").alias("run_timestamp"), F.col("archive").alias("task_id"), url.alias("url"),
+                                    F.col("member").alias("member_path"), F.col("member").alias("filename"), "size_bytes", "is_csv", "written"), path)
+    return A.read_audit_members(spark, path).select("run_id", "url", "member_path", "size_bytes", "is_csv", "written")
+
+
 # =========================================================================== tables and readers
 
 @query("table_comment", "SELECT c_custkey, c_name, 'Customer''s reference data' AS table_comment FROM customer")

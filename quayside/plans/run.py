@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -186,17 +186,19 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
     return mine, changed
 
 
-def ingest_datasets(spark: SparkSession, datasets: list[tuple[str, str, str]], layout: RunLayout,
+def ingest_datasets(spark: SparkSession, datasets: list[tuple[str, str, str, dict]], layout: RunLayout,
                     options: IngestOptions, parallel: int = 4) -> DataFrame:
-    """Ingest (landing_path, table_name, comment) datasets; tables are independent,
-    so a thread pool runs their streams side by side. One result row per table."""
+    """Ingest (landing_path, table_name, comment, types) datasets; tables are independent,
+    so a thread pool runs their streams side by side. One result row per table. ``types`` of a
+    table take precedence over the run's ``type_overrides``."""
 
     def one(item):
-        landing_path, table_name, _comment = item
+        landing_path, table_name, _comment, types = item
+        own = replace(options, type_overrides=options.type_overrides | types)
         try:
             return ingest_table(
                 spark, dataset_path(layout.landing, escape_partition_value(landing_path)),
-                f"{layout.tables}/{table_name}", f"{layout.checkpoints}/{table_name}", table_name, options,
+                f"{layout.tables}/{table_name}", f"{layout.checkpoints}/{table_name}", table_name, own,
             ).collect()[0]
         except Exception as e:  # one table's failure does not stop the others
             return ("failed", table_name, None, None, None, f"{layout.checkpoints}/{table_name}", 0, str(e), None, None)
@@ -208,13 +210,13 @@ def ingest_datasets(spark: SparkSession, datasets: list[tuple[str, str, str]], l
     return spark.createDataFrame([tuple(r) for r in rows], RESULT_SCHEMA)
 
 
-def register_all(spark: SparkSession, results: DataFrame, datasets: list[tuple[str, str, str]], layout: RunLayout,
+def register_all(spark: SparkSession, results: DataFrame, datasets: list[tuple[str, str, str, dict]], layout: RunLayout,
                  schema_name: str) -> None:
     from quayside.streaming.tables import register_loaded_table, sql_string
 
     loaded = {r.table_name for r in results.where(F.col("status") == "success").select("table_name").collect()}
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema_name}` LOCATION {sql_string(layout.root + '/catalog/' + schema_name)}")
-    for _landing, table_name, comment in datasets:
+    for _landing, table_name, comment, _types in datasets:
         if table_name in loaded:
             register_loaded_table(spark, f"`{schema_name}`.`{table_name}`", f"{layout.tables}/{table_name}",
                                   f"{layout.checkpoints}/{table_name}", comment or None)
@@ -241,10 +243,11 @@ def run_load(spark: SparkSession, catalog_path: str, archive_dir: str, root: str
     firsts = first_by_landing_path(catalog)
     chosen = (selected.join(firsts, "landing_path", "left")
               .select("landing_path", F.coalesce("_table_name", "landing_path").alias("table_name"),
-                      F.coalesce("_comment", F.lit("")).alias("comment"))
+                      F.coalesce("_comment", F.lit("")).alias("comment"),
+                      F.coalesce("_types", F.create_map().cast("map<string,string>")).alias("types"))
               .orderBy("landing_path"))
     # Bounded by the number of datasets in the catalog.
-    datasets = [(r.landing_path, r.table_name, r.comment) for r in chosen.collect()]
+    datasets = [(r.landing_path, r.table_name, r.comment, dict(r.types)) for r in chosen.collect()]
     opts = options or IngestOptions(as_of=as_of)
     results = ingest_datasets(spark, datasets, layout, opts, parallel)
     if register_tables:

@@ -73,7 +73,9 @@ RESULT_SCHEMA = StructType([
     StructField("empty_files", LongType()),
 ])
 
-# No file is cut and none shares a task while headers are read: settings of that reading.
+# A file up to this size is read whole for its header, cheaper than a Python task of its own.
+SMALL_FILE = 8 << 20
+# No file is cut and none shares a task while headers of big files are read.
 WHOLE_FILES = {
     "spark.sql.files.maxPartitionBytes": str(1 << 45),
     "spark.sql.files.openCostInBytes": str(1 << 45),
@@ -144,31 +146,44 @@ def _cells(spark: SparkSession, records: list[str]) -> list[tuple[str, ...]]:
     return [tuple(c or "" for c in row) for row in cells]
 
 
-def read_headers(spark: SparkSession, paths: list[str], opts: IngestOptions) -> dict[str, tuple[str, ...]]:
+def read_headers(spark: SparkSession, paths: list[str], opts: IngestOptions,
+                 lengths: dict[str, int] | None = None) -> dict[str, tuple[str, ...]]:
     """Path → cells of the file's first record, by Spark's CSV reader; () for a file without
     one. A file that cannot be read raises.
 
-    One job reads the first record of every file, a file a task, which ends there. Read under a
-    schema of one column, a record of more cells is kept raw; the few different raw records are
-    then split into cells on the driver. Files without a result are read once more, to their
-    end, so that none counts as empty because of settings this session does not control."""
+    Files up to ``SMALL_FILE`` bytes (by ``lengths``) are read by one job, many a task; the first
+    records of the others by another, a file a task, which ends there. Read under a schema of one
+    column, a record of more cells is kept raw; the few different raw records are then split into
+    cells on the driver. Files without a result are read once more, to their end, so that none
+    counts as empty because of settings this session does not control."""
     session = spark.newSession()
     for k, v in WHOLE_FILES.items():
         session.conf.set(k, v)
 
-    def first(files: list[str], stop: bool) -> list:
-        lines = (session.read.schema("cell string, record string").option("header", False)
-                 .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "record")
-                 .option("multiLine", opts.multi_line).option("encoding", opts.encoding).csv(literal_paths(files)))
+    def lines(within: SparkSession, files: list[str]) -> DataFrame:
+        rows = (within.read.schema("cell string, record string").option("header", False)
+                .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "record")
+                .option("multiLine", opts.multi_line).option("encoding", opts.encoding).csv(literal_paths(files)))
         start = F.col("_metadata.file_block_start") == 0
-        lines = lines.where(start).select(F.col("_metadata.file_path").alias("file"), "cell", "record")
-        return lines.mapInArrow(_first_records(stop), "file string, cell string, record string").collect()
+        return rows.where(start).select(F.col("_metadata.file_path").alias("file"), "cell", "record")
+
+    def small(files: list[str]) -> list:
+        rows = lines(spark, files).withColumn("at", F.monotonically_increasing_id())
+        first = F.min_by(F.struct("cell", "record"), "at").alias("first")
+        return rows.groupBy("file").agg(first).select("file", "first.cell", "first.record").collect()
+
+    def big(files: list[str], stop: bool) -> list:
+        return lines(session, files).mapInArrow(_first_records(stop), "file string, cell string, record string").collect()
 
     found: dict[str, tuple[str | None, str | None]] = {}
-    for stop in (True, False):
-        missing = [p for p in paths if _same_file(p) not in found]
-        if missing:
-            found |= {_same_file(unquote(r.file)): (r.cell, r.record) for r in first(missing, stop)}
+    known = lengths or {}
+    steps = [(small, lambda p: known.get(p, SMALL_FILE + 1) <= SMALL_FILE),
+             (lambda files: big(files, True), lambda p: known.get(p, SMALL_FILE + 1) > SMALL_FILE),
+             (lambda files: big(files, False), lambda p: known.get(p, SMALL_FILE + 1) > SMALL_FILE)]
+    for read, wanted in steps:
+        left = [p for p in paths if wanted(p) and _same_file(p) not in found]
+        if left:
+            found |= {_same_file(unquote(r.file)): (r.cell, r.record) for r in read(left)}
     records = sorted({r for _, r in found.values() if r is not None})
     cells = dict(zip(records, _cells(spark, records)))
 
@@ -266,7 +281,8 @@ def make_batch_function(spark: SparkSession, table_path: str, log_path: str, opt
 
     def process(batch: DataFrame, batch_id: int) -> None:
         # At most max_files_per_trigger paths: bounded metadata, grouped on the driver.
-        found = read_headers(spark, [r.path for r in batch.select("path").collect()], opts)
+        files = {r.path: r.length for r in batch.select("path", "length").collect()}
+        found = read_headers(spark, list(files), opts, files)
         by_header: dict[tuple[str, ...], list[str]] = {}
         for path, header in found.items():
             if header:

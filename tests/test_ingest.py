@@ -278,11 +278,14 @@ def test_headers_of_many_files_in_one_job(spark, tmp):
     texts = ["a,b\n1,2\n", "\n\n  x y,z\r\n1,2\r\n", 'c,"d, e",,\r1,2,3,4\r', '"a\\"b",c\n1,2\n', "only\n1\n", '"a""b",c\n', "\n\n", " a, \"b\" ,\n1,2,3\n"]
     want = [("a", "b"), ("  x y", "z"), ("c", "d, e", "", ""), ('a"b', "c"), ("only",), ('"a""b"', "c"), (), (" a", ' "b" ', "")]
     paths = [put(tmp, f"h/f {i}%25[{k}].csv", t) for k in range(5) for i, t in enumerate(texts)]
-    got = read_headers(spark, paths, IngestOptions())
-    assert [got[p] for p in paths] == want * 5
+    for lengths in (None, dict.fromkeys(paths, 1)):
+        got = read_headers(spark, paths, IngestOptions(), lengths)
+        assert [got[p] for p in paths] == want * 5
     full = [p for p, w in zip(paths, want * 5) if w]
     few, many = (jobs_of(spark, lambda n=n: read_headers(spark, full[:n], IngestOptions())) for n in (3, 30))
     assert few == many == 1
+    few, many = (jobs_of(spark, lambda n=n: read_headers(spark, full[:n], IngestOptions(), dict.fromkeys(full, 1))) for n in (3, 30))
+    assert few == many <= 2
 
 
 def test_header_of_a_long_file_does_not_read_it(spark, tmp):
@@ -306,6 +309,7 @@ def test_files_that_share_a_task_keep_their_headers(spark, tmp, monkeypatch):
 
 def test_jobs_of_a_load_do_not_grow_with_its_files(spark, tmp):
     counts = []
+    run(spark, f"{tmp}/none")
     for n in (4, 24):
         for i in range(n):
             put(f"{tmp}/{n}", f"land/year=2024/month=01/f{i}.csv", f"A,B\n{i},2\n")
