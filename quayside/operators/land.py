@@ -7,6 +7,12 @@ whole, and a retried attempt replaces its own file. A member that is not valid i
 or whose archive is damaged, is not landed and is a row with ``error`` in the report; any other
 failure (storage, network) raises, and Spark tries the task again.
 
+A CSV file whose cells may hold line ends (``multi_line``) is parsed by one task, however big. So
+such a member above ``PART_BYTES`` is landed as several files, cut at record ends while it is
+streamed (``sources/records.py``), each with the header: ``<member>``, ``<member>@00001``, ... They
+are staged first; the file of the plain name is moved last, so a member counts as landed only
+when all of its parts are there, and cuts depend on the bytes alone, so a retry makes the same files.
+
 The landing key is (dataset, year, month, archive, member): equal member names of two archives
 are two files. A member already landed for its key is skipped (anti join against the manifest),
 so a re-fetched archive never doubles its rows in the stream, which tracks files by name.
@@ -22,9 +28,12 @@ from pyspark.sql import functions as F
 
 from quayside.session import scratch_dir, ship_package
 from quayside.sources.archives import NO_ARCHIVE, READ_CHUNK_BYTES, READ_CHUNK_MEMBERS
-from quayside.sources.landing import KEYS, landed_files, landing_manifest
+from quayside.sources.landing import KEYS, landed_files, landing_manifest, part_path
+from quayside.sources.records import PartStream
 
 PIECE_BYTES = 8 << 20
+# A member that must be parsed whole is landed in parts of about this size.
+PART_BYTES = 128 << 20
 REPORT = "dataset string, year int, month int, archive string, member string, landed_bytes long, error string"
 _AS_TEXT = "dataset string, year string, month string, archive string, member string, landed_bytes long, error string"
 
@@ -41,7 +50,7 @@ def _keyed(df: DataFrame, default_archive) -> DataFrame:
 def members_to_land(members: DataFrame, manifest: DataFrame) -> DataFrame:
     """Rows of ``members`` (with the key columns) whose key is not in the manifest. Both sides
     are metadata; Spark picks the join by their sizes."""
-    landed = manifest.select(*KEYS).distinct()
+    landed = manifest.where(F.col("part") == 0).select(*KEYS).distinct()
     return members.join(landed, [members[k].eqNullSafe(landed[k]) for k in KEYS], "left_anti")
 
 
@@ -72,12 +81,31 @@ def _target(root: str, keys: tuple) -> str:
     return member_path(root, dataset, year and int(year), month and int(month), archive, member)
 
 
-def _archive_task(root: str, charset: str):
+def _write_member(path: str, pieces, part_bytes: int | None) -> int:
+    """Land one member; returns the bytes of its files."""
+    from quayside.streaming.fsutil import StagedFile, write_file
+
+    if part_bytes is None:
+        return write_file(path, pieces)
+    stream, staged = PartStream(pieces, part_bytes), []
+    try:
+        while stream.more:
+            staged.append(StagedFile(part_path(path, len(staged))))
+            staged[-1].write(stream.part())
+        for file in reversed(staged):  # the plain name last
+            file.publish()
+    except BaseException:
+        for file in staged:
+            file.discard()
+        raise
+    return sum(f.size for f in staged)
+
+
+def _archive_task(root: str, charset: str, part_bytes: int | None):
     def run(batches):
         import pandas as pd
 
         from quayside.sources.archives import _open_seekable
-        from quayside.streaming.fsutil import write_file
 
         for pdf in batches:
             pdf = pdf.astype(object).where(pdf.notna(), None)
@@ -88,8 +116,10 @@ def _archive_task(root: str, charset: str):
                     with _open_seekable(path) as raw, zipfile.ZipFile(raw) as zf:
                         for keys in rows:
                             try:
-                                with zf.open(keys[-1]) as src:
-                                    out.append((*keys, write_file(_target(root, keys), _pieces(src.read, charset)), None))
+                                info = zf.getinfo(keys[-1])
+                                with zf.open(info) as src:
+                                    size = None if part_bytes is None or info.file_size <= part_bytes else part_bytes
+                                    out.append((*keys, _write_member(_target(root, keys), _pieces(src.read, charset), size), None))
                             except (UnicodeDecodeError, zipfile.BadZipFile, zlib.error, KeyError, EOFError) as e:
                                 out.append((*keys, None, f"{type(e).__name__}: {e}"))
                 except NO_ARCHIVE as e:  # replaced since it was listed
@@ -131,20 +161,22 @@ def one_per_key(listed: DataFrame) -> DataFrame:
     return listed.groupBy(*KEYS).agg(pick.alias("_pick")).select(*KEYS, *[F.col(f"_pick.{c}").alias(c) for c in rest])
 
 
-def landing_tasks(spark: SparkSession, todo: DataFrame, root: str, charset: str = "UTF-8") -> DataFrame:
+def landing_tasks(spark: SparkSession, todo: DataFrame, root: str, charset: str = "UTF-8",
+                  part_bytes: int | None = None) -> DataFrame:
     """The landing of ``todo`` (archive_path, size_bytes and keys), spread over tasks of about
     ``READ_CHUNK_BYTES`` or ``READ_CHUNK_MEMBERS``. Only these rows cross an exchange."""
     ship_package(spark)
     size = todo.agg(F.count("*").alias("n"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes")).first()
     tasks = max(1, -(-size.n // READ_CHUNK_MEMBERS), -(-size.bytes // READ_CHUNK_BYTES))
     spread = _text_keys(todo, "archive_path").repartitionByRange(max(tasks, min(size.n, spark.sparkContext.defaultParallelism), 1), "archive_path", "member")
-    return spread.mapInPandas(_archive_task(root, charset), _AS_TEXT)
+    return spread.mapInPandas(_archive_task(root, charset, part_bytes), _AS_TEXT)
 
 
 def land_archive_members(spark: SparkSession, listed: DataFrame, root: str, partitions: Partitions = None,
-                         charset: str = "UTF-8") -> DataFrame:
+                         charset: str = "UTF-8", multi_line: bool = False, part_bytes: int = PART_BYTES) -> DataFrame:
     """Land members straight from an archive listing; returns the report (keys, landed_bytes,
-    error) of the members not landed before.
+    error) of the members not landed before. With ``multi_line`` members above ``part_bytes`` are
+    landed in parts.
 
     ``listed``: (archive_path, member, dataset, year, month), and size_bytes and archive (the
     archive's key; its base name by default) if known. The already-landed check runs on this
@@ -157,7 +189,8 @@ def land_archive_members(spark: SparkSession, listed: DataFrame, root: str, part
                            landing_manifest(spark, root, partitions))
     path = scratch_dir(spark, "landing-todo")
     todo.write.parquet(path)
-    return _report(spark, landing_tasks(spark, spark.read.schema(todo.schema).parquet(path), root, charset))
+    return _report(spark, landing_tasks(spark, spark.read.schema(todo.schema).parquet(path), root, charset,
+                                        part_bytes if multi_line else None))
 
 
 def land_members(spark: SparkSession, members: DataFrame, root: str, skip_landed: bool = True,
@@ -173,17 +206,23 @@ def land_members(spark: SparkSession, members: DataFrame, root: str, skip_landed
 
 def landed_keys(spark: SparkSession, root: str, partitions: Partitions = None) -> DataFrame:
     """(dataset, year, month, archive, member, landed_bytes) of landed members (optionally of
-    the given partition folders only)."""
-    return landing_manifest(spark, root, partitions).select(*KEYS, F.col("length").alias("landed_bytes"))
+    the given partition folders only); a member in parts has the bytes of all its files."""
+    files = landing_manifest(spark, root, partitions).groupBy(*KEYS)
+    whole = files.agg(F.sum("length").alias("landed_bytes"), F.min("part").alias("_part")).where(F.col("_part") == 0)
+    return whole.select(*KEYS, "landed_bytes")
 
 
 def changed_members(spark: SparkSession, members: DataFrame, root: str, partitions: Partitions) -> DataFrame:
     """Members already landed whose new ``text`` differs (MD5) from the landed file.
 
     Landing skips such members (their earlier file was, or will be, loaded once);
-    this reports them. It reads the landed files of the given partition folders.
+    this reports them. It reads the landed files of the given partition folders, but for members
+    landed in parts, which are not compared.
     """
-    landed = landed_files(spark, root, partitions).select(*KEYS, F.md5("content").alias("landed_md5"))
+    in_parts = landing_manifest(spark, root, partitions).where(F.col("part") > 0).select(*KEYS).distinct()
+    files = landed_files(spark, root, partitions).where(F.col("part") == 0)
+    files = files.join(in_parts, [files[k].eqNullSafe(in_parts[k]) for k in KEYS], "left_anti")
+    landed = files.select(*KEYS, F.md5("content").alias("landed_md5"))
     members = _keyed(members, F.lit(None).cast("string"))
     # Landing ends each member with one newline.
     new = members.where(F.col("text").isNotNull()).select(

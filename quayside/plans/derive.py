@@ -167,6 +167,43 @@ def build_document_archives(documents: DataFrame, out_dir: str) -> DataFrame:
     return src.groupBy("archive").applyInPandas(build, "archive string, members long")
 
 
+# Documents per archive of one CSV member.
+DOCS_PER_CSV = 200
+
+
+def quotable(text: Column) -> Column:
+    """Text without the bytes that CSV quoting changes: quotes, backslashes and carriage returns."""
+    return F.translate(F.coalesce(text, F.lit("")), '"\\\r', "'/")
+
+
+def build_document_csv_archives(documents: DataFrame, out_dir: str) -> DataFrame:
+    """Zip archives of one member ``docs.csv`` each, whose quoted texts hold line ends, for blocks of
+    ``DOCS_PER_CSV`` document ids."""
+    from quayside.session import ship_package
+
+    ship_package(documents.sparkSession)
+    base = out_dir.rstrip("/")
+    block = F.floor(F.col("doc_id") / DOCS_PER_CSV)
+    line = F.concat(F.col("doc_id").cast("string"), F.lit(',"'), quotable(F.col("text")), F.lit('"'))
+    rows = documents.select(F.concat(F.lit("docs-"), block.cast("string"), F.lit(".zip")).alias("archive"), line.alias("line"))
+
+    def build(pdf):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        from quayside.plans.derive import _write_bytes
+
+        buf, name = io.BytesIO(), pdf["archive"].iloc[0]
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr("docs.csv", "Doc ID,Text\n" + "\n".join(sorted(pdf["line"])))
+        _write_bytes(f"{base}/{name}", buf.getvalue())
+        return pd.DataFrame({"archive": [name], "members": [1]})
+
+    return rows.groupBy("archive").applyInPandas(build, "archive string, members long")
+
+
 def _write_bytes(path: str, data: bytes) -> None:
     """Write a whole file from a task (staging name, then moved: retries never interleave)."""
     from quayside.streaming.fsutil import write_file

@@ -652,6 +652,28 @@ def land_members_q(spark, sf):
     return landed_keys(spark, _land_documents(spark, sf))
 
 
+@query("land_multi_line", """
+SELECT doc_id, md5(translate(coalesce(text, ''), chr(34) || chr(92) || chr(13), chr(39) || '/')) AS text_md5,
+       true AS landed_in_parts, CAST(0 AS BIGINT) AS corrupt_rows
+FROM documents""")
+def land_multi_line(spark, sf):
+    """CSV members whose quoted cells hold line ends, landed in parts of 64 KB cut at record ends, and loaded."""
+    root = scratch_dir(spark, "land-parts")
+    D.build_document_csv_archives(D.table(spark, sf, "documents"), f"{root}/archives").write.format("noop").mode("overwrite").save()
+    listed = archive_members(scan_archives(spark, f"{root}/archives", with_md5=False)).select(
+        "archive_path", "member", "size_bytes", F.lit("docs").alias("dataset"), F.lit(2024).alias("year"), F.lit(1).alias("month"))
+    land_archive_members(spark, listed, f"{root}/landing", multi_line=True, part_bytes=64 << 10).count()
+    in_parts = landing_manifest(spark, f"{root}/landing").agg((F.max("part") > 0).alias("landed_in_parts"))
+    tbl, ck = f"{root}/tables/docs", f"{root}/checkpoints/docs"
+    opts = IngestOptions(as_of=AS_OF, multi_line=True, max_files_per_trigger=1000, type_overrides={"text": "string"})
+    r = ingest_table(spark, f"{root}/landing", tbl, ck, "docs", opts).collect()[0]
+    if r.status != "success":
+        raise RuntimeError(f"ingest failed: {r.message}")
+    t = read_table(spark, tbl, ck)
+    return t.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"),
+                    F.lit(r.corrupt_rows).alias("corrupt_rows")).crossJoin(in_parts)  # one row
+
+
 @query("landing_manifest", """
 SELECT source AS dataset, count(*) AS files, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS total_bytes
 FROM documents WHERE lang <> 'de' GROUP BY source""")

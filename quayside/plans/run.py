@@ -88,7 +88,8 @@ def match_archives(tasks: DataFrame, archives: DataFrame) -> DataFrame:
 
 def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layout: RunLayout,
                    catalog_name: str, schema_name: str, run_ts: str, fetch_log: DataFrame | None = None,
-                   report_changes: bool = False, charset: str = "UTF-8") -> tuple[DataFrame, DataFrame | None]:
+                   report_changes: bool = False, charset: str = "UTF-8",
+                   multi_line: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """Match tasks to archives, land their CSV members, return this run's audit rows.
 
     ``fetch_log`` (url, http_code, error), when given, records how each download
@@ -131,7 +132,7 @@ def fetch_and_land(spark: SparkSession, tasks: DataFrame, archive_dir: str, layo
             before, [csv_listed[k].eqNullSafe(before[k]) for k in LAND_KEYS], "left_semi")
         fetched_members = decode_members(read_members(landed_before), charset)
         changed = changed_members(spark, fetched_members, layout.landing, touched).checkpoint(eager=True)
-    land_archive_members(spark, csv_listed, layout.landing, partitions=touched, charset=charset)
+    land_archive_members(spark, csv_listed, layout.landing, partitions=touched, charset=charset, multi_line=multi_line)
 
     # Audit pass without content: the member list and what the landing tree holds now.
     landed = landed_keys(spark, layout.landing, touched).select(
@@ -238,7 +239,7 @@ def run_load(spark: SparkSession, catalog_path: str, archive_dir: str, root: str
     catalog = read_catalog(spark, catalog_path)
     tasks = plan_tasks(spark, catalog, mode, start_year, end_year, now)
     audit_rows, changed = fetch_and_land(spark, tasks, archive_dir, layout, catalog_name, schema_name, str(now),
-                                         fetch_log, report_changes, charset)
+                                         fetch_log, report_changes, charset, bool(options and options.multi_line))
     selected = A.recent_success(A.read_audit(spark, layout.audit), now, window, statuses)
     firsts = first_by_landing_path(catalog)
     chosen = (selected.join(firsts, "landing_path", "left")

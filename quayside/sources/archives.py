@@ -191,7 +191,8 @@ def _read_members(extra: tuple[str, ...] = ()):
 
 def read_members(listed: DataFrame, read_partitions: int | None = None) -> DataFrame:
     """Content of listed members: rows with ``archive_path``, ``member``, ``read_chunk``
-    (from ``archive_members``) and any further columns, which are carried through.
+    (from ``archive_members``) and any further columns, which are carried through, but for those
+    that the result has itself (``size_bytes``, used for the number of tasks).
 
     Only these metadata rows cross the shuffle; the bytes are read in the task that
     uses them. A read chunk stays in one task, so an archive is opened once per chunk,
@@ -203,7 +204,11 @@ def read_members(listed: DataFrame, read_partitions: int | None = None) -> DataF
     core = ["archive_path", "member", "read_chunk"]
     extra = [c for c in listed.columns if c not in core and c not in MEMBER_SCHEMA.fieldNames()]
     types = {c: listed.schema[c].dataType for c in extra}
-    n = read_partitions or 2 * listed.sparkSession.sparkContext.defaultParallelism
+    n = read_partitions
+    if n is None:  # as landing does: by members and bytes
+        bytes_of = F.sum("size_bytes") if "size_bytes" in listed.columns else F.lit(0)
+        size = listed.agg(F.count("*").alias("n"), F.coalesce(bytes_of, F.lit(0)).alias("bytes")).first()
+        n = max(listed.sparkSession.sparkContext.defaultParallelism, -(-size.n // READ_CHUNK_MEMBERS), -(-size.bytes // READ_CHUNK_BYTES))
     # Range partitioning on (archive, chunk) gives every task about the same number of
     # members (landing costs per file); its sampling pass reads listing rows only. A
     # chunk is one key, so it stays in one task.
@@ -234,7 +239,7 @@ def archive_members(archives: DataFrame, with_content: bool = False, include_dir
     wanted = F.col("error").isNull() & ~F.col("is_dir")
     if content_suffix is not None:
         wanted = wanted & F.lower(F.col("member")).endswith(content_suffix.lower())
-    content = read_members(listing.where(wanted).select("archive_path", "member", "read_chunk"), read_partitions)
+    content = read_members(listing.where(wanted).select("archive_path", "member", "read_chunk", "size_bytes"), read_partitions)
     return listing.where(~wanted | wanted.isNull()).unionByName(content)
 
 

@@ -1,7 +1,8 @@
 """The landing tree: ``dataset=D/year=Y/month=MM/archive=A/<member>``, one file per member.
 
 Folder values are escaped as Hive does, NULL and '' being the default partition; the file
-name is the whole member path, percent-encoded. Listed with the ``binaryFile`` source with
+name is the whole member path, percent-encoded; of a member landed in parts, later parts add
+``@00001`` and so on (an encoded name holds no ``@``). Listed with the ``binaryFile`` source with
 ``content`` pruned; the keys are parsed from the path.
 """
 
@@ -31,6 +32,7 @@ MANIFEST_SCHEMA = StructType([f for f in FILE_SCHEMA.fields if f.name != "conten
     StructField("month", IntegerType()),
     StructField("archive", StringType()),
     StructField("member", StringType()),
+    StructField("part", IntegerType()),
 ])
 
 HIVE_DEFAULT = "__HIVE_DEFAULT_PARTITION__"
@@ -63,14 +65,20 @@ def member_path(root: str, dataset: str | None, year: int | None, month: int | N
     return f"{partition_folder(root, dataset, year, month)}/archive={escape_partition_value(archive)}/{member_file(member)}"
 
 
+def part_path(path: str, part: int) -> str:
+    """The file of a member's part; part 0 has the member's own name."""
+    return path if part == 0 else f"{path}@{part:05d}"
+
+
 def _keys_of_path() -> list[Column]:
-    pattern = r"/dataset=([^/]*)/year=([^/]*)/month=([^/]*)/archive=([^/]*)/([^/]*)$"
+    pattern = r"/dataset=([^/]*)/year=([^/]*)/month=([^/]*)/archive=([^/]*)/([^/@]*)(?:@[0-9]+)?$"
 
     def value(k: int) -> Column:
         raw = F.regexp_extract("path", pattern, k)
         return F.when(raw != HIVE_DEFAULT, F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))))
 
-    return [value(k + 1).cast(MANIFEST_SCHEMA[n].dataType).alias(n) for k, n in enumerate(KEYS)]
+    part = F.coalesce(F.nullif(F.regexp_extract("path", "@([0-9]+)$", 1), F.lit("")).cast("int"), F.lit(0))
+    return [*(value(k + 1).cast(MANIFEST_SCHEMA[n].dataType).alias(n) for k, n in enumerate(KEYS)), part.alias("part")]
 
 
 def landed_files(spark: SparkSession, root: str,
@@ -93,7 +101,7 @@ def landed_files(spark: SparkSession, root: str,
 
 def landing_manifest(spark: SparkSession, root: str,
                      partitions: list[tuple[str | None, int | None, int | None]] | None = None) -> DataFrame:
-    """path, modificationTime, length, dataset, year, month, archive, member of landed files."""
+    """path, modificationTime, length, dataset, year, month, archive, member, part of landed files."""
     return landed_files(spark, root, partitions).drop("content")
 
 

@@ -56,41 +56,59 @@ _URI = re.compile(r"^([a-zA-Z][a-zA-Z0-9+.-]*):(//[^/]*)?(/.*)$")
 _ARROW_SCHEME = {"s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gs", "hdfs": "hdfs", "abfs": "abfs", "abfss": "abfs"}
 
 
+class StagedFile:
+    """A file written under a hidden name beside its target (ignored by Spark's file listings)."""
+
+    def __init__(self, path: str):
+        import uuid
+
+        import pyarrow.fs as pafs
+
+        m = _URI.match(path)
+        if m is None or m.group(1).lower() == "file":
+            self.fs, self.target = pafs.LocalFileSystem(), (path if m is None else m.group(3))
+        else:
+            scheme, authority, rest = m.group(1).lower(), (m.group(2) or "")[2:], m.group(3)
+            self.fs, _ = pafs.FileSystem.from_uri(f"{_ARROW_SCHEME.get(scheme, scheme)}://{authority}/")
+            self.target = f"{authority}{rest}" if scheme in ("s3a", "s3n", "s3", "gs", "gcs") else rest
+        parent, name = self.target.rsplit("/", 1)
+        self.fs.create_dir(parent, recursive=True)
+        self.staging = f"{parent}/.{name}.{uuid.uuid4().hex}.tmp"
+        self.size = 0
+
+    def write(self, pieces) -> None:
+        try:
+            with self.fs.open_output_stream(self.staging) as f:
+                for piece in pieces:
+                    f.write(piece)
+                    self.size += len(piece)
+        except BaseException:
+            self.discard()
+            raise
+
+    def discard(self) -> None:
+        try:
+            self.fs.delete_file(self.staging)
+        except Exception:
+            pass
+
+    def publish(self) -> None:
+        """Move the file onto its target name, replacing an earlier attempt's file."""
+        import pyarrow.fs as pafs
+
+        if self.fs.get_file_info(self.target).type != pafs.FileType.NotFound:  # a rename does not replace everywhere
+            self.fs.delete_file(self.target)
+        self.fs.move(self.staging, self.target)
+
+
 def write_file(path: str, pieces) -> int:
     """Write an iterable of byte pieces as one whole file from a task; returns its size.
 
-    The bytes go to a hidden staging name beside the target (ignored by Spark's file
-    listings) and are moved onto the target name at the end, replacing an earlier
-    attempt's file; a failure removes the staging file. So a retried or speculative
-    attempt never leaves a partial or second file under the target name.
+    The bytes are staged and moved onto the target name at the end; a failure removes the staged
+    file. So a retried or speculative attempt never leaves a partial or second file under the
+    target name.
     """
-    import uuid
-
-    import pyarrow.fs as pafs
-
-    m = _URI.match(path)
-    if m is None or m.group(1).lower() == "file":
-        fs, target = pafs.LocalFileSystem(), (path if m is None else m.group(3))
-    else:
-        scheme, authority, rest = m.group(1).lower(), (m.group(2) or "")[2:], m.group(3)
-        fs, _ = pafs.FileSystem.from_uri(f"{_ARROW_SCHEME.get(scheme, scheme)}://{authority}/")
-        target = f"{authority}{rest}" if scheme in ("s3a", "s3n", "s3", "gs", "gcs") else rest
-    parent, name = target.rsplit("/", 1)
-    fs.create_dir(parent, recursive=True)
-    staging = f"{parent}/.{name}.{uuid.uuid4().hex}.tmp"
-    size = 0
-    try:
-        with fs.open_output_stream(staging) as f:
-            for piece in pieces:
-                f.write(piece)
-                size += len(piece)
-    except BaseException:
-        try:
-            fs.delete_file(staging)
-        except Exception:
-            pass
-        raise
-    if fs.get_file_info(target).type != pafs.FileType.NotFound:  # a rename does not replace everywhere
-        fs.delete_file(target)
-    fs.move(staging, target)
-    return size
+    staged = StagedFile(path)
+    staged.write(pieces)
+    staged.publish()
+    return staged.size
