@@ -1,15 +1,18 @@
 """Main text of web pages by a recurrent block labeller.
 
 A page becomes its sequence of leaf blocks: text between block-level tags, with the path of tags,
-classes and ids above it. Every block is a vector: hashed path tokens, hashed words, length,
-link share, place. A bidirectional LSTM (numpy) reads the whole sequence, so each block is
-labelled main or not in the context of the document.
+classes and ids above it. Every block is a vector: a slot for each known tag and telling name of its path,
+hashed slots of their own for all other names (an open set, which so never looks like a telling one), hashed
+words, length, link share, place. A bidirectional LSTM (numpy) reads the whole sequence, so each block is
+labelled main or not in the context of the document. Very long pages are read in stretches that hand on the
+states, so memory is bounded by the states alone.
 
 There are no labels, so the labeller learns from ``SAMPLE`` pages (bounded, repeatable) whose
 blocks a rule labels: inside an article or main element (on a page with neither, one whose class or id
 names content) and inside no element whose tag, class or id names a menu, header, footer, sidebar, notice, advert, form or comment. Every page also
-comes in ``VARIANTS`` with other containers and inserted boilerplate around or inside the
-article, filled with text of other pages, so that the words of a block do not give it away.
+comes in ``VARIANTS`` with other containers, names that occur nowhere else on any element, and inserted
+boilerplate around or inside the article, filled with text of other pages, so that neither the words of a block
+nor chance names give it away; some variants are hundreds of blocks long.
 
 A block's text: tags dropped, character references decoded, white space runs one blank, trimmed.
 Scripts, styles and comments are no text. Null or empty html has the empty text. Equal
@@ -30,13 +33,17 @@ from pyspark.sql import DataFrame
 from quayside.llm.common import IS_MARK, byte_rows, sampled, span_hashes, word_spans
 
 SAMPLE = 300
-VARIANTS = 3
+VARIANTS = 5
 EPOCHS = 6
+#: A variant in so many has its article repeated to a length of up to ``LONG`` blocks.
+LONG_EVERY = 12
+LONG = 600
 HIDDEN = 16
-PATH_SLOTS = 256
+NAME_SLOTS = 48
 WORD_SLOTS = 64
 PAGES_AT_ONCE = 256
-_WIDTH = PATH_SLOTS + WORD_SLOTS + 5
+#: A page of more blocks is read in stretches of so many.
+STRETCH = 16_384
 
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -56,6 +63,13 @@ MAIN_NAMES = ("content", "article", "post", "entry", "story", "body", "main", "t
 REST_TAGS = ("nav", "header", "footer", "aside", "form", "menu", "head", "button", "dialog", "fieldset")
 REST_NAMES = ("nav", "menu", "navbar", "breadcrumb", "breadcrumbs", "navigation", "complementary", "contentinfo", "header", "masthead", "footer", "sidebar", "aside", "widget", "ad", "ads", "advert", "advertisement", "banner", "sponsor", "sponsored", "promo", "cookie", "cookies", "consent", "notice", "alert", "popup", "modal", "newsletter", "subscribe", "signup", "login", "form", "search", "share", "social", "related", "recommended", "comment", "comments", "reply", "replies", "disqus", "pagination", "pager", "toolbar", "legal", "copyright")
 
+_TAGS = ("html", "body", "div", "p", "section", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption", "blockquote", "pre", "figure", "figcaption", "details", "summary", "address", "center")
+_KNOWN = {t: k for k, t in enumerate((*_TAGS, *MAIN_TAGS, *REST_TAGS, *("." + n for n in (*MAIN_NAMES, *REST_NAMES))))}
+PATH_SLOTS = len(_KNOWN) + NAME_SLOTS
+#: Beside path and words: whether the path has a main tag, a main name, a tag or name of the rest; length, words, links, place, one.
+_MORE = 8
+_WIDTH = PATH_SLOTS + WORD_SLOTS + _MORE
+
 
 @dataclass
 class Block:
@@ -160,10 +174,14 @@ def _named(path: tuple[str, ...]) -> bool:
     return False
 
 
+def _rest(path: tuple[str, ...]) -> bool:
+    return any(t in REST_TAGS or t[0] == "." and t[1:] in REST_NAMES for t in path)
+
+
 def rule(path: tuple[str, ...], named: bool = False) -> bool:
     """Whether the path says main text; ``named``: by content names too."""
     inside = any(t in MAIN_TAGS for t in path) or named and _named(path)
-    return inside and not any(t in REST_TAGS or t[0] == "." and t[1:] in REST_NAMES for t in path)
+    return inside and not _rest(path)
 
 
 def rule_labels(blocks: list[Block]) -> np.ndarray:
@@ -179,7 +197,7 @@ def _slot(token: str) -> int:
     h = 2166136261
     for c in token.encode():
         h = (h ^ c) * 16777619 & 0xFFFFFFFF
-    return (h ^ h >> 15) % PATH_SLOTS
+    return len(_KNOWN) + (h ^ h >> 15) % NAME_SLOTS
 
 
 _SLOTS: dict[str, int] = {}
@@ -193,8 +211,9 @@ def vectors(blocks: list[Block], place: np.ndarray) -> np.ndarray:
             if t not in _SLOTS:
                 if len(_SLOTS) > 100_000:
                     _SLOTS.clear()
-                _SLOTS[t] = _slot(t)
+                _SLOTS[t] = _KNOWN[t] if t in _KNOWN else _slot(t)
             out[k, _SLOTS[t]] = 1
+        out[k, -8:-5] = any(t in MAIN_TAGS for t in b.path), _named(b.path), _rest(b.path)
     data, off = byte_rows(pa.array([b.text for b in blocks], pa.string()), lower=True)
     starts, ends, n = word_spans(data, off, IS_MARK)
     slot = (span_hashes(data, starts, ends) % np.uint64(WORD_SLOTS)).astype(np.int64)
@@ -227,11 +246,11 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _lstm(x: np.ndarray, mask: np.ndarray, w: np.ndarray, u: np.ndarray, keep: bool = False):
-    """Hidden states of one direction; padded steps carry the state on."""
+def _lstm(x: np.ndarray, mask: np.ndarray, w: np.ndarray, u: np.ndarray, keep: bool = False, state=None):
+    """Hidden states of one direction, from ``state`` on; padded steps carry the state on."""
     n, t, _ = x.shape
     zx = x @ w
-    h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
+    h, c = state or (np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32))
     states, trace = np.zeros((n, t, HIDDEN), np.float32), []
     for k in range(t):
         z = zx[:, k] + h @ u
@@ -244,7 +263,7 @@ def _lstm(x: np.ndarray, mask: np.ndarray, w: np.ndarray, u: np.ndarray, keep: b
             trace.append((h, c, i, f, o, g, tc, m))
         h, c = np.where(m, o * tc, h), np.where(m, new, c)
         states[:, k] = h
-    return states, trace
+    return states, trace, (h, c)
 
 
 def _lstm_grad(x, trace, u, dstates):
@@ -277,6 +296,10 @@ class Labeller:
         order = sorted((k for k, p in enumerate(pages) if p), key=lambda k: len(pages[k]))
         at = 0
         while at < len(order):  # as many pages at once as keep blocks times longest bounded
+            if len(pages[order[at]]) > STRETCH:
+                out[order[at]] = self._long(pages[order[at]])
+                at += 1
+                continue
             end = at + 1
             while end < len(order) and end - at < PAGES_AT_ONCE and (end - at + 1) * len(pages[order[end]]) <= 16_384:
                 end += 1
@@ -288,10 +311,30 @@ class Labeller:
             at = end
         return out
 
+    def _long(self, page: list[Block]) -> np.ndarray:
+        """The labels of one page, a stretch at a time: once forwards, once backwards."""
+        wf, uf, wb, ub, v = self.params
+        total, state = np.zeros(len(page), np.float32), None
+        for a in range(0, len(page), STRETCH):
+            x = self._stretch(page, a)
+            states, _, state = _lstm(x, np.ones(x.shape[:2], bool), wf, uf, state=state)
+            total[a : a + x.shape[1]] += states[0] @ v[:HIDDEN] + v[-1]
+        state = None
+        for a in range((len(page) - 1) // STRETCH * STRETCH, -1, -STRETCH):
+            x = self._stretch(page, a)[:, ::-1]
+            states, _, state = _lstm(x, np.ones(x.shape[:2], bool), wb, ub, state=state)
+            total[a : a + x.shape[1]] += states[0, ::-1] @ v[HIDDEN:-1]
+        return _sigmoid(total) > 0.5
+
+    @staticmethod
+    def _stretch(page: list[Block], a: int) -> np.ndarray:
+        own = page[a : a + STRETCH]
+        return vectors(own, np.arange(a, a + len(own)) / len(page))[None]
+
     def _forward(self, x, mask, keep: bool = False):
         wf, uf, wb, ub, v = self.params
-        a, ta = _lstm(x, mask, wf, uf, keep)
-        b, tb = _lstm(x[:, ::-1], mask[:, ::-1], wb, ub, keep)
+        a, ta, _ = _lstm(x, mask, wf, uf, keep)
+        b, tb, _ = _lstm(x[:, ::-1], mask[:, ::-1], wb, ub, keep)
         both = np.concatenate([a, b[:, ::-1], np.ones((*a.shape[:2], 1), np.float32)], 2)
         return _sigmoid(both @ v), both, ta, tb
 
@@ -302,8 +345,9 @@ def train(pages: list[list[Block]], labels: list[np.ndarray], epochs: int = EPOC
     model, m1, m2, step = Labeller(params), [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     rows = [page_vectors([p]) for p in pages]
     for _ in range(epochs):
-        order = rng.permutation(len(pages))
-        for a in range(0, len(order), 32):
+        # pages of like lengths together, so that little is padded
+        order = np.argsort([len(p) * rng.uniform(0.8, 1.25) for p in pages], kind="stable")
+        for a in rng.permutation(range(0, len(order), 32)):
             own = order[a : a + 32]
             x, mask = _padded([len(rows[k]) for k in own], np.concatenate([rows[k] for k in own]))
             y = np.zeros(mask.shape, np.float32)
@@ -322,22 +366,28 @@ def train(pages: list[list[Block]], labels: list[np.ndarray], epochs: int = EPOC
     return model
 
 
-def variant(blocks: list[Block], others: list[str], rng: np.random.Generator) -> tuple[list[Block], np.ndarray]:
-    """The page with other containers, other kinds of blocks and inserted boilerplate, and its
-    labels. A container may be a mere division with a telling class."""
+def variant(blocks: list[Block], others: list[str], rng: np.random.Generator, repeat: int = 1) -> tuple[list[Block], np.ndarray]:
+    """The page with other containers, other kinds of blocks, chance names and inserted boilerplate, and
+    its labels. A container may be a mere division with a telling class, then often on a page without article;
+    the main blocks come ``repeat`` times."""
     pick = lambda xs: xs[rng.integers(len(xs))]
-    odd = lambda: (f".x{rng.integers(500)}",) if rng.random() < 0.3 else ()
-    roots = [("article",), ("main",), ("main", "article"), ("main", "div", "." + pick(MAIN_NAMES)), ("div", "." + pick(MAIN_NAMES), "article"), ("article", "section"), ("article", "div", "." + pick(MAIN_NAMES)), ("div", "." + pick(MAIN_NAMES[:5]))]
-    root = pick(roots) + odd()
-    kinds = [("p",)] * 5 + [("h2",), ("h3",), ("ul", "li"), ("ol", "li"), ("blockquote", "p"), ("pre",), ("table", "tr", "td"), ("figure", "figcaption"), ("div",), ("section", "p"), ("dl", "dd"), ("div", "p")]
+    odd = lambda share=0.3: tuple(f".{pick('xyzqk')}{rng.integers(1 << 20)}" for _ in range(1 + rng.integers(3))) if rng.random() < share else ()
+    roots = [("article",), ("article",), ("main",), ("main", "article"), ("main", "div", "." + pick(MAIN_NAMES)), ("div", "." + pick(MAIN_NAMES), "article"), ("article", "section"), ("article", "div", "." + pick(MAIN_NAMES)), *[("div", "." + pick(MAIN_NAMES))] * 3, ("section", "." + pick(MAIN_NAMES))]
+    often = rng.random()  # how often this page's elements have chance names
+    root = pick(roots) + odd(often)
+    kinds = [("p",)] * 5 + [("h2",), ("h3",), ("ul", "li"), ("ol", "li"), ("blockquote", "p"), ("pre",), ("table", "tr", "td"), ("figure", "figcaption"), ("div",), ("div",), ("section", "p"), ("dl", "dd"), ("div", "p"), ("div", "div", "p"), ("div", "div")]
+    named = lambda kind: tuple(x for t in kind for x in (t, *odd(often)))
     leads, out, good = ("html", "body"), [], []
     for b, main in zip(blocks, rule_labels(blocks), strict=True):
-        if main:
-            own = b.path[-1] if rng.random() < 0.5 else None
-            out.append(Block(leads + root + ((own,) if own and own not in MAIN_TAGS else pick(kinds)), b.text if rng.random() < 0.7 else pick(others), 0))
-        else:
-            out.append(b)
-        good.append(bool(main))
+        for _ in range(repeat if main else 1):
+            if main:
+                own = b.path[-1] if rng.random() < 0.4 else None
+                kind = (own,) if own and own[0] != "." and own not in MAIN_TAGS else pick(kinds)
+                out.append(Block(leads + root + named(kind), b.text if rng.random() < 0.7 else pick(others), 0))
+            else:
+                path = b.path if any(t in MAIN_TAGS for t in root) else tuple(t for t in b.path if t not in MAIN_TAGS) or ("div",)
+                out.append(Block(path[:-1] + odd(often / 2) + path[-1:], b.text, b.linked))
+            good.append(bool(main))
     for _ in range(rng.integers(2, 8)):
         names = (pick(("div", "section", "ul", "p")), "." + pick(REST_NAMES)) if rng.random() < 0.6 else (pick(REST_TAGS),)
         inner = pick([("p",), ("ul", "li"), ("div",), (), ("h3",), ("div", "p")])
@@ -348,7 +398,12 @@ def variant(blocks: list[Block], others: list[str], rng: np.random.Generator) ->
             text = pick(others)
             text = text if rng.random() < 0.5 else " ".join(text.split(" ")[: rng.integers(1, 8)])
             good.insert(at, False)
-            out.insert(at, Block(leads + (root if within else ()) + names + odd() + inner, text, len(text) if rng.random() < 0.3 else 0))
+            out.insert(at, Block(leads + (root if within else ()) + names + odd(often) + named(inner), text, len(text) if rng.random() < 0.3 else 0))
+    # blocks outside every container are no main text either, whatever their chance names
+    for _ in range(rng.integers(0, 3)):
+        at = int(pick([0, len(out)]))
+        good.insert(at, False)
+        out.insert(at, Block(leads + named(pick(kinds)), pick(others), 0))
     return out, np.array(good)
 
 
@@ -360,7 +415,8 @@ def fit(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
         return Labeller(None)
     rng = np.random.default_rng(29)
     texts = [b.text for p in plain for b in p]
-    every = [(p, rule_labels(p)) for p in plain] + [variant(p, texts, rng) for p in plain for _ in range(VARIANTS)]
+    repeat = lambda k, p: 1 + (int(rng.integers(LONG)) // len(p) if k % LONG_EVERY == 0 else 0)
+    every = [(p, rule_labels(p)) for p in plain] + [variant(p, texts, rng, repeat(k * VARIANTS + j, p)) for k, p in enumerate(plain) for j in range(VARIANTS)]
     return train([p for p, _ in every], [y for _, y in every])
 
 

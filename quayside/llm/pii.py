@@ -40,7 +40,6 @@ REACH = 200
 
 # The base patterns are anchored where a match can only begin or end, so that no long run of
 # letters or digits is scanned again and again; they match what the plain patterns match.
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -66,6 +65,12 @@ def _emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _byte(digits: str) -> bool:
+    """Whether the number is at most 255, however many zeros lead it."""
+    digits = digits.lstrip("0")
+    return len(digits) < 3 or len(digits) == 3 and digits <= "255"
+
+
 def _luhn(digits: str) -> bool:
     total = 0
     for k, d in enumerate(map(int, reversed(digits))):
@@ -77,7 +82,7 @@ def base_spans(text: str) -> list[list[tuple[int, int]]]:
     """(start, end) of every base span, a list per kind of ``KINDS``."""
     out: list[list[tuple[int, int]]] = [_emails(text) if "@" in text else [], [], [], []]
     if "." in text:
-        out[1] = [m.span() for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+        out[1] = [m.span() for m in _IP.finditer(text) if all(_byte(p) for p in m.group().split("."))]
     for m in _CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")
         if 16 <= len(digits) <= 19 and _luhn(digits):

@@ -30,6 +30,12 @@ def test_base_spans_match_the_plain_patterns():
         assert pii.base_spans(text) == plain(text), text
 
 
+def test_long_runs_of_zeros():
+    text = "0" * 5000 + ".1.1.1 and 1.2.3." + "0" * 9000 + "255 not 1.1.1.0256"
+    assert pii.base_spans(text)[1] == [(0, 5006), (5011, 5011 + 6 + 9003)]
+    assert [pii._byte(x) for x in ("", "0", "9", "99", "255", "256", "300", "0255", "1000")] == [True] * 5 + [False, False, True, False]
+
+
 def test_long_runs_take_linear_time():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "+1" + "(" * 200_000, "@" * 100_000, "a@" * 100_000):
         pii.entities(text, pii.base_spans(text))
