@@ -55,6 +55,29 @@ def sampled(rows: DataFrame, key: str, value: str, n: float, salt: int) -> DataF
     return picked.groupBy(key).agg(F.max(value).alias(value))
 
 
+# ---------------------------------------------------------------- vectors of whole numbers
+
+#: Inner products of whole numbers are exact in doubles below this size; scores are held there.
+EXACT = float(1 << 53)
+#: Components are held below this size, so that no inner product is infinite.
+LARGEST = 1e150
+
+
+def whole_vector(name: str, scale: int) -> tuple[Column, Column]:
+    """(``floor(scale * x)`` of every component as doubles, whether the vector is usable: not null, of at
+    least one component, none null or non-finite, once scaled)."""
+    scaled = F.transform(name, lambda x: x.cast("double") * scale)
+    finite = F.forall(scaled, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
+    # floor() gives a long; beyond EXACT a double has no fraction anyway
+    whole = F.transform(scaled, lambda x: F.when(F.abs(x) < F.lit(EXACT), F.floor(x).cast("double")).otherwise(F.greatest(F.least(x, F.lit(LARGEST)), F.lit(-LARGEST))))
+    return whole, F.coalesce(finite, F.lit(False)) & (F.size(name) > 0)
+
+
+def held_score(score: np.ndarray) -> np.ndarray:
+    """Scores held at ``EXACT`` in size."""
+    return np.clip(score, -EXACT, EXACT)
+
+
 # ---------------------------------------------------------------- texts as byte arrays
 
 

@@ -15,13 +15,16 @@ and any vector x, q.x lies within r|x| of p.x.
    each query, an id by its best row; partial results of a group's salts are merged by rank.
 
 Result: for each query its ``k`` highest integer scores over ``floor(256 * x)`` vectors, the query's own row
-left out, ties to the smaller id. Vectors that are null, or hold a null or non-finite component, or
-have another length than most, take no part, nor do null ids. Repeated ids are rows of their own, except
-that a query has one result per id and skips all rows of its own id.
+left out, ties to the smaller id. A query is answered within the vectors of its own length, one search a
+length. Vectors that are null or empty, or hold a null or non-finite component (also once scaled), take no part, nor do null
+ids. Scores are exact below 2 ** 53 and held there beyond it. Repeated ids are rows of their own, except that a query has
+one result per id and skips all rows of its own id.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import mix64, sampled, written
+from quayside.llm.common import EXACT, LARGEST, held_score, mix64, sampled, whole_vector, written
 
 K = 5
 SCALE = 256
@@ -39,18 +42,18 @@ PIVOTS = 48
 QUERIES_PER_GROUP = 128
 QUERY_BLOCK = 4_096
 DATA_BLOCK = 1_024
-#: The data of a query group are dealt over so many tasks.
+#: Pivots at most, as their summaries are collected.
+MAX_PIVOTS = 1_024
+#: The data of a query group are dealt over so many tasks at least, and over more from this many rows each on.
 SALTS = 4
+ROWS_PER_SALT = 1 << 18
 _ID = "vec_id"
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
     """``vec_id, v`` (array of whole numbers as doubles), of usable vectors only."""
-    v = F.transform("embedding", lambda x: F.floor(x.cast("double") * SCALE).cast("double"))
-    good = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) != F.lit(float("inf"))))
-    rows = vectors.filter(F.col(_ID).isNotNull() & F.col("embedding").isNotNull() & F.coalesce(good, F.lit(False)) & (F.size("embedding") > 0))
-    width = rows.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.filter(F.size("embedding") == (width["d"] if width else 0)).select(_ID, v.alias("v"))
+    v, usable = whole_vector("embedding", SCALE)
+    return vectors.filter(F.col(_ID).isNotNull() & usable).select(_ID, v.alias("v"))
 
 
 def _matrix(col: pa.Array, n: int) -> np.ndarray:
@@ -79,17 +82,30 @@ def _best_per_id(score: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.maximum.reduceat(score[:, order], begin, axis=1), ids[order][begin]
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = K, n_pivots: int = PIVOTS) -> DataFrame:
-    """``query_id, rank, vec_id, score`` for the rows where ``is_query`` holds, against all rows."""
+_FOUND = "query_id long, rank int, vec_id long, score long"
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int = K, n_pivots: int | None = None) -> DataFrame:
+    """``query_id, rank, vec_id, score`` for the rows where ``is_query`` holds, against all rows of their
+    vectors' length. ``n_pivots`` grows with the number of vectors by default."""
     spark = vectors.sparkSession
-    rows = written(spark, quantised(vectors).withColumn("is_query", F.coalesce(is_query, F.lit(False))), "knn-vectors")
-    schema = "query_id long, rank int, vec_id long, score long"
+    v, usable = whole_vector("embedding", SCALE)
+    rows = vectors.filter(F.col(_ID).isNotNull() & usable).select(_ID, v.alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    rows = written(spark, rows, "knn-vectors")
+    lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.count_if("is_query").alias("queries")).filter("queries > 0").orderBy("d").collect()
+    found = [_search(rows.filter(F.size("v") == r["d"]), r["n"], r["queries"], k, n_pivots) for r in lengths]
+    return functools.reduce(DataFrame.unionAll, found, spark.createDataFrame([], _FOUND)) if len(found) != 1 else found[0]
+
+
+def _search(rows: DataFrame, n_rows: int, n_queries: int, k: int, n_pivots: int | None) -> DataFrame:
+    """The search within vectors of one length."""
+    spark = rows.sparkSession
+    schema = _FOUND
+    n_pivots = n_pivots or min(MAX_PIVOTS, max(PIVOTS, math.isqrt(n_rows) // 8))
+    salts = max(SALTS, n_rows // ROWS_PER_SALT)
     few = sorted(sampled(rows, _ID, "v", 4 * n_pivots, 9).collect(), key=lambda r: mix64(np.array([r[_ID]]).astype(np.uint64))[0])
     pivots = np.array([r["v"] for r in few[:n_pivots] or rows.limit(1).collect()])
-    if not len(pivots):  # no usable vector
-        return spark.createDataFrame([], schema)
     pivots = pivots[np.sort(np.unique(pivots, axis=0, return_index=True)[1])]
-    n_queries = rows.filter("is_query").count()
     centres = pivots[: max(4, n_queries // QUERIES_PER_GROUP)]
 
     member = pa.list_(pa.struct([("id", pa.int64()), ("v", pa.list_(pa.float64()))]))
@@ -129,12 +145,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, n_pivots: int = PIVO
         return spark.createDataFrame([], schema)
     rq = np.array([radii[c]["rq"] for c in groups])
     lows = np.sort(_best_per_id(centres[groups] @ sample.T - rq[:, None] * np.linalg.norm(sample, axis=1)[None], sample_ids)[0], axis=1)
-    floor = lows[:, -(k + 1)] if lows.shape[1] > k else np.full(len(groups), -np.inf)
+    floor = held_score(lows[:, -(k + 1)]) if lows.shape[1] > k else np.full(len(groups), -np.inf)
     floor = floor - 1e-6 * (1 + np.abs(floor))  # rounding never rules a vector out
     norm = np.linalg.norm(pivots, axis=1)
     rd = np.array([radii[c]["rd"] if c in radii else 0.0 for c in range(len(pivots))])
     reach = centres[groups] @ pivots.T + norm[groups][:, None] * rd[None] + rq[:, None] * (norm + rd)[None]
-    open_cells = reach >= floor[:, None]  # group x cell
+    open_cells = held_score(reach) >= floor[:, None]  # group x cell
 
     counts = {r["cell"]: r["n"] for r in _grouped(rows, centres).groupBy("cell").agg(F.count("*").alias("n")).collect()}
     blocks = np.array([max(1, -(-counts.get(int(c), 0) // QUERY_BLOCK)) for c in groups])
@@ -147,7 +163,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, n_pivots: int = PIVO
             if not len(x):
                 continue
             cell, _ = _nearest(x, pivots)
-            may = open_cells[:, cell] & (centres[groups] @ x.T + rq[:, None] * np.linalg.norm(x, axis=1)[None] >= floor[:, None])
+            may = open_cells[:, cell] & (held_score(centres[groups] @ x.T + rq[:, None] * np.linalg.norm(x, axis=1)[None]) >= floor[:, None])
             g, i = np.nonzero(may)
             n = blocks[g]
             g, i, part = np.repeat(g, n), np.repeat(i, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -157,11 +173,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, n_pivots: int = PIVO
             kind = np.repeat([0, 1], [len(qi), len(g) - len(qi)])
             for a in range(0, len(g), 20_000):
                 t = slice(a, a + 20_000)
-                yield pa.record_batch([pa.array(g[t], pa.int32()), pa.array(part[t], pa.int32()), pa.array(np.mod(ids[i[t]], SALTS), pa.int32()), pa.array(kind[t], pa.int32()), pa.array(ids[i[t]], pa.int64()), b.column(1).take(pa.array(i[t]))], ["g", "part", "salt", "kind", "id", "v"])
+                yield pa.record_batch([pa.array(g[t], pa.int32()), pa.array(part[t], pa.int32()), pa.array((mix64(ids[i[t]].astype(np.uint64)) % np.uint64(salts)).astype(np.int32)), pa.array(kind[t], pa.int32()), pa.array(ids[i[t]], pa.int64()), b.column(1).take(pa.array(i[t]))], ["g", "part", "salt", "kind", "id", "v"])
 
     sent = rows.mapInArrow(send, "g int, part int, salt int, kind int, id long, v array<double>")
     # a query goes to every salt of its block; the data of a group are dealt over the salts
-    sent = sent.withColumn("salt", F.explode(F.when(F.col("kind") == 0, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array("salt"))))
+    sent = sent.withColumn("salt", F.explode(F.when(F.col("kind") == 0, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array("salt"))))
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = sent.repartition(shuffle, "g", "part", "salt").sortWithinPartitions("g", "part", "salt", "kind")
 
@@ -197,7 +213,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, n_pivots: int = PIVO
                     best = np.full((len(qs), k), -np.inf), np.full((len(qs), k), np.iinfo(np.int64).max)
                 for a in range(i, j, DATA_BLOCK):
                     c = slice(a, min(a + DATA_BLOCK, j))
-                    score, block = _best_per_id(queries @ x[c].T, ids[c])
+                    score, block = _best_per_id(held_score(queries @ x[c].T), ids[c])
                     score[own[:, None] == block[None]] = -np.inf
                     # whoever reaches the k-th best id of this block or before, ties included
                     kth = np.partition(score, -min(k, score.shape[1]), axis=1)[:, -min(k, score.shape[1])]
@@ -228,14 +244,13 @@ def _grouped(rows: DataFrame, centres: np.ndarray) -> DataFrame:
 
 
 SQL = f"""
-WITH u AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * {SCALE})) AS v
+WITH t AS (
+  SELECT vec_id, list_transform(embedding, lambda x: greatest(least(floor(CAST(x AS DOUBLE) * {SCALE}), {LARGEST!r}), {-LARGEST!r})) AS v
   FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
-t AS (SELECT * FROM u WHERE len(v) = (SELECT len(v) FROM u GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)),
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE) * {SCALE}))) = len(embedding)),
 s AS (
-  SELECT q.vec_id AS query_id, d.vec_id, CAST(max(list_dot_product(q.v, d.v)) AS BIGINT) AS score
-  FROM t q JOIN t d ON d.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2)
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(max(greatest(least(list_dot_product(q.v, d.v), {EXACT!r}), {-EXACT!r})) AS BIGINT) AS score
+  FROM t q JOIN t d ON d.vec_id <> q.vec_id AND len(d.v) = len(q.v) WHERE q.vec_id % 50 = 0 GROUP BY 1, 2)
 SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= {K}
 """

@@ -33,15 +33,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import written
+from quayside.llm.common import EXACT, LARGEST, held_score, whole_vector, written
 from quayside.llm.runs import shuffle_partitions
 
 POSITIVES = 5
 NEGATIVES = 3
 SCALE = 256
-LIMIT = float(1 << 53)
-#: Components are held below this size, so that no inner product is infinite.
-LARGEST = 1e150
 CURVE_DIMS = 16
 CURVE_BITS = 4
 #: Dimensions looked at for the choice of the curve's.
@@ -60,12 +57,8 @@ LEAST_UNITS = 32
 
 def usable(vectors: DataFrame, is_anchor: Column) -> DataFrame:
     """``vec_id, label, v, anchor``: scaled vectors that take part, one per id."""
-    scaled = F.transform("embedding", lambda x: x.cast("double") * SCALE)
-    good = F.forall(scaled, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
-    rows = vectors.filter(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(good, F.lit(False)) & (F.size("embedding") > 0))
-    held = lambda x: F.greatest(F.least(x, F.lit(LARGEST)), F.lit(-LARGEST))
-    # floor() gives a long; beyond 2 ** 53 a double has no fraction anyway
-    v = F.transform(scaled, lambda x: F.when(F.abs(x) < F.lit(LIMIT), F.floor(x).cast("double")).otherwise(held(x)))
+    v, usable_vector = whole_vector("embedding", SCALE)
+    rows = vectors.filter(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable_vector)
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), v.alias("v"), F.coalesce(is_anchor, F.lit(False)).alias("anchor"))
     one = rows.groupBy("vec_id").agg(F.min(F.struct("label", "v")).alias("r"), F.max("anchor").alias("anchor"))
     return one.select("vec_id", F.col("r.label").alias("label"), F.col("r.v").alias("v"), "anchor")
@@ -150,7 +143,7 @@ def keyed(rows: DataFrame, moments: dict[int, tuple[float, float]]) -> DataFrame
 def upper(anchors: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """Greatest scores that anchors (a, d) may have in zones (z, d), rounding included."""
     out = np.maximum(anchors, 0) @ hi.T + np.minimum(anchors, 0) @ lo.T
-    return np.clip(out + 1e-12 * (np.abs(anchors) @ np.maximum(np.abs(lo), np.abs(hi)).T), -LIMIT, LIMIT)
+    return held_score(out + 1e-12 * (np.abs(anchors) @ np.maximum(np.abs(lo), np.abs(hi)).T))
 
 
 def lower(anchors: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -158,7 +151,7 @@ def lower(anchors: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 
 
 def scores(anchors: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return np.clip(anchors @ x.T, -LIMIT, LIMIT)
+    return held_score(anchors @ x.T)
 
 
 def window(positive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -475,12 +468,12 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column) -> DataFrame:
 SQL = f"""
 WITH u AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * {SCALE})) AS v
+         list_transform(embedding, lambda x: greatest(least(floor(CAST(x AS DOUBLE) * {SCALE}), {LARGEST!r}), {-LARGEST!r})) AS v
   FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE) * {SCALE}))) = len(embedding)),
 t AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, v) = 1),
 s AS (
-  SELECT a.vec_id AS anchor_id, x.vec_id, a.label = x.label AS same, CAST(list_dot_product(a.v, x.v) AS BIGINT) AS score
+  SELECT a.vec_id AS anchor_id, x.vec_id, a.label = x.label AS same, CAST(greatest(least(list_dot_product(a.v, x.v), {EXACT!r}), {-EXACT!r}) AS BIGINT) AS score
   FROM t a JOIN t x ON x.vec_id <> a.vec_id AND len(x.v) = len(a.v) WHERE a.vec_id % 50 = 0),
 p AS (
   SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
