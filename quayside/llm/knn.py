@@ -50,12 +50,6 @@ ROWS_PER_SALT = 1 << 18
 _ID = "vec_id"
 
 
-def quantised(vectors: DataFrame) -> DataFrame:
-    """``vec_id, v`` (array of whole numbers as doubles), of usable vectors only."""
-    v, usable = whole_vector("embedding", SCALE)
-    return vectors.filter(F.col(_ID).isNotNull() & usable).select(_ID, v.alias("v"))
-
-
 def _matrix(col: pa.Array, n: int) -> np.ndarray:
     return np.asarray(col.flatten()).reshape(n, -1) if n else np.zeros((0, 0))
 

@@ -14,7 +14,7 @@
 All random choices are hashes of ids and the seed, so reruns agree.
 
 Nulls: a null text has size 0; a null source is a source of its own, the last; a null id is
-an id. Equal ids fall into the same block. An empty table gives an empty result.
+an id. Rows equal in id, source and text fall into the same block. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -71,29 +71,40 @@ def hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Col
     sd = F.sqrt(F.greatest(F.lit(0.0), d * g * (n - g) * (n - d) / (n * n * F.greatest(n - 1, F.lit(1.0)))))
     reach = F.ceil(sd * 12).cast("double") + 12
 
-    def walk(mode: Column, last: Column, up: bool) -> Column:
-        """(value, probability over that of the mode) from the mode to ``last``."""
+    def walk(mode: Column, up: bool, start: Column, meet: Callable[[Column], Column]) -> Column:
+        """From the mode outward, (``p`` over that of the mode, their running ``sum``, value ``k``), up to
+        the first sum that ``meet``s."""
         def step(acc: Column, k: Column) -> Column:
             if up:
                 ratio = (g - (k - 1)) * (d - (k - 1)) / (k * (n - g - d + k))
             else:
                 ratio = (k + 1) * (n - g - d + k + 1) / ((g - k) * (d - k))
-            return F.concat(acc, F.array(F.struct(k.alias("k"), (F.element_at(acc, -1).getField("p") * ratio).alias("p"))))
+            p = acc["p"] * ratio
+            new = F.struct(p.alias("p"), (acc["sum"] + p).alias("sum"), k.alias("k"), meet(acc["sum"] + p).alias("met"))
+            return F.when(acc["met"], acc).otherwise(new)
 
+        last = F.least(hi, mode + reach) if up else F.greatest(lo, mode - reach)
         path = F.slice(F.sequence(mode.cast("long"), last.cast("long")), F.lit(2), F.lit(2**31 - 2))
-        return F.aggregate(F.transform(path, lambda k: k.cast("double")), F.array(F.struct(mode.alias("k"), F.lit(1.0).alias("p"))), step)
+        return F.aggregate(F.transform(path, lambda k: k.cast("double")), start, step)
 
-    def pick(values: Column) -> Column:
-        def upto(aim: Column) -> Column:
-            start = F.struct(F.lit(0.0).alias("sum"), F.lit(-1.0).alias("k"))
-            return F.aggregate(values, start, lambda a, x: F.when(a.getField("sum") > aim, a).otherwise(F.struct((a.getField("sum") + x.getField("p")).alias("sum"), x.getField("k").alias("k")))).getField("k")
-        return let(F.aggregate(values, F.lit(0.0), lambda a, x: a + x.getField("p")) * u, upto)
+    def begin(mode: Column, total: float, met: Column) -> Column:
+        return F.struct(F.lit(1.0).alias("p"), F.lit(total).alias("sum"), mode.alias("k"), met.alias("met"))
 
-    def around(mode: Column) -> Column:
-        down = F.reverse(F.slice(walk(mode, F.greatest(lo, mode - reach), False), F.lit(2), F.lit(2**31 - 2)))
-        return F.concat(down, walk(mode, F.least(hi, mode + reach), True))
+    never = lambda _: F.lit(False)
 
-    return F.when(hi <= lo, lo).otherwise(let(let(middle, around), pick)).cast("long")
+    def pick(mode: Column) -> Column:
+        """The value where the running sum from the lowest value on first exceeds ``u`` of the whole."""
+        def found(sums: Column) -> Column:
+            below, aim = sums["below"], (sums["below"] + sums["rest"]) * u
+            lower = walk(mode, False, begin(mode, 0.0, F.lit(False)), lambda s: below - s <= aim)
+            upper = walk(mode, True, begin(mode, 1.0, below + 1 > aim), lambda s: below + s > aim)
+            return F.when(aim < below, lower["k"]).otherwise(upper["k"])
+
+        below = walk(mode, False, begin(mode, 0.0, F.lit(False)), never)["sum"]
+        rest = walk(mode, True, begin(mode, 1.0, F.lit(False)), never)["sum"]
+        return let(F.struct(below.alias("below"), rest.alias("rest")), found)
+
+    return F.when(hi <= lo, lo).otherwise(let(middle, pick)).cast("long")
 
 
 def split_quotas(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
@@ -119,19 +130,18 @@ def split_quotas(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
     return nodes.select(F.col("node").alias("shard"), F.explode(F.arrays_zip("sources", "counts")).alias("x")).select("shard", F.col("x.sources").alias("source_no"), F.col("x.counts").alias("blocks"))
 
 
-def plan_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, n_shards: int | None = None, seed: int = 7) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, source, size, source_size, target, copies,
-    taken, shards`` (the shard of every copy). A document is taken at most ``MAX_REPEAT``
-    times, whole each time; a source's taken words miss its target by half a document at
-    most."""
+def _planned(docs: DataFrame, weights: tuple[float, ...], share: float, n_shards: int | None, seed: int) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, source, text_key, size, source_size, target``, the passes
+    over the whole source (``full``), whether the last pass takes the document too (``last``), and the shard of
+    its block in every pass (``block_shards``)."""
     spark = docs.sparkSession
-    sized = written(spark, docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    sized = written(spark, docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"), word_count(F.col("text")).alias("size")), "mix-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = written(spark, source_targets(sizes, weights, share), "mix-targets")
     total = targets.agg(F.sum("source_size")).first()[0] or 0
     depth = math.ceil(math.log2(n_shards or max(MIN_SHARDS, total / WORDS_PER_SHARD)))
     n_blocks = max(MIN_BLOCKS, 8 * 2**depth)
-    placed = sized.withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(n_blocks)).cast("int"))
+    placed = sized.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_key", F.lit(seed)), F.lit(n_blocks)).cast("int"))
 
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
     blocks = placed.groupBy("source", "block").agg(F.sum("size").alias("block_size")).alias("b")
@@ -147,33 +157,64 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     blocks = written(spark, blocks, "mix-blocks")
 
     quotas = blocks.groupBy("source_no").agg(F.sum(F.col("full") + F.col("in_last")).cast("long").alias("quota"))
-    leaves = split_quotas(quotas, depth, seed)
+    leaves = split_quotas(quotas, depth, seed).filter("blocks > 0")
+    # a leaf's stretch of the deck begins where those of the shards before it end; a block copy belongs to the
+    # last leaf that begins at its position or before: one sorted window over both
     stretch = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
-    leaves = leaves.filter("blocks > 0").withColumn("upto", F.sum("blocks").over(stretch))
-    ends = written(spark, leaves.groupBy("source_no").agg(F.sort_array(F.collect_list(F.struct("upto", "shard"))).alias("ends")), "mix-leaves")
-    place_shard = lambda p: F.element_at(F.filter("ends", lambda e: e["upto"] > p), 1)["shard"]
-    copies = F.sequence(F.lit(0), F.col("full") + F.col("in_last"))
-    blocks = blocks.join(ends, "source_no", "left").withColumn("block_shards", F.transform(F.slice(copies, F.lit(1), F.col("full") + F.col("in_last")), lambda e: place_shard(e * F.col("deck_size") + F.col("place")))).drop("ends")
+    begins = leaves.select("source_no", (F.sum("blocks").over(stretch) - F.col("blocks")).alias("at"), "shard")
+    turns = F.slice(F.sequence(F.lit(0), F.col("full") + F.col("in_last")), F.lit(1), F.col("full") + F.col("in_last"))
+    copies = blocks.select("source_no", "block", "place", "deck_size", F.explode(turns).alias("turn"))
+    copies = copies.select("source_no", (F.col("turn") * F.col("deck_size") + F.col("place")).cast("long").alias("at"), "block", "turn")
+    along = Window.partitionBy("source_no").orderBy("at", F.asc_nulls_last("shard")).rowsBetween(Window.unboundedPreceding, 0)
+    merged = begins.unionByName(copies, allowMissingColumns=True).withColumn("shard", F.last("shard", ignorenulls=True).over(along))
+    shards = F.sort_array(F.collect_list(F.struct("turn", "shard")))  # at most MAX_REPEAT + 1
+    of_block = merged.filter(F.col("turn").isNotNull()).groupBy("source_no", "block").agg(F.transform(shards, lambda x: x["shard"]).alias("block_shards"))
+    blocks = blocks.join(of_block, ["source_no", "block"], "left").withColumn("block_shards", F.coalesce("block_shards", F.array().cast("array<bigint>")))
 
     p, b = placed.alias("p"), blocks.select("source", "block", "source_size", "target", "full", "room", "block_size", "block_shards").alias("b")
-    rows = p.join(b, same({"source": F.col("p.source")}, {"source": F.col("b.source")}) & (F.col("p.block") == F.col("b.block"))).select("p.doc_id", "p.source", "p.size", "p.block", *[f"b.{c}" for c in ("source_size", "target", "full", "room", "block_size", "block_shards")])
-    inside = Window.partitionBy("source", "block").orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    rows = p.join(b, same({"source": F.col("p.source")}, {"source": F.col("b.source")}) & (F.col("p.block") == F.col("b.block"))).select("p.doc_id", "p.source", "p.text_key", "p.size", "p.block", *[f"b.{c}" for c in ("source_size", "target", "full", "room", "block_size", "block_shards")])
+    inside = Window.partitionBy("source", "block").orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "text_key").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_before", F.sum("size").over(inside) - F.col("size"))
     last = (F.col("_before") + F.col("size") / 2 <= F.col("room")) & (F.col("room") > 0) & (F.col("full") < MAX_REPEAT)
-    rows = rows.withColumn("copies", F.col("full") + last.cast("int"))
+    return rows.select("doc_id", "source", "text_key", "size", "source_size", "target", "full", last.cast("int").alias("last"), "block_shards")
+
+
+def plan_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, n_shards: int | None = None, seed: int = 7) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, source, size, source_size, target, copies,
+    taken, shards`` (the shard of every copy). A document is taken at most ``MAX_REPEAT``
+    times, whole each time; a source's taken words miss its target by half a document at
+    most."""
+    rows = _planned(docs, weights, share, n_shards, seed).withColumn("copies", F.col("full") + F.col("last"))
     return rows.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"), F.slice("block_shards", F.lit(1), F.col("copies")).alias("shards"))
 
 
-def mix_documents(docs: DataFrame, **options) -> DataFrame:
+def mix_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, n_shards: int | None = None, seed: int = 7) -> DataFrame:
     """The mix itself: the rows of ``docs`` (all their columns), each as often as it is
     taken, grouped by shard and shuffled inside it. Documents without words are not taken.
 
-    The plan is joined back by ``doc_id`` and source; of rows with an equal id and source
-    every one is taken as often as the first."""
-    plan = plan_mix(docs, **options).filter("taken > 0")
-    plan = plan.groupBy("doc_id", "source").agg(F.max_by("shards", "copies").alias("_shards"))
+    The plan is joined back by id, source and text. Rows equal in these are interchangeable in the plan: it says how many
+    of them the last pass takes, and the rows are numbered to take as many, within the tasks that read
+    them first, so that very many equal rows are not numbered by one task."""
+    key = ["doc_id", "source", "text_key"]
+    plan = _planned(docs, weights, share, n_shards, seed).filter("size > 0").groupBy(*key).agg(
+        F.count("*").alias("_rows"), F.sum("last").alias("_taken_last"), F.max("full").alias("_full"), F.max("block_shards").alias("_shards"))
+    plan = plan.filter((F.col("_full") > 0) | (F.col("_taken_last") > 0)).select(*[F.col(c).alias(f"_{c}") for c in key], "_rows", "_taken_last", "_full", "_shards")
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
-    rows = d.join(plan, F.col("d.doc_id").eqNullSafe(F.col("doc_id")) & F.col("d.source").eqNullSafe(F.col("source")))
-    rows = rows.select("d", F.posexplode("_shards").alias("_copy", "_shard"))
-    slot = F.xxhash64("d.doc_id", "_copy", "_shard")
+    d = d.withColumn("_text_key", F.xxhash64("d.text")).withColumn("_part", F.spark_partition_id())
+    on = F.col("d.doc_id").eqNullSafe(F.col("_doc_id")) & F.col("d.source").eqNullSafe(F.col("_source")) & (d["_text_key"] == plan["_text_key"])
+    rows = d.join(plan, on).drop(plan["_text_key"])
+    some = (F.col("_taken_last") > 0) & (F.col("_taken_last") < F.col("_rows"))
+    sure = rows.filter(~some).withColumn("_copies", F.col("_full") + (F.col("_taken_last") > 0).cast("int"))
+    equal = ["_doc_id", "_source", "_text_key"]
+    part = Window.partitionBy(*equal, "_part")
+    counted = rows.filter(some).withColumn("_place", F.row_number().over(part.orderBy(F.to_json("d"))))
+    sums = rows.filter(some).groupBy(*equal, "_part").agg(F.count("*").alias("_n"))
+    before = sums.withColumn("_offset", F.sum("_n").over(Window.partitionBy(*equal).orderBy("_part")) - F.col("_n")).select(*[F.col(c).alias(f"o{c}") for c in equal], F.col("_part").alias("o_part"), "_offset")
+    match = F.col("_part") == F.col("o_part")
+    for c in equal:
+        match = match & F.col(c).eqNullSafe(F.col(f"o{c}"))
+    chosen = counted.join(before, match).withColumn("_copies", F.col("_full") + (F.col("_place") + F.col("_offset") <= F.col("_taken_last")).cast("int"))
+    rows = sure.select("d", "_shards", "_copies").unionByName(chosen.select("d", "_shards", "_copies"))
+    rows = rows.filter("_copies > 0").select("d", F.posexplode(F.slice("_shards", F.lit(1), F.col("_copies"))).alias("_copy", "_shard"))
+    slot = F.xxhash64("d.doc_id", "d.text", "_copy", "_shard")
     return rows.repartition("_shard", F.pmod(slot, F.lit(16))).sortWithinPartitions("_shard", slot).select(*[F.col(f"d.`{c}`").alias(c) for c in docs.columns])
