@@ -1,10 +1,13 @@
 """Packing documents into batches by optimal length buckets.
 
-1. The histogram of all lengths, on a grid that is exact below 256 and keeps 8 significant
-   bits above (so it has at most 256 + 128 cells an octave, whatever the corpus).
-2. Dynamic programming over its cells chooses the ``n_buckets`` boundaries with the least
-   padding when every document is padded to its bucket's longest. Among equal costs the
-   smallest boundary wins.
+1. The exact histogram of all lengths. Different lengths add up to no more than the corpus has words,
+   so there are at most about the square root of twice its words of them; they come to the driver
+   as two columns of numbers.
+2. Dynamic programming over the lengths chooses the ``n_buckets`` boundaries with the least
+   padding when every document is padded to its bucket's longest. The cost of a bucket satisfies the
+   quadrangle inequality, so the best boundary before a length never falls as lengths grow, and each step of the program is
+   worked out by halving (middle lengths first, each between its neighbours' boundaries): n log n a bucket.
+   Among equal costs the smallest boundary wins.
 3. Inside a bucket, documents in the order of their id's md5 fill batches of as many rows as
    the token budget holds at the padded length (one, where a document exceeds the budget).
    Ranks are exact over the whole bucket: counts by md5 prefix give the offsets, so no task
@@ -23,7 +26,6 @@ from quayside.llm.common import WORD, written
 
 N_BUCKETS = 12
 TOKEN_BUDGET = 16_384
-SIGNIFICANT_BITS = 8
 RANK_ROWS = 10_000
 
 
@@ -31,34 +33,47 @@ def token_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def grid(length: Column) -> Column:
-    """The length's cell: its 8 leading bits, rounded up."""
-    unit = F.pow(F.lit(2.0), F.greatest(F.length(F.bin(length)) - SIGNIFICANT_BITS, F.lit(0)))
-    return (F.ceil(length / unit) * unit).cast("long")
-
-
-def bucket_bounds(counts: np.ndarray, sums: np.ndarray, longest: np.ndarray, n_buckets: int) -> list[int]:
-    """Upper bounds of the buckets, ascending, from cells ordered by length: the choice with
-    the least total padding."""
+def _step(best: np.ndarray, first: int, cost) -> tuple[np.ndarray, np.ndarray]:
+    """One more bucket: for every j > ``first`` the least ``best[i] + cost(i, j)`` over first <= i < j, and the
+    least i that gives it; all middles of a depth at once."""
+    n = len(best)
+    out, frm = np.full(n, np.iinfo(np.int64).max // 4), np.zeros(n, np.int64)
+    lo, hi = np.array([first + 1]), np.array([n - 1])  # ranges of j still open, and of their i
+    at, to = np.array([first]), np.array([n - 2])
+    while len(lo):
+        mid = (lo + hi) // 2
+        end = np.minimum(to, mid - 1)
+        size = end - at + 1
+        begin = np.cumsum(size) - size
+        i = np.arange(size.sum()) - np.repeat(begin, size) + np.repeat(at, size)
+        value = best[i] + cost(i, np.repeat(mid, size))
+        out[mid] = np.minimum.reduceat(value, begin)
+        hit = np.flatnonzero(value == np.repeat(out[mid], size))
+        frm[mid] = i[hit[np.searchsorted(hit, begin)]]
+        parts = [(lo, mid - 1, at, frm[mid]), (mid + 1, hi, frm[mid], to)]
+        lo, hi, at, to = (np.concatenate(c) for c in zip(*parts, strict=True))
+        keep = lo <= hi
+        lo, hi, at, to = lo[keep], hi[keep], at[keep], to[keep]
+    return out, frm
+
+
+def bucket_bounds(counts: np.ndarray, lengths: np.ndarray, n_buckets: int) -> list[int]:
+    """Upper bounds of the buckets, ascending, from the counts of different lengths, ascending: the choice
+    with the least total padding."""
     n = len(counts)
     if not n:
         return []
-    c, s = (np.concatenate([[0], np.cumsum(x, dtype=np.int64)]) for x in (counts, sums))
-    longest = np.asarray(longest, np.int64)
-    best = longest * c[1:] - s[1:]  # one bucket for the cells 0..j
+    lengths = np.asarray(lengths, np.int64)
+    c, s = (np.concatenate([[0], np.cumsum(x, dtype=np.int64)]) for x in (counts, counts * lengths))
+    cost = lambda i, j: lengths[j] * (c[j + 1] - c[i + 1]) - (s[j + 1] - s[i + 1])
+    best = lengths * c[1:] - s[1:]  # one bucket for the lengths 0..j
     back = []
-    for _ in range(min(n_buckets, n) - 1):
-        nxt, frm = np.full(n, np.iinfo(np.int64).max // 4), np.zeros(n, np.int64)
-        for j in range(len(back) + 1, n):
-            i = np.arange(len(back), j)  # the last cell of the bucket before
-            cost = best[i] + longest[j] * (c[j + 1] - c[i + 1]) - (s[j + 1] - s[i + 1])
-            k = int(np.argmin(cost))
-            nxt[j], frm[j] = cost[k], i[k]
-        best = nxt
+    for k in range(min(n_buckets, n) - 1):
+        best, frm = _step(best, k, cost)
         back.append(frm)
     j, out = n - 1, []
     for frm in [*reversed(back), None]:
-        out.append(int(longest[j]))
+        out.append(int(lengths[j]))
         j = int(frm[j]) if frm is not None else j
     return out[::-1]
 
@@ -68,9 +83,10 @@ def pack(docs: DataFrame, n_buckets: int = N_BUCKETS, budget: int = TOKEN_BUDGET
     batch is a (bucket, batch) pair."""
     spark = docs.sparkSession
     sized = written(spark, docs.select("doc_id", token_count(F.col("text")).alias("n_tokens")), "pack-lengths")
-    cells = sized.groupBy(grid(F.col("n_tokens")).alias("cell")).agg(F.count("*").alias("c"), F.sum("n_tokens").alias("s"), F.max("n_tokens").alias("m")).orderBy("cell").collect()
-    bounds = bucket_bounds(*[np.array([r[k] for r in cells], np.int64) for k in "csm"], n_buckets) or [0]
-    spread = sum(r["c"] for r in cells) / RANK_ROWS
+    histogram = sized.groupBy("n_tokens").count().orderBy("n_tokens").toArrow()
+    lengths, counts = (histogram.column(c).to_numpy() for c in ("n_tokens", "count"))
+    bounds = bucket_bounds(counts, lengths, n_buckets) or [0]
+    spread = counts.sum() / RANK_ROWS
     digits = max(0, int(np.ceil(np.log(max(spread, 1)) / np.log(16))))
 
     sides = F.array(*[F.lit(b).cast("long") for b in bounds])
@@ -89,10 +105,9 @@ def pack(docs: DataFrame, n_buckets: int = N_BUCKETS, budget: int = TOKEN_BUDGET
 SQL = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, CAST(coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS BIGINT) AS n FROM documents),
-g AS (SELECT *, CAST(pow(2, greatest(length(bin(n)) - {SIGNIFICANT_BITS}, 0)) AS BIGINT) AS unit FROM d),
-h AS (SELECT CAST(ceil(n / unit) * unit AS BIGINT) AS cell, count(*) AS c, sum(n) AS s, max(n) AS m FROM g GROUP BY 1),
+h AS (SELECT n AS m, count(*) AS c, sum(n) AS s FROM d GROUP BY 1),
 cells AS (SELECT row_number() OVER w AS j, m,
-    CAST(sum(c) OVER w AS BIGINT) AS c, CAST(sum(s) OVER w AS BIGINT) AS s FROM h WINDOW w AS (ORDER BY cell)),
+    CAST(sum(c) OVER w AS BIGINT) AS c, CAST(sum(s) OVER w AS BIGINT) AS s FROM h WINDOW w AS (ORDER BY m)),
 dp AS (
   SELECT 1 AS k, j, {{'cost': m * c - s, 'i': CAST(0 AS BIGINT)}} AS b FROM cells
   UNION ALL
