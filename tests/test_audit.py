@@ -95,3 +95,83 @@ def test_json_rows_round_trip(spark):
     js = to_json_rows(res)
     assert js.first().json.startswith('{"status":"success","table_name":"t","total_rows":3')
     assert from_json_rows(js, RESULT_SCHEMA).collect() == res.collect()
+
+
+def audit_rows(spark, tmp, rows):
+    """(url, day offset, status) as audit rows, appended to an audit table."""
+    from quayside.operators import audit as A
+
+    df = spark.createDataFrame([(f"r{i:03d}", f"2024-01-{1 + d:02d} 0{i % 10}:00:00", u, s) for i, (u, d, s) in enumerate(rows)], "run_id string, t string, url string, download_status string")
+    A.append_audit(df.withColumn("run_timestamp", F.col("t").cast("timestamp")), f"{tmp}/audit")
+    return A.read_audit(spark, f"{tmp}/audit")
+
+
+def test_status_runs_and_failure_streaks(spark, tmp):
+    from quayside.operators import audit as A
+
+    ok, no = "success", "not_found"
+    rows = [("a", 0, ok), ("a", 0, no), ("a", 0, no), ("a", 1, no), ("a", 2, ok), ("b", 0, no), ("b", 1, no), ("b", 1, "bad_archive"), ("c", 3, ok), ("d", 0, None), ("d", 1, None), ("d", 1, ok), ("d", 2, no)]
+    audit = audit_rows(spark, tmp, rows)
+    runs = {(r.url, r.run): (r.status, r.attempts) for r in A.status_runs(audit).collect()}
+    assert runs == {("a", 1): (ok, 1), ("a", 2): (no, 3), ("a", 3): (ok, 1), ("b", 1): (no, 2), ("b", 2): ("bad_archive", 1), ("c", 1): (ok, 1),
+                    ("d", 1): (None, 2), ("d", 2): (ok, 1), ("d", 3): (no, 1)}
+    s = {r.url: r for r in A.failure_streaks(audit).collect()}
+    assert (s["a"].attempts, s["a"].current_status, s["a"].streak, s["a"].failed_since) == (5, ok, 1, 0)
+    assert (s["b"].current_status, s["b"].streak, s["b"].last_success, s["b"].failed_since) == ("bad_archive", 1, None, 3)
+    assert (s["d"].streak, s["d"].failed_since, str(s["d"].last_success)[:10]) == (1, 1, "2024-01-02")
+    assert A.status_runs(audit.limit(0)).count() == 0 == A.failure_streaks(audit.limit(0)).count()
+
+
+def test_gap_ranges(spark, tmp):
+    from quayside.operators import audit as A
+
+    months = [f"2024-{m:02d}-01" for m in range(1, 7)]
+    expected = [("x", m, f"x/{m}/{k}") for m in months for k in "ab"] + [("q", m, f"q/{m}") for m in months[::3]] + [("s", None, "s/one"), ("s", None, "s/two"), ("y", months[0], "y")]
+    done = {"x/2024-01-01/a", "x/2024-01-01/b", "x/2024-02-01/a", "x/2024-04-01/a", "x/2024-04-01/b", "s/one", "y"}
+    audit = audit_rows(spark, tmp, [(u, 0, "success") for u in sorted(done)] + [("q/2024-01-01", 0, "not_found"), ("y", 1, "not_found")])
+    df = spark.createDataFrame(expected, "dataset string, p string, url string").withColumn("period", F.col("p").cast("date"))
+    got = {tuple(str(v) for v in r) for r in A.gap_ranges(df, audit).select("dataset", "first", "last", "periods", "files").collect()}
+    # a period is missing when one of its files is; a quarterly dataset has neighbouring quarters
+    assert got == {("x", "2024-02-01", "2024-03-01", "2", "3"), ("x", "2024-05-01", "2024-06-01", "2", "4"), ("q", "2024-01-01", "2024-04-01", "2", "2"), ("s", "None", "None", "1", "1")}
+
+
+def test_registration_adds_columns_and_batches_only(spark, tmp, monkeypatch):
+    """Later loads cost ADD COLUMNS and ADD PARTITION: the entry is neither dropped nor searched for partitions."""
+    import os
+
+    from quayside.streaming import tables
+    from quayside.streaming.ingest import IngestOptions, ingest_table
+
+    def load(month, text):
+        os.makedirs(f"{tmp}/land/year=2024/month={month}")
+        with open(f"{tmp}/land/year=2024/month={month}/f.csv", "w") as f:
+            f.write(text)
+        ingest_table(spark, f"{tmp}/land", f"{tmp}/t", f"{tmp}/c", "t", IngestOptions(as_of="2024-06-01 00:00:00")).collect()
+        tables.register_loaded_table(spark, "default.quayside_test_added", f"{tmp}/t", f"{tmp}/c", "It's added")
+
+    said = []
+    real = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: said.append(q) or real(self, q, *a, **k))
+    load("01", "a\n1\n")
+    load("02", "a,b\n2,x\n")
+    load("03", "a\n3\n")
+    t = spark.table("spark_catalog.default.quayside_test_added")
+    assert sorted((r.a, r.b, r._batch_id) for r in t.collect()) == [(1, None, 0), (2, "x", 1), (3, None, 2)]
+    assert not any("DROP" in q or "RECOVER" in q for q in said) and sum("ADD COLUMNS" in q for q in said) == 1
+    assert [q.split("PARTITION", 1)[1] for q in said if "ADD IF NOT EXISTS" in q] == [f" (`_batch_id` = {b})" for b in range(3)]
+    assert tables.table_comment(spark, "default.quayside_test_added") == "It's added"
+    assert tables.register_batches(spark, "default.quayside_test_added", f"{tmp}/c") == []
+    real(spark, "DROP TABLE default.quayside_test_added")
+
+
+def test_types_of_the_catalog_reach_their_table(spark, tmp):
+    import json
+
+    from quayside.sources.catalog import read_catalog, write_catalog
+
+    with open(f"{tmp}/c.json", "w") as f:
+        json.dump({"mappings": [{"url_pattern": "u", "table_name": "t", "parameters": [], "landing_path": "p", "types": {"zip": "string"}}, {"url_pattern": "v", "table_name": "w", "landing_path": "q"}]}, f)
+    rows = {r.table_name: dict(r.types) for r in read_catalog(spark, f"{tmp}/c.json").collect()}
+    assert rows == {"t": {"zip": "string"}, "w": {}}
+    write_catalog(read_catalog(spark, f"{tmp}/c.json").withColumn("doc", F.lit("d")), f"{tmp}/again", "doc", "position")
+    assert {r.table_name: dict(r.types) for r in read_catalog(spark, f"{tmp}/again").collect()} == rows
