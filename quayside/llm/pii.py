@@ -4,13 +4,14 @@ Base spans, per kind, are the leftmost non-overlapping matches of the ``email``,
 ``card`` and ``phone`` patterns that pass their test (parts up to 255, Luhn and 16 to 19 digits,
 8 to 15 digits).
 
-The contextual part takes the base spans as seeds. A pattern is the two words to the left of an
-entity; an instance is a seed or an identifier-like word (two digits or an ``@``, four characters) that no
-base span touches. Spark scores the graph of patterns and instances: a pattern's confidence is
+The contextual part takes as seeds the base spans and long hexadecimal keys (``SECRET`` digits or more). An instance is a
+seed or another identifier-like word (two digits or an ``@``, four characters) that no base span touches. Patterns come in three
+families: the two words to the left of an entity; the word to its left with its shape (kind of characters and
+length); the words to its left and right. Spark scores the graph of patterns and instances: a pattern's confidence is
 the lower end of the Wilson interval of its instances' mean score, so it needs many and nearly only good ones; an
 instance scores 1 as a seed, else the noisy-or of its confident patterns. After ``ROUNDS`` rounds, the
-identifier-like words in the patterns at ``CONFIDENT`` or above become spans of the kind
-``context``.
+identifier-like words and keys in the patterns at ``CONFIDENT`` or above become spans of the kind
+``context``; a key in no such pattern stays.
 
 A null text is the empty text; no span, no change. Rows are kept apart by id and text, so equal
 ids with different texts have their own spans.
@@ -34,6 +35,8 @@ KINDS = ("email", "ip", "card", "phone")
 CONTEXT = "context"
 ROUNDS = 3
 CONFIDENT = 0.75
+#: A word of so many hexadecimal digits, of one case and both letters and digits, is a seed.
+SECRET = 32
 Z = 1.64
 #: How far to the left of an entity its two words are looked for.
 REACH = 200
@@ -96,18 +99,39 @@ def _number(s: str) -> int:
     return xxhash.xxh64_intdigest(s.encode()) - (1 << 63)
 
 
-def _pattern(flat: str, start: int) -> int:
-    words = [w.strip(_EDGE).lower() for w in flat[max(0, start - REACH) : start].split(" ") if w][-2:]
-    return _number(" ".join(["", "", *words][-2:]))
+_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+
+
+def _is_key(word: str) -> bool:
+    return len(word) >= SECRET and _HEX.fullmatch(word) is not None and not word.isdigit() and any(c.isdigit() for c in word)
+
+
+def _shape(word: str) -> str:
+    """The kinds of characters of a word and its length: equal for identifiers of one make."""
+    letters = "key" if _is_key(word) else "a" if any(c.isalpha() for c in word) else ""
+    marks = "".join(sorted({c for c in word if not c.isalnum()}))
+    return f"{letters}{'9' if any(c.isdigit() for c in word) else ''}{marks} {min(len(word), 65)}"
+
+
+def _words(text: str) -> list[str]:
+    return [w for w in (w.strip(_EDGE).lower() for w in text.split(" ")) if w]
+
+
+def _patterns(flat: str, start: int, end: int) -> list[int]:
+    """The patterns that the entity at [start, end) stands in, by number; families are told apart."""
+    left, right = _words(flat[max(0, start - REACH) : start])[-2:], _words(flat[end : end + REACH])[:1]
+    one, after = (left or [""])[-1], (right or [""])[0]
+    word = flat[start:end]
+    return [_number(f"2 {' '.join(left)}"), _number(f"s {one} {_shape(word)}"), _number(f"b {one} {after}")]
 
 
 def entities(text: str, base: list[list[tuple[int, int]]]) -> list[dict]:
-    """Seeds and identifier-like words: ``start, end, pattern, instance, seed``."""
+    """Seeds and identifier-like words: ``start, end, patterns, instance, seed``, and whether a base span (``known``)."""
     out = []
     flat = _BLANK.sub(" ", text)
     taken = sorted(s for kind in base for s in kind)
     for s, e in taken:
-        out.append({"start": s, "end": e, "pattern": _pattern(flat, s), "instance": _number(text[s:e].lower()), "seed": True})
+        out.append({"start": s, "end": e, "patterns": _patterns(flat, s, e), "instance": _number(text[s:e].lower()), "seed": True, "known": True})
     k, m = 0, _SIGN.search(flat)
     while m:
         s, e = flat.rfind(" ", 0, m.start()) + 1, flat.find(" ", m.start())
@@ -118,7 +142,7 @@ def entities(text: str, base: list[list[tuple[int, int]]]) -> list[dict]:
             word = flat[s:e].rstrip(_EDGE)
             s, e = s + len(word) - len(word.lstrip(_EDGE)), s + len(word)
             if e - s >= 4 and ("@" in flat[s:e] or sum(c in "0123456789" for c in flat[s:e]) >= 2):
-                out.append({"start": s, "end": e, "pattern": _pattern(flat, s), "instance": _number(flat[s:e].lower()), "seed": False})
+                out.append({"start": s, "end": e, "patterns": _patterns(flat, s, e), "instance": _number(flat[s:e].lower()), "seed": _is_key(flat[s:e]), "known": False})
                 m = _SIGN.search(flat, e)
                 continue
         nxt = flat.find(" ", m.start())
@@ -126,7 +150,7 @@ def entities(text: str, base: list[list[tuple[int, int]]]) -> list[dict]:
     return out
 
 
-_ENTITY = StructType().add("start", LongType()).add("end", LongType()).add("pattern", LongType()).add("instance", LongType()).add("seed", BooleanType())
+_ENTITY = StructType().add("start", LongType()).add("end", LongType()).add("patterns", ArrayType(LongType())).add("instance", LongType()).add("seed", BooleanType()).add("known", BooleanType())
 
 
 def find_base(docs: DataFrame) -> DataFrame:
@@ -159,7 +183,7 @@ def _wilson(k: Column, n: Column) -> Column:
 def confident_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``pattern, confidence`` of the patterns at ``CONFIDENT`` or above."""
     spark = found.sparkSession
-    one = found.select(F.explode("found").alias("e")).select("e.pattern", "e.instance", "e.seed")
+    one = found.select(F.explode("found").alias("e")).select(F.explode("e.patterns").alias("pattern"), "e.instance", "e.seed")
     edges = written(spark, one.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
     scored = edges.withColumn("score", F.col("seed").cast("double"))
     for turn in range(rounds):
@@ -177,8 +201,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     of the contextual part (empty if none)."""
     rows = written(docs.sparkSession, find_base(docs), "pii-found")
     patterns = confident_patterns(rows.select("found"))
-    more = rows.select("doc_id", "text_key", F.explode("found").alias("e")).filter("NOT e.seed")
-    more = more.select("doc_id", "text_key", F.col("e.pattern").alias("pattern"), F.col("e.start").alias("start"), F.col("e.end").alias("end")).join(patterns, "pattern")
+    more = rows.select("doc_id", "text_key", F.explode("found").alias("e")).filter("NOT e.known")
+    more = more.select("doc_id", "text_key", F.explode("e.patterns").alias("pattern"), F.col("e.start").alias("start"), F.col("e.end").alias("end")).join(patterns, "pattern")
     spans = F.array_sort(F.collect_set(F.struct("start", "end")))
     more = more.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.lit(CONTEXT), s["start"], s["end"])), ",").alias("extra"))
     out = rows.join(more, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")

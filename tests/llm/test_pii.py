@@ -69,5 +69,38 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
     assert got[101] == "" and got[102] == "" and "context" not in got[3]
 
 
+def test_keys_are_found_by_their_context(spark):
+    """Planted keys after ``token =`` and identifiers of other makes in contexts of seeds: found; the same shapes
+    elsewhere, keys in contexts of their own included, are left alone."""
+    import random
+
+    rng = random.Random(3)
+    key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    words = [f"w{''.join(rng.choice('abcdefgh') for _ in range(5))}".replace("w", "v") for _ in range(400)]
+    some = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    docs, want = [], {}
+    for k in range(60):
+        t = f'{some(4)} token = "'
+        secret = key().upper() if k % 5 == 0 else key()
+        docs.append((k, f'{t}{secret}" {some(3)}'))
+        want[k] = f"context:{len(t)}:{len(t) + 40}"
+    docs += [(100 + k, f"{some(3)} wrote to badge {rng.choice(words)}{k}@mail.example.com {some(2)}") for k in range(40)]
+    t = f"{some(3)} wrote to badge "
+    docs += [(200, f"{t}QX-55-191 {some(2)}")]
+    want[200] = f"context:{len(t)}:{len(t) + 9}"
+    docs += [(300 + k, f"{some(5)} {rng.randint(10**15, 10**16 - 1)} {some(4)} {rng.randint(1900, 2020)} {some(3)} sum {key()}") for k in range(3)]
+    docs += [(400 + k, f"{some(2)} {rng.choice(words)} {rng.randint(1000, 99999)} {some(6)}") for k in range(200)]
+    got = {r["doc_id"]: [x for x in r["spans"].split(",") if x.startswith("context")] for r in pii.report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    found = {(d, x) for d, own in got.items() for x in own}
+    planted = set(want.items())
+    assert len(found & planted) / len(planted) >= 0.95 and len(found & planted) / len(found) >= 0.95
+    assert not any(got[d] for d in got if d >= 300)
+
+
+def test_shapes():
+    assert pii._shape("ab12") == "a9 4" and pii._shape("12-34") == "9- 5" and pii._is_key("0a" * 16) and not pii._is_key("0a" * 15) and not pii._is_key("1" * 40)
+    assert pii._shape("0a" * 20) == "key9 40" == pii._shape("B7" * 20)
+
+
 def test_overlapping_spans_become_one():
     assert pii.mask("ab cd ef", "email:0:5,ip:3:8") == "[EMAIL]" and pii.mask("ab", "") == "ab"
