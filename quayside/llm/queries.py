@@ -87,6 +87,7 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "op5_packing": packing.SQL,
     "op9_top_k": knn.SQL,
+    "op11_conversation_repair": repair.SQL,
     "op12_line_dedup": lines.SQL,
     "op13_hard_negatives": negatives.SQL,
 }

@@ -434,3 +434,67 @@ def repair_report(conversations: DataFrame) -> DataFrame:
             yield batch()
 
     return both.mapInArrow(run, schema)
+
+
+_WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+#: The same by states from left to right, a row a step (integers only as ids and turns; crc32 by its table).
+SQL = f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+kinds AS (
+  SELECT conv_id, coalesce(CAST(conv_id AS VARCHAR), 'none') AS conv, turn, role, text,
+         xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(key) + 1), lambda i: CAST(unicode(key[i]) AS BIGINT))),
+             lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 AS kind
+  FROM keyed, crc),
+d AS (
+  SELECT conv, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS again
+  FROM kinds WHERE kind <> 0),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, md5(text), again) AS k,
+         rtrim(text, {_WS}) AS kept FROM d),
+r AS (
+  SELECT conv, turn, role, text, k, left(role, 1) AS initial,
+         CASE WHEN trim(kept, {_WS}) = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY k) > 1 THEN 'duplicate'
+              WHEN right(kept, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY k) || left(role, 1) AS pair
+  FROM o),
+stats AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'blank') AS blank,
+         count_if(fault = 'duplicate') AS duplicate, count_if(fault = 'truncated') AS truncated,
+         count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal, max(k) AS n FROM r GROUP BY conv),
+moves(p, initial, q) AS (VALUES ('0', 's', 's'), ('0', 'u', 'u'), ('s', 'u', 'u'), ('a', 'u', 'u'), ('u', 'a', 'a')),
+inserts(p, q, cost, audit, lines) AS (
+  SELECT p, p, 0, '', '' FROM (VALUES ('0'), ('s'), ('u'), ('a')) AS t(p)
+  UNION ALL SELECT p, q, {INSERT}, 'I', chr(10) || CASE q WHEN 'u' THEN 'user:' ELSE 'assistant:' END FROM moves WHERE initial <> 's'
+  UNION ALL SELECT p, 'a', {2 * INSERT}, 'II', chr(10) || 'user:' || chr(10) || 'assistant:' FROM (VALUES ('0'), ('s')) AS t(p)),
+edits AS (
+  SELECT conv, k, p, p AS q, {DELETE} AS cost, 'D' AS audit, '' AS lines FROM r, (VALUES ('0'), ('s'), ('u'), ('a')) AS t(p)
+  UNION ALL
+  SELECT conv, k, p, q, CASE fault WHEN 'truncated' THEN {TRUNCATED} ELSE 0 END, 'K', chr(10) || role || ':' || text
+  FROM r JOIN moves ON moves.initial = r.initial WHERE fault IN ('', 'truncated')
+  UNION ALL
+  SELECT conv, k, p, q, {REROLE} + CASE fault WHEN 'truncated' THEN {TRUNCATED} ELSE 0 END, 'R',
+         chr(10) || CASE q WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || text
+  FROM r JOIN moves ON moves.initial <> 's' WHERE fault IN ('', 'truncated')),
+dp AS (
+  SELECT conv, CAST(0 AS BIGINT) AS k, '0' AS q, {{'cost': 0, 'audit': '', 'lines': ''}} AS v FROM stats
+  UNION ALL
+  SELECT dp.conv, dp.k + 1, e.q, min({{'cost': v.cost + i.cost + e.cost, 'audit': v.audit || i.audit || e.audit, 'lines': v.lines || i.lines || e.lines}})
+  FROM dp JOIN inserts i ON i.p = dp.q JOIN edits e ON e.conv = dp.conv AND e.k = dp.k + 1 AND e.p = i.q GROUP BY 1, 2, 3),
+done AS (
+  SELECT conv, min({{'cost': v.cost + i.cost, 'audit': v.audit || i.audit, 'lines': v.lines || i.lines}}) AS v
+  FROM dp JOIN stats USING (conv) JOIN inserts i ON i.p = dp.q WHERE dp.k = n AND i.q IN ('0', 'a') GROUP BY conv)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(v.cost, 0)::BIGINT AS cost,
+       coalesce(v.audit, '') AS audit, sha256(substr(coalesce(v.lines, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(CAST(conv_id AS VARCHAR), 'none') AS conv FROM conversations) c
+LEFT JOIN stats USING (conv) LEFT JOIN done USING (conv)
+"""

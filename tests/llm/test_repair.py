@@ -3,6 +3,7 @@ import itertools
 import random
 import zlib
 
+import duckdb
 from pyspark.sql import functions as F
 
 from quayside.llm import repair
@@ -177,3 +178,16 @@ def test_repaired_rows(spark):
 def test_query_matches_brute_force(spark):
     rows = [tuple(r) for r in table(spark, SF_SMALL, "conversations").collect()]
     assert {tuple(r) for r in op11_conversation_repair(spark, SF_SMALL).collect()} == brute(rows)
+    assert sql(rows) == brute(rows)
+
+
+def sql(rows):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    return set(con.execute(repair.SQL).fetchall())
+
+
+def test_sql_on_odd_rows():
+    rows = random_rows(random.Random(12), 150, 6) + [(None, 0, "user", "hello."), (None, None, None, None), (-3, 1, "assistant", "yes. \x0b"), (-3, 1, "assistant", "yes. \x0b")]
+    assert sql(rows) == brute(rows)
