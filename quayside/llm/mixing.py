@@ -193,28 +193,35 @@ def mix_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share:
     taken, grouped by shard and shuffled inside it. Documents without words are not taken.
 
     The plan is joined back by id, source and text. Rows equal in these are interchangeable in the plan: it says how many
-    of them the last pass takes, and the rows are numbered to take as many, within the tasks that read
-    them first, so that very many equal rows are not numbered by one task."""
+    of them the last pass takes. Only where it takes some of them but not all, rows are numbered to take as many, within the tasks
+    that read them first, so that very many equal rows are not numbered by one task."""
     key = ["doc_id", "source", "text_key"]
     plan = _planned(docs, weights, share, n_shards, seed).filter("size > 0").groupBy(*key).agg(
         F.count("*").alias("_rows"), F.sum("last").alias("_taken_last"), F.max("full").alias("_full"), F.max("block_shards").alias("_shards"))
     plan = plan.filter((F.col("_full") > 0) | (F.col("_taken_last") > 0)).select(*[F.col(c).alias(f"_{c}") for c in key], "_rows", "_taken_last", "_full", "_shards")
+    plan = written(docs.sparkSession, plan, "mix-plan")
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
     d = d.withColumn("_text_key", F.xxhash64("d.text")).withColumn("_part", F.spark_partition_id())
     on = F.col("d.doc_id").eqNullSafe(F.col("_doc_id")) & F.col("d.source").eqNullSafe(F.col("_source")) & (d["_text_key"] == plan["_text_key"])
-    rows = d.join(plan, on).drop(plan["_text_key"])
     some = (F.col("_taken_last") > 0) & (F.col("_taken_last") < F.col("_rows"))
-    sure = rows.filter(~some).withColumn("_copies", F.col("_full") + (F.col("_taken_last") > 0).cast("int"))
+    rows = d.join(plan.filter(~some), on).select("d", "_shards", (F.col("_full") + (F.col("_taken_last") > 0).cast("int")).alias("_copies"))
+    if plan.filter(some).limit(1).count():
+        rows = rows.unionByName(_numbered(d.join(plan.filter(some), on).drop(plan["_text_key"])))
+    rows = rows.filter("_copies > 0").select("d", F.posexplode(F.slice("_shards", F.lit(1), F.col("_copies"))).alias("_copy", "_shard"))
+    slot = F.xxhash64("d.doc_id", "d.text", "_copy", "_shard")
+    return rows.repartition("_shard", F.pmod(slot, F.lit(16))).sortWithinPartitions("_shard", slot).select(*[F.col(f"d.`{c}`").alias(c) for c in docs.columns])
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``d, _shards, _copies`` of equal rows of which the last pass takes ``_taken_last``: those numbered first. Numbers are given
+    within the tasks that read the rows (``_part``) and moved by the rows of the tasks before."""
     equal = ["_doc_id", "_source", "_text_key"]
-    part = Window.partitionBy(*equal, "_part")
-    counted = rows.filter(some).withColumn("_place", F.row_number().over(part.orderBy(F.to_json("d"))))
-    sums = rows.filter(some).groupBy(*equal, "_part").agg(F.count("*").alias("_n"))
-    before = sums.withColumn("_offset", F.sum("_n").over(Window.partitionBy(*equal).orderBy("_part")) - F.col("_n")).select(*[F.col(c).alias(f"o{c}") for c in equal], F.col("_part").alias("o_part"), "_offset")
+    place = F.row_number().over(Window.partitionBy(*equal, "_part").orderBy(F.to_json("d")))
+    sums = rows.groupBy(*equal, "_part").agg(F.count("*").alias("_n"))
+    offset = F.sum("_n").over(Window.partitionBy(*equal).orderBy("_part")) - F.col("_n")
+    before = sums.select(*[F.col(c).alias(f"o{c}") for c in [*equal, "_part"]], offset.alias("_offset"))
     match = F.col("_part") == F.col("o_part")
     for c in equal:
         match = match & F.col(c).eqNullSafe(F.col(f"o{c}"))
-    chosen = counted.join(before, match).withColumn("_copies", F.col("_full") + (F.col("_place") + F.col("_offset") <= F.col("_taken_last")).cast("int"))
-    rows = sure.select("d", "_shards", "_copies").unionByName(chosen.select("d", "_shards", "_copies"))
-    rows = rows.filter("_copies > 0").select("d", F.posexplode(F.slice("_shards", F.lit(1), F.col("_copies"))).alias("_copy", "_shard"))
-    slot = F.xxhash64("d.doc_id", "d.text", "_copy", "_shard")
-    return rows.repartition("_shard", F.pmod(slot, F.lit(16))).sortWithinPartitions("_shard", slot).select(*[F.col(f"d.`{c}`").alias(c) for c in docs.columns])
+    taken = F.col("_place") + F.col("_offset") <= F.col("_taken_last")
+    return rows.withColumn("_place", place).join(before, match).select("d", "_shards", (F.col("_full") + taken.cast("int")).alias("_copies"))

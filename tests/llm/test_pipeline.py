@@ -34,5 +34,5 @@ def test_stages_take_an_empty_table(spark, no_docs):
 def test_registered():
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["language_id", "near_dedup", "personal_data", "mix_sources", "length_packing"]
-    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 14)) and set(ORACLE) <= set(QUERIES)
     assert all(m.__doc__ for m in (langid, minhash, mixing, packing, pii))
