@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -35,6 +36,8 @@ KINDS = ("email", "ip", "card", "phone")
 CONTEXT = "context"
 ROUNDS = 3
 CONFIDENT = 0.75
+#: So many confident patterns (8 MB) are shipped to the tasks that mask.
+SHIPPED = 1 << 20
 #: A word of so many hexadecimal digits, of one case and both letters and digits, is a seed.
 SECRET = 32
 Z = 1.64
@@ -200,7 +203,11 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """``doc_id, text_key, counts, base, extra``: the joined base spans of every row, and those
     of the contextual part (empty if none)."""
     rows = written(docs.sparkSession, find_base(docs), "pii-found")
-    patterns = confident_patterns(rows.select("found"))
+    return _joined(rows, confident_patterns(rows.select("found")))
+
+
+def _joined(rows: DataFrame, patterns: DataFrame) -> DataFrame:
+    """The result of ``personal_data`` from ``find_base`` rows and the confident patterns."""
     more = rows.select("doc_id", "text_key", F.explode("found").alias("e")).filter("NOT e.known")
     more = more.select("doc_id", "text_key", F.explode("e.patterns").alias("pattern"), F.col("e.start").alias("start"), F.col("e.end").alias("end")).join(patterns, "pattern")
     spans = F.array_sort(F.collect_set(F.struct("start", "end")))
@@ -227,22 +234,50 @@ def mask(text: str, spans: str) -> str:
     return "".join([*out, text[at:]])
 
 
+def _found_spans(text: str, patterns: np.ndarray) -> str:
+    """All spans of a text, those of the contextual part by the numbers (ascending) of confident patterns."""
+    base = base_spans(text)
+    out = {f"{k}:{s}:{e}" for k, x in zip(KINDS, base, strict=True) for s, e in x}
+    for e in entities(text, base) if _SIGN.search(text) else ():
+        if not e["known"] and len(patterns):
+            at = np.searchsorted(patterns, e["patterns"])
+            if (patterns[np.minimum(at, len(patterns) - 1)] == e["patterns"]).any():
+                out.add(f"{CONTEXT}:{e['start']}:{e['end']}")
+    return ",".join(out)
+
+
 def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data masked in ``text`` and ``n_chars`` (where present) counted anew.
-    A row without spans stays as it is."""
-    found = personal_data(docs).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.concat_ws(",", F.nullif("base", F.lit("")), F.nullif("extra", F.lit(""))).alias("_spans")).filter("_spans <> ''").dropDuplicates(["_id", "_key"])
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text_key"))
-    rows = keyed.join(found, F.col("d.doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
-
-    @F.pandas_udf("string")
-    def masked_text(text: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([mask(t, s) if isinstance(s, str) else None for t, s in zip(text, spans, strict=True)], dtype=object)
-
-    clean = F.col("_spans").isNull()
-    # only texts with spans go to Python
-    new = masked_text(F.when(~clean, F.col("d.text")), "_spans")
-    rows = rows.select("d", "_spans", F.when(clean, F.col("d.text")).otherwise(new).alias("_new"))
-    changed = {"text": F.col("_new")}
+    A row without spans stays as it is.
+
+    Up to ``SHIPPED`` confident patterns go to the tasks, which mask every text where it is read. More of them
+    are joined to the entities, and the spans to the texts."""
+    spark = docs.sparkSession
+    rows = written(spark, find_base(docs), "pii-found")
+    patterns = written(spark, confident_patterns(rows.select("found")).select("pattern").distinct(), "pii-confident")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    if patterns.count() <= SHIPPED:
+        known = np.sort(patterns.toArrow().column("pattern").to_numpy())
+
+        @F.pandas_udf("string")
+        def masked_text(text: pd.Series) -> pd.Series:
+            spans = [_found_spans(t, known) if isinstance(t, str) else "" for t in text]
+            return pd.Series([mask(t, x) if x else None for t, x in zip(text, spans, strict=True)], dtype=object)
+
+        rows = docs.select(row.alias("d"), masked_text(F.col("text")).alias("_new"))
+    else:
+        found = _joined(rows, patterns).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.concat_ws(",", F.nullif("base", F.lit("")), F.nullif("extra", F.lit(""))).alias("_spans")).filter("_spans <> ''").dropDuplicates(["_id", "_key"])
+        keyed = docs.select(row.alias("d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text_key"))
+        both = keyed.join(found, F.col("d.doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
+
+        @F.pandas_udf("string")
+        def masked_by(text: pd.Series, spans: pd.Series) -> pd.Series:
+            return pd.Series([mask(t, s) if isinstance(s, str) else None for t, s in zip(text, spans, strict=True)], dtype=object)
+
+        # only texts with spans go to Python
+        rows = both.select("d", masked_by(F.when(F.col("_spans").isNotNull(), F.col("d.text")), "_spans").alias("_new"))
+    clean = F.col("_new").isNull()
+    changed = {"text": F.coalesce("_new", "d.text")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(clean, F.col("d.n_chars")).otherwise(F.length("_new")).cast(docs.schema["n_chars"].dataType)
     return rows.select(*[changed.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns])

@@ -69,7 +69,7 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
     assert got[101] == "" and got[102] == "" and "context" not in got[3]
 
 
-def test_keys_are_found_by_their_context(spark):
+def test_keys_are_found_by_their_context(spark, monkeypatch):
     """Planted keys after ``token =`` and identifiers of other makes in contexts of seeds: found; the same shapes
     elsewhere, keys in contexts of their own included, are left alone."""
     import random
@@ -90,6 +90,10 @@ def test_keys_are_found_by_their_context(spark):
     want[200] = f"context:{len(t)}:{len(t) + 9}"
     docs += [(300 + k, f"{some(5)} {rng.randint(10**15, 10**16 - 1)} {some(4)} {rng.randint(1900, 2020)} {some(3)} sum {key()}") for k in range(3)]
     docs += [(400 + k, f"{some(2)} {rng.choice(words)} {rng.randint(1000, 99999)} {some(6)}") for k in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    shipped = {r["doc_id"]: r["text"] for r in pii.masked(df).collect()}
+    monkeypatch.setattr(pii, "SHIPPED", -1)  # the other way: spans joined to the texts
+    assert {r["doc_id"]: r["text"] for r in pii.masked(df).collect()} == shipped and "[CONTEXT]" in shipped[0]
     got = {r["doc_id"]: [x for x in r["spans"].split(",") if x.startswith("context")] for r in pii.report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     found = {(d, x) for d, own in got.items() for x in own}
     planted = set(want.items())
