@@ -48,7 +48,8 @@ BLOCK = 1_024
 #: Bytes of text worked on at once; a task holds some 60 times as much.
 SLICE = 1 << 19
 MEMBERS_PER_TASK = 2_000
-FILTER_BITS = 24
+#: Bits of the table of wanted texts: eight for each, between these powers of two (2 and 32 MB).
+FILTER_BITS, MOST_FILTER_BITS = 24, 28
 _U = np.uint64
 _C1, _C2 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
 _PLACE = mix64(np.arange(1, SHINGLE + 1, dtype=np.uint64) * _C2) | _U(1)
@@ -166,24 +167,26 @@ def text_key() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
 
 
-def _slot(bits: int = FILTER_BITS) -> Column:
-    """The bit of a row, by its id and text."""
-    return F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(1 << bits))
+def _slot() -> Column:
+    """The number of a row by which it is wanted or not, from its id and text."""
+    return F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(1 << MOST_FILTER_BITS))
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``key, bag`` of the texts whose ``slot`` is in ``wanted`` and perhaps some others: the multiset of
     shingles as sorted 32-bit numbers, one per shingle and occurrence.
 
-    A bit table of ``2 ** FILTER_BITS`` bits (2 MB, whatever the corpus) lets the tasks pass by
+    A bit table, sized by the number of wanted texts, lets the tasks pass by
     texts that nobody asks for; rows that fall on a set bit by chance only cost their work."""
-    hits = wanted.select(F.col("slot").alias("s")).groupBy(F.expr("s div 32").alias("w")).agg(F.expr("bit_or(shiftleft(1L, CAST(s % 32 AS INT)))").alias("bits")).collect()
-    table = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    for r in hits:
-        table[r["w"]] = r["bits"]
+    bits = min(MOST_FILTER_BITS, max(FILTER_BITS, (8 * wanted.count()).bit_length()))
+    places = wanted.select(F.pmod("slot", F.lit(1 << bits)).alias("s"))
+    hits = places.groupBy(F.expr("s div 32").alias("w")).agg(F.expr("bit_or(shiftleft(1L, CAST(s % 32 AS INT)))").alias("bits")).toArrow()
+    table = np.zeros(1 << (bits - 5), np.uint32)
+    table[hits.column("w").to_numpy()] = hits.column("bits").to_numpy().astype(np.uint32)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            slot = np.asarray(b.column(1))
+            slot = np.asarray(b.column(1)) & ((1 << bits) - 1)
             ask = ((table[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1).astype(bool)
             b = b.filter(pa.array(ask))
             data, off = byte_rows(b.column(0), lower=True)
