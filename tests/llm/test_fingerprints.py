@@ -1,9 +1,11 @@
 import hashlib
+import random
 
 import numpy as np
 import pyarrow as pa
 
 from quayside.llm import fingerprints as f
+from quayside.llm.common import byte_rows
 from tests.llm.conftest import rows
 
 
@@ -47,3 +49,33 @@ def test_likeness_of_halves_and_runs():
     assert f.likeness(s[:1], s[2:3])[0] < 0.1 and f.likeness(s[3:4], s[4:5])[0] == 1
     assert len(f.as_text(s)) == 7
     assert pa.array(f.as_text(s)).null_count == 0
+
+
+def phrase_names(text):
+    """The names of all phrases of a text, from ``FIRST_LEVEL`` on, as a set."""
+    data, off = byte_rows(pa.array([text]))
+    out, level = set(), 0
+    while len(data):
+        data, off = f.parse_level(data, off)
+        level += 1
+        if level >= f.FIRST_LEVEL:
+            out |= set(data.tolist())
+        if len(data) <= 1:
+            break
+    return out
+
+
+def test_likeness_is_that_of_the_phrase_sets():
+    """Sketches against the exact 2J / (1 + J) of the sets of phrase names, for texts sharing parts at any offset."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(500)]
+    some = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    errors = []
+    for share in [0, 0.1, 0.3, 0.5, 0.7, 0.9, 1] * 6:
+        common = some(int(600 * share) + 1)
+        a, b = some(int(300 * (1 - share))) + " " + common, common + " " + some(int(400 * (1 - share)))
+        x, y = phrase_names(a), phrase_names(b)
+        j = len(x & y) / len(x | y)
+        s = f.sketch_texts([a, b])
+        errors.append(float(f.likeness(s[:1], s[1:])[0]) - 2 * j / (1 + j))
+    assert np.abs(errors).mean() < 0.06 and np.abs(errors).max() < 0.25 and abs(np.mean(errors)) < 0.04

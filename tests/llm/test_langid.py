@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quayside.llm import langid
@@ -43,3 +44,30 @@ def test_kept_without_labels(spark, messy):
         want = [(r["doc_id"], r["text"], r["lang"]) for r in df.collect() if any(c.isalpha() for c in r["text"] or "")]
         got = [(r["doc_id"], r["text"], r["lang"]) for r in langid.kept(df).collect()]
         assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == messy.count() - 4
+
+
+def test_decoding_matches_the_plain_sums():
+    """Loss-weighted decoding, written out bit by bit, and ambiguity: a lead below ``LEAD``."""
+    rng = np.random.default_rng(3)
+    langs = ["aa", "bb", "cc", "dd"]
+    code = langid.code_matrix(4)
+    bits = code.shape[1]
+    trust = rng.uniform(0.5, 1.5, code.shape)
+    trust /= trust.sum(1, keepdims=True)
+    scale = rng.uniform(0.5, 2, bits)
+    model = langid.CodeModel(langs, code, rng.normal(0, 1, (1 << langid.HASH_BITS, bits)).astype(np.float32), scale, trust)
+    margins = rng.normal(0, 1, (50, bits))
+    p = model.decode(margins)
+    for row, got in zip(margins, p, strict=True):
+        d = [-bits * sum(trust[k, b] * np.log1p(np.exp(-code[k, b] * row[b] * scale[b])) for b in range(bits)) for k in range(4)]
+        want = np.exp(d) / np.exp(d).sum()
+        assert np.allclose(got, want)
+    texts = pa.array([f"some text {k} of {'xyz' * (k % 5)}" for k in range(60)] + ["", None, "123"])
+    lang, score, unclear = model.label(texts)
+    sure = model.decode(langid._margins(texts.slice(0, 60), model.weights))
+    top = np.sort(sure, 1)
+    assert lang[:60].tolist() == [langs[k] for k in sure.argmax(1)] and lang[60:].tolist() == ["und"] * 3
+    assert np.allclose(score[:60], top[:, -1]) and unclear[60:].all()
+    assert unclear[:60].tolist() == (top[:, -1] - top[:, -2] < langid.LEAD).tolist()
+    flat = langid.CodeModel(langs, code, np.zeros_like(model.weights), scale, np.full(code.shape, 1 / bits))
+    assert flat.label(texts)[2].all()  # no bit says anything: every text is ambiguous
