@@ -133,7 +133,7 @@ def with_next(docs: DataFrame) -> DataFrame:
 
     Ids are cut at quantiles into as many ranges as the session has shuffle partitions. The first
     document of a range is sent a second time, marked ``_extra``, to the end of the range before;
-    so a text is shuffled once. The driver holds one id per range."""
+    so a text is shuffled once. Every range is a task of its own. The driver holds one id per range."""
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     at = [k / parts for k in range(1, parts)]
     cuts = sorted(set(docs.select(F.percentile_approx("doc_id", at, 100 * parts).alias("q")).first()["q"] or [])) if at else []
@@ -148,7 +148,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     own = F.struct(place.cast("int").alias("_range"), F.lit(False).alias("_extra"))
     again = F.struct(F.element_at(back, place + 1).cast("int").alias("_range"), F.lit(True).alias("_extra"))
     sent = docs.select("doc_id", "text", F.explode(F.when(is_head, F.array(own, again)).otherwise(F.array(own))).alias("_t")).select("doc_id", "text", "_t._range", "_t._extra")
-    return sent.repartition(parts, "_range").sortWithinPartitions("_range", "_extra", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    return sent.repartitionById(parts, F.col("_range")).sortWithinPartitions("_range", "_extra", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
 
 
 def fingerprint_pairs(docs: DataFrame) -> DataFrame:
