@@ -48,7 +48,7 @@ BLOCK = 1_024
 #: Bytes of text worked on at once; a task holds some 60 times as much.
 SLICE = 1 << 19
 MEMBERS_PER_TASK = 2_000
-#: Bits of the table of wanted texts: eight for each, between these powers of two (2 and 32 MB).
+#: Bits of the table of wanted texts: eight for each text, between these powers of two (2 and 32 MB).
 FILTER_BITS, MOST_FILTER_BITS = 24, 28
 _U = np.uint64
 _C1, _C2 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
@@ -172,13 +172,13 @@ def _slot() -> Column:
     return F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(1 << MOST_FILTER_BITS))
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def shingle_sets(docs: DataFrame, wanted: DataFrame, n_texts: int) -> DataFrame:
     """``key, bag`` of the texts whose ``slot`` is in ``wanted`` and perhaps some others: the multiset of
     shingles as sorted 32-bit numbers, one per shingle and occurrence.
 
-    A bit table, sized by the number of wanted texts, lets the tasks pass by
+    A bit table, sized by the number of different texts ``n_texts``, lets the tasks pass by
     texts that nobody asks for; rows that fall on a set bit by chance only cost their work."""
-    bits = min(MOST_FILTER_BITS, max(FILTER_BITS, (8 * wanted.count()).bit_length()))
+    bits = min(MOST_FILTER_BITS, max(FILTER_BITS, (8 * n_texts).bit_length()))
     places = wanted.select(F.pmod("slot", F.lit(1 << bits)).alias("s"))
     hits = places.groupBy(F.expr("s div 32").alias("w")).agg(F.expr("bit_or(shiftleft(1L, CAST(s % 32 AS INT)))").alias("bits")).toArrow()
     table = np.zeros(1 << (bits - 5), np.uint32)
@@ -204,11 +204,11 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.select("text", _slot().alias("slot")).mapInArrow(run, "key binary, bag binary").filter("key IS NOT NULL")
 
 
-def verified(docs: DataFrame, slots: DataFrame, pairs: DataFrame) -> DataFrame:
+def verified(docs: DataFrame, slots: DataFrame, pairs: DataFrame, n_texts: int) -> DataFrame:
     """The (a, b) of ``pairs``, keys of texts with their ``slots``, whose multisets overlap by ``THRESHOLD`` or more. ``a`` is a leader:
     its bag is sent once to every ``MEMBERS_PER_TASK`` members or so, theirs stream past it."""
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    bags = shingle_sets(docs, slots.join(keys, "key")).dropDuplicates(["key"])
+    bags = shingle_sets(docs, slots.join(keys, "key"), n_texts).dropDuplicates(["key"])
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_TASK).cast("int").alias("n"))
     members = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("n")).cast("int").alias("salt"), F.col("b").alias("key"))
     leads = salts.select("a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"), F.col("a").alias("key"))
@@ -272,7 +272,7 @@ def links_between(group: list[tuple], n_roots: dict) -> list[tuple]:
     return out
 
 
-def links_in_buckets(docs: DataFrame, slots: DataFrame, rows: DataFrame, sigs: DataFrame) -> DataFrame:
+def links_in_buckets(docs: DataFrame, slots: DataFrame, rows: DataFrame, sigs: DataFrame, n_texts: int) -> DataFrame:
     """(bucket, key, root) of buckets with several roots → (a, b) links between them.
 
     Members of the bucket's commonest root need no comparison with each other. All members are dealt
@@ -281,7 +281,7 @@ def links_in_buckets(docs: DataFrame, slots: DataFrame, rows: DataFrame, sigs: D
     spark = rows.sparkSession
     per_root = rows.groupBy("bucket", "root").count()
     main = per_root.groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.ceil(F.sum("count") / BLOCK).cast("int").alias("n"))
-    bags = shingle_sets(docs, slots.join(rows.select("key").distinct(), "key")).dropDuplicates(["key"])
+    bags = shingle_sets(docs, slots.join(rows.select("key").distinct(), "key"), n_texts).dropDuplicates(["key"])
     placed = rows.join(main, "bucket").join(sigs.join(bags, "key"), "key")
     own = F.struct(F.pmod(F.xxhash64("key"), F.col("n")).cast("int").alias("block"), F.lit(False).alias("probe"))
     every = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda b: F.struct(b.alias("block"), F.lit(True).alias("probe")))
@@ -316,7 +316,7 @@ def classes(docs: DataFrame) -> DataFrame:
     signed = written(spark, signatures(docs), "bag-signatures")
     heads = signed.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("head"), F.min(F.struct("row", "slot")).alias("x"))
     heads = written(spark, heads.select("key", "head", "x.row", "x.slot"), "bag-heads")
-    slots = heads.select("key", "slot")
+    slots, n_texts = heads.select("key", "slot"), heads.count()
     reps = signed.select("row", "key", "bands", "sig").join(heads.select("row"), "row", "left_semi")
     banded = reps.select("key", F.explode("bands").alias("bucket"))
     buckets = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
@@ -325,7 +325,7 @@ def classes(docs: DataFrame) -> DataFrame:
     degree = shared.groupBy("key").agg(F.sum("n").alias("degree"))
     leads = shared.join(degree, "key").groupBy("bucket").agg(F.max_by("key", F.struct("degree", "key")).alias("lead"))
     pairs = shared.join(leads, "bucket").filter("key <> lead").select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct()
-    links = written(spark, verified(docs, slots, written(spark, pairs, "bag-pairs")), "bag-links")
+    links = written(spark, verified(docs, slots, written(spark, pairs, "bag-pairs"), n_texts), "bag-links")
     roots = components(links)
 
     # buckets of three or more that still hold several classes, one of each set of members
@@ -335,7 +335,7 @@ def classes(docs: DataFrame) -> DataFrame:
     mixed = mixed.groupBy("set", "n").agg(F.min("bucket").alias("bucket"))
     rows = written(spark, known.join(mixed.select("bucket"), "bucket"), "bag-mixed")
     if rows.limit(1).count():
-        more = links_in_buckets(docs, slots, rows, reps.select("key", "sig"))
+        more = links_in_buckets(docs, slots, rows, reps.select("key", "sig"), n_texts)
         links = written(spark, links.union(more), "bag-links")
         roots = components(links)
 
