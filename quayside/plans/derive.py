@@ -312,15 +312,15 @@ def events_as_members(events: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- unfriendly CSV files
 
-# Rows per file of the messy landing.
-MESSY_ROWS = 1_000
+# Keys per block of the messy landing, a file of some 1 MB for each kind.
+MESSY_KEYS = 50_000
 
 
 def land_messy_orders(orders: DataFrame, path: str) -> None:
     """Orders as CSV files of four kinds, by key: plain, after blank lines, with CR line ends,
     and with a newline inside a quoted header; and one file of blank lines. A file holds the rows
-    of one kind and block of 1,000 keys, built as one text value."""
-    kind, block = F.pmod("o_orderkey", F.lit(4)), F.floor(F.col("o_orderkey") / MESSY_ROWS)
+    of one kind and block of ``MESSY_KEYS`` keys, built as one text value."""
+    kind, block = F.pmod("o_orderkey", F.lit(4)), F.floor(F.col("o_orderkey") / MESSY_KEYS)
     cells = [F.col(c).cast("string") for c in ORDERS_HEADERS if c != "o_orderdate"]
     cells.insert(4, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS"))
     header = ",".join(ORDERS_HEADERS.values())

@@ -356,3 +356,30 @@ def test_statistics_from_the_batch_log(spark, tmp):
     assert set(rows) == {"_source_file", "k", "v"} and (rows["k"].rows, rows["k"].files, rows["k"].batches) == (4200, 300, 5)
     plan = stats._jdf.queryExecution().optimizedPlan().toString()
     assert "/table" not in plan and f"{tmp}/table" not in stats._jdf.queryExecution().executedPlan().toString()
+
+
+def test_messy_files_grow_with_rows_not_one_a_thousand_keys(spark, tmp):
+    from quayside.plans.derive import land_messy_orders
+
+    orders = spark.range(20_000).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "'O' AS o_orderstatus", "id / 4 AS o_totalprice",
+                                            "TIMESTAMP_NTZ '2000-01-02 03:04:05' AS o_orderdate", "'1-URGENT' AS o_orderpriority")
+    land_messy_orders(orders, f"{tmp}/land")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{tmp}/land").select("path")
+    assert files.count() == 5  # four kinds and the blank one; 81 before
+    r = ingest_table(spark, f"{tmp}/land", f"{tmp}/t", f"{tmp}/ck", "t", IngestOptions(multi_line=True)).collect()[0]
+    assert (r.status, r.rows_added, r.corrupt_rows, r.empty_files, r.batches) == ("success", 20_000, 0, 1, 1)
+
+
+def test_listing_jobs_have_as_many_tasks_as_run_at_once(spark, tmp):
+    from quayside.streaming.fsutil import LISTING_TASKS, bound_listing
+
+    before = spark.conf.get(LISTING_TASKS)
+    try:
+        spark.conf.set(LISTING_TASKS, 10_000)
+        bound_listing(spark)
+        assert int(spark.conf.get(LISTING_TASKS)) == 2 * spark.sparkContext.defaultParallelism
+        spark.conf.set(LISTING_TASKS, 3)  # a smaller setting stays
+        bound_listing(spark)
+        assert spark.conf.get(LISTING_TASKS) == "3"
+    finally:
+        spark.conf.set(LISTING_TASKS, before)
