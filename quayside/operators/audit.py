@@ -186,9 +186,15 @@ def gap_ranges(expected: DataFrame, audit: DataFrame, statuses: tuple[str, ...]
     ``expected``: (dataset, period, url), any number of files a period; a period is missing when one of
     its files has no audit row in ``statuses``. Neighbours are neighbouring *expected* periods, so a
     quarterly dataset has runs of quarters. Files without a period (static ones) are a run of their own,
-    first and last NULL. A dataset's window holds its periods, not its files."""
-    done = audit.where(F.col("download_status").isin(*statuses)).select("url").distinct().withColumn("_done", F.lit(True))
-    periods = expected.join(done, "url", "left").groupBy("dataset", "period").agg(F.count_if(F.col("_done").isNull()).alias("files"))
+    first and last NULL. A dataset's window holds its periods, not its files.
+
+    Of the join's rows only the files that arrived go on, counted by period. These counts and those of the
+    expected files (computed again, which costs less than to shuffle them) meet by dataset, once: sum,
+    window and islands take place there."""
+    done = audit.where(F.col("download_status").isin(*statuses)).select("url").distinct()
+    arrived = expected.join(done, "url", "left_semi").groupBy("dataset", "period").agg((-F.count("*")).alias("n"))
+    counts = expected.groupBy("dataset", "period").agg(F.count("*").alias("n")).unionAll(arrived)
+    periods = counts.repartition("dataset").groupBy("dataset", "period").agg(F.sum("n").alias("files"))
     present = F.col("files") == 0
     order = Window.partitionBy("dataset").orderBy("period")
     # all periods of one run of missing ones have seen equally many present ones; no period, no neighbour

@@ -175,3 +175,19 @@ def test_types_of_the_catalog_reach_their_table(spark, tmp):
     assert rows == {"t": {"zip": "string"}, "w": {}}
     write_catalog(read_catalog(spark, f"{tmp}/c.json").withColumn("doc", F.lit("d")), f"{tmp}/again", "doc", "position")
     assert {r.table_name: dict(r.types) for r in read_catalog(spark, f"{tmp}/again").collect()} == rows
+
+
+def test_gap_ranges_deal_all_periods_by_dataset_once(spark, tmp):
+    """Counts of expected and arrived files meet by dataset, and the window needs no other exchange; nulls, repeated
+    files and several files a period count as before."""
+    rows = [("a", f"2024-{m:02d}-01", f"u{m}") for m in range(1, 7)] + [("a", "2024-02-01", "u2b"), ("a", "2024-02-01", "u2b"), ("a", None, "s1"), ("a", None, "s2"),
+            (None, "2024-01-01", "n1"), (None, "2024-02-01", "n2"), ("b", "2024-01-01", None), ("b", "2024-02-01", "u1")]
+    expected = spark.createDataFrame(rows, "dataset string, period string, url string").withColumn("period", F.col("period").cast("date"))
+    audit = spark.createDataFrame([(u, "success") for u in ("u1", "u1", "u2", "u4", "s1", "n1")] + [("u5", "not_found")], "url string, download_status string")
+    gaps = A.gap_ranges(expected, audit)
+    got = {(r.dataset, str(r.first), str(r.last), r.periods, r.files) for r in gaps.collect()}
+    assert got == {("a", "2024-02-01", "2024-03-01", 2, 3), ("a", "2024-05-01", "2024-06-01", 2, 2), ("a", "None", "None", 1, 1),
+                   (None, "2024-02-01", "2024-02-01", 1, 1), ("b", "2024-01-01", "2024-01-01", 1, 1)}
+    plan = gaps._jdf.queryExecution().executedPlan().toString().split("\n")
+    below = plan[next(i for i, x in enumerate(plan) if "Window [" in x):]
+    assert "REPARTITION_BY_COL" in next(x for x in below if "Exchange" in x)
