@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.session import scratch_dir, ship_package
-from quayside.sources.archives import NO_ARCHIVE, READ_CHUNK_BYTES, READ_CHUNK_MEMBERS
-from quayside.sources.landing import KEYS, landed_files, landing_manifest, part_path
+from quayside.sources.archives import NO_ARCHIVE, READ_CHUNK_BYTES, READ_CHUNK_MEMBERS, _digest_files
+from quayside.sources.landing import KEYS, keys_of_path, landing_manifest, part_path
 from quayside.sources.records import PartStream
 
 PIECE_BYTES = 8 << 20
@@ -167,8 +167,15 @@ def landing_tasks(spark: SparkSession, todo: DataFrame, root: str, charset: str
     ``READ_CHUNK_BYTES`` or ``READ_CHUNK_MEMBERS``. Only these rows cross an exchange."""
     ship_package(spark)
     size = todo.agg(F.count("*").alias("n"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes")).first()
-    tasks = max(1, -(-size.n // READ_CHUNK_MEMBERS), -(-size.bytes // READ_CHUNK_BYTES))
-    spread = _text_keys(todo, "archive_path").repartitionByRange(max(tasks, min(size.n, spark.sparkContext.defaultParallelism), 1), "archive_path", "member")
+    at_once = spark.sparkContext.defaultParallelism
+    tasks = max(1, -(-size.n // READ_CHUNK_MEMBERS), -(-size.bytes // READ_CHUNK_BYTES), min(size.n, at_once))
+    # An archive's members are dealt by hash in groups of so many or so many bytes. (Ranges would be
+    # found from a sample that the driver collects, which for tasks of few rows is most of the listing.)
+    members, size_bytes = min(READ_CHUNK_MEMBERS, -(-size.n // at_once) or 1), min(READ_CHUNK_BYTES, -(-size.bytes // at_once) or 1)
+    groups = F.greatest(F.ceil(F.count("*") / members), F.ceil(F.coalesce(F.sum("size_bytes"), F.lit(0)) / size_bytes))
+    grouped = todo.join(todo.groupBy("archive_path").agg(groups.alias("_groups")), "archive_path")
+    grouped = grouped.withColumn("_group", F.pmod(F.xxhash64("member"), F.col("_groups")))
+    spread = _text_keys(grouped, "archive_path", "_group").repartition(tasks, "archive_path", "_group").drop("_group")
     return spread.mapInPandas(_archive_task(root, charset, part_bytes), _AS_TEXT)
 
 
@@ -199,8 +206,11 @@ def land_members(spark: SparkSession, members: DataFrame, root: str, skip_landed
     i.e. undecodable, are not landed. Returns the report."""
     ship_package(spark)
     todo = _keyed(members, F.lit(None).cast("string")).where(F.col("text").isNotNull()).select(*KEYS, "text")
-    if skip_landed:
-        todo = members_to_land(todo, landing_manifest(spark, root, partitions))
+    if skip_landed:  # listed before anything is landed, and only once
+        path = scratch_dir(spark, "landing-before")
+        before = landing_manifest(spark, root, partitions)
+        before.write.parquet(path)
+        todo = members_to_land(todo, spark.read.schema(before.schema).parquet(path))
     return _report(spark, _text_keys(todo, "text").mapInPandas(_text_task(root), _AS_TEXT))
 
 
@@ -220,9 +230,10 @@ def changed_members(spark: SparkSession, members: DataFrame, root: str, partitio
     landed in parts, which are not compared.
     """
     in_parts = landing_manifest(spark, root, partitions).where(F.col("part") > 0).select(*KEYS).distinct()
-    files = landed_files(spark, root, partitions).where(F.col("part") == 0)
+    files = landing_manifest(spark, root, partitions).where(F.col("part") == 0)
     files = files.join(in_parts, [files[k].eqNullSafe(in_parts[k]) for k in KEYS], "left_anti")
-    landed = files.select(*KEYS, F.md5("content").alias("landed_md5"))
+    hashed = files.select("path", "length", "modificationTime").mapInArrow(_digest_files, "path string, length long, modificationTime timestamp, md5 string")
+    landed = hashed.select(*keys_of_path()[:-1], F.col("md5").alias("landed_md5"))
     members = _keyed(members, F.lit(None).cast("string"))
     # Landing ends each member with one newline.
     new = members.where(F.col("text").isNotNull()).select(

@@ -7,7 +7,7 @@ the ``binaryFile`` source and hashed in pieces.
 ``mapInPandas``. A task opens each archive by path (seekable, so only the central
 directory and the wanted members are read), never the whole archive through the
 driver. Content is read in a second phase: the (archive, member) pairs are
-range-partitioned over tasks, so one huge archive is read by many tasks in parallel,
+dealt over tasks by chunk, so one huge archive is read by many tasks in parallel,
 each fetching only its own members; output batches are cut by size.
 """
 
@@ -98,15 +98,7 @@ def scan_archives(spark: SparkSession, path: str, glob: str = "*.zip", with_md5:
 
 
 def _open_seekable(path: str):
-    import pyarrow.fs as pafs
-
-    m = fsutil._URI.match(path)
-    if m is None or m.group(1).lower() == "file":
-        local = path if m is None else m.group(3)
-        return pafs.LocalFileSystem().open_input_file(local)
-    scheme, authority, rest = m.group(1).lower(), (m.group(2) or "")[2:], m.group(3)
-    fs, _ = pafs.FileSystem.from_uri(f"{fsutil._ARROW_SCHEME.get(scheme, scheme)}://{authority}/")
-    target = f"{authority}{rest}" if scheme in ("s3a", "s3n", "s3", "gs", "gcs") else rest
+    fs, target, _ = fsutil.located(path)
     return fs.open_input_file(target)
 
 
@@ -209,11 +201,10 @@ def read_members(listed: DataFrame, read_partitions: int | None = None) -> DataF
         bytes_of = F.sum("size_bytes") if "size_bytes" in listed.columns else F.lit(0)
         size = listed.agg(F.count("*").alias("n"), F.coalesce(bytes_of, F.lit(0)).alias("bytes")).first()
         n = max(listed.sparkSession.sparkContext.defaultParallelism, -(-size.n // READ_CHUNK_MEMBERS), -(-size.bytes // READ_CHUNK_BYTES))
-    # Range partitioning on (archive, chunk) gives every task about the same number of
-    # members (landing costs per file); its sampling pass reads listing rows only. A
-    # chunk is one key, so it stays in one task.
+    # Chunks are about equal and dealt by hash; each is one key, so it stays in one task. (Ranges
+    # would be found from a sample that the driver collects.)
     spread = (listed.select(*core, *[F.col(c).cast("string").alias(c) for c in extra])
-              .repartitionByRange(n, "archive_path", "read_chunk"))
+              .repartition(n, "archive_path", "read_chunk"))
     schema = StructType(MEMBER_SCHEMA.fields + [StructField(c, StringType()) for c in extra])
     content = spread.mapInPandas(_read_members(tuple(extra)), schema)
     # Carried columns travel as strings (pandas would turn nullable ints into floats).

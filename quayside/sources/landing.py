@@ -2,31 +2,27 @@
 
 Folder values are escaped as Hive does, NULL and '' being the default partition; the file
 name is the whole member path, percent-encoded; of a member landed in parts, later parts add
-``@00001`` and so on (an encoded name holds no ``@``). Listed with the ``binaryFile`` source with
-``content`` pruned; the keys are parsed from the path.
+``@00001`` and so on (an encoded name holds no ``@``). The tree is listed by tasks, folder by folder, so
+no listing passes through the driver; the keys are parsed from the path.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
+from quayside.session import ship_package
 from quayside.streaming import fsutil
 
 KEYS = ["dataset", "year", "month", "archive", "member"]
 
-FILE_SCHEMA = StructType([
+MANIFEST_SCHEMA = StructType([
     StructField("path", StringType()),
     StructField("modificationTime", TimestampType()),
     StructField("length", LongType()),
-    StructField("content", BinaryType()),
-])
-
-MANIFEST_SCHEMA = StructType([f for f in FILE_SCHEMA.fields if f.name != "content"] + [
     StructField("dataset", StringType()),
     StructField("year", IntegerType()),
     StructField("month", IntegerType()),
@@ -38,8 +34,6 @@ MANIFEST_SCHEMA = StructType([f for f in FILE_SCHEMA.fields if f.name != "conten
 HIVE_DEFAULT = "__HIVE_DEFAULT_PARTITION__"
 # Characters Hive escapes in a partition folder name (as %XX).
 HIVE_ESCAPED = '"#%\'*/:=?\\\x7f{[]^'
-# Folders looked up at the same time.
-LOOKUPS = 16
 
 
 def escape_partition_value(value: str | None) -> str:
@@ -70,7 +64,7 @@ def part_path(path: str, part: int) -> str:
     return path if part == 0 else f"{path}@{part:05d}"
 
 
-def _keys_of_path() -> list[Column]:
+def keys_of_path() -> list[Column]:
     pattern = r"/dataset=([^/]*)/year=([^/]*)/month=([^/]*)/archive=([^/]*)/([^/@]*)(?:@[0-9]+)?$"
 
     def value(k: int) -> Column:
@@ -81,28 +75,29 @@ def _keys_of_path() -> list[Column]:
     return [*(value(k + 1).cast(MANIFEST_SCHEMA[n].dataType).alias(n) for k, n in enumerate(KEYS)), part.alias("part")]
 
 
-def landed_files(spark: SparkSession, root: str,
-                 partitions: list[tuple[str | None, int | None, int | None]] | None = None) -> DataFrame:
-    """The manifest columns and ``content`` of landed files; unread columns are pruned.
-
-    With ``partitions`` only those (dataset, year, month) folders are listed, so a
-    run's check costs what the run touches, not the whole history of the tree.
-    """
-    folders = [root]
-    if partitions is not None:
-        wanted = sorted({partition_folder(root, d, y, m) for d, y, m in partitions})
-        with ThreadPoolExecutor(LOOKUPS) as pool:
-            folders = [f for f, there in zip(wanted, pool.map(lambda f: fsutil.exists(spark, f), wanted)) if there]
-    if not folders or not fsutil.has_entries(spark, root):
-        return spark.createDataFrame([], StructType(MANIFEST_SCHEMA.fields + [FILE_SCHEMA["content"]]))
-    files = spark.read.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", "true").load(folders)
-    return files.select("path", "modificationTime", "length", *_keys_of_path(), "content")
+def _listed(folders: DataFrame, depth: int, files: bool) -> DataFrame:
+    """Entries below ``folders``, which are dealt over the tasks that run at once."""
+    spread = folders.repartition(2 * folders.sparkSession.sparkContext.defaultParallelism, "path")
+    return spread.mapInArrow(fsutil.list_below(depth, not files), "path string, length long, modified long" if files else "path string")
 
 
 def landing_manifest(spark: SparkSession, root: str,
                      partitions: list[tuple[str | None, int | None, int | None]] | None = None) -> DataFrame:
-    """path, modificationTime, length, dataset, year, month, archive, member, part of landed files."""
-    return landed_files(spark, root, partitions).drop("content")
+    """path, modificationTime, length, dataset, year, month, archive, member, part of landed files.
+
+    Listed anew whenever it is computed, a task for each share of the archives' folders. With ``partitions``
+    only those (dataset, year, month) folders are listed, so a run's check costs what the run touches, not
+    the whole history of the tree.
+    """
+    ship_package(spark)
+    if partitions is None:
+        years = _listed(spark.createDataFrame([(root,)], "path string"), 2, False)
+        archives = _listed(years, 2, False)
+    else:
+        months = sorted({partition_folder(root, d, y, m) for d, y, m in partitions})
+        archives = _listed(spark.createDataFrame([(m,) for m in months], "path string"), 1, False)
+    files = _listed(archives, 1, True)
+    return files.select("path", F.timestamp_micros("modified").alias("modificationTime"), "length", *keys_of_path())
 
 
 def dataset_path(root: str, dataset: str) -> str:

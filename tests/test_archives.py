@@ -251,3 +251,20 @@ def test_bad_bytes_in_another_charset_are_null(spark):
     df = spark.createDataFrame([(b"caf\xe9",), (b"\x81",), (None,)], "content binary")
     got = decode_members(df, "cp1252").collect()
     assert [(r.is_valid, r.text) for r in got] == [(True, "caf\u00e9"), (False, None), (None, None)]
+
+
+def test_landed_files_are_listed_by_tasks(spark, tmp):
+    """The manifest holds every landed file, and no file index of the driver lists them."""
+    rows = [(d, y, m, a, f"x/{k}.csv", "t") for d in ("p", None) for y in (2023, None) for m in (1, 12) for a in ("a", "b c") for k in range(3)]
+    members = spark.createDataFrame(rows, "dataset string, year int, month int, archive string, member string, text string")
+    assert land_members(spark, members, f"{tmp}/land").count() == 48
+    os.makedirs(f"{tmp}/land/dataset=p/year=2023/month=01/archive=_=d")
+    open(f"{tmp}/land/dataset=p/year=2023/month=01/archive=a/.hidden.tmp", "w").close()
+    whole = landing_manifest(spark, f"{tmp}/land")
+    assert {(r.dataset, r.year, r.month, r.archive, r.member) for r in whole.collect()} == {r[:5] for r in rows}
+    spark_names = {r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{tmp}/land").select("path").collect()}
+    assert {r.path for r in whole.collect()} == spark_names and whole.where("modificationTime > TIMESTAMP '2020-01-01' AND length = 2 AND part = 0").count() == 48
+    some = landing_manifest(spark, f"{tmp}/land", [("p", 2023, 1), ("p", 1999, 1)])
+    assert some.count() == 6 and landing_manifest(spark, f"{tmp}/none").count() == 0
+    assert not whole.inputFiles() and "FileScan" not in whole._jdf.queryExecution().toString()
+    assert land_members(spark, members, f"{tmp}/land").count() == 0
