@@ -173,7 +173,9 @@ DOCS_PER_CSV = 200
 
 def quotable(text: Column) -> Column:
     """Text without the bytes that CSV quoting changes: quotes, backslashes and carriage returns."""
-    return F.translate(F.coalesce(text, F.lit("")), '"\\\r', "'/")
+    for sign, other in (('"', "'"), ("\\", "/"), ("\r", "")):  # as whole strings; translate goes by the code point
+        text = F.replace(text, F.lit(sign), F.lit(other))
+    return F.coalesce(text, F.lit(""))
 
 
 def build_document_csv_archives(documents: DataFrame, out_dir: str) -> DataFrame:
@@ -196,7 +198,7 @@ def build_document_csv_archives(documents: DataFrame, out_dir: str) -> DataFrame
         from quayside.plans.derive import _write_bytes
 
         buf, name = io.BytesIO(), pdf["archive"].iloc[0]
-        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
             zf.writestr("docs.csv", "Doc ID,Text\n" + "\n".join(sorted(pdf["line"])))
         _write_bytes(f"{base}/{name}", buf.getvalue())
         return pd.DataFrame({"archive": [name], "members": [1]})

@@ -383,3 +383,74 @@ def test_listing_jobs_have_as_many_tasks_as_run_at_once(spark, tmp):
         assert spark.conf.get(LISTING_TASKS) == "3"
     finally:
         spark.conf.set(LISTING_TASKS, before)
+
+
+def tasks_of(spark, fn):
+    """Tasks of the largest stage that Spark runs while ``fn`` runs."""
+    group = f"tasks-{time.time()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        fn()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    return max((s.numTasks for j in jobs if j for s in map(tracker.getStageInfo, j.stageIds) if s), default=0)
+
+
+def test_types_of_multi_line_files_are_inferred_by_several_tasks(spark, tmp):
+    """A task of Spark's own inference takes multi-line files up to 128 MB together."""
+    from quayside.streaming.ingest import _infer_types
+
+    names = ["i", "b", "d", "day", "at", "text", "none", "flag", "lead", "odd", "kept"]
+    line = '{k},{k}000000000,1.5,2024-01-0{k},2024-01-01 00:00:0{k},"a\nb, ""c"" \\",,true, {k},"{k}\n",00{k}\n'
+    paths = [put(tmp, f"h/{k}.csv", ",".join(names) + "\n" + line.format(k=k) * 3) for k in range(1, 10)]
+    opts = IngestOptions(multi_line=True, type_overrides={"kept": "string"})
+    got = []
+    wide = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # a file a task
+        most = tasks_of(spark, lambda: got.extend(_infer_types(spark, paths, names, opts)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", wide)
+    plain = spark.read.option("header", True).option("inferSchema", True).option("multiLine", True).csv(paths)
+    assert got == [f.dataType.simpleString() for f in plain.schema.fields][:-1] + ["string"] and got[:6] == ["int", "bigint", "double", "date", "timestamp", "string"]
+    assert most > 1
+
+
+def test_plain_first_lines_are_not_parsed(spark, tmp, monkeypatch):
+    """Small files with a plain first line cost one scan of their heads; others are read as before."""
+    from quayside.streaming import ingest
+
+    texts = ["a,b\n1,2\n", " a,b\n1,2\n", '"a\nb",c\n1,2\n', "a,b\r1,2\r", "\u00e4,b\n1,2\n", "a" * 5000 + ",b\n", "a,b", "only\n1\n", "a,,\r\n1,2,3\r\n"]
+    want = [("a", "b"), (" a", "b"), ("a\nb", "c"), ("a", "b"), ("\u00e4", "b"), ("a" * 5000, "b"), ("a", "b"), ("only",), ("a", "", "")]
+    paths = [put(tmp, f"h/{i}%25[x].csv{'@00001' if i else ''}", t) for i, t in enumerate(texts)]
+    opts, lengths = IngestOptions(multi_line=True), dict.fromkeys(paths, 1)
+    got = read_headers(spark, paths, opts, lengths)
+    assert [got[p] for p in paths] == want
+    plain = [paths[k] for k in (0, 3, 7, 8)]
+    assert jobs_of(spark, lambda: read_headers(spark, plain, opts, lengths)) == 1  # a scan; two with the shuffle of parsed rows
+    monkeypatch.setattr(ingest, "_PLAIN_ENCODINGS", set())
+    assert read_headers(spark, paths, opts, lengths) == got
+
+
+def test_quotable_text_is_that_of_translate(spark):
+    from pyspark.sql import functions as F
+
+    from quayside.plans.derive import quotable
+
+    rows = spark.createDataFrame([('a"b\\c\r\nd""',), (None,), ("",), ("\u00e4\U0001f600\r",)], "t string")
+    got = rows.select(quotable(F.col("t")).alias("a"), F.translate(F.coalesce("t", F.lit("")), '"\\\r', "'/").alias("b"))
+    assert all(r.a == r.b for r in got.collect())
+
+
+def test_batch_entry_is_replaced_by_a_replay(spark, tmp):
+    from quayside.streaming import batch_log
+
+    for rows in (5, 7):
+        jobs = jobs_of(spark, lambda rows=rows: batch_log.write_entry(spark, f"{tmp}/log", 3, rows, None, 1, sketches={"c": b"x"}))
+    assert jobs == 1
+    batch_log.write_entry(spark, f"{tmp}/log", 4, 1, None, 0)
+    got = batch_log.read_log(spark, f"{tmp}/log").orderBy("batch_id").collect()
+    assert [(r.rows, r.batch_id, r.sketches) for r in got] == [(7, 3, {"c": bytearray(b"x")}), (1, 4, {})]
+    assert batch_log.totals(spark, f"{tmp}/log", 3).added == 1
