@@ -1,8 +1,7 @@
 """Per-batch load log: rows written and latest load time of each micro-batch.
 
 Filled from an ``Observation`` on the batch's own write (no extra pass over the
-data) and written with dynamic partition overwrite, so a replayed batch replaces
-its entry. Table totals and the latest load time are sums and maxima over this
+data) and written over the batch's folder, so a replayed batch replaces its entry. Table totals and the latest load time are sums and maxima over this
 small log instead of scans of the whole table; distinct counts are estimates from
 sketches, one a batch and column, which are merged (``load_statistics``).
 """
@@ -40,9 +39,11 @@ def sketch(column: str) -> Column:
 
 def write_entry(spark: SparkSession, log_path: str, batch_id: int, rows: int, latest: _dt.datetime | None,
                 files: int, corrupt_rows: int = 0, empty_files: int = 0, sketches: dict[str, bytes] | None = None) -> None:
-    row = (int(rows), latest, int(files), int(corrupt_rows), int(empty_files), sketches or {}, int(batch_id))
-    (spark.createDataFrame([row], BATCH_LOG_SCHEMA).coalesce(1)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(log_path))
+    # One row of constants, written straight into its folder: the cost of every batch, however small.
+    pairs = [F.lit(x) for pair in (sketches or {}).items() for x in pair]
+    values = [F.lit(int(rows)), F.lit(latest), F.lit(int(files)), F.lit(int(corrupt_rows)), F.lit(int(empty_files)), F.create_map(*pairs)]
+    entry = spark.range(0, 1, 1, 1).select(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, BATCH_LOG_SCHEMA[:-1], strict=True)])
+    entry.write.mode("overwrite").parquet(f"{log_path}/batch_id={int(batch_id)}")
 
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
